@@ -62,6 +62,7 @@ def repeated_lines(docs: DataFrame, *, window: int = 3, least_chars: int = 100,
     table = stage(line_table(docs, window, least_chars), "lines")
     prints = table.select("doc_id", F.posexplode(F.transform("p", lambda i: F.struct(F.get("h", i).alias("f"), i.alias("at")))).alias("_", "s")).select("doc_id", "s.f", "s.at")
     first = prints.groupBy("f").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("f", F.col("first.doc_id").alias("doc0"), F.col("first.at").alias("at0"))
+    first = stage(first, "line-first")  # a table of its own, so that the join back can split a hot line
     seeds = prints.join(first, "f").where("doc_id <> doc0 or at <> at0")
     diagonals = seeds.groupBy("doc_id", "doc0", (F.col("at") - F.col("at0")).alias("shift")).agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
     diagonals = stage(diagonals.select("doc_id", "doc0", "shift", F.greatest(F.col("lo") - window, F.lit(0), F.col("shift")).alias("lo"), (F.col("hi") + window).alias("hi")), "diagonals")
