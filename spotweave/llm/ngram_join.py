@@ -5,15 +5,15 @@ A document's set is its distinct five-word shingles (as 64-bit hashes); two docu
 
 1. `profile`: one pass gives each document's class id and size, and counts shingles by lossy counting in
    chunks, so that every shingle in at least 1 / 1000 of all documents is known as frequent.
-2. `postings`: rare shingles come first, frequent ones last. A set of n shingles that must share
+2. `postings`: rare shingles come first (those with the rarest words before others), frequent ones last. A set of n shingles that must share
    r = ceil(0.8 n) has the prefix of n - r + 2 shingles; two linked sets share at least two there. If a
    shared one is rare, the single-token index of rare tokens brings them together; otherwise the
    index of 2-token combinations of frequent tokens does. A set with very many frequent tokens in its prefix is indexed
    by single frequent tokens instead, which then meet every other set that has the token.
 3. Rounds: in each posting list, sets of different components are paired in a star and a chain (a linear
-   number of pairs), verified exactly, and linked sets become one component; further rounds pair members of different components
-   that stand near each other in a hashed order. After a round with few links all pairs that are
-   left between different components of a list are verified. Pairs within one component need no check,
+   number of pairs), verified exactly (after a bitmap bound has dropped most that cannot link), and linked sets become one component; further rounds pair members of different components
+   that stand near each other in a hashed order. After a round with few links all pairs between
+   components that still share a list are tested, in blocks of bitmaps. Pairs within one component need no check,
    so a group of near copies of any size costs a linear number of pairs, and no link between components is lost.
 
 Hot posting lists are split by salt, classes keep copies out of the join, and nothing of the size of the
@@ -36,18 +36,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.operators.components import connected_components
-from spotweave.runtime import broadcast_if_small, stage
+from spotweave.runtime import arrow_rows, broadcast_if_small, stage
 
 N = 5
-CHUNK_DOCS, CHUNK_TOKENS, LEAST_LOCAL = 4096, 3_000_000, 3
+CHUNK_DOCS, CHUNK_TOKENS, LEAST_LOCAL = 4096, 2_000_000, 3
 MAX_COMBINED = 24
+WORD_SHARE = 50_000  # words of a share of 1 / WORD_SHARE of a chunk or more are common: at most as many in a chunk
 RARE, COMBINED, FREQUENT = 0, 1, 2
+SHORT = 8  # members of a list whose pairs are all tested at once
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= 200_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -59,70 +61,112 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def shingle_set(text: str | None, hashes: dict | None = None, n: int = N) -> np.ndarray:
-    """Sorted distinct shingle hashes (uint64) of a text; empty without words."""
-    hashes = WordHashes() if hashes is None else hashes
+def shingles(text: str | None, hashes: dict, n: int = N) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of a text, and the hashes of its shingles in order, both uint64; empty without words."""
     words = text.encode("utf-8", "replace").lower().split() if text else []
     if not words:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     if len(words) < n:
-        return np.array([xxhash.xxh3_64_intdigest(b"\0".join(words), seed=len(words))], np.uint64)
+        return np.zeros(0, np.uint64), np.array([xxhash.xxh3_64_intdigest(b"\0".join(words), seed=len(words))], np.uint64)
     w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     size = len(w) - n + 1
-    h = np.zeros(size, np.uint64)
-    for i in range(n):
+    h = w[:size] * _ODD[0]
+    for i in range(1, n):
         h += w[i : i + size] * _ODD[i % len(_ODD)]
-    return np.unique(mixed(h))
+    return w, mixed(h)
+
+
+def shingle_set(text: str | None, hashes: dict | None = None, n: int = N) -> np.ndarray:
+    """Sorted distinct shingle hashes (uint64) of a text; empty without words."""
+    return np.unique(shingles(text, WordHashes() if hashes is None else hashes, n)[1])
+
+
+def commonness(w: np.ndarray, size: int, words: np.ndarray, weight: np.ndarray, n: int = N) -> np.ndarray:
+    """For each shingle the sum of its words' weights: the logarithm of the count of a common word, 0 for others."""
+    if not len(words) or size < 1 or not len(w):
+        return np.zeros(size, np.int64)
+    at = np.minimum(np.searchsorted(words, w), len(words) - 1)
+    one = np.where(words[at] == w, weight[at], 0)
+    total = np.cumsum(np.concatenate([[0], one]))
+    return total[n:] - total[:-n]
 
 
 def class_id(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s)) - (1 << 63)
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """Four bits or more for each shingle, a power of two in all; the low bits of a shingle are its place."""
+    m = max(64, 1 << (4 * len(s) - 1).bit_length())
+    flags = np.zeros(m, np.uint8)
+    flags[(s & np.uint64(m - 1)).astype(np.int64)] = 1
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def may_link(x: bytes, y: bytes, n: int, m: int) -> bool:
+    """False only if the sets cannot link: each bit that differs needs a shingle that one set alone has."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) != len(b):
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        a = a[: len(a) // 2] | a[len(a) // 2 :]
+    shared = (n + m - int(np.bitwise_count(a ^ b).sum())) // 2
+    return 100 * shared >= 80 * (n + m - shared)
+
+
 def required(n: int, percent: int = 80) -> int:
     return -(-n * percent // 100)
 
 
 def profile(docs: DataFrame) -> DataFrame:
-    """Rows of documents (doc_id, sig, n) and, with token set, local counts of repeated shingles."""
+    """Rows of documents (doc_id, sig, n, bits) and, with token set, local counts of repeated shingles (n = 0) and of
+    common words (n = 1)."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, sets, seen, size = WordHashes(), [], set(), 0
+        hashes, sets, spoken, seen, size = WordHashes(), [], [], set(), 0
 
         def counted() -> pd.DataFrame:
-            token, count = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_counts=True)
-            keep = count >= LEAST_LOCAL
-            return pd.DataFrame({"doc_id": None, "sig": None, "n": None, "token": token[keep].view(np.int64), "cnt": count[keep]}).astype({"doc_id": "Int64", "sig": "Int64", "n": "Int64"})
+            parts = []
+            for kind, held in ((0, sets), (1, spoken)):
+                token, count = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
+                keep = count >= (max(LEAST_LOCAL, size // WORD_SHARE) if kind else LEAST_LOCAL)
+                parts.append(pd.DataFrame({"doc_id": None, "sig": None, "n": kind, "bits": None, "token": token[keep].view(np.int64), "cnt": count[keep]}))
+            return pd.concat(parts).astype({"doc_id": "Int64", "sig": "Int64", "n": "Int64", "bits": object})
 
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                s = shingle_set(text, hashes)
+                w, h = shingles(text, hashes)
+                s = np.unique(h)
                 sig = class_id(s) if len(s) else None
-                rows.append((None if pd.isna(doc_id) else int(doc_id), sig, len(s)))
+                rows.append((None if pd.isna(doc_id) else int(doc_id), sig, len(s), bitmap(s) if len(s) else None))
                 if sig is not None and sig not in seen:
                     seen.add(sig)
                     sets.append(s)
+                    spoken.append(w)
                     size += len(s)
                 if len(sets) >= CHUNK_DOCS or size >= CHUNK_TOKENS:
                     yield counted()
-                    sets, seen, size = [], set(), 0
-            out = pd.DataFrame(rows, columns=["doc_id", "sig", "n"]).astype({"doc_id": "Int64", "sig": "Int64", "n": "Int64"})
+                    sets, spoken, seen, size = [], [], set(), 0
+            out = pd.DataFrame(rows, columns=["doc_id", "sig", "n", "bits"]).astype({"doc_id": "Int64", "sig": "Int64", "n": "Int64"})
             yield out.assign(token=pd.array([None] * len(out), dtype="Int64"), cnt=pd.array([None] * len(out), dtype="Int64"))
         yield counted()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(scan, "doc_id long, sig long, n long, token long, cnt long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(scan, "doc_id long, sig long, n long, bits binary, token long, cnt long")
 
 
-def prefix_postings(s: np.ndarray, frequent: np.ndarray, weight: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
-    """Posting keys of one set by kind; frequent (sorted) and weight are the frequent shingles and their counts."""
+def prefix_postings(s: np.ndarray, frequent: np.ndarray, weight: np.ndarray, place: np.ndarray | None = None) -> tuple[list[np.ndarray], list[int]]:
+    """Posting keys of one set by kind; frequent (sorted) and weight are the frequent shingles and their counts;
+    place, an integer for each shingle, orders the rare ones (by hash without it)."""
     n = len(s)
     if n < 2:
         return [], []
     at = np.searchsorted(frequent, s)
     common = (frequent[np.minimum(at, len(frequent) - 1)] == s) if len(frequent) else np.zeros(n, bool)
     length = n - required(n) + 2
-    rare = s[~common][:length]
+    rare = s[~common] if place is None else s[~common][np.argsort(place[~common], kind="stable")]
+    rare = rare[:length]
+    if len(rare) == length:  # a shared token among the first length - 1 is there, and rare
+        return [mixed(rare[:-1] + np.uint64(RARE + 1))], [RARE]
     room = length - len(rare)
     keys, kinds = [mixed(rare + np.uint64(RARE + 1))], [RARE]
     if room > 0 and common.any():
@@ -137,86 +181,111 @@ def prefix_postings(s: np.ndarray, frequent: np.ndarray, weight: np.ndarray) ->
     return keys, kinds
 
 
-def postings(docs: DataFrame, frequent: list[tuple[int, int]]) -> DataFrame:
-    """(key, kind, sig, n) of every distinct set of a task."""
-    order = sorted((t + (1 << 64) if t < 0 else t, c) for t, c in frequent)
-    held = docs.sparkSession.sparkContext.broadcast((np.array([t for t, _ in order], np.uint64), np.array([c for _, c in order], np.int64)))
+def postings(docs: DataFrame, frequent: list[tuple[int, int]], common: list[tuple[int, int]]) -> DataFrame:
+    """(key, sig, m) of every distinct set of a task; m is 4 * n + kind."""
+    def table(rows: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+        order = sorted((t % (1 << 64), c) for t, c in rows)
+        return np.array([t for t, _ in order], np.uint64), np.array([c for _, c in order], np.int64)
+
+    words, count = table(common)
+    held = docs.sparkSession.sparkContext.broadcast((*table(frequent), words, np.array([int(c).bit_length() for c in count], np.int64)))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, weight = held.value
+        tokens, weight, words, logs = held.value
         hashes, seen = WordHashes(), set()
         for batch in batches:
-            keys, kinds, sigs, sizes = [], [], [], []
+            keys, one, held_rows = [], [], 0
+
+            def frame() -> pd.DataFrame:
+                sigs, m, times = (np.array(x, np.int64) for x in zip(*one, strict=True))
+                return pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "sig": np.repeat(sigs, times), "m": np.repeat(m, times)})
+
             for text in batch["text"]:
-                s = shingle_set(text, hashes)
+                w, h = shingles(text, hashes)
+                s, at = np.unique(h, return_index=True)
                 if len(s) < 2 or (sig := class_id(s)) in seen:
                     continue
                 seen.add(sig)
-                for k, kind in zip(*prefix_postings(s, tokens, weight), strict=True):
+                for k, kind in zip(*prefix_postings(s, tokens, weight, commonness(w, len(h), words, logs)[at]), strict=True):
                     keys.append(k)
-                    kinds.append(np.full(len(k), kind, np.int8))
-                    sigs.append(np.full(len(k), sig, np.int64))
-                    sizes.append(np.full(len(k), len(s), np.int32))
+                    one.append((sig, 4 * len(s) + kind, len(k)))
+                    held_rows += len(k)
+                if held_rows > 200_000:
+                    yield frame()
+                    keys, one, held_rows = [], [], 0
             if keys:
-                yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "kind": np.concatenate(kinds), "sig": np.concatenate(sigs), "n": np.concatenate(sizes)})
+                yield frame()
 
-    return docs.select("text").mapInPandas(scan, "key long, kind byte, sig long, n int")
+    return docs.select("text").mapInPandas(scan, "key long, sig long, m long")
 
 
 def scan_lists(rows: DataFrame, salts: int, turn: int = 0, reach: int = 8) -> DataFrame:
-    """Candidate pairs and live postings from posting rows (key, kind, sig, n, comp).
+    """Candidate pairs and live postings from posting rows (key, sig, m) and, after turn 0, comp.
 
-    In turn 0 lists are sorted by size in a task (those of frequent tokens by salt); each member is paired with
-    the one before it and with the first one whose size still fits. In later turns lists are sorted by a hash of the
+    In turn 0 lists are sorted by size in a task (those of frequent tokens by salt); short lists give all their pairs
+    and are settled, in others each member is paired with the one before it and with the first one whose size
+    still fits. In later turns lists are sorted by a hash of the
     member and the turn, and members of different components that stand within `reach` are paired. Rows with
-    b null say that the list (key) has two members or more."""
+    b null are the postings of lists that are not settled."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.when(F.col("kind") == RARE, 0).otherwise(F.pmod(F.xxhash64("sig", F.lit(turn)), F.lit(salts))).cast("short").alias("salt")
+    salt = F.when(F.col("m") % 4 == RARE, 0).otherwise(F.pmod(F.xxhash64("sig", F.lit(turn)), F.lit(salts)))
+    place = F.xxhash64("sig", F.lit(turn)) if turn else F.col("m")
+
+    def pairs_of(a, b, m, comp, sig) -> pd.DataFrame:
+        n, kind = m // 4, m % 4
+        ok = (a != b) & (comp[a] != comp[b]) & (5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b])) & ~((kind[a] == FREQUENT) & (kind[b] == FREQUENT))
+        x, y = sig[a[ok]], sig[b[ok]]
+        pairs = pd.DataFrame({"key": 0, "a": np.minimum(x, y), "m": 0, "b": np.maximum(x, y)}).drop_duplicates()
+        return pairs.astype({"b": "Int64"})
+
+    def done(p: pd.DataFrame) -> pd.DataFrame:
+        key, sig, m = (p[c].to_numpy() for c in ("key", "sig", "m"))
+        comp = p["comp"].to_numpy() if turn else sig
+        kind = m % 4
+        new = np.ones(len(p), bool)
+        new[1:] = key[1:] != key[:-1]
+        if turn:
+            group = np.cumsum(new) - 1
+            a = np.concatenate([np.arange(d, len(p)) for d in range(1, reach + 1)])
+            b = np.concatenate([np.arange(0, max(0, len(p) - d)) for d in range(1, reach + 1)])
+            fits = group[a] == group[b]
+            return pairs_of(a[fits], b[fits], m, comp, sig)
+        bounds = np.append(np.flatnonzero(new), len(p))
+        size = np.repeat(np.diff(bounds), np.diff(bounds))
+        short = (size <= SHORT) & (kind == RARE)  # all pairs of a short list at once, which settles it
+        group = np.cumsum(new) - 1
+        a = np.concatenate([np.arange(d, len(p)) for d in range(1, SHORT)])
+        b = np.concatenate([np.arange(0, max(0, len(p) - d)) for d in range(1, SHORT)])
+        fits = short[a] & (group[a] == group[b])
+        whole = pairs_of(a[fits], b[fits], m, comp, sig)
+        key, sig, m, comp, new = key[~short], sig[~short], m[~short], comp[~short], new[~short]
+        group, first, n = np.cumsum(new) - 1, np.flatnonzero(new), m // 4
+        live = pd.DataFrame({"key": key, "a": sig, "m": m, "b": pd.array([pd.NA], dtype="Int64").repeat(len(key))})
+        at = np.flatnonzero(~new)
+        hub = first[group[at]].copy()
+        for i in np.flatnonzero(5 * n[hub] < 4 * n[at]):  # the first is too small: take the first that fits
+            g = first[group[at[i]]]
+            hub[i] = g + np.searchsorted(5 * n[g : at[i]], 4 * int(n[at[i]]))
+        return pd.concat([whole, live, pairs_of(np.concatenate([at, at]), np.concatenate([at - 1, hub]), m, comp, sig)])
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         left: pd.DataFrame | None = None
-
-        def done(p: pd.DataFrame) -> pd.DataFrame:
-            key, salt_, sig, n, kind, comp = (p[c].to_numpy() for c in ("key", "salt", "sig", "n", "kind", "comp"))
-            if not len(p):
-                return pd.DataFrame({c: pd.Series(dtype="Int64") for c in ("key", "kind", "a", "n", "b")})
-            new = np.concatenate([[True], (key[1:] != key[:-1]) | (salt_[1:] != salt_[:-1])])
-            group = np.cumsum(new) - 1
-            first = np.flatnonzero(new)
-            size = np.diff(np.append(first, len(p)))
-            here = (size[group] > 1) | (kind != RARE)
-            live = pd.DataFrame({"key": key[here], "kind": kind[here], "a": sig[here], "n": n[here], "b": pd.array([None] * int(here.sum()), dtype="Int64")})
-            at = np.flatnonzero(~new)
-            if turn:
-                a = np.concatenate([np.arange(d, len(p)) for d in range(1, reach + 1)])
-                b = np.concatenate([np.arange(0, max(0, len(p) - d)) for d in range(1, reach + 1)])
-                fits = group[a] == group[b]
-                return paired(a[fits], b[fits], kind, comp, sig, n)
-            hub = first[group[at]].copy()
-            late = 5 * n[hub].astype(np.int64) < 4 * n[at]  # the first is too small: take the first that fits
-            for i in np.flatnonzero(late):
-                g = first[group[at[i]]]
-                hub[i] = g + np.searchsorted(5 * n[g : at[i]].astype(np.int64), 4 * int(n[at[i]]))
-            return pd.concat([live.astype("Int64"), paired(np.concatenate([at, at]), np.concatenate([at - 1, hub]), kind, comp, sig, n)])
-
-        def paired(a, b, kind, comp, sig, n) -> pd.DataFrame:
-            ok = (a != b) & (comp[a] != comp[b]) & (5 * np.minimum(n[a], n[b]).astype(np.int64) >= 4 * np.maximum(n[a], n[b])) & ~((kind[a] == FREQUENT) & (kind[b] == FREQUENT))
-            x, y = sig[a[ok]], sig[b[ok]]
-            pairs = pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
-            pairs = pairs.assign(key=pd.array([None] * len(pairs), dtype="Int64"), kind=pd.array([None] * len(pairs), dtype="Int64"), n=pd.array([None] * len(pairs), dtype="Int64"))
-            return pairs[["key", "kind", "a", "n", "b"]].astype("Int64")
-
         for batch in batches:  # the last list of a batch may go on in the next
             p = batch if left is None else pd.concat([left, batch], ignore_index=True)
-            cut = np.flatnonzero((p["key"] != p["key"].iloc[-1]) | (p["salt"] != p["salt"].iloc[-1])) if len(p) else np.zeros(0, int)
-            end = int(cut[-1]) + 1 if len(cut) else 0
-            yield done(p.iloc[:end])
+            if not len(p):
+                continue
+            other = np.flatnonzero(p["key"].to_numpy() != p["key"].iloc[-1])
+            end = int(other[-1]) + 1 if len(other) else 0
+            if end == 0 and len(p) > 200_000:  # one long list: what is left stands for it
+                end = len(p) - reach
+            if end:
+                yield done(p.iloc[:end])
             left = p.iloc[end:]
-        if left is not None:
+        if left is not None and len(left):
             yield done(left)
 
-    dealt = rows.withColumn("salt", salt).repartition(parts, "key", "salt").withColumn("rank", F.xxhash64("sig", F.lit(turn)) if turn else F.col("n").cast("long")).sortWithinPartitions("key", "salt", "rank", "sig")
-    return dealt.select("key", "salt", "kind", "sig", "n", "comp").mapInPandas(scan, "key long, kind long, a long, n long, b long")
+    dealt = rows.repartition(parts, "key", salt).sortWithinPartitions("key", salt, place, "sig")
+    return dealt.select("key", "sig", "m", *(["comp"] if turn else [])).mapInPandas(scan, "key long, a long, m long, b long")
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -244,25 +313,72 @@ def similar(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=bool)
 
 
-def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, max_broadcast: int = 1_000_000, max_rounds: int = 6) -> tuple[DataFrame, DataFrame, DataFrame]:
+def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, max_broadcast: int = 1_000_000, max_rounds: int = 3) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(membership: doc_id, sig, n), (classes: sig, doc_id) and (nodes: sig, comp), comp the smallest sig that a class reaches."""
-    seen = stage(profile(docs), "join-profile")
+    spark = docs.sparkSession
+    with arrow_rows(spark, 2000):
+        seen = stage(profile(docs), "join-profile")
     members = seen.where("token is null").select("doc_id", "sig", "n")
     total = members.count()
-    counts = seen.where("token is not null").groupBy("token").agg(F.sum("cnt").alias("c"))
-    frequent = [(r.token, r.c) for r in counts.where(F.col("c") >= max(least, total // share)).collect()]
-    classes = stage(members.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id")), "join-classes")
+    counts = seen.where("token is not null").groupBy("n", "token").agg(F.sum("cnt").alias("c"))
+    frequent = [(r.token, r.c) for r in counts.where((F.col("n") == 0) & (F.col("c") >= max(least, total // share))).collect()]
+    said = members.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    common = [(r.token, r.c) for r in counts.where((F.col("n") == 1) & (F.col("c") >= max(least, said // (2 * WORD_SHARE)))).collect()]  # at most 2 * WORD_SHARE
+    classes = stage(members.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "join-classes")
+    maps = seen.where("sig is not null").select("doc_id", "sig", "bits").join(classes.select("doc_id", "sig", "n"), ["doc_id", "sig"]).select("sig", "n", "bits")
 
     salts = max(16, total // 100_000)
-    first = stage(scan_lists(postings(docs, frequent).withColumn("comp", F.col("sig")), salts), "join-lists")
-    live = first.where("b is null").select("key", F.col("kind").cast("byte").alias("kind"), F.col("a").alias("sig"), F.col("n").cast("int").alias("n"))
+    first = stage(scan_lists(postings(docs, frequent, common), salts), "join-lists")
+    live = first.where("b is null").select("key", F.col("a").alias("sig"), "m")
     pairs = stage(first.where("b is not null").select("a", "b").distinct(), "join-pairs")
-    wanted = stage(live.select("sig").distinct().join(classes.where("doc_id is not null"), "sig"), "join-wanted")
-    sets = stage(class_sets(docs, broadcast_if_small(wanted, max_broadcast)), "join-sets")
+    maps = stage(maps.join(broadcast_if_small(stage(live.select("sig").union(pairs.select("a")).union(pairs.select("b")).distinct(), "join-met"), max_broadcast), "sig", "left_semi").dropDuplicates(["sig"]), "join-maps")
+    sets: DataFrame | None = None
+
+    def may(x: pd.Series, y: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([may_link(*r) for r in zip(x, y, n, m, strict=True)], dtype=bool)
 
     def verified(p: DataFrame) -> DataFrame:
-        x = p.join(sets.select(F.col("sig").alias("a"), F.col("words").alias("s")), "a").join(sets.select(F.col("sig").alias("b"), F.col("words").alias("t")), "b")
-        return stage(x.where(F.pandas_udf(similar, "boolean")("s", "t")).select("a", "b"), "join-links")
+        """The pairs that link: bitmaps drop most others, shingle sets decide."""
+        nonlocal sets
+        of = lambda c: maps.select(F.col("sig").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+        left = p.join(of("a"), "a").join(of("b"), "b").where(F.pandas_udf(may, "boolean")("bits_a", "bits_b", "n_a", "n_b"))
+        with arrow_rows(spark, 2000):
+            left = stage(left.select("a", "b"), "join-likely")
+        wanted = left.select(F.col("a").alias("sig")).union(left.select("b")).distinct()
+        if sets is not None:
+            wanted = wanted.join(sets.select("sig"), "sig", "left_anti")
+        wanted = stage(wanted.join(classes.select("sig", "doc_id").where("doc_id is not null"), "sig"), "join-wanted")
+        if not wanted.isEmpty():
+            with arrow_rows(spark, 500):
+                new = stage(class_sets(docs, broadcast_if_small(wanted, max_broadcast)), "join-sets")
+            sets = new if sets is None else sets.union(new)
+        if sets is None:
+            return left
+        x = left.join(sets.select(F.col("sig").alias("a"), F.col("words").alias("s")), "a").join(sets.select(F.col("sig").alias("b"), F.col("words").alias("t")), "b")
+        with arrow_rows(spark, 500):
+            return stage(x.where(F.pandas_udf(similar, "boolean")("s", "t")).select("a", "b"), "join-links")
+
+    def left_over(still: DataFrame) -> DataFrame:
+        """Pairs that the bitmaps allow between all members of components that still share a list. The larger
+        component of two stands in blocks of about 64 bitmaps, which each member of the other meets."""
+        heads = still.groupBy("key", "comp").agg(F.min(F.expr("m div 4")).alias("lo"), F.max(F.expr("m div 4")).alias("hi"), F.min(F.col("m") % 4 == FREQUENT).alias("only_low"))
+        other = heads.select("key", F.col("comp").alias("d"), F.col("lo").alias("lo_d"), F.col("hi").alias("hi_d"), F.col("only_low").alias("low_d"))
+        fits = (F.col("comp") < F.col("d")) & (5 * F.col("hi_d") >= 4 * F.col("lo")) & (5 * F.col("hi") >= 4 * F.col("lo_d")) & ~(F.col("only_low") & F.col("low_d"))
+        both = stage(heads.join(other, "key").where(fits).select(F.col("comp").alias("c"), "d").distinct(), "join-open-pairs")
+        seen_ids = both.select(F.col("c").alias("comp")).union(both.select("d")).distinct()
+        of_node = stage(maps.join(broadcast_if_small(nodes, max_broadcast), "sig", "left").withColumn("comp", F.coalesce("comp", "sig")).join(broadcast_if_small(stage(seen_ids, "join-open-ids"), max_broadcast), "comp", "left_semi"), "join-open-maps")
+        counts = of_node.groupBy("comp").agg(F.count("*").alias("size"))
+        sized = both.join(counts.withColumnRenamed("comp", "c").withColumnRenamed("size", "s_c"), "c").join(counts.withColumnRenamed("comp", "d").withColumnRenamed("size", "s_d"), "d")
+        turned = sized.select(F.when(F.col("s_c") >= F.col("s_d"), F.col("c")).otherwise(F.col("d")).alias("big"), F.when(F.col("s_c") >= F.col("s_d"), F.col("d")).otherwise(F.col("c")).alias("small"))
+        block = F.pmod(F.xxhash64("sig", F.lit("block")), F.ceil(F.col("size") / 64)).alias("block")
+        blocks = of_node.join(counts, "comp").groupBy(F.col("comp").alias("big"), block).agg(F.collect_list("sig").alias("sigs"), F.collect_list("n").alias("ns"), F.collect_list("bits").alias("maps"))
+        met = turned.join(of_node.select(F.col("comp").alias("small"), F.col("sig").alias("y"), F.col("n").alias("n_y"), F.col("bits").alias("bits_y")), "small")
+
+        def near(sigs: pd.Series, ns: pd.Series, maps_: pd.Series, n_y: pd.Series, bits_y: pd.Series) -> pd.Series:
+            return pd.Series([[int(s) for s, n, x in zip(*row[:3], strict=True) if 5 * min(n, row[3]) >= 4 * max(n, row[3]) and may_link(x, row[4], int(n), int(row[3]))] for row in zip(sigs, ns, maps_, n_y, bits_y, strict=True)])
+
+        found = met.join(blocks, "big").select("y", F.pandas_udf(near, "array<long>")("sigs", "ns", "maps", "n_y", "bits_y").alias("xs")).where(F.size("xs") > 0)
+        return found.select("y", F.explode("xs").alias("x")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
     def merged(nodes: DataFrame, links: DataFrame) -> DataFrame:
         """nodes (sig, comp) with the components that links join made one."""
@@ -276,17 +392,17 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, ma
     tested, links, tested_last = pairs, verified(pairs), 0
     nodes = stage(connected_components(links, "a", "b").select(F.col("node").alias("sig"), F.col("component").alias("comp")), "join-nodes")
     for turn in range(1, max_rounds + 2):
-        labelled = live.join(nodes, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
-        open_lists = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("kind").alias("top")).where((F.col("lo") != F.col("hi")) & (F.col("top") != FREQUENT)).select("key")
+        labelled = live.join(broadcast_if_small(nodes, max_broadcast), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
+        open_lists = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.col("m") % 4).alias("top")).where((F.col("lo") != F.col("hi")) & (F.col("top") != FREQUENT)).select("key")
+        open_lists = broadcast_if_small(stage(open_lists, "join-keys"), max_broadcast)
         still = stage(labelled.join(open_lists, "key", "left_semi"), "join-open")
-        live = still.select("key", "kind", "sig", "n")
+        live = still.select("key", "sig", "m")
         final = turn > max_rounds or links.count() * 100 <= tested_last  # few links among the last pairs: test all that are left
         if not final:
-            fresh = scan_lists(still, salts, turn).where("b is not null").select("a", "b").distinct()
+            fresh = scan_lists(still, salts, turn, 8 if turn == 1 else 32).where("b is not null").select("a", "b").distinct()
         else:
-            x = still.where(F.col("kind") != FREQUENT).select("key", F.col("sig").alias("x"), F.col("n").alias("m"), F.col("comp").alias("d"))
-            fits = (F.col("sig") != F.col("x")) & (F.col("comp") != F.col("d")) & (5 * F.least("n", "m") >= 4 * F.greatest("n", "m"))
-            fresh = still.join(x, "key").where(fits).select(F.least("sig", "x").alias("a"), F.greatest("sig", "x").alias("b")).distinct()
+            with arrow_rows(spark, 200):
+                fresh = stage(left_over(still), "join-left-over")
         fresh = stage(fresh.join(tested, ["a", "b"], "left_anti"), "join-pairs")
         links, tested, tested_last = verified(fresh), tested.union(fresh), fresh.count()
         if not links.isEmpty():
