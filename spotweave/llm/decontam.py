@@ -184,7 +184,7 @@ def contamination(spark: SparkSession, benchmark: DataFrame, text: Column, *, wi
                     items[i] |= f
                 if only is None:
                     del query
-                    b._value = None  # one block in memory at a time; read again from the executor's file
+                    b.__dict__.pop("_value", None)  # one block in memory at a time; read again from the executor's file
             return [(len(d), int(f.sum()), len(i), hashlib.sha256(",".join(sorted(i)).encode()).hexdigest(), *longest_run(f)) for d, f, i in zip(documents, flags, items, strict=True)]
 
         for texts in batches:
