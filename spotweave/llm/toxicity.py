@@ -99,7 +99,24 @@ def _risk_gradient(z_p: np.ndarray, z_u: np.ndarray, prior: float, floor: float)
     return g_pos_p + g_neg_p, g_neg_u, positive + max(0.0, negative)
 
 
-def fit_nnpu(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, max_features: int = 4096, steps: int = 300, rate: float = 0.05, decay: float = 1e-4, min_lift: float = 3.0, floor: float = 0.0) -> ToxicityModel:
+def distinct_documents(docs: list[np.ndarray], bands: int = 4, rows: int = 3) -> list[np.ndarray]:
+    """docs without those that share a band of minimum hashes with an earlier one: copies are no evidence of their own."""
+    odd = np.array([2 * i + 1 for i in range(1, bands * rows + 1)], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    seen: set[tuple] = set()
+    out = []
+    for d in docs:
+        if not len(d):
+            continue
+        h = (d.astype(np.uint64)[:, None] + np.uint64(1)) * odd[None, :]
+        least = ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)).min(axis=0)
+        own = {(b, *least[b * rows : (b + 1) * rows].tolist()) for b in range(bands)}
+        if not own & seen:
+            out.append(d)
+        seen |= own
+    return out
+
+
+def fit_nnpu(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, max_features: int = 4096, steps: int = 300, rate: float = 0.05, decay: float = 1e-4, min_posterior: float = 0.6, min_share: float = 0.02, floor: float = 0.0) -> ToxicityModel:
     """Full-batch Adam on the non-negative risk over the features that tell positives from unlabelled best."""
     if not positives:
         return ToxicityModel({}, -np.inf, prior)
@@ -108,11 +125,12 @@ def fit_nnpu(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: f
     n_p, n_u = len(positives), max(1, len(unlabelled))
     c_p, c_u = rate_of(positives), rate_of(unlabelled)
     p, u = c_p / n_p, c_u / n_u
-    pooled = (c_p + c_u) / (n_p + n_u)
-    z = (p - u) / np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / n_p + 1 / n_u))
-    z[(c_p < 3) | (p < min_lift * u)] = 0  # evidence of toxicity only; too rare or too common features go
-    kept = np.sort(np.argsort(-np.abs(z), kind="stable")[:max_features])
-    kept = kept[z[kept] > np.sqrt(2 * np.log(max(2, np.count_nonzero(c_p >= 3)))) + 1]  # beyond the largest of as many chance values
+    chance = np.maximum((c_p + c_u) / (n_p + n_u) * n_p, 1e-9)  # positives that would have a feature without a link
+    evidence = 2 * (c_p * np.log(np.maximum(c_p, 1e-9) / chance) - (c_p - chance))
+    evidence[(c_p < max(3, min_share * n_p)) | (prior * p < min_posterior * u)] = 0  # too rare, or more clean documents have it than a classifier may stand
+    tested = max(2, np.count_nonzero(c_p >= 3))
+    kept = np.sort(np.argsort(-evidence, kind="stable")[:max_features])
+    kept = kept[evidence[kept] > 2 * np.log(tested) + 2]  # beyond the largest of as many chance values
     place = np.full(size, -1, np.int64)
     place[kept] = np.arange(len(kept))
 
@@ -167,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_positives: int = 2000, max_un
     )
     rows.sort(key=lambda r: (r.o, bytes(r.f)))
     take = lambda key: [np.frombuffer(r.f, np.int32) for r in rows if r[key]]
-    return fit_nnpu(take("positive"), take("drawn"), prior)
+    return fit_nnpu(distinct_documents(take("positive")), distinct_documents(take("drawn")), prior)
 
 
 def toxicity_score(model: ToxicityModel, text: Column) -> Column:
