@@ -84,6 +84,13 @@ def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def limit_batches(spark: SparkSession, n: int = 2000) -> None:
+    """Arrow batches of at most n rows from now on in this session: rows here are whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= n:
+        spark.conf.set(key, str(n))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast when a count shows at most max_rows rows; otherwise leave the join to shuffle.
     df should be staged, as it is counted first."""
