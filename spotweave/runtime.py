@@ -91,6 +91,20 @@ def limit_batches(spark: SparkSession, n: int = 2000) -> None:
         spark.conf.set(key, str(n))
 
 
+def release_worker_memory() -> None:
+    """At the end of a Python task: give freed memory back, as the worker stays for later tasks."""
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast when a count shows at most max_rows rows; otherwise leave the join to shuffle.
     df should be staged, as it is counted first."""
