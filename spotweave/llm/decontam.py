@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spotweave.runtime import limit_batches
+
 _TABLE = bytes((c + 32 if 0x41 <= c <= 0x5A else c) if (0x30 <= c <= 0x39 or 0x41 <= c <= 0x5A or 0x61 <= c <= 0x7A or c >= 0x80) else 0x20 for c in range(256))
 RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, longest long, longest_at long"
 
@@ -167,6 +169,7 @@ def query_blocks(spark: SparkSession, benchmark: DataFrame, window: int, block_c
 
 def contamination(spark: SparkSession, benchmark: DataFrame, text: Column, *, window: int = 10, shard_words: int = 1_000_000, block_chars: int = 20_000_000) -> Column:
     """struct of RESULT for a text column."""
+    limit_batches(spark)
     blocks = query_blocks(spark, benchmark, window, block_chars)
 
     @F.pandas_udf(RESULT)

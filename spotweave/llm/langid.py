@@ -21,12 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.llm.toxicity import fold
+from spotweave.runtime import limit_batches
 
 BLOCK = 4096
 
 
 def learn_dictionaries(docs: DataFrame, *, docs_per_language: int = 400, excerpt: int = 1000, dictionary_bytes: int = 96_000, folds: int = 4, held_fold: int = 2) -> dict[str, bytes]:
     """Raw dictionary content by language, from about docs_per_language excerpts of the training fold."""
+    limit_batches(docs.sparkSession)
     train = docs.select("doc_id", "text", "lang").where((fold(F.col("doc_id"), folds) != held_fold) & F.col("lang").isNotNull() & (F.length("text") > 0))
     counts = {r.lang: r.n for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:

@@ -36,10 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.operators.components import connected_components
-from spotweave.runtime import arrow_rows, broadcast_if_small, stage
+from spotweave.runtime import arrow_rows, broadcast_if_small, limit_batches, release_worker_memory, stage
 
 N = 5
-CHUNK_DOCS, CHUNK_TOKENS, LEAST_LOCAL = 4096, 2_000_000, 3
+CHUNK_DOCS, CHUNK_TOKENS, LEAST_LOCAL = 4096, 1_000_000, 3
 MAX_COMBINED = 24
 WORD_SHARE = 50_000  # words of a share of 1 / WORD_SHARE of a chunk or more are common: at most as many in a chunk
 RARE, COMBINED, FREQUENT = 0, 1, 2
@@ -49,7 +49,7 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 200_000:
+        if len(self) >= 100_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -150,6 +150,8 @@ def profile(docs: DataFrame) -> DataFrame:
             out = pd.DataFrame(rows, columns=["doc_id", "sig", "n", "bits"]).astype({"doc_id": "Int64", "sig": "Int64", "n": "Int64"})
             yield out.assign(token=pd.array([None] * len(out), dtype="Int64"), cnt=pd.array([None] * len(out), dtype="Int64"))
         yield counted()
+        del hashes, sets, spoken, seen
+        release_worker_memory()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(scan, "doc_id long, sig long, n long, bits binary, token long, cnt long")
 
@@ -215,6 +217,8 @@ def postings(docs: DataFrame, frequent: list[tuple[int, int]], common: list[tupl
                     keys, one, held_rows = [], [], 0
             if keys:
                 yield frame()
+        del hashes, seen
+        release_worker_memory()
 
     return docs.select("text").mapInPandas(scan, "key long, sig long, m long")
 
@@ -270,10 +274,20 @@ def scan_lists(rows: DataFrame, salts: int, turn: int = 0, reach: int = 8) -> Da
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         left: pd.DataFrame | None = None
-        for batch in batches:  # the last list of a batch may go on in the next
+
+        def gathered() -> Iterator[pd.DataFrame]:
+            held, rows = [], 0
+            for batch in batches:
+                held.append(batch)
+                rows += len(batch)
+                if rows >= 50_000:
+                    yield pd.concat(held, ignore_index=True)
+                    held, rows = [], 0
+            if rows:
+                yield pd.concat(held, ignore_index=True)
+
+        for batch in gathered():  # the last list of a batch may go on in the next
             p = batch if left is None else pd.concat([left, batch], ignore_index=True)
-            if not len(p):
-                continue
             other = np.flatnonzero(p["key"].to_numpy() != p["key"].iloc[-1])
             end = int(other[-1]) + 1 if len(other) else 0
             if end == 0 and len(p) > 200_000:  # one long list: what is left stands for it
@@ -283,6 +297,7 @@ def scan_lists(rows: DataFrame, salts: int, turn: int = 0, reach: int = 8) -> Da
             left = p.iloc[end:]
         if left is not None and len(left):
             yield done(left)
+        release_worker_memory()
 
     dealt = rows.repartition(parts, "key", salt).sortWithinPartitions("key", salt, place, "sig")
     return dealt.select("key", "sig", "m", *(["comp"] if turn else [])).mapInPandas(scan, "key long, a long, m long, b long")
@@ -316,8 +331,8 @@ def similar(a: pd.Series, b: pd.Series) -> pd.Series:
 def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, max_broadcast: int = 1_000_000, max_rounds: int = 3) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(membership: doc_id, sig, n), (classes: sig, doc_id) and (nodes: sig, comp), comp the smallest sig that a class reaches."""
     spark = docs.sparkSession
-    with arrow_rows(spark, 2000):
-        seen = stage(profile(docs), "join-profile")
+    limit_batches(spark)
+    seen = stage(profile(docs), "join-profile")
     members = seen.where("token is null").select("doc_id", "sig", "n")
     total = members.count()
     counts = seen.where("token is not null").groupBy("n", "token").agg(F.sum("cnt").alias("c"))
@@ -342,8 +357,7 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, ma
         nonlocal sets
         of = lambda c: maps.select(F.col("sig").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
         left = p.join(of("a"), "a").join(of("b"), "b").where(F.pandas_udf(may, "boolean")("bits_a", "bits_b", "n_a", "n_b"))
-        with arrow_rows(spark, 2000):
-            left = stage(left.select("a", "b"), "join-likely")
+        left = stage(left.select("a", "b"), "join-likely")
         wanted = left.select(F.col("a").alias("sig")).union(left.select("b")).distinct()
         if sets is not None:
             wanted = wanted.join(sets.select("sig"), "sig", "left_anti")

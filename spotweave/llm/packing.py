@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from spotweave.runtime import limit_batches
+
 CAPACITY = 2048
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 LONG_RUN = re.compile(r"\S{4000}")
@@ -184,4 +186,5 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, end_id: int = 1, cap
         packer.flush()
         yield frame()
 
+    limit_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInPandas(pack, SCHEMA)

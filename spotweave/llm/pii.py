@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spotweave.runtime import limit_batches
+
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url_login", "account")
 RESULT = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
@@ -177,4 +179,5 @@ def redacted(text: Column) -> Column:
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """doc_id and RESULT for every row of docs."""
+    limit_batches(docs.sparkSession)
     return docs.select("doc_id", personal_data(F.col("text")).alias("p")).select("doc_id", "p.*")

@@ -25,9 +25,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spotweave.runtime import limit_batches, release_worker_memory
+
 BITS = 20
 WORD = re.compile(r"[^\W\d_]+")
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 
 
 def word_features(word: str) -> list[int]:
@@ -160,6 +162,7 @@ def fold(doc_id: Column, parts: int) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, *, max_positives: int = 2000, max_unlabelled: int = 8000, prior: float | None = None, folds: int = 5, held_fold: int = 0) -> ToxicityModel:
     """Train from the label rows outside the held-out fold and from a bounded draw of unlabelled text."""
+    limit_batches(docs.sparkSession)
     train = labels.where(fold(F.col("doc_id"), folds) != held_fold).where("doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n, n_pos = train.agg(F.count("toxic"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n_pos:
@@ -175,6 +178,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_positives: int = 2000, max_un
         cache = _Features()
         for texts in batches:
             yield pd.Series([document_features(t, cache).tobytes() for t in texts], dtype=object)
+        del cache
+        release_worker_memory()
 
     rows = (
         docs.select("doc_id", "text", F.coalesce(drawn, F.lit(False)).alias("drawn"))
@@ -196,6 +201,8 @@ def toxicity_score(model: ToxicityModel, text: Column) -> Column:
         one = model.scorer()
         for texts in batches:
             yield pd.Series([one(t) for t in texts], dtype="float64")
+        del one
+        release_worker_memory()
 
     return score(text)
 

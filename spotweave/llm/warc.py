@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spotweave.runtime import limit_batches
+
 DATE = "2024-01-01T00:00:00Z"  # pages have no date of their own
 SCHEMA = "page_id long, record_type string, record_id string, refers_to string, target_uri string, content_type string, content_length long, block_digest string, payload_digest string, source_headers string, block string"
 
@@ -138,6 +140,7 @@ def derive_records(pages: DataFrame) -> DataFrame:
                     rows, size = [], 0
             yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64"})
 
+    limit_batches(pages.sparkSession)
     return pages.select(F.col("page_id").cast("long"), "url", "html").mapInPandas(build, SCHEMA)
 
 
