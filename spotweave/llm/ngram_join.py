@@ -7,7 +7,8 @@ A document's set is its distinct five-word shingles (as 64-bit hashes); two docu
    chunks, so that every shingle in at least 1 / 1000 of all documents is known as frequent.
 2. `postings`: rare shingles come first (those with the rarest words before others), frequent ones last. A set of n shingles that must share
    r = ceil(0.8 n) has the prefix of n - r + 2 shingles; two linked sets share at least two there. If a
-   shared one is rare, the single-token index of rare tokens brings them together; otherwise the
+   shared one is rare, the single-token index of rare tokens brings them together (a prefix of rare ones alone is
+   extended to n - r + 4, so that four must be shared before a pair of components is looked at in the end); otherwise the
    index of 2-token combinations of frequent tokens does. A set with very many frequent tokens in its prefix is indexed
    by single frequent tokens instead, which then meet every other set that has the token.
 3. Rounds: in each posting list, sets of different components are paired in a star and a chain (a linear
@@ -42,7 +43,8 @@ N = 5
 CHUNK_DOCS, CHUNK_TOKENS, LEAST_LOCAL = 4096, 1_000_000, 3
 MAX_COMBINED = 24
 WORD_SHARE = 50_000  # words of a share of 1 / WORD_SHARE of a chunk or more are common: at most as many in a chunk
-RARE, COMBINED, FREQUENT = 0, 1, 2
+RARE, COMBINED, FREQUENT, MIXED = 0, 1, 2, 4  # FREQUENT + 1: meets all others; MIXED: rare, of a prefix that is not all rare
+SHARED = 4  # rare tokens that two linked sets share where the prefix of one is all rare
 SHORT = 8  # members of a list whose pairs are all tested at once
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -164,13 +166,13 @@ def prefix_postings(s: np.ndarray, frequent: np.ndarray, weight: np.ndarray, pla
         return [], []
     at = np.searchsorted(frequent, s)
     common = (frequent[np.minimum(at, len(frequent) - 1)] == s) if len(frequent) else np.zeros(n, bool)
-    length = n - required(n) + 2
+    length = n - required(n) + SHARED
     rare = s[~common] if place is None else s[~common][np.argsort(place[~common], kind="stable")]
     rare = rare[:length]
-    if len(rare) == length:  # a shared token among the first length - 1 is there, and rare
-        return [mixed(rare[:-1] + np.uint64(RARE + 1))], [RARE]
-    room = length - len(rare)
-    keys, kinds = [mixed(rare + np.uint64(RARE + 1))], [RARE]
+    if len(rare) == length:  # the SHARED first of the shared tokens are there, and rare
+        return [mixed(rare + np.uint64(RARE + 1))], [RARE]
+    room = n - required(n) + 2 - len(rare)
+    keys, kinds = [mixed(rare + np.uint64(RARE + 1))], [MIXED]
     if room > 0 and common.any():
         f = s[common]
         f = f[np.lexsort((f, weight[at[common]]))][:room]
@@ -179,12 +181,12 @@ def prefix_postings(s: np.ndarray, frequent: np.ndarray, weight: np.ndarray, pla
             keys.append(mixed(f[i] * np.uint64(3) + mixed(f[j]) + np.uint64(COMBINED + 1)))
             kinds.append(COMBINED)
         keys.append(mixed(f + np.uint64(FREQUENT + 1)))
-        kinds.append(FREQUENT if len(f) <= MAX_COMBINED else FREQUENT + 1)  # FREQUENT + 1: meets all others
+        kinds.append(FREQUENT if len(f) <= MAX_COMBINED else FREQUENT + 1)
     return keys, kinds
 
 
 def postings(docs: DataFrame, frequent: list[tuple[int, int]], common: list[tuple[int, int]]) -> DataFrame:
-    """(key, sig, m) of every distinct set of a task; m is 4 * n + kind."""
+    """(key, sig, m) of every distinct set of a task; m is 8 * n + kind."""
     def table(rows: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
         order = sorted((t % (1 << 64), c) for t, c in rows)
         return np.array([t for t, _ in order], np.uint64), np.array([c for _, c in order], np.int64)
@@ -210,7 +212,7 @@ def postings(docs: DataFrame, frequent: list[tuple[int, int]], common: list[tupl
                 seen.add(sig)
                 for k, kind in zip(*prefix_postings(s, tokens, weight, commonness(w, len(h), words, logs)[at]), strict=True):
                     keys.append(k)
-                    one.append((sig, 4 * len(s) + kind, len(k)))
+                    one.append((sig, 8 * len(s) + kind, len(k)))
                     held_rows += len(k)
                 if held_rows > 200_000:
                     yield frame()
@@ -232,11 +234,11 @@ def scan_lists(rows: DataFrame, salts: int, turn: int = 0, reach: int = 8) -> Da
     member and the turn, and members of different components that stand within `reach` are paired. Rows with
     b null are the postings of lists that are not settled."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.when(F.col("m") % 4 == RARE, 0).otherwise(F.pmod(F.xxhash64("sig", F.lit(turn)), F.lit(salts)))
+    salt = F.when((F.col("m") % 8).isin(RARE, MIXED), 0).otherwise(F.pmod(F.xxhash64("sig", F.lit(turn)), F.lit(salts)))
     place = F.xxhash64("sig", F.lit(turn)) if turn else F.col("m")
 
     def pairs_of(a, b, m, comp, sig) -> pd.DataFrame:
-        n, kind = m // 4, m % 4
+        n, kind = m // 8, m % 8
         ok = (a != b) & (comp[a] != comp[b]) & (5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b])) & ~((kind[a] == FREQUENT) & (kind[b] == FREQUENT))
         x, y = sig[a[ok]], sig[b[ok]]
         pairs = pd.DataFrame({"key": 0, "a": np.minimum(x, y), "m": 0, "b": np.maximum(x, y)}).drop_duplicates()
@@ -245,7 +247,7 @@ def scan_lists(rows: DataFrame, salts: int, turn: int = 0, reach: int = 8) -> Da
     def done(p: pd.DataFrame) -> pd.DataFrame:
         key, sig, m = (p[c].to_numpy() for c in ("key", "sig", "m"))
         comp = p["comp"].to_numpy() if turn else sig
-        kind = m % 4
+        kind = m % 8
         new = np.ones(len(p), bool)
         new[1:] = key[1:] != key[:-1]
         if turn:
@@ -256,14 +258,14 @@ def scan_lists(rows: DataFrame, salts: int, turn: int = 0, reach: int = 8) -> Da
             return pairs_of(a[fits], b[fits], m, comp, sig)
         bounds = np.append(np.flatnonzero(new), len(p))
         size = np.repeat(np.diff(bounds), np.diff(bounds))
-        short = (size <= SHORT) & (kind == RARE)  # all pairs of a short list at once, which settles it
+        short = (size <= SHORT) & ((kind == RARE) | (kind == MIXED))  # all pairs of a short list at once, which settles it
         group = np.cumsum(new) - 1
         a = np.concatenate([np.arange(d, len(p)) for d in range(1, SHORT)])
         b = np.concatenate([np.arange(0, max(0, len(p) - d)) for d in range(1, SHORT)])
         fits = short[a] & (group[a] == group[b])
         whole = pairs_of(a[fits], b[fits], m, comp, sig)
         key, sig, m, comp, new = key[~short], sig[~short], m[~short], comp[~short], new[~short]
-        group, first, n = np.cumsum(new) - 1, np.flatnonzero(new), m // 4
+        group, first, n = np.cumsum(new) - 1, np.flatnonzero(new), m // 8
         live = pd.DataFrame({"key": key, "a": sig, "m": m, "b": pd.array([pd.NA], dtype="Int64").repeat(len(key))})
         at = np.flatnonzero(~new)
         hub = first[group[at]].copy()
@@ -373,12 +375,13 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, ma
             return stage(x.where(F.pandas_udf(similar, "boolean")("s", "t")).select("a", "b"), "join-links")
 
     def left_over(still: DataFrame) -> DataFrame:
-        """Pairs that the bitmaps allow between all members of components that still share a list. The larger
+        """Pairs that the bitmaps allow between all members of components that still share enough lists: one if neither
+        prefix is all rare, else SHARED (a link in a settled list is known by now, so none of these is). The larger
         component of two stands in blocks of about 64 bitmaps, which each member of the other meets."""
-        heads = still.groupBy("key", "comp").agg(F.min(F.expr("m div 4")).alias("lo"), F.max(F.expr("m div 4")).alias("hi"), F.min(F.col("m") % 4 == FREQUENT).alias("only_low"))
-        other = heads.select("key", F.col("comp").alias("d"), F.col("lo").alias("lo_d"), F.col("hi").alias("hi_d"), F.col("only_low").alias("low_d"))
+        heads = still.groupBy("key", "comp").agg(F.min(F.expr("m div 8")).alias("lo"), F.max(F.expr("m div 8")).alias("hi"), F.min(F.col("m") % 8 == FREQUENT).alias("only_low"), F.max(F.col("m") % 8 != RARE).alias("alone"))
+        other = heads.select("key", F.col("comp").alias("d"), F.col("lo").alias("lo_d"), F.col("hi").alias("hi_d"), F.col("only_low").alias("low_d"), F.col("alone").alias("alone_d"))
         fits = (F.col("comp") < F.col("d")) & (5 * F.col("hi_d") >= 4 * F.col("lo")) & (5 * F.col("hi") >= 4 * F.col("lo_d")) & ~(F.col("only_low") & F.col("low_d"))
-        both = stage(heads.join(other, "key").where(fits).select(F.col("comp").alias("c"), "d").distinct(), "join-open-pairs")
+        both = stage(heads.join(other, "key").where(fits).select(F.col("comp").alias("c"), "d", F.when(F.col("alone") & F.col("alone_d"), SHARED).otherwise(1).alias("shared")).groupBy("c", "d").agg(F.sum("shared").alias("shared")).where(F.col("shared") >= SHARED).select("c", "d"), "join-open-pairs")
         seen_ids = both.select(F.col("c").alias("comp")).union(both.select("d")).distinct()
         of_node = stage(maps.join(broadcast_if_small(nodes, max_broadcast), "sig", "left").withColumn("comp", F.coalesce("comp", "sig")).join(broadcast_if_small(stage(seen_ids, "join-open-ids"), max_broadcast), "comp", "left_semi"), "join-open-maps")
         counts = of_node.groupBy("comp").agg(F.count("*").alias("size"))
@@ -407,7 +410,7 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, ma
     nodes = stage(connected_components(links, "a", "b").select(F.col("node").alias("sig"), F.col("component").alias("comp")), "join-nodes")
     for turn in range(1, max_rounds + 2):
         labelled = live.join(broadcast_if_small(nodes, max_broadcast), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
-        open_lists = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.col("m") % 4).alias("top")).where((F.col("lo") != F.col("hi")) & (F.col("top") != FREQUENT)).select("key")
+        open_lists = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.col("m") % 8).alias("top")).where((F.col("lo") != F.col("hi")) & (F.col("top") != FREQUENT)).select("key")
         open_lists = broadcast_if_small(stage(open_lists, "join-keys"), max_broadcast)
         still = stage(labelled.join(open_lists, "key", "left_semi"), "join-open")
         live = still.select("key", "sig", "m")
