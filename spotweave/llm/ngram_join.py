@@ -98,8 +98,8 @@ def class_id(s: np.ndarray) -> int:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """Four bits or more for each shingle, a power of two in all; the low bits of a shingle are its place."""
-    m = max(64, 1 << (4 * len(s) - 1).bit_length())
+    """Two bits or more for each shingle, a power of two in all; the low bits of a shingle are its place."""
+    m = max(64, 1 << (2 * len(s) - 1).bit_length())
     flags = np.zeros(m, np.uint8)
     flags[(s & np.uint64(m - 1)).astype(np.int64)] = 1
     return np.packbits(flags, bitorder="little").tobytes()
