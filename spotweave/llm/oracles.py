@@ -1,3 +1,49 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express. The others (a fitted model, a tokenizer, spans by code points)
+are compared with brute force in the tests."""
 
-ORACLES: dict[str, str] = {}
+# Lower-cases A-Z alone, as lower() takes all letters.
+_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP5 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS said
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT size FROM windows
+), places AS (
+  SELECT r, size, i, array_to_string(w[i:i + size - 1], ' ') AS said
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)
+), met AS (SELECT r, i, p.size, item_id FROM places p JOIN windows USING (size, said)
+), hit AS (SELECT DISTINCT r, unnest(range(i, i + size)) AS pos FROM (SELECT DISTINCT r, i, size FROM met)
+), runs AS (
+  SELECT r, count(*) AS n, min(pos) - 1 AS begins FROM (SELECT r, pos, pos - row_number() OVER (PARTITION BY r ORDER BY pos) AS g FROM hit) GROUP BY r, g
+), longest AS (SELECT r, max(n) AS longest, arg_min(begins, (-n, begins)) AS longest_at, sum(n) AS n_hit FROM runs GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM met WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(longest, 0) AS longest, coalesce(longest_at, -1) AS longest_at
+FROM d LEFT JOIN longest USING (r) LEFT JOIN items USING (r)
+"""
+
+_OP8 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format('text')}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), link AS (
+  SELECT a, b FROM shared JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)
+), edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach AS (SELECT doc_id AS node, doc_id AS low FROM documents UNION SELECT e.b, reach.low FROM reach JOIN edge e ON e.a = reach.node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, low AS component_id
+FROM d LEFT JOIN size USING (doc_id) JOIN (SELECT node, min(low) AS low FROM reach GROUP BY node) c ON c.node = d.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op5_decontamination": _OP5, "op8_ngram_join": _OP8}
