@@ -221,6 +221,21 @@ def test_ngram_join(spark, docs, texts):
     assert ngram_join.keep_first(df).count() == sum(n for k, n in want.items() if k[0] == k[2])
 
 
+def test_ngram_join_finds_every_link_in_long_lists(spark):
+    """Without rounds of near neighbours, what shares long lists is left to the test of pairs of components."""
+    rng = random.Random(8)
+    line = [f"w{rng.randint(0, 10**6)}" for _ in range(400)]
+    shared = [f"p{i}" for i in range(40)]
+    texts = [" ".join(line[4 * i : 4 * i + 100]) for i in range(60)]
+    texts += [" ".join([*shared, *(f"u{rng.randint(0, 10**6)}" for _ in range(rng.choice([8, 12, 30])))]) for _ in range(40)]
+    texts += [" ".join([*shared, *base[k:]]) for base in ([f"b{rng.randint(0, 10**6)}" for _ in range(70)] for _ in range(12)) for k in (0, 3, 9, 30)]
+    texts += [" ".join(f"s{rng.randint(0, 1)}" for _ in range(n)) for n in (4, 5, 6, 7, 8, 9) for _ in range(8)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for how in ({"max_rounds": 0}, {"max_rounds": 0, "share": 1, "least": 10**6}):
+        assert by_row(ngram_join.jaccard_components(df, **how).collect(), "n_shingles", "component_id") == brute_components(rows)
+
+
 def test_line_dedup_deletes_only_what_an_earlier_place_holds(spark, docs, texts):
     passage = "This passage has more than enough words to be found. It holds several sentences of some length, too. And it is repeated in other documents."
     more = [(30_000, f"Own start here. {passage} Own end one."), (30_001, f"Different beginning follows. {passage}\nAnother end."), (30_002, passage), (30_003, "A clean document that nobody repeats.")]
