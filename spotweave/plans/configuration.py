@@ -1,4 +1,4 @@
-"""The rounds configuration: parsing, validation and rule tables (C1 to C5, C10, P16, IO14).
+"""The rounds configuration: parsing, validation and rule tables (C1 to C5, C8, C10, P16, IO14).
 
 A configuration is a small JSON document, so it is parsed on the driver; every rule is checked and all faults are reported
 together. What the operators join with comes out as rule tables, one row for each configured timepoint at most."""
@@ -257,3 +257,16 @@ def parse_configuration(data: str | dict) -> RoundsConfiguration:
 def read_configuration(spark: SparkSession, path: str) -> RoundsConfiguration:
     """From a file in any store that Spark reads."""
     return parse_configuration(spark.read.text(path, wholetext=True).first()[0])
+
+
+def bead_timepoint(parameters: dict[str, Any], rounds: Iterable[Round], background_key: str = "subtract_background") -> int:
+    """The blank timepoint whose beads filter spots (C8): a timepoint itself, or true for that of the background."""
+    key = "proximityFiltrationBetweenBeadsAndSpots"
+    value = parameters.get(key)
+    time = parameters.get(background_key) if value is True else value
+    if not _is_time(time):
+        raise ConfigurationError([f"{key} gives no timepoint: {value!r}"])
+    kinds = {r.time: r.kind for r in rounds}
+    if kinds.get(time) != "blank":
+        raise ConfigurationError([f"timepoint {time} of the beads is {kinds.get(time, 'no round')}, not blank"])
+    return time

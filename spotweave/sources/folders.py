@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spotweave.operators.checks import require_none, require_unique
 from spotweave.operators.naming import fov_index, time_offsets, timepoint_in_name
+from spotweave.sources.tables import SEPARATORS, read_strings
 
 BEADS = r"^bead_rois__(\d+)_(\d+)(\.filtered)?\.(?:csv|json)$"
 SPOTS = r"^(P\d{4})_rois\.csv$"
@@ -49,3 +50,19 @@ def combined(files: DataFrame) -> DataFrame:
     shifted = timed.join(F.broadcast(time_offsets(counts.select("folder", "n"), "folder")), "folder")
     new = (F.col("timepoint") + F.col("offset")).cast("int")
     return shifted.select("path", "name", "folder", "timepoint", new.alias("new_timepoint"), renamed(F.col("name"), new).alias("new_name"))
+
+
+def load_tables(spark: SparkSession, folder: str, prefix: str) -> dict[str, DataFrame]:
+    """A view for each delimited file named prefix + table name + ending (IO8); two files for one name are an error. Their number is
+    that of an analysis's tables, so the names come to the driver."""
+    found: dict[str, DataFrame] = {}
+    for r in listed(spark, folder).select("path", "name").orderBy("name").collect():
+        name, _, ending = r.name.rpartition(".")
+        if not name.startswith(prefix) or len(name) == len(prefix) or ending not in SEPARATORS:
+            continue
+        table = name[len(prefix):]
+        if table in found:
+            raise ValueError(f"several files for table {table}")
+        found[table] = read_strings(spark, r.path)
+        found[table].createOrReplaceTempView(f"`{table}`")
+    return found

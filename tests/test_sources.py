@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from spotweave.plans.configuration import ConfigurationError, length_nm, parse_configuration, read_configuration
+from spotweave.plans.configuration import ConfigurationError, bead_timepoint, length_nm, parse_configuration, read_configuration
 from spotweave.sources import folders, tables
 
 
@@ -80,3 +80,19 @@ def test_folders(spark, tmp_path):
     assert sorted(r.new_name for r in moved.collect()) == [f"P1_Time{t:05d}.nd2" for t in range(3)]
     with pytest.raises(ValueError, match="gaps"):
         folders.combined(spark.createDataFrame([("p", "Time00001", "a")], "path string, name string, folder string"))
+
+
+def test_bead_timepoint():
+    rounds = parse_configuration(good()).rounds
+    key = "proximityFiltrationBetweenBeadsAndSpots"
+    assert bead_timepoint({key: 0}, rounds) == 0 == bead_timepoint({key: True, "subtract_background": 0}, rounds)
+    for bad in ({}, {key: False}, {key: True}, {key: 4}, {key: 99}, {key: "0"}):
+        with pytest.raises(ConfigurationError):
+            bead_timepoint(bad, rounds)
+
+
+def test_load_tables(spark, tmp_path):
+    for n in ("run_rois.csv", "run_fits.tsv", "other.csv", "run_x.pkl"):
+        (tmp_path / n).write_text("a\tb\n1\t2\n" if n.endswith("tsv") else "a,b\n1,2\n")
+    got = folders.load_tables(spark, str(tmp_path), "run_")
+    assert sorted(got) == ["fits", "rois"] and spark.sql("select b from fits").first().b == "2"
