@@ -101,20 +101,32 @@ def _risk_gradient(z_p: np.ndarray, z_u: np.ndarray, prior: float, floor: float)
     return g_pos_p + g_neg_p, g_neg_u, positive + max(0.0, negative)
 
 
-def distinct_documents(docs: list[np.ndarray], bands: int = 4, rows: int = 3) -> list[np.ndarray]:
-    """docs without those that share a band of minimum hashes with an earlier one: copies are no evidence of their own."""
+def distinct_documents(docs: list[np.ndarray], bands: int = 4, rows: int = 3, least: float = 0.8) -> list[np.ndarray]:
+    """docs without near copies of earlier ones, which are no evidence of their own: a shared band of minimum
+    hashes makes a pair, a Jaccard of the features of at least `least` makes a copy."""
     odd = np.array([2 * i + 1 for i in range(1, bands * rows + 1)], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    seen: set[tuple] = set()
-    out = []
+    seen: dict[tuple, list[int]] = {}
+    exact: set[bytes] = set()
+    out: list[np.ndarray] = []
+
+    def copies(d: np.ndarray, e: np.ndarray) -> bool:
+        if min(len(d), len(e)) < least * max(len(d), len(e)):
+            return False
+        both = len(np.intersect1d(d, e, assume_unique=True))
+        return both >= least * (len(d) + len(e) - both)
+
     for d in docs:
-        if not len(d):
+        if not len(d) or d.tobytes() in exact:
             continue
+        exact.add(d.tobytes())
         h = (d.astype(np.uint64)[:, None] + np.uint64(1)) * odd[None, :]
-        least = ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)).min(axis=0)
-        own = {(b, *least[b * rows : (b + 1) * rows].tolist()) for b in range(bands)}
-        if not own & seen:
-            out.append(d)
-        seen |= own
+        lowest = ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)).min(axis=0)
+        own = [(b, *lowest[b * rows : (b + 1) * rows].tolist()) for b in range(bands)]
+        if any(copies(d, out[k]) for k in sorted({k for band in own for k in seen.get(band, ())})):
+            continue
+        for band in own:
+            seen.setdefault(band, []).append(len(out))
+        out.append(d)
     return out
 
 

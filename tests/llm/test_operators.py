@@ -281,6 +281,18 @@ def test_toxicity_of_odd_rows(spark, sf, docs):
     assert none == 0
 
 
+def test_distinct_documents_drops_copies_only():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    common = np.arange(60)
+    apart = [np.union1d(common, 1000 + rng.choice(5000, 140, replace=False)).astype(np.int32) for _ in range(1500)]
+    kept = toxicity.distinct_documents(apart)
+    assert len(kept) == len(apart)  # any two have a Jaccard below 0.3
+    near = [np.delete(d, [70, 90]) for d in apart[:200]]
+    assert len(toxicity.distinct_documents(apart[:200] + apart[:200] + near)) <= 210
+
+
 def test_nonnegative_risk_reverses_a_negative_part():
     import numpy as np
 
