@@ -1,6 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning (op 1).
 
-A linear numpy classifier over hashed word and word-prefix features is trained from confirmed toxic
+A linear numpy classifier over hashed word and word-prefix features, and over the prefixes that several
+distinct words of a document share, is trained from confirmed toxic
 documents and unlabelled text. The risk is pi * R_p(+) + max(0, R_u(-) - pi * R_p(-)) with the logistic loss,
 pi the class prior; where the corrected negative part falls below zero its gradient is reversed, as the
 non-negative estimator prescribes. Labels other than "toxic" never enter the risk; they only give pi.
@@ -39,6 +40,11 @@ def word_features(word: str) -> list[int]:
     return [zlib.crc32(k.encode()) & mask for k in keys]
 
 
+def again(feature: int) -> int:
+    """Hashed id of the feature that several distinct words of a document have this feature."""
+    return zlib.crc32(b"+%d" % feature) & ((1 << BITS) - 1)
+
+
 class _Features(dict):
     def __missing__(self, word: str) -> list[int]:
         if len(self) >= CACHE_WORDS:
@@ -50,10 +56,13 @@ class _Features(dict):
 def document_features(text: str | None, cache: dict | None = None) -> np.ndarray:
     """Sorted distinct feature ids of a text."""
     cache = _Features() if cache is None else cache
-    ids: set[int] = set()
+    once: set[int] = set()
+    more: set[int] = set()
     for w in set(WORD.findall((text or "").lower())):
-        ids.update(cache[w])
-    return np.array(sorted(ids), dtype=np.int32)
+        own = cache[w]
+        more.update(once.intersection(own))
+        once.update(own)
+    return np.array(sorted(once.union(map(again, more))), dtype=np.int32)
 
 
 @dataclass
@@ -71,17 +80,19 @@ class ToxicityModel:
             def __missing__(self, word: str) -> tuple[int, ...]:
                 if len(self) >= CACHE_WORDS:
                     self.clear()
-                self[word] = found = tuple(f for f in word_features(word) if f in weights)
+                self[word] = found = tuple({f for f in word_features(word) if f in weights or again(f) in weights})
                 return found
 
         hits = Hits()
 
         def score(text: str | None) -> float:
-            ids: set[int] = set()
+            once: set[int] = set()
+            more: set[int] = set()
             for w in set(WORD.findall((text or "").lower())):
                 if found := hits[w]:
-                    ids.update(found)
-            z = bias + sum(weights[f] for f in sorted(ids))
+                    more.update(once.intersection(found))
+                    once.update(found)
+            z = bias + sum(weights.get(f, 0.0) for f in sorted(once.union(map(again, more))))
             return float(1 / (1 + np.exp(-z))) if z > -700 else 0.0
 
         return score
@@ -130,7 +141,7 @@ def distinct_documents(docs: list[np.ndarray], bands: int = 4, rows: int = 3, le
     return out
 
 
-def fit_nnpu(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, max_features: int = 4096, steps: int = 300, rate: float = 0.05, decay: float = 1e-4, min_posterior: float = 0.6, min_share: float = 0.02, floor: float = 0.0) -> ToxicityModel:
+def fit_nnpu(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, max_features: int = 4096, steps: int = 300, rate: float = 0.05, decay: float = 1e-4, min_share: float = 0.02, floor: float = 0.0) -> ToxicityModel:
     """Full-batch Adam on the non-negative risk over the features that tell positives from unlabelled best."""
     if not positives:
         return ToxicityModel({}, -np.inf, prior)
@@ -138,10 +149,9 @@ def fit_nnpu(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: f
     rate_of = lambda docs: np.bincount(np.concatenate(docs) if docs else np.zeros(0, np.int32), minlength=size)
     n_p, n_u = len(positives), max(1, len(unlabelled))
     c_p, c_u = rate_of(positives), rate_of(unlabelled)
-    p, u = c_p / n_p, c_u / n_u
     chance = np.maximum((c_p + c_u) / (n_p + n_u) * n_p, 1e-9)  # positives that would have a feature without a link
     evidence = 2 * (c_p * np.log(np.maximum(c_p, 1e-9) / chance) - (c_p - chance))
-    evidence[(c_p < max(3, min_share * n_p)) | (prior * p < min_posterior * u)] = 0  # too rare, or more clean documents have it than a classifier may stand
+    evidence[c_p < max(3, min_share * n_p)] = 0  # too rare; what points to neither class for sure is left for the risk to weigh
     tested = max(2, np.count_nonzero(c_p >= 3))
     kept = np.sort(np.argsort(-evidence, kind="stable")[:max_features])
     kept = kept[evidence[kept] > 2 * np.log(tested) + 2]  # beyond the largest of as many chance values

@@ -274,6 +274,27 @@ def test_toxicity_held_out(spark, sf):
     assert n.get((0, 1), 0) <= 0.02 * n[(0, 0)]
 
 
+def test_toxicity_held_out_by_language(spark, sf):
+    sf = sf.replace("sf0.001", "sf0.1")
+    d, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
+    rows = toxicity.score_toxicity(d, labels).join(labels, "doc_id").join(d.select("doc_id", "lang"), "doc_id").where("held_out and toxic = 1").collect()
+    found, all_ = (collections.Counter(r.lang for r in rows if r.predicted >= least) for least in (1, 0))
+    assert set(all_) == {"de", "en", "es", "fr"}
+    assert all(found[lang] >= 0.7 * n for lang, n in all_.items()), (found, all_)
+
+
+def test_toxicity_scores_what_it_was_fitted_on():
+    import numpy as np
+
+    text = "Achlichte achlichge; achlichte other bomento bomentos"
+    ids = toxicity.document_features(text)
+    assert toxicity.again(toxicity.word_features("achlichte")[1]) in ids
+    assert toxicity.again(toxicity.word_features("other")[1]) not in ids
+    weights = {int(f): 0.01 * (i + 1) for i, f in enumerate(ids)}
+    z = sum(weights.values()) - 1.0
+    assert abs(toxicity.ToxicityModel(weights, -1.0, 0.1).scorer()(text) - 1 / (1 + np.exp(-z))) < 1e-12
+
+
 def test_toxicity_of_odd_rows(spark, sf, docs):
     rows = toxicity.score_toxicity(docs, read(spark, sf, "labels")).collect()
     assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
