@@ -1,16 +1,17 @@
-r"""Line dedup by winnowing over line hashes (op 6, native).
+r"""Line dedup by hashes of line runs (op 6, native).
 
 A line is a stretch of text up to a newline or, as web text often holds whole pages in one physical
 line, up to the end of a sentence; its separators stay with it, so that the lines of a text joined are the
 text. Per document:
 
-1. winnowing: of every `window` consecutive line hashes the smallest is a fingerprint, and so is every line of
-   at least `least_chars` characters; a repeated run of `window` lines, or of one long line, cannot be missed;
-2. join positions: fingerprints are aggregated to their first place (document, then position); later places
-   of the same fingerprint are seeds on a diagonal of the two documents;
-3. extension: along each diagonal lines are compared from `window` lines before the first seed to as many
-   after the last one; equal lines are repeats;
-4. runs of repeats of at least `least_chars` characters are deleted. The first occurrence stays.
+1. keys: from every line on, and backwards from every line, the shortest run that has `least_chars` characters
+   gives a key, the hash of its lines. Blank lines are left out of runs, but go with a run that they lie in;
+2. first places: keys are aggregated to their first place (document, then position);
+3. deletion: a run whose key has an earlier place is deleted. The first occurrence stays.
+
+A stretch of lines of at least `least_chars` characters that an earlier place holds is covered by such runs: its
+first lines by the run forward from its start, all others by the runs backward from them. So none is missed,
+and neighbours that are repeated from different places are deleted only if each has a run of its own.
 
 Only DataFrame functions are used. Hot lines are aggregated before the shuffle; the join back is a plain
 equi-join that adaptive execution splits; nothing is gathered by line, only by document.
@@ -25,7 +26,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from spotweave.llm.columns import indices, let
 from spotweave.runtime import broadcast_if_small, stage
@@ -39,46 +39,42 @@ def lines_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), BOUNDARY, -1), lambda x: x != "")
 
 
-def line_table(docs: DataFrame, window: int, least_chars: int) -> DataFrame:
-    """doc_id, h (line hashes), l (lengths without white space at the ends) and p (fingerprint positions)."""
+def run_table(docs: DataFrame, least_chars: int) -> DataFrame:
+    """doc_id and r, the runs of the document: f (hash of the lines), at and to (first and last position)."""
     trimmed = F.transform(lines_of(F.col("text")), lambda x: F.btrim(x, F.lit(" \n\r\t")))
-    both = let(trimmed, lambda t: F.struct(F.transform(t, lambda x: F.xxhash64(x)).alias("h"), F.transform(t, lambda x: F.length(x)).alias("l")))
-
-    def smallest(h: Column, i: Column) -> Column:
-        at = lambda k: F.when(i + k < F.size(h), F.struct(F.get(h, i + k).alias("h"), (i + k).alias("i")))
-        return F.least(*[at(k) for k in range(window)])["i"]
-
-    def chosen(b: Column) -> Column:
-        n = F.size(b["h"])
-        minima = F.transform(indices(F.when(n > 0, F.greatest(n - window + 1, F.lit(1))).otherwise(0)), lambda i: smallest(b["h"], i))
-        long = F.filter(indices(n), lambda i: F.get(b["l"], i) >= least_chars)
-        return F.struct(b["h"].alias("h"), b["l"].alias("l"), F.filter(F.array_distinct(F.concat(minima, long)), lambda i: F.get(b["l"], i) > 0).alias("p"))
-
-    return docs.where("doc_id is not null").select("doc_id", let(both, chosen).alias("x")).select("doc_id", "x.*")
-
-
-def repeated_lines(docs: DataFrame, *, window: int = 3, least_chars: int = 100, max_broadcast: int = 1_000_000) -> DataFrame:
+    lines = F.transform(trimmed, lambda x, i: F.struct(F.xxhash64(x).alias("h"), F.length(x).alias("l"), i.alias("at")))
+    solid = let(F.filter(lines, lambda x: x["l"] > 0), lambda x: F.struct(x["h"].alias("h"), x["l"].alias("l"), x["at"].alias("at")))
+
+    def length(l: Column, i: Column, step: int) -> Column:
+        """Lines of the shortest run from i on (backwards for step -1); null where the text ends before."""
+        term = lambda k: F.when((i + step * k >= 0) & (i + step * k < F.size(l)), F.get(l, i + step * k))
+        total, found = term(0), F.when(term(0) >= least_chars, 1)
+        for k in range(1, 6):
+            total = total + term(k)
+            found = found.when(total >= least_chars, k + 1)
+        # a line has a character at least, so no run is longer than least_chars lines
+        rest = F.slice(l, i + 1, least_chars) if step > 0 else F.reverse(F.slice(l, F.greatest(i + 2 - least_chars, F.lit(1)), F.least(i + 1, F.lit(least_chars))))
+        zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("s"))
+        add = lambda a, x: F.struct((a["n"] + F.when(a["s"] < least_chars, 1).otherwise(0)).alias("n"), (a["s"] + x).alias("s"))
+        return found.when(total.isNotNull(), F.aggregate(rest, zero, add, lambda a: F.when(a["s"] >= least_chars, a["n"])))
+
+    def runs(b: Column) -> Column:
+        ahead = F.transform(indices(F.size(b["l"])), lambda i: F.struct(i.alias("i"), length(b["l"], i, 1).alias("n")))
+        back = F.transform(indices(F.size(b["l"])), lambda j: let(length(b["l"], j, -1), lambda n: F.struct((j - n + 1).alias("i"), n.alias("n"))))
+        both = F.array_distinct(F.filter(F.concat(ahead, back), lambda x: x["n"].isNotNull()))
+        return F.transform(both, lambda x: F.struct(F.xxhash64(F.slice(b["h"], x["i"] + 1, x["n"])).alias("f"), F.get(b["at"], x["i"]).alias("at"), F.get(b["at"], x["i"] + x["n"] - 1).alias("to")))
+
+    return docs.where("doc_id is not null").select("doc_id", let(solid, runs).alias("r"))
+
+
+def repeated_lines(docs: DataFrame, *, least_chars: int = 100) -> DataFrame:
     """(doc_id, gone): positions of the lines to delete, sorted; documents without any are left out."""
-    table = stage(line_table(docs, window, least_chars), "lines")
-    prints = table.select("doc_id", F.posexplode(F.transform("p", lambda i: F.struct(F.get("h", i).alias("f"), i.alias("at")))).alias("_", "s")).select("doc_id", "s.f", "s.at")
-    first = prints.groupBy("f").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("f", F.col("first.doc_id").alias("doc0"), F.col("first.at").alias("at0"))
-    first = stage(first, "line-first")  # a table of its own, so that the join back can split a hot line
-    seeds = prints.join(first, "f").where("doc_id <> doc0 or at <> at0")
-    diagonals = seeds.groupBy("doc_id", "doc0", (F.col("at") - F.col("at0")).alias("shift")).agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
-    diagonals = stage(diagonals.select("doc_id", "doc0", "shift", F.greatest(F.col("lo") - window, F.lit(0), F.col("shift")).alias("lo"), (F.col("hi") + window).alias("hi")), "diagonals")
-
-    def only(ids: DataFrame) -> DataFrame:
-        return table.join(broadcast_if_small(stage(ids.distinct(), "line-docs"), max_broadcast), "doc_id", "left_semi")
-
-    part = lambda c, lo: F.slice(c, lo + 1, F.greatest(F.lit(0), F.least(F.size(c), F.col("hi") - F.col("lo") + 1)))
-    own = only(diagonals.select("doc_id")).select("doc_id", "h", "l")
-    theirs = only(diagonals.select(F.col("doc0").alias("doc_id"))).select(F.col("doc_id").alias("doc0"), F.col("h").alias("h0"))
-    held = diagonals.join(own, "doc_id").select("doc_id", "doc0", "shift", "lo", "hi", part("h", F.col("lo")).alias("h"), part("l", F.col("lo")).alias("l"))
-    held = held.join(theirs, "doc0").select("doc_id", "lo", "h", "l", part("h0", F.col("lo") - F.col("shift")).alias("h0"))
-    same = F.filter(F.arrays_zip("h", "h0", "l", F.transform("h", lambda _, i: i + F.col("lo")).alias("at")), lambda x: x["h"] == x["h0"])
-    equal = held.select("doc_id", F.explode(F.transform(same, lambda x: F.struct(x["at"].alias("at"), x["l"].alias("l")))).alias("x")).select("doc_id", "x.at", "x.l").distinct()
-    runs = equal.withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy("doc_id").orderBy("at")))
-    return runs.groupBy("doc_id", "run").agg(F.sum("l").alias("chars"), F.collect_list("at").alias("ats")).where(F.col("chars") >= least_chars).groupBy("doc_id").agg(F.array_sort(F.flatten(F.collect_list("ats"))).alias("gone"))
+    runs = stage(run_table(docs, least_chars), "line-runs").select("doc_id", F.explode("r").alias("r")).select("doc_id", "r.*")
+    first = runs.groupBy("f").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("f", F.col("first.doc_id").alias("doc0"), F.col("first.at").alias("at0"))
+    first = stage(first, "line-first")  # a table of its own, so that the join back can split a hot run
+    later = runs.join(first, "f").where("doc_id <> doc0 or at <> at0")
+    spans = F.array_distinct(F.flatten(F.transform(F.collect_list(F.struct("at", "to")), lambda x: F.sequence(x["at"], x["to"]))))
+    return later.groupBy("doc_id").agg(F.array_sort(spans).alias("gone"))
 
 
 def without_lines(text: Column, gone: Column) -> Column:
@@ -92,7 +88,7 @@ def without_lines(text: Column, gone: Column) -> Column:
 
 def _edited(docs: DataFrame, max_broadcast: int, **how) -> tuple[DataFrame, DataFrame]:
     """Rows that stay as they are, and rows to edit with the struct column `edit_`."""
-    gone = stage(repeated_lines(docs, max_broadcast=max_broadcast, **how), "lines-gone").select(F.col("doc_id").alias("edit_id_"), F.col("gone").alias("edit_"))
+    gone = stage(repeated_lines(docs, **how), "lines-gone").select(F.col("doc_id").alias("edit_id_"), F.col("gone").alias("edit_"))
     ids = broadcast_if_small(gone.select("edit_id_"), max_broadcast)
     match = docs["doc_id"] == ids["edit_id_"]
     rest = docs.join(ids, match, "left_anti")

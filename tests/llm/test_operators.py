@@ -264,6 +264,38 @@ def test_line_dedup_deletes_only_what_an_earlier_place_holds(spark, docs, texts)
     assert kept.columns == docs.columns and kept.where("doc_id is null").count() == 1
 
 
+def gone_by_brute_force(texts, least=100):
+    """Lines in a run of lines of at least `least` characters that an earlier place holds, blank lines aside."""
+    solid = {d: [(i, x.strip(" \n\r\t")) for i, x in enumerate(re.split(r"(?<=\n)|(?<=[.!?] )", t)) if x.strip(" \n\r\t")] for d, t in texts}
+    gone = collections.defaultdict(set)
+    for d, own in solid.items():
+        for e, other in ((e, o) for e, o in solid.items() if e <= d):
+            for i in range(len(own)):
+                for j in range(len(other) if e < d else i):
+                    n = 0
+                    while i + n < len(own) and j + n < len(other) and own[i + n][1] == other[j + n][1]:
+                        n += 1
+                    if n and sum(len(x) for _, x in own[i : i + n]) >= least:
+                        gone[d].update(range(own[i][0], own[i + n - 1][0] + 1))
+    return dict(gone)
+
+
+def gone_lines(spark, texts):
+    got = linededup.repeated_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    return {r.doc_id: set(r.gone) for r in got}
+
+
+def test_line_dedup_equals_brute_force_where_lines_of_a_run_occur_alone(spark):
+    rng = random.Random(5)
+    stock = [f"{w} stock line number {w * 3} of licence text{'.' * (w % 40)}\n" for w in range(100, 140)] + ["x\n", "Dr. ", "Anon. "]
+    texts = [(i, line) for i, line in enumerate(stock)]
+    texts += [(100 + i, "".join(rng.choices(stock, k=rng.randint(1, 25)))) for i in range(40)]
+    runs = ["".join(rng.sample(stock, 6)) for _ in range(10)] + ["x\n" * 150]
+    texts += [(200 + i, f"Start {i} only.\n{rng.choice(runs)}End {i} only.\n") for i in range(40)]
+    want = gone_by_brute_force(texts)
+    assert len(want) > 20 and gone_lines(spark, texts) == want
+
+
 def test_toxicity_held_out(spark, sf):
     sf = sf.replace("sf0.001", "sf0.1")
     d, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
