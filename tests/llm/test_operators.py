@@ -296,6 +296,12 @@ def test_line_dedup_equals_brute_force_where_lines_of_a_run_occur_alone(spark):
     assert len(want) > 20 and gone_lines(spark, texts) == want
 
 
+def test_line_dedup_sees_runs_between_blank_lines(spark):
+    passages = ["\n".join(f"Passage {k} line {i} {'word ' * 9}end\n" for i in range(6)) for k in range(60)]
+    texts = [(2 * k, f"Start {k} only.\n\n{p}") for k, p in enumerate(passages)] + [(2 * k + 1, f"Other start {k}.\n\n{p}") for k, p in enumerate(passages)]
+    assert gone_lines(spark, texts) == gone_by_brute_force(texts) == {2 * k + 1: set(range(2, 13)) for k in range(60)}
+
+
 def test_toxicity_held_out(spark, sf):
     sf = sf.replace("sf0.001", "sf0.1")
     d, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
