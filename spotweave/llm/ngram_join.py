@@ -3,27 +3,30 @@ r"""N-gram Jaccard join by token-combination prefixes (op 8).
 A document's set is its distinct five-word shingles (as 64-bit hashes); two documents link when
 100 * |intersection| >= 80 * |union|. Documents with the same set are one class, and classes are joined:
 
-1. `profile`: one pass gives each document's class id and size, and counts shingles by lossy counting in
-   chunks, so that every shingle in at least 1 / 1000 of all documents is known as frequent.
-2. `postings`: rare shingles come first (those with the rarest words before others), frequent ones last. A set of n shingles that must share
-   r = ceil(0.8 n) has the prefix of n - r + 2 shingles; two linked sets share at least two there. If a
-   shared one is rare, the single-token index of rare tokens brings them together (a prefix of rare ones alone is
-   extended to n - r + 4, so that four must be shared before a pair of components is looked at in the end); otherwise the
-   index of 2-token combinations of frequent tokens does. A set with very many frequent tokens in its prefix is indexed
-   by single frequent tokens instead, which then meet every other set that has the token.
-3. Rounds: in each posting list, sets of different components are paired in a star and a chain (a linear
-   number of pairs), verified exactly (after a bitmap bound has dropped most that cannot link), and linked sets become one component; further rounds pair members of different components
-   that stand near each other in a hashed order. After a round with few links all pairs between
-   components that still share a list are tested, in blocks of bitmaps. Pairs within one component need no check,
-   so a group of near copies of any size costs a linear number of pairs, and no link between components is lost.
-
-Hot posting lists are split by salt, classes keep copies out of the join, and nothing of the size of the
-corpus reaches the driver; the frequent shingles are at most 2000 times the mean set size.
+1. `profile`: one pass gives each document's class id, size and bitmap, and counts shingles by lossy counting in
+   chunks, so that every shingle in at least 1 / 1000 of all documents is known as hot.
+2. `postings`: one global order of tokens, those with the rarest words first and hot ones last. A set of n shingles
+   that must share r = ceil(0.8 n) has the extended prefix of n - r + k shingles, k = min(8, r); two linked sets share
+   at least k tokens there. Every prefix token is indexed by itself at first.
+3. Rounds (`stars`): each list has one hub, each set is paired with the hub that it meets in most lists (one
+   pair for a set at most), pairs are verified exactly, and linked sets become one component. From then on a list counts
+   components, not sets, so a group of near copies of any size soon is one entry of its lists.
+4. `settled`: a list of at most `bound` components holds a rare token: its pairs of components are counted, and
+   those that share half of k rare tokens or more are kept. A list of more components holds a frequent token. Sets
+   that could share the other half of k in frequent tokens alone are indexed again by combinations of two of them, and where
+   such a list still is too long, by combinations of those. So no link between components is lost, and
+   the pairs of a list are bounded by a constant. Only sets that share combinations of four with more than `bound` other
+   components would be paired without that bound.
+5. Kept pairs of components are tested member by member, first by bitmaps in blocks, then exactly.
+
+Lists of hot tokens are split by salt, classes keep copies out of the join, and nothing of the size of the
+corpus reaches the driver; the hot shingles are at most 2000 times the mean set size.
 
 Null and empty texts have no set and link with nothing; fewer than five words are one shingle; rows that
 repeat a doc_id are one document with each row's own class; null ids form components only with themselves
 or, through their set, take the smallest non-null id. Empty tables give no rows; only doc_id and text are read.
 Class and shingle ids are 64-bit hashes: a false merge has a chance of about pairs / 2**64.
+Jobs run as soon as a function of this module is called: rounds need the links of the ones before.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotweave.operators.components import connected_components
@@ -41,11 +44,8 @@ from spotweave.runtime import arrow_rows, broadcast_if_small, limit_batches, rel
 
 N = 5
 CHUNK_DOCS, CHUNK_TOKENS, LEAST_LOCAL = 4096, 1_000_000, 3
-MAX_COMBINED = 24
 WORD_SHARE = 50_000  # words of a share of 1 / WORD_SHARE of a chunk or more are common: at most as many in a chunk
-RARE, COMBINED, FREQUENT, MIXED = 0, 1, 2, 4  # FREQUENT + 1: meets all others; MIXED: rare, of a prefix that is not all rare
-SHARED = 4  # rare tokens that two linked sets share where the prefix of one is all rare
-SHORT = 8  # members of a list whose pairs are all tested at once
+SHARED = 8  # prefix tokens that two linked sets share, or all that the smaller overlap allows
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -158,41 +158,31 @@ def profile(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(scan, "doc_id long, sig long, n long, bits binary, token long, cnt long")
 
 
-def prefix_postings(s: np.ndarray, frequent: np.ndarray, weight: np.ndarray, place: np.ndarray | None = None) -> tuple[list[np.ndarray], list[int]]:
-    """Posting keys of one set by kind; frequent (sorted) and weight are the frequent shingles and their counts;
-    place, an integer for each shingle, orders the rare ones (by hash without it)."""
+def prefix(s: np.ndarray, hot: np.ndarray, weight: np.ndarray, place: np.ndarray | None = None) -> tuple[np.ndarray, int]:
+    """The extended prefix of one set in the global order, and how many of it, from its start, are not hot; hot (sorted)
+    and weight are the hot shingles and their counts; place, an integer for each shingle, orders the others."""
     n = len(s)
-    if n < 2:
-        return [], []
-    at = np.searchsorted(frequent, s)
-    common = (frequent[np.minimum(at, len(frequent) - 1)] == s) if len(frequent) else np.zeros(n, bool)
-    length = n - required(n) + SHARED
+    if n < 4:  # links with its equals only
+        return s[:0], 0
+    at = np.searchsorted(hot, s)
+    common = (hot[np.minimum(at, len(hot) - 1)] == s) if len(hot) else np.zeros(n, bool)
+    length = n - required(n) + min(SHARED, required(n))
     rare = s[~common] if place is None else s[~common][np.argsort(place[~common], kind="stable")]
     rare = rare[:length]
-    if len(rare) == length:  # the SHARED first of the shared tokens are there, and rare
-        return [mixed(rare + np.uint64(RARE + 1))], [RARE]
-    room = n - required(n) + 2 - len(rare)
-    keys, kinds = [mixed(rare + np.uint64(RARE + 1))], [MIXED]
-    if room > 0 and common.any():
-        f = s[common]
-        f = f[np.lexsort((f, weight[at[common]]))][:room]
-        if len(f) <= MAX_COMBINED:
-            i, j = np.triu_indices(len(f), 1)
-            keys.append(mixed(f[i] * np.uint64(3) + mixed(f[j]) + np.uint64(COMBINED + 1)))
-            kinds.append(COMBINED)
-        keys.append(mixed(f + np.uint64(FREQUENT + 1)))
-        kinds.append(FREQUENT if len(f) <= MAX_COMBINED else FREQUENT + 1)
-    return keys, kinds
-
-
-def postings(docs: DataFrame, frequent: list[tuple[int, int]], common: list[tuple[int, int]]) -> DataFrame:
-    """(key, sig, m) of every distinct set of a task; m is 8 * n + kind."""
+    late = s[common]
+    late = late[np.lexsort((late, weight[at[common]]))][: length - len(rare)] if len(rare) < length else late[:0]
+    return np.concatenate([rare, late]), len(rare)
+
+
+def postings(docs: DataFrame, hot: list[tuple[int, int]], common: list[tuple[int, int]]) -> DataFrame:
+    """(key, sig, n, hot) of every distinct set of a task."""
+
     def table(rows: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
         order = sorted((t % (1 << 64), c) for t, c in rows)
         return np.array([t for t, _ in order], np.uint64), np.array([c for _, c in order], np.int64)
 
     words, count = table(common)
-    held = docs.sparkSession.sparkContext.broadcast((*table(frequent), words, np.array([int(c).bit_length() for c in count], np.int64)))
+    held = docs.sparkSession.sparkContext.broadcast((*table(hot), words, np.array([int(c).bit_length() for c in count], np.int64)))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens, weight, words, logs = held.value
@@ -201,20 +191,21 @@ def postings(docs: DataFrame, frequent: list[tuple[int, int]], common: list[tupl
             keys, one, held_rows = [], [], 0
 
             def frame() -> pd.DataFrame:
-                sigs, m, times = (np.array(x, np.int64) for x in zip(*one, strict=True))
-                return pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "sig": np.repeat(sigs, times), "m": np.repeat(m, times)})
+                sigs, n, times, cool = (np.array(x, np.int64) for x in zip(*one, strict=True))
+                place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                return pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "sig": np.repeat(sigs, times), "n": np.repeat(n, times).astype(np.int32), "hot": place >= np.repeat(cool, times)})
 
             for text in batch["text"]:
                 w, h = shingles(text, hashes)
                 s, at = np.unique(h, return_index=True)
-                if len(s) < 2 or (sig := class_id(s)) in seen:
+                if len(s) < 4 or (sig := class_id(s)) in seen:
                     continue
                 seen.add(sig)
-                for k, kind in zip(*prefix_postings(s, tokens, weight, commonness(w, len(h), words, logs)[at]), strict=True):
-                    keys.append(k)
-                    one.append((sig, 8 * len(s) + kind, len(k)))
-                    held_rows += len(k)
-                if held_rows > 200_000:
+                found, cool = prefix(s, tokens, weight, commonness(w, len(h), words, logs)[at])
+                keys.append(found)
+                one.append((sig, len(s), len(found), cool))
+                held_rows += len(found)
+                if held_rows > 100_000:
                     yield frame()
                     keys, one, held_rows = [], [], 0
             if keys:
@@ -222,87 +213,21 @@ def postings(docs: DataFrame, frequent: list[tuple[int, int]], common: list[tupl
         del hashes, seen
         release_worker_memory()
 
-    return docs.select("text").mapInPandas(scan, "key long, sig long, m long")
-
-
-def scan_lists(rows: DataFrame, salts: int, turn: int = 0, reach: int = 8) -> DataFrame:
-    """Candidate pairs and live postings from posting rows (key, sig, m) and, after turn 0, comp.
-
-    In turn 0 lists are sorted by size in a task (those of frequent tokens by salt); short lists give all their pairs
-    and are settled, in others each member is paired with the one before it and with the first one whose size
-    still fits. In later turns lists are sorted by a hash of the
-    member and the turn, and members of different components that stand within `reach` are paired. Rows with
-    b null are the postings of lists that are not settled."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.when((F.col("m") % 8).isin(RARE, MIXED), 0).otherwise(F.pmod(F.xxhash64("sig", F.lit(turn)), F.lit(salts)))
-    place = F.xxhash64("sig", F.lit(turn)) if turn else F.col("m")
-
-    def pairs_of(a, b, m, comp, sig) -> pd.DataFrame:
-        n, kind = m // 8, m % 8
-        ok = (a != b) & (comp[a] != comp[b]) & (5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b])) & ~((kind[a] == FREQUENT) & (kind[b] == FREQUENT))
-        x, y = sig[a[ok]], sig[b[ok]]
-        pairs = pd.DataFrame({"key": 0, "a": np.minimum(x, y), "m": 0, "b": np.maximum(x, y)}).drop_duplicates()
-        return pairs.astype({"b": "Int64"})
-
-    def done(p: pd.DataFrame) -> pd.DataFrame:
-        key, sig, m = (p[c].to_numpy() for c in ("key", "sig", "m"))
-        comp = p["comp"].to_numpy() if turn else sig
-        kind = m % 8
-        new = np.ones(len(p), bool)
-        new[1:] = key[1:] != key[:-1]
-        if turn:
-            group = np.cumsum(new) - 1
-            a = np.concatenate([np.arange(d, len(p)) for d in range(1, reach + 1)])
-            b = np.concatenate([np.arange(0, max(0, len(p) - d)) for d in range(1, reach + 1)])
-            fits = group[a] == group[b]
-            return pairs_of(a[fits], b[fits], m, comp, sig)
-        bounds = np.append(np.flatnonzero(new), len(p))
-        size = np.repeat(np.diff(bounds), np.diff(bounds))
-        short = (size <= SHORT) & ((kind == RARE) | (kind == MIXED))  # all pairs of a short list at once, which settles it
-        group = np.cumsum(new) - 1
-        a = np.concatenate([np.arange(d, len(p)) for d in range(1, SHORT)])
-        b = np.concatenate([np.arange(0, max(0, len(p) - d)) for d in range(1, SHORT)])
-        fits = short[a] & (group[a] == group[b])
-        whole = pairs_of(a[fits], b[fits], m, comp, sig)
-        key, sig, m, comp, new = key[~short], sig[~short], m[~short], comp[~short], new[~short]
-        group, first, n = np.cumsum(new) - 1, np.flatnonzero(new), m // 8
-        live = pd.DataFrame({"key": key, "a": sig, "m": m, "b": pd.array([pd.NA], dtype="Int64").repeat(len(key))})
-        at = np.flatnonzero(~new)
-        hub = first[group[at]].copy()
-        for i in np.flatnonzero(5 * n[hub] < 4 * n[at]):  # the first is too small: take the first that fits
-            g = first[group[at[i]]]
-            hub[i] = g + np.searchsorted(5 * n[g : at[i]], 4 * int(n[at[i]]))
-        return pd.concat([whole, live, pairs_of(np.concatenate([at, at]), np.concatenate([at - 1, hub]), m, comp, sig)])
+    return docs.select("text").mapInPandas(scan, "key long, sig long, n int, hot boolean")
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        left: pd.DataFrame | None = None
-
-        def gathered() -> Iterator[pd.DataFrame]:
-            held, rows = [], 0
-            for batch in batches:
-                held.append(batch)
-                rows += len(batch)
-                if rows >= 50_000:
-                    yield pd.concat(held, ignore_index=True)
-                    held, rows = [], 0
-            if rows:
-                yield pd.concat(held, ignore_index=True)
-
-        for batch in gathered():  # the last list of a batch may go on in the next
-            p = batch if left is None else pd.concat([left, batch], ignore_index=True)
-            other = np.flatnonzero(p["key"].to_numpy() != p["key"].iloc[-1])
-            end = int(other[-1]) + 1 if len(other) else 0
-            if end == 0 and len(p) > 200_000:  # one long list: what is left stands for it
-                end = len(p) - reach
-            if end:
-                yield done(p.iloc[:end])
-            left = p.iloc[end:]
-        if left is not None and len(left):
-            yield done(left)
-        release_worker_memory()
 
-    dealt = rows.repartition(parts, "key", salt).sortWithinPartitions("key", salt, place, "sig")
-    return dealt.select("key", "sig", "m", *(["comp"] if turn else [])).mapInPandas(scan, "key long, a long, m long, b long")
+def lists(rows: DataFrame, salts: int) -> DataFrame:
+    """The posting rows of lists that hold two sets or more, with the list's hub (sig, n): the set of the smallest id,
+    which is a hash. Lists of hot tokens are dealt by salt, with a hub for each part, and stay whatever a part holds."""
+    w = Window.partitionBy("key", "salt")
+    salted = rows.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("sig"), F.lit(salts))).otherwise(0))
+    held = salted.withColumns({"hub": F.min(F.struct("sig", "n")).over(w), "last": F.max("sig").over(w)})
+    return held.where((F.col("hub.sig") != F.col("last")) | F.col("hot")).select("key", "sig", "n", "hot", "hub")
+
+
+def fits(n: Column, m: Column) -> Column:
+    """Whether sets of these sizes can link at all."""
+    return 5 * F.least(n, m) >= 4 * F.greatest(n, m)
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -330,7 +255,55 @@ def similar(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=bool)
 
 
-def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, max_broadcast: int = 1_000_000, max_rounds: int = 3) -> tuple[DataFrame, DataFrame, DataFrame]:
+def stars(live: DataFrame, nodes: DataFrame | None, salts: int, turn: int, max_broadcast: int) -> DataFrame:
+    """Pairs (a, b) to test: at most one for each component (each set at first), with the hub met in most lists, two at least."""
+    if nodes is None:
+        met = live.where((F.col("sig") != F.col("hub.sig")) & fits(F.col("n"), F.col("hub.n"))).select(F.col("sig").alias("c"), F.col("hub.sig").alias("h"), F.struct(F.col("sig").alias("a"), F.col("hub.sig").alias("b")).alias("pair"))
+    else:
+        mixed_up = lambda c: F.xxhash64(c, F.lit(turn))
+        heads = labelled(live, nodes, max_broadcast).groupBy("key", "comp").agg(F.min(F.struct(mixed_up("sig").alias("o"), "sig", "n")).alias("rep"), F.max("hot").alias("hot"))
+        w = Window.partitionBy("key", F.when(F.col("hot"), F.pmod(F.xxhash64("comp"), F.lit(salts))).otherwise(0))
+        held = heads.withColumn("hub", F.min(F.struct(mixed_up("comp").alias("o"), "comp", "rep")).over(w))
+        met = held.where((F.col("comp") != F.col("hub.comp")) & fits(F.col("rep.n"), F.col("hub.rep.n"))).select(F.col("comp").alias("c"), F.col("hub.comp").alias("h"), F.struct(F.col("rep.sig").alias("a"), F.col("hub.rep.sig").alias("b")).alias("pair"))
+    counted = met.groupBy("c", "h").agg(F.count("*").alias("times"), F.min("pair").alias("pair")).where("times >= 2")
+    best = counted.groupBy("c").agg(F.max(F.struct("times", "pair")).alias("best"))
+    return best.select(F.least("best.pair.a", "best.pair.b").alias("a"), F.greatest("best.pair.a", "best.pair.b").alias("b")).distinct()
+
+
+def labelled(live: DataFrame, nodes: DataFrame, max_broadcast: int) -> DataFrame:
+    """Posting rows (key, sig, n, hot) with comp, the component of the set."""
+    rows = live.select("key", "sig", "n", "hot").join(broadcast_if_small(nodes, max_broadcast), "sig", "left")
+    return rows.withColumn("comp", F.coalesce("comp", "sig"))
+
+
+def settled(rows: DataFrame, bound: int) -> DataFrame:
+    """Pairs of components (c < d) that may hold a link, from posting rows (key, sig, n, comp)."""
+    overlap = lambda n: F.least(F.lit(SHARED), F.ceil(n * 4 / 5)).cast("int")
+    share = F.floor(overlap(F.col("n")) / 2) + 1  # frequent tokens that a link without half of its tokens rare must share
+    found: DataFrame | None = None
+    for level in (1, 2, 3):
+        heads = stage(rows.groupBy("key", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "join-heads")
+        size = heads.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+        size = stage(size, "join-sizes")
+        short = heads.join(size if level == 3 else size.where(F.col("size") <= bound), "key", "left_semi")
+        other = short.select("key", F.col("comp").alias("d"), F.col("lo").alias("lo_d"), F.col("hi").alias("hi_d"))
+        near = (F.col("comp") < F.col("d")) & (5 * F.col("hi_d") >= 4 * F.col("lo")) & (5 * F.col("hi") >= 4 * F.col("lo_d"))
+        pairs = short.join(other, "key").where(near).groupBy(F.col("comp").alias("c"), "d").agg(F.count("*").alias("times"), F.min(F.least("lo", "lo_d")).alias("lo"))
+        if level == 1:
+            pairs = pairs.where(F.col("times") >= F.ceil(overlap(F.col("lo")) / 2))
+        pairs = stage(pairs.select("c", "d"), "join-open-pairs")
+        found = pairs if found is None else found.union(pairs)
+        long = size.where(F.col("size") > bound)
+        if level == 3 or long.isEmpty():
+            return found.distinct()
+        held = rows.join(long, "key", "left_semi").groupBy("sig").agg(F.first("n").alias("n"), F.first("comp").alias("comp"), F.sort_array(F.collect_set("key")).alias("keys"))
+        held = held.where(F.size("keys") >= (share if level == 1 else share * (share - 1) / 2))  # of combinations: as many as those tokens give
+        two = F.flatten(F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y))))
+        rows = held.select(F.explode(two).alias("key"), "sig", "n", "comp")
+    return found
+
+
+def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bound: int = 32, max_broadcast: int = 1_000_000, max_rounds: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(membership: doc_id, sig, n), (classes: sig, doc_id) and (nodes: sig, comp), comp the smallest sig that a class reaches."""
     spark = docs.sparkSession
     limit_batches(spark)
@@ -338,17 +311,13 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, ma
     members = seen.where("token is null").select("doc_id", "sig", "n")
     total = members.count()
     counts = seen.where("token is not null").groupBy("n", "token").agg(F.sum("cnt").alias("c"))
-    frequent = [(r.token, r.c) for r in counts.where((F.col("n") == 0) & (F.col("c") >= max(least, total // share))).collect()]
+    hot = [(r.token, r.c) for r in counts.where((F.col("n") == 0) & (F.col("c") >= max(least, total // share))).collect()]
     said = members.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     common = [(r.token, r.c) for r in counts.where((F.col("n") == 1) & (F.col("c") >= max(least, said // (2 * WORD_SHARE)))).collect()]  # at most 2 * WORD_SHARE
     classes = stage(members.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "join-classes")
-    maps = seen.where("sig is not null").select("doc_id", "sig", "bits").join(classes.select("doc_id", "sig", "n"), ["doc_id", "sig"]).select("sig", "n", "bits")
-
     salts = max(16, total // 100_000)
-    first = stage(scan_lists(postings(docs, frequent, common), salts), "join-lists")
-    live = first.where("b is null").select("key", F.col("a").alias("sig"), "m")
-    pairs = stage(first.where("b is not null").select("a", "b").distinct(), "join-pairs")
-    maps = stage(maps.join(broadcast_if_small(stage(live.select("sig").union(pairs.select("a")).union(pairs.select("b")).distinct(), "join-met"), max_broadcast), "sig", "left_semi").dropDuplicates(["sig"]), "join-maps")
+    live = stage(lists(postings(docs, hot, common), salts), "join-lists")
+    maps = stage(seen.where("n >= 4 and sig is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "join-maps")
     sets: DataFrame | None = None
 
     def may(x: pd.Series, y: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
@@ -374,16 +343,11 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, ma
         with arrow_rows(spark, 500):
             return stage(x.where(F.pandas_udf(similar, "boolean")("s", "t")).select("a", "b"), "join-links")
 
-    def left_over(still: DataFrame) -> DataFrame:
-        """Pairs that the bitmaps allow between all members of components that still share enough lists: one if neither
-        prefix is all rare, else SHARED (a link in a settled list is known by now, so none of these is). The larger
-        component of two stands in blocks of about 64 bitmaps, which each member of the other meets."""
-        heads = still.groupBy("key", "comp").agg(F.min(F.expr("m div 8")).alias("lo"), F.max(F.expr("m div 8")).alias("hi"), F.min(F.col("m") % 8 == FREQUENT).alias("only_low"), F.max(F.col("m") % 8 != RARE).alias("alone"))
-        other = heads.select("key", F.col("comp").alias("d"), F.col("lo").alias("lo_d"), F.col("hi").alias("hi_d"), F.col("only_low").alias("low_d"), F.col("alone").alias("alone_d"))
-        fits = (F.col("comp") < F.col("d")) & (5 * F.col("hi_d") >= 4 * F.col("lo")) & (5 * F.col("hi") >= 4 * F.col("lo_d")) & ~(F.col("only_low") & F.col("low_d"))
-        both = stage(heads.join(other, "key").where(fits).select(F.col("comp").alias("c"), "d", F.when(F.col("alone") & F.col("alone_d"), SHARED).otherwise(1).alias("shared")).groupBy("c", "d").agg(F.sum("shared").alias("shared")).where(F.col("shared") >= SHARED).select("c", "d"), "join-open-pairs")
-        seen_ids = both.select(F.col("c").alias("comp")).union(both.select("d")).distinct()
-        of_node = stage(maps.join(broadcast_if_small(nodes, max_broadcast), "sig", "left").withColumn("comp", F.coalesce("comp", "sig")).join(broadcast_if_small(stage(seen_ids, "join-open-ids"), max_broadcast), "comp", "left_semi"), "join-open-maps")
+    def members_of(both: DataFrame) -> DataFrame:
+        """Pairs of sets that the bitmaps allow between the components c and d. The larger one stands in blocks
+        of about 64 bitmaps, which each member of the other meets."""
+        ids = both.select(F.col("c").alias("comp")).union(both.select("d")).distinct()
+        of_node = stage(maps.join(broadcast_if_small(nodes, max_broadcast), "sig", "left").withColumn("comp", F.coalesce("comp", "sig")).join(broadcast_if_small(stage(ids, "join-open-ids"), max_broadcast), "comp", "left_semi"), "join-open-maps")
         counts = of_node.groupBy("comp").agg(F.count("*").alias("size"))
         sized = both.join(counts.withColumnRenamed("comp", "c").withColumnRenamed("size", "s_c"), "c").join(counts.withColumnRenamed("comp", "d").withColumnRenamed("size", "s_d"), "d")
         turned = sized.select(F.when(F.col("s_c") >= F.col("s_d"), F.col("c")).otherwise(F.col("d")).alias("big"), F.when(F.col("s_c") >= F.col("s_d"), F.col("d")).otherwise(F.col("c")).alias("small"))
@@ -397,8 +361,10 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, ma
         found = met.join(blocks, "big").select("y", F.pandas_udf(near, "array<long>")("sigs", "ns", "maps", "n_y", "bits_y").alias("xs")).where(F.size("xs") > 0)
         return found.select("y", F.explode("xs").alias("x")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
-    def merged(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    def merged(links: DataFrame) -> DataFrame:
         """nodes (sig, comp) with the components that links join made one."""
+        if nodes is None:
+            return stage(connected_components(links, "a", "b").select(F.col("node").alias("sig"), F.col("component").alias("comp")), "join-nodes")
         of = lambda c: nodes.select(F.col("sig").alias(c), F.col("comp").alias(f"{c}_comp"))
         e = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a_comp", "a").alias("x"), F.coalesce("b_comp", "b").alias("y"))
         joined = connected_components(e, "x", "y")
@@ -406,27 +372,19 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, ma
         best = known.join(joined, known["comp"] == joined["node"], "left").select("sig", F.coalesce("component", "comp").alias("comp"))
         return stage(best.groupBy("sig").agg(F.min("comp").alias("comp")), "join-nodes")
 
-    tested, links, tested_last = pairs, verified(pairs), 0
-    nodes = stage(connected_components(links, "a", "b").select(F.col("node").alias("sig"), F.col("component").alias("comp")), "join-nodes")
-    for turn in range(1, max_rounds + 2):
-        labelled = live.join(broadcast_if_small(nodes, max_broadcast), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
-        open_lists = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.col("m") % 8).alias("top")).where((F.col("lo") != F.col("hi")) & (F.col("top") != FREQUENT)).select("key")
-        open_lists = broadcast_if_small(stage(open_lists, "join-keys"), max_broadcast)
-        still = stage(labelled.join(open_lists, "key", "left_semi"), "join-open")
-        live = still.select("key", "sig", "m")
-        final = turn > max_rounds or links.count() * 100 <= tested_last  # few links among the last pairs: test all that are left
-        if not final:
-            fresh = scan_lists(still, salts, turn, 8 if turn == 1 else 32).where("b is not null").select("a", "b").distinct()
-        else:
-            with arrow_rows(spark, 200):
-                fresh = stage(left_over(still), "join-left-over")
-        fresh = stage(fresh.join(tested, ["a", "b"], "left_anti"), "join-pairs")
-        links, tested, tested_last = verified(fresh), tested.union(fresh), fresh.count()
-        if not links.isEmpty():
-            nodes = merged(nodes, links)
-        if final:
+    nodes: DataFrame | None = None
+    for turn in range(max_rounds):
+        pairs = stage(stars(live, nodes, salts, turn, max_broadcast), "join-pairs")
+        links = verified(pairs)
+        nodes = merged(links)
+        if links.count() * 20 <= pairs.count():  # few links among the last pairs: test all that are left
             break
-    return members, classes, nodes
+    if nodes is None:
+        nodes = stage(spark.createDataFrame([], "sig long, comp long"), "join-nodes")
+    both = stage(settled(labelled(live, nodes, max_broadcast), bound), "join-open-pairs")
+    with arrow_rows(spark, 200):
+        fresh = stage(members_of(both), "join-left-over")
+    return members, classes, merged(verified(fresh))
 
 
 def jaccard_components(docs: DataFrame, **how) -> DataFrame:

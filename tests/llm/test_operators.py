@@ -222,7 +222,7 @@ def test_ngram_join(spark, docs, texts):
 
 
 def test_ngram_join_finds_every_link_in_long_lists(spark):
-    """Without rounds of near neighbours, what shares long lists is left to the test of pairs of components."""
+    """Without rounds, and with lists of two components at most, nearly all links are left to combinations."""
     rng = random.Random(8)
     line = [f"w{rng.randint(0, 10**6)}" for _ in range(400)]
     shared = [f"p{i}" for i in range(40)]
@@ -232,10 +232,37 @@ def test_ngram_join_finds_every_link_in_long_lists(spark):
     texts += [" ".join(f"s{rng.randint(0, 1)}" for _ in range(n)) for n in (4, 5, 6, 7, 8, 9) for _ in range(8)]
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for how in ({"max_rounds": 0}, {"max_rounds": 0, "share": 1, "least": 10**6}):
+    for how in ({"max_rounds": 0}, {"max_rounds": 0, "bound": 2}, {"max_rounds": 1, "bound": 3, "share": 1, "least": 10**6}):
         assert by_row(ngram_join.jaccard_components(df, **how).collect(), "n_shingles", "component_id") == brute_components(rows)
 
 
+@pytest.mark.parametrize("n, hot", [(250_000, False), (199_999, True)])
+def test_ngram_join_keeps_all_of_a_long_list(spark, n, hot):
+    rows = spark.range(n).select(F.lit(5).cast("long").alias("key"), F.xxhash64("id").alias("sig"), F.lit(10).alias("n"), F.lit(hot).alias("hot"))
+    alone = spark.range(n, n + 50).select(F.col("id").alias("key"), F.xxhash64("id").alias("sig"), F.lit(10).alias("n"), F.lit(False).alias("hot"))
+    got = ngram_join.lists(rows.union(alone), 7)
+    assert got.count() == n and got.select("hub").distinct().count() == (7 if hot else 1)
+
+
+def test_ngram_join_prefixes_share_what_the_order_promises():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        n = int(rng.integers(4, 60))
+        a = np.unique(rng.integers(0, 10**9, n).astype(np.uint64))
+        b = a.copy()
+        for _ in range(int(rng.integers(0, max(1, len(a) // 8) + 1))):
+            b[rng.integers(0, len(b))] = rng.integers(0, 10**9)
+        b = np.unique(b)
+        both = len(np.intersect1d(a, b))
+        if len(a) < 4 or len(b) < 4 or 100 * both < 80 * (len(a) + len(b) - both):
+            continue
+        hot = np.sort(rng.choice(np.union1d(a, b), len(a) // 3, replace=False))
+        p, q = (ngram_join.prefix(x, hot, np.ones(len(hot), np.int64))[0] for x in (a, b))
+        assert len(np.intersect1d(p, q)) >= min(ngram_join.SHARED, ngram_join.required(max(len(a), len(b))))
+
+
 def test_line_dedup_deletes_only_what_an_earlier_place_holds(spark, docs, texts):
     passage = "This passage has more than enough words to be found. It holds several sentences of some length, too. And it is repeated in other documents."
     more = [(30_000, f"Own start here. {passage} Own end one."), (30_001, f"Different beginning follows. {passage}\nAnother end."), (30_002, passage), (30_003, "A clean document that nobody repeats.")]
