@@ -1,25 +1,29 @@
-r"""Line dedup by hashes of line runs (op 6, native).
+r"""Line dedup by winnowing over line hashes (op 6, native).
 
 A line is a stretch of text up to a newline or, as web text often holds whole pages in one physical
 line, up to the end of a sentence; its separators stay with it, so that the lines of a text joined are the
-text. Per document:
+text. Blank lines are left out of what follows, but go with a run that they lie in. Per document:
 
-1. keys: from every line on, and backwards from every line, the shortest run that has `least_chars` characters
-   gives a key, the hash of its lines. Blank lines are left out of runs, but go with a run that they lie in;
-2. first places: keys are aggregated to their first place (document, then position);
-3. deletion: a run whose key has an earlier place is deleted. The first occurrence stays.
+1. fingerprints: the smaller hash of every window of two neighbouring lines, and every line of `least_chars` characters.
+   A run of `least_chars` characters is a long line or holds a window, so each such run that stands twice has a
+   fingerprint that stands twice: none is missed;
+2. positions: fingerprints are counted, and joined back where they stand twice or more;
+3. extension: from the lines of such windows the match is extended forwards and backwards to the shortest run that has
+   `least_chars` characters, whose hash is a key; keys are aggregated to their first place (document, then position);
+4. deletion: a run whose key has an earlier place is deleted. The first occurrence stays.
 
 A stretch of lines of at least `least_chars` characters that an earlier place holds is covered by such runs: its
-first lines by the run forward from its start, all others by the runs backward from them. So none is missed,
+first lines by the run forward from its start, all others by the runs backward from them. So it goes whole,
 and neighbours that are repeated from different places are deleted only if each has a run of its own.
+Repeated runs of fewer characters stay.
 
-Only DataFrame functions are used. Hot lines are aggregated before the shuffle; the join back is a plain
-equi-join that adaptive execution splits; nothing is gathered by line, only by document.
+Only DataFrame functions are used. Hot lines are aggregated before the shuffle; the joins back are plain
+equi-joins that adaptive execution splits; nothing is gathered by line, only by document.
 
 Null texts stay null and empty texts empty; rows with a null doc_id are left as they are; rows that
 share a doc_id are one place, so they never delete each other's text, and repeated rows get the same
 result; ties of a hash go to the first position; empty tables give empty results; dedup_lines() returns
-its own columns and deduplicated() keeps all columns of its input. Lines are compared by 64-bit hashes.
+its own columns and deduplicated() keeps all columns of its input, whatever their names. Lines are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -39,39 +43,54 @@ def lines_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), BOUNDARY, -1), lambda x: x != "")
 
 
-def run_table(docs: DataFrame, least_chars: int) -> DataFrame:
-    """doc_id and r, the runs of the document: f (hash of the lines), at and to (first and last position)."""
+def line_table(docs: DataFrame) -> DataFrame:
+    """doc_id and, of its lines that are not blank, h (hashes), l (lengths) and at (positions)."""
     trimmed = F.transform(lines_of(F.col("text")), lambda x: F.btrim(x, F.lit(" \n\r\t")))
-    lines = F.transform(trimmed, lambda x, i: F.struct(F.xxhash64(x).alias("h"), F.length(x).alias("l"), i.alias("at")))
-    solid = let(F.filter(lines, lambda x: x["l"] > 0), lambda x: F.struct(x["h"].alias("h"), x["l"].alias("l"), x["at"].alias("at")))
-
-    def length(l: Column, i: Column, step: int) -> Column:
-        """Lines of the shortest run from i on (backwards for step -1); null where the text ends before."""
-        term = lambda k: F.when((i + step * k >= 0) & (i + step * k < F.size(l)), F.get(l, i + step * k))
-        total, found = term(0), F.when(term(0) >= least_chars, 1)
-        for k in range(1, 6):
-            total = total + term(k)
-            found = found.when(total >= least_chars, k + 1)
-        # a line has a character at least, so no run is longer than least_chars lines
-        rest = F.slice(l, i + 1, least_chars) if step > 0 else F.reverse(F.slice(l, F.greatest(i + 2 - least_chars, F.lit(1)), F.least(i + 1, F.lit(least_chars))))
-        zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("s"))
-        add = lambda a, x: F.struct((a["n"] + F.when(a["s"] < least_chars, 1).otherwise(0)).alias("n"), (a["s"] + x).alias("s"))
-        return found.when(total.isNotNull(), F.aggregate(rest, zero, add, lambda a: F.when(a["s"] >= least_chars, a["n"])))
-
-    def runs(b: Column) -> Column:
-        ahead = F.transform(indices(F.size(b["l"])), lambda i: F.struct(i.alias("i"), length(b["l"], i, 1).alias("n")))
-        back = F.transform(indices(F.size(b["l"])), lambda j: let(length(b["l"], j, -1), lambda n: F.struct((j - n + 1).alias("i"), n.alias("n"))))
-        both = F.array_distinct(F.filter(F.concat(ahead, back), lambda x: x["n"].isNotNull()))
-        return F.transform(both, lambda x: F.struct(F.xxhash64(F.slice(b["h"], x["i"] + 1, x["n"])).alias("f"), F.get(b["at"], x["i"]).alias("at"), F.get(b["at"], x["i"] + x["n"] - 1).alias("to")))
-
-    return docs.where("doc_id is not null").select("doc_id", let(solid, runs).alias("r"))
+    lines = F.filter(F.transform(trimmed, lambda x, i: F.struct(F.xxhash64(x).alias("h"), F.length(x).alias("l"), i.alias("at"))), lambda x: x["l"] > 0)
+    return docs.where("doc_id is not null").select("doc_id", lines.alias("x")).where(F.size("x") > 0).select("doc_id", F.col("x.h").alias("h"), F.col("x.l").alias("l"), F.col("x.at").alias("at"))
+
+
+def fingerprints(h: Column, l: Column, least_chars: int) -> Column:
+    """struct(f, i) of the lines that are the smaller one of a window of two, or long by themselves; i counts lines."""
+    lowest = lambda x, i: F.coalesce(x <= F.get(h, i + 1), F.lit(False)) | F.coalesce(x <= F.when(i > 0, F.get(h, i - 1)), F.lit(False)) | (F.get(l, i) >= least_chars)
+    marked = F.transform(h, lambda x, i: F.struct(x.alias("f"), i.alias("i"), lowest(x, i).alias("lowest")))
+    return F.filter(marked, lambda x: x["lowest"])
+
+
+def run_length(l: Column, i: Column, step: int, least_chars: int) -> Column:
+    """Lines of the shortest run of least_chars characters from line i on (backwards for step -1); null without one."""
+    at = lambda k: F.when((i + step * k >= 0) & (i + step * k < F.size(l)), F.get(l, i + step * k))
+    # a line has a character at least, so no run is longer than least_chars lines
+    rest = F.slice(l, i + 1, least_chars) if step > 0 else F.reverse(F.slice(l, F.greatest(i + 2 - least_chars, F.lit(1)), F.least(i + 1, F.lit(least_chars))))
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("s"))
+    add = lambda a, x: F.struct((a["n"] + F.when(a["s"] < least_chars, 1).otherwise(0)).alias("n"), (a["s"] + x).alias("s"))
+    longer = F.aggregate(rest, zero, add, lambda a: F.when(a["s"] >= least_chars, a["n"]))
+    two = at(0) + at(1)
+    return F.when(at(0) >= least_chars, 1).when(two >= least_chars, 2).when(two + at(2) >= least_chars, 3).otherwise(longer)
+
+
+def run_table(lines: DataFrame, least_chars: int) -> DataFrame:
+    """f (hash of the lines), doc_id, at and to (first and last position) of the runs that start or end in a window whose
+    fingerprint stands twice, from lines with the array `met` of such fingerprints' lines."""
+    runs_from = lambda starts, step: F.transform(starts, lambda i: let(run_length(F.col("l"), i, step, least_chars), lambda n: (i if step > 0 else i - n + 1).cast("long") * 1024 + n))
+    inside = lambda starts: F.array_distinct(F.filter(starts, lambda i: (i >= 0) & (i < F.size("l"))))
+    ahead = inside(F.concat("met", F.transform("met", lambda i: i - 1)))
+    back = inside(F.concat("met", F.transform("met", lambda i: i + 1)))
+    both = F.array_distinct(F.filter(F.concat(runs_from(ahead, 1), runs_from(back, -1)), lambda x: x.isNotNull()))  # of longs: a hash set
+    first, size = F.shiftright("run", 10).cast("int"), (F.col("run") % 1024).cast("int")
+    held = lines.select("doc_id", "h", "at", F.explode(both).alias("run"))
+    return held.select(F.xxhash64(F.slice("h", first + 1, size)).alias("f"), "doc_id", F.get("at", first).alias("at"), F.get("at", first + size - 1).alias("to"))
 
 
 def repeated_lines(docs: DataFrame, *, least_chars: int = 100) -> DataFrame:
-    """(doc_id, gone): positions of the lines to delete, sorted; documents without any are left out."""
-    runs = stage(run_table(docs, least_chars), "line-runs").select("doc_id", F.explode("r").alias("r")).select("doc_id", "r.*")
+    """(doc_id, gone): positions of the lines to delete, sorted; documents without any are left out. least_chars below 1024."""
+    lines = stage(line_table(docs).withColumn("prints", fingerprints(F.col("h"), F.col("l"), least_chars)), "line-hashes")
+    prints = lines.select("doc_id", F.explode("prints").alias("p")).select("doc_id", "p.f", "p.i")
+    twice = stage(prints.groupBy("f").agg(F.count("*").alias("n")).where("n > 1").select("f"), "line-prints")  # a table of its own, so that the join back can split a hot line
+    met = stage(prints.join(twice, "f").groupBy("doc_id").agg(F.array_sort(F.collect_set("i")).alias("met")), "line-met")
+    runs = stage(run_table(lines.select("doc_id", "h", "l", "at").join(met, "doc_id"), least_chars), "line-runs")
     first = runs.groupBy("f").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("f", F.col("first.doc_id").alias("doc0"), F.col("first.at").alias("at0"))
-    first = stage(first, "line-first")  # a table of its own, so that the join back can split a hot run
+    first = stage(first, "line-first")
     later = runs.join(first, "f").where("doc_id <> doc0 or at <> at0")
     spans = F.array_distinct(F.flatten(F.transform(F.collect_list(F.struct("at", "to")), lambda x: F.sequence(x["at"], x["to"]))))
     return later.groupBy("doc_id").agg(F.array_sort(spans).alias("gone"))
@@ -86,31 +105,37 @@ def without_lines(text: Column, gone: Column) -> Column:
     return let(lines_of(text), kept)
 
 
-def _edited(docs: DataFrame, max_broadcast: int, **how) -> tuple[DataFrame, DataFrame]:
-    """Rows that stay as they are, and rows to edit with the struct column `edit_`."""
-    gone = stage(repeated_lines(docs, **how), "lines-gone").select(F.col("doc_id").alias("edit_id_"), F.col("gone").alias("edit_"))
-    ids = broadcast_if_small(gone.select("edit_id_"), max_broadcast)
-    match = docs["doc_id"] == ids["edit_id_"]
-    rest = docs.join(ids, match, "left_anti")
-    ids = broadcast_if_small(gone.select("edit_id_"), max_broadcast)
-    changed = docs.join(ids, docs["doc_id"] == ids["edit_id_"], "left_semi")
-    return rest, changed.join(gone, changed["doc_id"] == gone["edit_id_"]).drop("edit_id_")
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that docs does not have."""
+    while name.lower() in [c.lower() for c in docs.columns]:
+        name += "_"
+    return name
+
+
+def _edited(docs: DataFrame, max_broadcast: int, **how) -> tuple[DataFrame, DataFrame, str]:
+    """Rows that stay as they are, rows to edit, and the name of their column of positions to delete."""
+    key, edit = unused(docs, "edit_id"), unused(docs, "edit")
+    gone = stage(repeated_lines(docs, **how), "lines-gone").select(F.col("doc_id").alias(key), F.col("gone").alias(edit))
+    ids = broadcast_if_small(gone.select(key), max_broadcast)
+    rest = docs.join(ids, docs["doc_id"] == ids[key], "left_anti")
+    changed = docs.join(ids, docs["doc_id"] == ids[key], "left_semi")
+    return rest, changed.join(gone, changed["doc_id"] == gone[key]).drop(key), edit
 
 
 def dedup_lines(docs: DataFrame, *, max_broadcast: int = 1_000_000, **how) -> DataFrame:
     """doc_id, n_lines, n_removed, removed_chars and text (what is left) for every row of docs."""
-    rest, changed = _edited(docs.select("doc_id", "text"), max_broadcast, **how)
+    rest, changed, edit = _edited(docs.select("doc_id", "text"), max_broadcast, **how)
     size = lambda: F.size(lines_of(F.col("text"))).cast("long").alias("n_lines")
     kept = rest.select("doc_id", size(), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("removed_chars"), "text")
-    left = changed.select("doc_id", size(), F.size("edit_").cast("long").alias("n_removed"), F.length("text").alias("was"), without_lines(F.col("text"), F.col("edit_")).alias("text"))
+    left = changed.select("doc_id", size(), F.size(edit).cast("long").alias("n_removed"), F.length("text").alias("was"), without_lines(F.col("text"), F.col(edit)).alias("text"))
     return kept.unionByName(left.select("doc_id", "n_lines", "n_removed", (F.col("was") - F.length("text")).cast("long").alias("removed_chars"), "text"))
 
 
 def deduplicated(docs: DataFrame, *, max_broadcast: int = 1_000_000, **how) -> DataFrame:
     """docs with repeated runs deleted from text and n_chars, where there is one, brought up to date;
     documents that consist of repeats altogether are dropped."""
-    rest, changed = _edited(docs, max_broadcast, **how)
-    left = changed.withColumn("text", without_lines(F.col("text"), F.col("edit_"))).drop("edit_").where(F.length(F.btrim("text", F.lit(" \n\r\t"))) > 0)
+    rest, changed, edit = _edited(docs, max_broadcast, **how)
+    left = changed.withColumn("text", without_lines(F.col("text"), F.col(edit))).drop(edit).where(F.length(F.btrim("text", F.lit(" \n\r\t"))) > 0)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return rest.unionByName(left.select(*rest.columns))

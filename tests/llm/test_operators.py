@@ -272,23 +272,52 @@ def test_line_dedup_deletes_only_what_an_earlier_place_holds(spark, docs, texts)
     new = {r.doc_id: r for r in got}
     assert passage in new[30_000].text and passage not in new[30_001].text and new[30_002].text == ""
     assert new[30_001].text.strip() == "Different beginning follows. Another end." and new[30_003].n_removed == 0
+    kept = linededup.deduplicated(docs.withColumns({"edit": F.lit(1), "edit_id": F.lit(2)}))
+    assert kept.columns == [*docs.columns, "edit", "edit_id"] and kept.where("doc_id is null").count() == 1
+
+
+def test_line_dedup_equals_brute_force_on_the_table(spark, docs, texts):
+    """All runs of least_chars characters, keyed by their lines in a dictionary; documents with several rows left aside."""
     split = lambda t: [x for x in re.split(r"(?<=\n)|(?<=[.!?] )", t or "") if x]
-    places = collections.defaultdict(list)
-    for d, t in [x for x in texts if x[0] is not None] + more:
-        for i, x in enumerate(split(t)):
-            places[x.strip(" \n\r\t")].append((d, i))
-    for r in got:
-        old = dict(more).get(r.doc_id, next((t for d, t in texts if d == r.doc_id), None))
-        assert r.n_lines == len(split(old))
-        if r.n_removed:
-            left, at = split(old), 0
-            for i, x in enumerate(left):
-                if r.text.startswith(x, at) and not (min(places[x.strip(" \n\r\t")]) < (r.doc_id, i) and r.text[at:] != "".join(left[i:]) and False):
-                    at += len(x)
-                else:
-                    assert min(places[x.strip(" \n\r\t")]) < (r.doc_id, i)
-    kept = linededup.deduplicated(docs)
-    assert kept.columns == docs.columns and kept.where("doc_id is null").count() == 1
+    own = {d: split(t) for d, t in texts if d not in (None, 10_001)}
+    places, runs = {}, collections.defaultdict(list)
+    for d, lines in sorted(own.items()):
+        solid = [(i, x.strip(" \n\r\t")) for i, x in enumerate(lines) if x.strip(" \n\r\t")]
+        for i in range(len(solid)):
+            n = size = 0
+            while i + n < len(solid) and size < 100:
+                size += len(solid[i + n][1])
+                n += 1
+            m = n
+            while m > 1 and size - len(solid[i + n - m][1]) >= 100:  # the shortest run that ends there, too
+                size -= len(solid[i + n - m][1])
+                m -= 1
+            if size >= 100:
+                for a in {i, i + n - m}:
+                    runs[d].append((solid[a][0], solid[i + n - 1][0], tuple(x for _, x in solid[a : i + n])))
+        for j in range(len(solid)):
+            m = size = 0
+            while m <= j and size < 100:
+                size += len(solid[j - m][1])
+                m += 1
+            if size >= 100:
+                runs[d].append((solid[j - m + 1][0], solid[j][0], tuple(x for _, x in solid[j - m + 1 : j + 1])))
+    for d in sorted(runs):
+        for at, _, key in sorted(runs[d]):
+            places.setdefault(key, (d, at))
+    want = {}
+    for d, lines in own.items():
+        gone = {k for at, to, key in runs[d] if places[key] < (d, at) for k in range(at, to + 1)}
+        want[d] = ("".join(x for i, x in enumerate(lines) if i not in gone), len(lines), len(gone))
+    df = docs.where("doc_id is not null and doc_id <> 10001")
+    got = {r.doc_id: (r.text or "", r.n_lines, r.n_removed) for r in linededup.dedup_lines(df).collect()}
+    assert got == want and sum(n > 0 for _, _, n in want.values()) > 10
+
+
+def test_line_dedup_of_runs_whose_lines_stand_alone_before(spark):
+    a, b, c = (f"This is the line {x} with some fifty characters in all.\n" for x in "abc")
+    assert gone_lines(spark, [(1, c), (2, a + c + b), (3, a + c + b)]) == {3: {0, 1, 2}}
+    assert gone_lines(spark, [(1, a), (2, b), (3, c), (4, a + b + c)]) == {}
 
 
 def gone_by_brute_force(texts, least=100):
