@@ -1,21 +1,28 @@
 """Benchmark decontamination by training suffix arrays (op 5).
 
 The training texts are cut into shards (runs of whole documents inside a task). For each shard a suffix array
-over words is built, ordered by the first `window` words, and every benchmark suffix is found in it by
-binary search; suffixes that start with a word no benchmark has are left out, as nothing can match them.
-A hit marks all words of the window. The benchmark is the stated query set: it is read in blocks of a bounded
-size, each broadcast by itself, and every block meets all rows.
+over words is built, and every benchmark suffix is found in it by binary search on its first `window` words; suffixes
+that start with a word no benchmark has are left out, as nothing can match them. A hit marks all words of the window.
+Hits are then extended: the matched suffixes of shard and benchmark are ordered together by doubling their
+matched length, and a suffix's neighbours of the other kind in that order give its longest verbatim match. So
+the longest match of a document is one stretch of one item, with its place in both.
+
+The benchmark is the stated query set: it is read in blocks of a bounded size, the index of each block is built once, on
+the driver, and sent by itself; every block meets all rows, one at a time.
 
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z. An item of fewer words than the
 window is one window; an item without words matches nothing. Null and empty texts have no words and no
 hits. Repeated rows and repeated windows are reported alike for each. Empty tables give no
 rows, or rows without hits. Null item ids are not reported but their words still hit. Extra columns are
-not read by decontaminate() and pass through drop_contaminated().
+not read by decontaminate() and pass through drop_contaminated(). Of several longest matches the first place in
+the document counts, then the smallest item id as a string (null last), then the first place in the item.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,10 +30,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.runtime import limit_batches
+from spotweave.runtime import limit_batches, release_worker_memory, stage
 
 _TABLE = bytes((c + 32 if 0x41 <= c <= 0x5A else c) if (0x30 <= c <= 0x39 or 0x41 <= c <= 0x5A or 0x61 <= c <= 0x7A or c >= 0x80) else 0x20 for c in range(256))
-RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, longest long, longest_at long"
+RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, longest long, longest_at long, longest_item string, longest_item_at long"
+NO_MATCH = (0, -1, None, -1)
 
 
 def words(text: str | None) -> list[bytes]:
@@ -117,53 +125,114 @@ class QueryBlock:
                         owners.add(item)
         self.by_length: dict[int, np.ndarray] = {}
         self.owners: dict[int, list[frozenset]] = {}
+        number: dict[tuple[int, ...], int] = {}
         shared: dict[frozenset, frozenset] = {}
         for n in sorted({len(k) for k in found}):
             keys = sorted(k for k in found if len(k) == n)
             self.by_length[n] = np.array([k + (0,) * (window - n) for k in keys], np.int64)
             self.owners[n] = [shared.setdefault(f := frozenset(found[k]), f) for k in keys]
+            if n == window:
+                number = {k: i + 1 for i, k in enumerate(keys)}
+        #: The benchmark as window numbers, a zero after each item, and for each window number in it the item and the place.
+        row, self.where = [], []
+        for item, ws in split:
+            ids = tuple(self.vocabulary[w] for w in ws)
+            for k in range(len(ids) - window + 1):
+                row.append(number[ids[k : k + window]])
+                self.where.append((item, k))
+            row.append(0)
+            self.where.append((None, -1))
+        self.row = np.array(row, np.int64)
 
-    def search(self, documents: list[list[bytes]]) -> tuple[list[np.ndarray], list[set]]:
-        """For each document: hit flags of its words, and the items whose windows occur."""
+    def search(self, documents: list[list[bytes]]) -> tuple[list[np.ndarray], list[set], list[tuple]]:
+        """For each document: hit flags of its words, the items whose windows occur, and the longest match."""
         get, sizes = self.vocabulary.get, [len(d) for d in documents]
         total = sum(sizes) + len(documents)
         ids = np.fromiter((x for d in documents for x in (*[get(w, 0) for w in d], 0)), np.int64, total)
         begin = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64) + 1)])
         items: list[set] = [set() for _ in documents]
+        best = [NO_MATCH] * len(documents)
         change = np.zeros(total + self.window + 1, np.int64)
+        number = np.zeros(total, np.int64)  # of the window that starts at a word
         if self.by_length:
             shard = Shard(ids, self.window, self.bits)
             for n, windows in self.by_length.items():
                 lo, hi = shard.find(windows, n)
                 for w in np.flatnonzero(hi > lo):
-                    at = shard.suffixes[lo[w] : hi[w]]
+                    at = np.sort(shard.suffixes[lo[w] : hi[w]])
                     np.add.at(change, at, 1)
                     np.add.at(change, at + n, -1)
-                    if owners := self.owners[n][w]:
-                        for d in np.unique(np.searchsorted(begin, at, "right") - 1):
-                            items[d] |= owners
+                    owners = self.owners[n][w]
+                    docs, first = np.unique(np.searchsorted(begin, at, "right") - 1, return_index=True)
+                    for d, p in zip(docs, at[first], strict=True):
+                        items[d] |= owners
+                        if n < self.window:
+                            best[d] = better(best[d], (n, int(p - begin[d]), min(owners, default=None), 0))
+                    if n == self.window:
+                        number[at] = w + 1
+        for d, match in self.extended(number, begin):
+            best[d] = better(best[d], match)
         hit = np.cumsum(change)[:total] > 0
-        return [hit[begin[i] : begin[i] + sizes[i]] for i in range(len(documents))], items
+        return [hit[begin[i] : begin[i] + sizes[i]] for i in range(len(documents))], items, best
+
+    def extended(self, number: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, tuple]]:
+        """(document, its longest match) from the numbers of the windows that start at each word."""
+        at = np.flatnonzero(number)
+        if not len(at):
+            return
+        query = np.flatnonzero(np.isin(self.row, np.unique(number[at])))
+        place = np.concatenate([at, query + len(number) + 1])
+        ends = np.append(np.flatnonzero(np.diff(place) != 1), len(place) - 1)
+        left = ends[np.searchsorted(ends, np.arange(len(place)))] - np.arange(len(place)) + 1  # windows in a row from here on
+        rank = np.concatenate([number[at], self.row[query]])
+        levels, step = [rank], 1
+        while step < left.max():
+            later = np.where(left > step, rank[np.minimum(np.arange(len(place)) + step, len(place) - 1)], 0)
+            rank = np.unique(rank * (rank.max() + 1) + later, return_inverse=True)[1] + 1
+            levels.append(rank)
+            step *= 2
 
+        def in_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            """Windows that the suffixes a and b share from their start."""
+            total, live = np.zeros(len(a), np.int64), np.ones(len(a), bool)
+            for j in range(len(levels) - 1, -1, -1):
+                same = live & (levels[j][a] == levels[j][b])
+                gain = np.where(same, np.minimum(1 << j, left[a]), 0)
+                live &= ~(same & (left[a] <= 1 << j))
+                total += gain
+                live &= (left[a] > gain) & (left[b] > gain)
+                a, b = np.where(live, a + gain, a), np.where(live, b + gain, b)
+            return total
 
-def longest_run(flags: np.ndarray) -> tuple[int, int]:
-    """Length and first word of the longest stretch of matched words; (0, -1) without one."""
-    if not flags.any():
-        return 0, -1
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-    size = edges[1::2] - edges[::2]
-    return int(size.max()), int(edges[::2][size.argmax()])
+        mine, theirs = np.arange(len(at)), np.arange(len(at), len(place))
+        theirs = theirs[np.argsort(rank[theirs], kind="stable")]
+        near = np.searchsorted(rank[theirs], rank[mine])
+        shared = np.maximum(in_common(mine, theirs[np.minimum(near, len(theirs) - 1)]), in_common(mine, theirs[np.maximum(near - 1, 0)]))
+        doc = np.searchsorted(begin, at, "right") - 1
+        for first, last in zip(*(lambda x: (x, np.append(x[1:], len(doc))))(np.flatnonzero(np.diff(doc, prepend=-1))), strict=True):
+            p = first + int(np.argmax(shared[first:last]))
+            equal = theirs[in_common(np.full(len(theirs), p), theirs) == shared[p]]
+            item, k = min((self.where[query[q - len(at)]] for q in equal), key=lambda x: (x[0] is None, x))
+            yield int(doc[p]), (int(shared[p]) + self.window - 1, int(at[p] - begin[doc[p]]), item, k)
+
+
+def better(x: tuple, y: tuple) -> tuple:
+    """The longer match, of equal ones the one that comes first."""
+    return min(x, y, key=lambda m: (-m[0], m[1], m[2] is None, m[2] or "", m[3]))
 
 
 def query_blocks(spark: SparkSession, benchmark: DataFrame, window: int, block_chars: int) -> list:
-    """One broadcast for each block of items; blocks are dealt by a hash of the text and hold about block_chars characters."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
+    """One broadcast, the compressed index, for each block of items; blocks are dealt by a hash and hold about block_chars characters."""
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").distinct()
     total = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n = max(1, -(-int(total) // block_chars))
+    if n > 1:
+        rows = stage(rows, "benchmark")
     out = []
     for b in range(n):
         part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b)
-        out.append(spark.sparkContext.broadcast([(r.item, r.text) for r in part.collect()]))
+        index = QueryBlock(sorted(((r.item, r.text) for r in part.collect()), key=repr), window)
+        out.append(spark.sparkContext.broadcast(zlib.compress(pickle.dumps(index), 1)))
     return out
 
 
@@ -174,21 +243,25 @@ def contamination(spark: SparkSession, benchmark: DataFrame, text: Column, *, wi
 
     @F.pandas_udf(RESULT)
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        only = QueryBlock(blocks[0].value, window) if len(blocks) == 1 else None
+        index: list = [None, None]  # number of the block that is unpacked, and the block: one at a time
+
+        def unpacked(b: int) -> QueryBlock:
+            if index[0] != b:
+                index[:] = [None, None]
+                index[:] = [b, pickle.loads(zlib.decompress(blocks[b].value))]
+            return index[1]
 
         def shard(documents: list[list[bytes]]) -> list[tuple]:
             flags = [np.zeros(len(d), bool) for d in documents]
             items: list[set] = [set() for _ in documents]
-            for b in blocks:
-                query = only or QueryBlock(b.value, window)
-                hits, found = query.search(documents)
-                for i, (h, f) in enumerate(zip(hits, found, strict=True)):
+            best = [NO_MATCH] * len(documents)
+            for b in range(len(blocks)):
+                hits, found, longest = unpacked(b).search(documents)
+                for i, (h, f, m) in enumerate(zip(hits, found, longest, strict=True)):
                     flags[i] |= h
                     items[i] |= f
-                if only is None:
-                    del query
-                    b.__dict__.pop("_value", None)  # one block in memory at a time; read again from the executor's file
-            return [(len(d), int(f.sum()), len(i), hashlib.sha256(",".join(sorted(i)).encode()).hexdigest(), *longest_run(f)) for d, f, i in zip(documents, flags, items, strict=True)]
+                    best[i] = better(best[i], m)
+            return [(len(d), int(f.sum()), len(i), hashlib.sha256(",".join(sorted(i)).encode()).hexdigest(), *m) for d, f, i, m in zip(documents, flags, items, best, strict=True)]
 
         for texts in batches:
             out, held, size = [], [], 0
@@ -200,15 +273,17 @@ def contamination(spark: SparkSession, benchmark: DataFrame, text: Column, *, wi
                     held, size = [], 0
             out += shard(held)
             yield pd.DataFrame(out, columns=[c.split()[0] for c in RESULT.split(", ")])
+        index[:] = [None, None]
+        release_worker_memory()
 
     return scan(text)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the longest matched stretch
-    with its place (in words) for every row of docs."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the longest verbatim match with its place
+    (in words) and its item and place there for every row of docs."""
     found = docs.select("doc_id", contamination(docs.sparkSession, benchmark, F.col("text"), **how).alias("c")).select("doc_id", "c.*")
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"), "longest", "longest_at")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"), "longest", "longest_at", "longest_item", "longest_item_at")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:

@@ -101,30 +101,44 @@ def words(t):
 
 
 def brute_hits(texts, items, window=10):
-    found = collections.defaultdict(set)
-    for i, t in items:
-        w = words(t)
+    found, split = collections.defaultdict(set), [(i, words(t)) for i, t in items]
+    for i, w in split:
         for k in range(max(1, len(w) - window + 1) if w else 0):
             found[tuple(w[k : k + window])].add(i)
+    places = collections.defaultdict(list)
+    for i, w in split:
+        for k in range(max(1, len(w) - window + 1) if w else 0):
+            places[tuple(w[k : k + window])].append((i, w, k))
     out = collections.Counter()
     for d, t in texts:
-        w, hit, owners = words(t), set(), set()
+        w, hit, owners, best = words(t), set(), set(), []
         for n in {len(k) for k in found}:
             for k in range(len(w) - n + 1):
                 if o := found.get(tuple(w[k : k + n])):
                     hit |= set(range(k, k + n))
                     owners |= o
-        out[(d, len(w), len(hit), len(owners), hashlib.sha256(",".join(sorted(owners)).encode()).hexdigest(), bool(hit))] += 1
+                    for i, x, j in places[tuple(w[k : k + n])]:
+                        m = n
+                        while n == window and k + m < len(w) and j + m < len(x) and w[k + m] == x[j + m]:
+                            m += 1
+                        best.append((-m, k, i, j))
+        longest, at, item, place = min(best, default=(0, -1, None, -1))
+        out[(d, len(w), len(hit), len(owners), hashlib.sha256(",".join(sorted(owners)).encode()).hexdigest(), bool(hit), -longest, at, item, place)] += 1
     return out
 
 
 @pytest.mark.parametrize("block_chars", [20_000_000, 3000])
 def test_decontamination(spark, sf, docs, texts, block_chars):
-    items = read(spark, sf, "benchmark").select("item_id", "text").union(spark.createDataFrame([(900, "x x"), (901, None), (902, "Word " * 12)], "item_id long, text string"))
-    want = brute_hits(texts, [(str(r.item_id), r.text) for r in items.collect()])
-    got = decontam.decontaminate(docs, items, block_chars=block_chars, shard_words=5000).collect()
-    assert by_row(got, "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == want
-    kept = decontam.drop_contaminated(docs, items)
+    letters = lambda a, n: " ".join(f"q{i}" for i in range(a, a + n))
+    odd = [(900, "x x"), (901, None), (902, "Word " * 12), (903, letters(0, 10)), (904, letters(20, 10)), (905, letters(0, 40)), (905, letters(0, 40)), (906, f"{letters(0, 15)} {letters(0, 25)}")]
+    items = read(spark, sf, "benchmark").select("item_id", "text").union(spark.createDataFrame(odd, "item_id long, text string"))
+    more = [(40_000, f"{letters(0, 10)} {letters(20, 10)}"), (40_001, f"a {letters(0, 14)} b {letters(2, 17)} c {letters(5, 30)}"), (40_002, f"{letters(0, 10)} {letters(0, 10)} {letters(0, 10)}")]
+    df = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True)
+    want = brute_hits(texts + more, [(str(r.item_id), r.text) for r in items.collect()])
+    got = decontam.decontaminate(df, items, block_chars=block_chars, shard_words=5000).collect()
+    assert by_row(got, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest", "longest_at", "longest_item", "longest_item_at") == want
+    assert {r.doc_id: r.longest for r in got}[40_000] == 10
+    kept = decontam.drop_contaminated(df, items)
     assert kept.columns == docs.columns
     assert kept.count() == sum(n for k, n in want.items() if not k[5])
 
