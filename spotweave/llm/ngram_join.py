@@ -8,16 +8,18 @@ A document's set is its distinct five-word shingles (as 64-bit hashes); two docu
 2. `postings`: one global order of tokens, those with the rarest words first and hot ones last. A set of n shingles
    that must share r = ceil(0.8 n) has the extended prefix of n - r + k shingles, k = min(8, r); two linked sets share
    at least k tokens there. Every prefix token is indexed by itself at first.
-3. Rounds (`stars`): each list has one hub, each set is paired with the hub that it meets in most lists (one
+3. Rounds (`stars`): each list has a hub, each set is paired with the hub that it meets in most lists (one
    pair for a set at most), pairs are verified exactly, and linked sets become one component. From then on a list counts
-   components, not sets, so a group of near copies of any size soon is one entry of its lists.
+   components, not sets, and further rounds pair those of long lists with a few hubs; so a group of near copies of any size
+   soon is one entry, or few, of its lists.
 4. `settled`: a list of at most `bound` components holds a rare token: its pairs of components are counted, and
    those that share half of k rare tokens or more are kept. A list of more components holds a frequent token. Sets
-   that could share the other half of k in frequent tokens alone are indexed again by combinations of two of them, and where
-   such a list still is too long, by combinations of those. So no link between components is lost, and
-   the pairs of a list are bounded by a constant. Only sets that share combinations of four with more than `bound` other
-   components would be paired without that bound.
-5. Kept pairs of components are tested member by member, first by bitmaps in blocks, then exactly.
+   that could share the other half of k in frequent tokens alone are indexed again by combinations of two of them, and
+   pairs come from the lists of at most `bound` components. So the pairs of a list are bounded by a constant.
+   Kept pairs of components are tested member by member, first by bitmaps, then exactly.
+5. `families`: what meets in longer lists of combinations, or has too many frequent tokens for these, is
+   gathered in families, whose sets are compared by bitmaps in pairs of blocks; only what the bitmaps allow becomes a row. So
+   no link between components is lost.
 
 Lists of hot tokens are split by salt, classes keep copies out of the join, and nothing of the size of the
 corpus reaches the driver; the hot shingles are at most 2000 times the mean set size.
@@ -45,6 +47,8 @@ from spotweave.runtime import arrow_rows, broadcast_if_small, limit_batches, rel
 N = 5
 CHUNK_DOCS, CHUNK_TOKENS, LEAST_LOCAL = 4096, 1_000_000, 3
 WORD_SHARE = 50_000  # words of a share of 1 / WORD_SHARE of a chunk or more are common: at most as many in a chunk
+MAX_COMBINED = 16  # frequent tokens of a prefix up to which they are indexed by combinations of two
+HUBS = 8  # of a list, in each turn after the first
 SHARED = 8  # prefix tokens that two linked sets share, or all that the smaller overlap allows
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -98,8 +102,8 @@ def class_id(s: np.ndarray) -> int:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """Two bits or more for each shingle, a power of two in all; the low bits of a shingle are its place."""
-    m = max(64, 1 << (2 * len(s) - 1).bit_length())
+    """Four bits or more for each shingle, a power of two in all; the low bits of a shingle are its place."""
+    m = max(64, 1 << (4 * len(s) - 1).bit_length())
     flags = np.zeros(m, np.uint8)
     flags[(s & np.uint64(m - 1)).astype(np.int64)] = 1
     return np.packbits(flags, bitorder="little").tobytes()
@@ -255,19 +259,22 @@ def similar(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=bool)
 
 
-def stars(live: DataFrame, nodes: DataFrame | None, salts: int, turn: int, max_broadcast: int) -> DataFrame:
-    """Pairs (a, b) to test: at most one for each component (each set at first), with the hub met in most lists, two at least."""
+def stars(live: DataFrame, nodes: DataFrame | None, salts: int, turn: int, bound: int, max_broadcast: int) -> DataFrame:
+    """Pairs (a, b) to test, of sets that meet in two lists or more. At first a set is paired with the hub that it meets
+    in most lists; in later turns a component is paired with the hubs of the lists of more than bound components, HUBS in each."""
     if nodes is None:
-        met = live.where((F.col("sig") != F.col("hub.sig")) & fits(F.col("n"), F.col("hub.n"))).select(F.col("sig").alias("c"), F.col("hub.sig").alias("h"), F.struct(F.col("sig").alias("a"), F.col("hub.sig").alias("b")).alias("pair"))
+        met = live.where((F.col("sig") != F.col("hub.sig")) & fits(F.col("n"), F.col("hub.n"))).groupBy("sig", "hub.sig").agg(F.count("*").alias("times")).toDF("a", "b", "times")
+        pairs = met.where("times >= 2").groupBy("a").agg(F.max(F.struct("times", "b")).alias("best")).select("a", "best.b")
     else:
-        mixed_up = lambda c: F.xxhash64(c, F.lit(turn))
+        mixed_up = lambda c, j=0: F.xxhash64(c, F.lit(HUBS * turn + j))
         heads = labelled(live, nodes, max_broadcast).groupBy("key", "comp").agg(F.min(F.struct(mixed_up("sig").alias("o"), "sig", "n")).alias("rep"), F.max("hot").alias("hot"))
         w = Window.partitionBy("key", F.when(F.col("hot"), F.pmod(F.xxhash64("comp"), F.lit(salts))).otherwise(0))
-        held = heads.withColumn("hub", F.min(F.struct(mixed_up("comp").alias("o"), "comp", "rep")).over(w))
-        met = held.where((F.col("comp") != F.col("hub.comp")) & fits(F.col("rep.n"), F.col("hub.rep.n"))).select(F.col("comp").alias("c"), F.col("hub.comp").alias("h"), F.struct(F.col("rep.sig").alias("a"), F.col("hub.rep.sig").alias("b")).alias("pair"))
-    counted = met.groupBy("c", "h").agg(F.count("*").alias("times"), F.min("pair").alias("pair")).where("times >= 2")
-    best = counted.groupBy("c").agg(F.max(F.struct("times", "pair")).alias("best"))
-    return best.select(F.least("best.pair.a", "best.pair.b").alias("a"), F.greatest("best.pair.a", "best.pair.b").alias("b")).distinct()
+        names = [f"hub_{j}" for j in range(HUBS)]
+        long = heads.withColumns({"size": F.count("*").over(w), **{c: F.min(F.struct(mixed_up("comp", j).alias("o"), "comp", "rep")).over(w) for j, c in enumerate(names)}}).where((F.col("size") > bound) | F.col("hot"))
+        held = long.select("comp", "rep", F.explode(F.array(*names)).alias("hub"))
+        met = held.where((F.col("comp") != F.col("hub.comp")) & fits(F.col("rep.n"), F.col("hub.rep.n"))).select("comp", F.col("hub.comp").alias("h"), F.struct(F.col("rep.sig").alias("a"), F.col("hub.rep.sig").alias("b")).alias("pair"))
+        pairs = met.groupBy("comp", "h").agg(F.count("*").alias("times"), F.min("pair").alias("pair")).where("times >= 2").select("pair.a", "pair.b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def labelled(live: DataFrame, nodes: DataFrame, max_broadcast: int) -> DataFrame:
@@ -276,31 +283,79 @@ def labelled(live: DataFrame, nodes: DataFrame, max_broadcast: int) -> DataFrame
     return rows.withColumn("comp", F.coalesce("comp", "sig"))
 
 
-def settled(rows: DataFrame, bound: int) -> DataFrame:
-    """Pairs of components (c < d) that may hold a link, from posting rows (key, sig, n, comp)."""
+def settled(rows: DataFrame, bound: int) -> tuple[DataFrame, DataFrame]:
+    """From posting rows (key, sig, n, comp): pairs of components (c < d) that may hold a link, and rows (key, sig, comp)
+    of lists in which any two sets may."""
     overlap = lambda n: F.least(F.lit(SHARED), F.ceil(n * 4 / 5)).cast("int")
-    share = F.floor(overlap(F.col("n")) / 2) + 1  # frequent tokens that a link without half of its tokens rare must share
-    found: DataFrame | None = None
-    for level in (1, 2, 3):
+
+    def by_size(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs (c, d, times, lo) of lists of at most bound components, and the keys of longer ones."""
         heads = stage(rows.groupBy("key", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "join-heads")
-        size = heads.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-        size = stage(size, "join-sizes")
-        short = heads.join(size if level == 3 else size.where(F.col("size") <= bound), "key", "left_semi")
+        size = stage(heads.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "join-sizes")
+        short = heads.join(size.where(F.col("size") <= bound), "key", "left_semi")
         other = short.select("key", F.col("comp").alias("d"), F.col("lo").alias("lo_d"), F.col("hi").alias("hi_d"))
         near = (F.col("comp") < F.col("d")) & (5 * F.col("hi_d") >= 4 * F.col("lo")) & (5 * F.col("hi") >= 4 * F.col("lo_d"))
         pairs = short.join(other, "key").where(near).groupBy(F.col("comp").alias("c"), "d").agg(F.count("*").alias("times"), F.min(F.least("lo", "lo_d")).alias("lo"))
-        if level == 1:
-            pairs = pairs.where(F.col("times") >= F.ceil(overlap(F.col("lo")) / 2))
-        pairs = stage(pairs.select("c", "d"), "join-open-pairs")
-        found = pairs if found is None else found.union(pairs)
-        long = size.where(F.col("size") > bound)
-        if level == 3 or long.isEmpty():
-            return found.distinct()
-        held = rows.join(long, "key", "left_semi").groupBy("sig").agg(F.first("n").alias("n"), F.first("comp").alias("comp"), F.sort_array(F.collect_set("key")).alias("keys"))
-        held = held.where(F.size("keys") >= (share if level == 1 else share * (share - 1) / 2))  # of combinations: as many as those tokens give
-        two = F.flatten(F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y))))
-        rows = held.select(F.explode(two).alias("key"), "sig", "n", "comp")
-    return found
+        return pairs, size.where(F.col("size") > bound).select("key")
+
+    pairs, long = by_size(rows)
+    found = stage(pairs.where(F.col("times") >= F.ceil(overlap(F.col("lo")) / 2)).select("c", "d"), "join-open-pairs")
+    held = rows.join(long, "key", "left_semi").groupBy("sig").agg(F.first("n").alias("n"), F.first("comp").alias("comp"), F.sort_array(F.collect_set("key")).alias("keys"))
+    # a link without half of its shared tokens rare shares the other half, and one more, in frequent ones
+    held = stage(held.where(F.size("keys") > F.floor(overlap(F.col("n")) / 2)), "join-frequent")
+    two = F.flatten(F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y))))
+    combined = held.where(F.size("keys") <= MAX_COMBINED).select(F.explode(two).alias("key"), "sig", "n", "comp")
+    pairs, long = by_size(combined)
+    found = found.union(stage(pairs.select("c", "d"), "join-open-pairs")).distinct()
+    single = held.select(F.explode("keys").alias("key"), "sig", "comp")
+    many = held.where(F.size("keys") > MAX_COMBINED).select(F.explode("keys").alias("key")).distinct()
+    rest = combined.select("key", "sig", "comp").join(long, "key", "left_semi").union(single.join(many, "key", "left_semi"))
+    return found, stage(rest, "join-rest")
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps (rows) brought to `size` bytes."""
+    return np.bitwise_or.reduce(bits.reshape(len(bits), -1, size), axis=1)
+
+
+def block_pairs(x: tuple, y: tuple) -> list[tuple[int, int]]:
+    """(sig, sig) of the sets of two blocks (sigs, ns, comps, bitmaps) of different components that the bitmaps allow to link."""
+    out = []
+    (sx, nx, cx, bx), (sy, ny, cy, by) = ((*(np.array(v, np.int64) for v in z[:3]), z[3]) for z in (x, y))
+    wide = [np.array([len(v) for v in z]) for z in (bx, by)]
+    for p in np.unique(wide[0]):
+        for q in np.unique(wide[1]):
+            if max(p, q) > 2 * min(p, q):  # sizes too far apart
+                continue
+            i, j = np.flatnonzero(wide[0] == p), np.flatnonzero(wide[1] == q)
+            size = min(p, q)
+            a, b = (folded(np.frombuffer(b"".join(z[k] for k in at), np.uint8).reshape(len(at), -1), size) for z, at in ((bx, i), (by, j)))
+            a, b = a.view(np.uint64), b.view(np.uint64)
+            for k in range(len(i)):
+                n, m = nx[i[k]], ny[j]
+                shared = (n + m - np.bitwise_count(a[k] ^ b).sum(axis=1, dtype=np.int64)) // 2
+                ok = (5 * np.minimum(n, m) >= 4 * np.maximum(n, m)) & (100 * shared >= 80 * (n + m - shared)) & (cy[j] != cx[i[k]])
+                out += [(min(sx[i[k]], v), max(sx[i[k]], v)) for v in sy[j[ok]]]
+    return [(int(v), int(w)) for v, w in set(out)]
+
+
+def families(rest: DataFrame, maps: DataFrame, block: int = 256) -> DataFrame:
+    """Pairs (a, b) of sets that the bitmaps allow, among those that a chain of lists of rest joins and that differ in
+    component. A family stands in blocks of about `block` sets; every two of them meet in one row."""
+    hub = rest.groupBy("key").agg(F.min("comp").alias("hub"))
+    joined = connected_components(rest.join(hub, "key").select("comp", "hub").distinct(), "comp", "hub")
+    sets = rest.select("sig", "comp").distinct().join(joined, F.col("comp") == F.col("node")).select("sig", "comp", F.col("component").alias("family"))
+    sets = stage(sets.join(maps, "sig"), "join-family")
+    size = sets.groupBy("family").agg(F.count("*").alias("size"), F.count_distinct("comp").alias("comps")).where("comps > 1")
+    at = F.pmod(F.xxhash64("sig", F.lit("block")), F.ceil(F.col("size") / block)).alias("block")
+    dealt = stage(sets.join(size, "family").groupBy("family", at).agg(*(F.collect_list(c).alias(c) for c in ("sig", "n", "comp", "bits"))), "join-blocks")
+    x, y = (dealt.select("family", F.col("block").alias(f"block_{c}"), F.struct("sig", "n", "comp", "bits").alias(c)) for c in "xy")
+
+    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.Series:
+        return pd.Series([[{"a": a, "b": b} for a, b in block_pairs(u, v)] for u, v in zip(x.itertuples(index=False, name=None), y.itertuples(index=False, name=None), strict=True)])
+
+    met = x.join(y, "family").where("block_x <= block_y").repartition("family", "block_x", "block_y")
+    return met.select(F.explode(F.pandas_udf(meet, "array<struct<a: long, b: long>>")("x", "y")).alias("p")).select("p.a", "p.b").distinct()
 
 
 def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bound: int = 32, max_broadcast: int = 1_000_000, max_rounds: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -343,12 +398,15 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bo
         with arrow_rows(spark, 500):
             return stage(x.where(F.pandas_udf(similar, "boolean")("s", "t")).select("a", "b"), "join-links")
 
-    def members_of(both: DataFrame) -> DataFrame:
-        """Pairs of sets that the bitmaps allow between the components c and d. The larger one stands in blocks
-        of about 64 bitmaps, which each member of the other meets."""
+    def members_of(both: DataFrame, sample: int | None = None) -> DataFrame:
+        """Pairs of sets that the bitmaps allow between the components c and d, or between about `sample` members of each.
+        The larger one stands in blocks of about 64 bitmaps, which each member of the other meets."""
         ids = both.select(F.col("c").alias("comp")).union(both.select("d")).distinct()
         of_node = stage(maps.join(broadcast_if_small(nodes, max_broadcast), "sig", "left").withColumn("comp", F.coalesce("comp", "sig")).join(broadcast_if_small(stage(ids, "join-open-ids"), max_broadcast), "comp", "left_semi"), "join-open-maps")
         counts = of_node.groupBy("comp").agg(F.count("*").alias("size"))
+        if sample:
+            of_node = of_node.join(counts, "comp").where(F.pmod(F.xxhash64("sig", F.lit("sample")), F.ceil(F.col("size") / sample)) == 0).drop("size")
+            counts = of_node.groupBy("comp").agg(F.count("*").alias("size"))
         sized = both.join(counts.withColumnRenamed("comp", "c").withColumnRenamed("size", "s_c"), "c").join(counts.withColumnRenamed("comp", "d").withColumnRenamed("size", "s_d"), "d")
         turned = sized.select(F.when(F.col("s_c") >= F.col("s_d"), F.col("c")).otherwise(F.col("d")).alias("big"), F.when(F.col("s_c") >= F.col("s_d"), F.col("d")).otherwise(F.col("c")).alias("small"))
         block = F.pmod(F.xxhash64("sig", F.lit("block")), F.ceil(F.col("size") / 64)).alias("block")
@@ -374,17 +432,30 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bo
 
     nodes: DataFrame | None = None
     for turn in range(max_rounds):
-        pairs = stage(stars(live, nodes, salts, turn, max_broadcast), "join-pairs")
+        pairs = stage(stars(live, nodes, salts, turn, bound, max_broadcast), "join-pairs")
         links = verified(pairs)
         nodes = merged(links)
-        if links.count() * 20 <= pairs.count():  # few links among the last pairs: test all that are left
+        if links.count() * 50 <= pairs.count():  # few links among the last pairs: test all that are left
             break
     if nodes is None:
         nodes = stage(spark.createDataFrame([], "sig long, comp long"), "join-nodes")
-    both = stage(settled(labelled(live, nodes, max_broadcast), bound), "join-open-pairs")
-    with arrow_rows(spark, 200):
-        fresh = stage(members_of(both), "join-left-over")
-    return members, classes, merged(verified(fresh))
+    def renewed(df: DataFrame, name: str) -> DataFrame:
+        """Component ids of a column as they are now."""
+        now = nodes.select(F.col("sig").alias(name), F.col("comp").alias("now"))
+        return df.join(broadcast_if_small(now, max_broadcast), name, "left").withColumn(name, F.coalesce("now", name)).drop("now")
+
+    both, rest = settled(labelled(live, nodes, max_broadcast), bound)
+    for sample in (16, None):  # a few members of each first, as most components that link become one by that
+        both = stage(renewed(renewed(both, "c"), "d").where("c <> d").select(F.least("c", "d").alias("c"), F.greatest("c", "d").alias("d")).distinct(), "join-open-pairs")
+        with arrow_rows(spark, 200):
+            fresh = stage(members_of(both, sample), "join-left-over")
+        nodes = merged(verified(fresh))
+    if not rest.isEmpty():
+        rest = stage(renewed(rest, "comp"), "join-rest")
+        with arrow_rows(spark, 8):
+            fresh = stage(families(rest, maps), "join-left-over")
+        nodes = merged(verified(fresh))
+    return members, classes, nodes
 
 
 def jaccard_components(docs: DataFrame, **how) -> DataFrame:
