@@ -45,18 +45,17 @@ def byte_alphabet() -> dict[str, int]:
 
 
 def load_encoder(path: str):
-    """text -> ids of the byte-level vocabulary file at path, without special tokens.
+    """text -> ids of the byte-level vocabulary file at path; none are added, but added tokens in a text are found.
 
     The vocabulary's ids follow its merge order, so the merges can run as ranks, several times faster than
-    the file's own library; both are compared on loading, and that library takes over for texts with
-    extremely long runs without white space and for vocabularies where the two differ."""
+    the file's own library; both are compared on loading, and that library takes over for texts that hold an added
+    token or extremely long runs without white space, and for vocabularies where the two differ."""
     import json
 
     import tiktoken
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     slow = lambda t: plain.encode(t, add_special_tokens=False).ids
     spec = json.load(open(path, encoding="utf-8"))
     special = {x["content"] for x in spec.get("added_tokens", [])}

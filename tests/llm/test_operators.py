@@ -187,7 +187,9 @@ def test_fast_ids_equal_the_tokenizer_file(texts):
 
     plain = Tokenizer.from_file(queries.tokenizer_path())
     encode = packing.load_encoder(queries.tokenizer_path())
-    for _, t in texts:
+    rng = random.Random(6)
+    odd = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>" * 3, "<|endoftext", *("".join(rng.choice("aé漢 \n\t'sS1٣_-\u200b😀") for _ in range(rng.randint(1, 60))) for _ in range(500))]
+    for t in [*(t for _, t in texts), *odd]:
         assert encode(t or "") == plain.encode(t or "", add_special_tokens=False).ids
 
 
@@ -443,7 +445,8 @@ def test_language_of_odd_rows(docs):
 
 
 def test_warc_round_trip(spark, sf):
-    pages = read(spark, sf, "pages").limit(20).union(spark.createDataFrame([(77_000, None, None), (77_001, "http://x/", "")], "page_id long, url string, html string")).withColumn("block", F.lit(1))
+    more = [(77_000, None, None), (77_001, "http://x/", ""), (77_001, "http://x/", ""), (None, "http://y/a b\r\nX-Bad: 1", "<p>t"), (77_002, "http://z/", "<p>word </p>" * 100_000)]
+    pages = read(spark, sf, "pages").limit(20).union(spark.createDataFrame(more, "page_id long, url string, html string")).withColumn("block", F.lit(1)).cache()
     rows = warc.derive_records(pages).collect()
     assert len(rows) == 2 * pages.count()
     data = b"".join(warc.record_bytes(r.asDict()) for r in rows)
@@ -452,10 +455,44 @@ def test_warc_round_trip(spark, sf):
     for r, (head, block) in zip(rows, back, strict=True):
         assert head["WARC-Refers-To"] == r.refers_to and block.decode() == r.block
         assert warc.digest(block) == head["WARC-Block-Digest"] == r.block_digest
-    assert len({r.record_id for r in rows}) == len(rows)
+        assert "X-Bad" not in head
+    assert len({r.record_id for r in rows}) == len(rows) - 2  # repeated rows have equal identifiers
     assert warc.warc_file_rows(warc.derive_records(pages)).count() == len(rows)
     text = warc.plain_text("<html><head><title>T &amp; t</title><script>x<p></script></head><body><p>one</p>two<!-- no --> <b>three</b></body>")
     assert text.split("\n") == ["T & t", "one", "two three"]
+    named = pages.withColumn("page_id", F.concat(F.lit("p"), "page_id"))
+    assert warc.derive_records(named).where("page_id like 'p%'").count() == len(rows) - 2
+    assert warc.derive_records(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_warc_pages_equal_one_pattern():
+    """All of the markup as one pattern of alternatives, from left to right."""
+    markup = re.compile(r"(?P<gone><!--.*?-->|<(?P<kind>script|style|noscript|template)(?![a-z0-9]).*?</(?P=kind)\s*>)|</?(?P<name>[a-z][a-z0-9]*)[^>]*>|<[/!][^>]*>", re.S | re.I)
+
+    def brute(html):
+        s = markup.sub(lambda m: " " if m["gone"] else "\n" if m["name"] and m["name"].lower() in warc.BLOCKS else "", html)
+        import html as entities
+
+        return "\n".join(x for x in (" ".join(line.split()) for line in entities.unescape(s).split("\n")) if x)
+
+    rng = random.Random(4)
+    bits = ["<p>", "</P >", "<!--", "-->", "<script x>", "</script >", "<b", ">", "a", " ", "<", "<title>", "</title>", "&lt;", "\n", "<!d>", "</", "<style>", "</style>", "<a href=x>", "é"]
+    for _ in range(4000):
+        html = "".join(rng.choice(bits) for _ in range(rng.randint(0, 14)))
+        assert warc.plain_text(html) == brute(html), html
+    page = warc.Page("<html lang='de'><title> A\nb </title><a href=\"u?x=1&amp;y=2\">l</a><A class=c HREF = v >m</a><a>n</a>")
+    assert (page.title, page.lang, page.links) == ("A b", "de", ["u?x=1&y=2", "v"])
+
+
+@pytest.mark.parametrize("bit", ["<title>", "<title", "<a ", "<a href=", "<!--", "<script>", "<script", "</script ", "<", "&", "1", "a", "1.", "a@", "+1 ", "1 ", "@", "a.a@a.", "http://a:b"])
+def test_long_texts_take_linear_time(bit):
+    import time
+
+    text = bit * (1_000_000 // len(bit))
+    began = time.process_time()
+    warc.derive("<urn:x>", None, b"\r\n\r\n" + text.encode())
+    pii.AnchorScanner().spans(text + "@b.c .1")
+    assert time.process_time() - began < 12
 
 
 @pytest.mark.parametrize("name", ["op1", "op2", "op3", "op5", "op6", "op7", "op8", "op9", "op10"])
