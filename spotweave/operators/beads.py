@@ -31,6 +31,22 @@ def nth_largest(df: DataFrame, keys: list[str], value: str, n: int) -> DataFrame
     return df.withColumn("rn_", F.row_number().over(w)).where(F.col("rn_") == n).select(*keys, F.col(value).alias("nth"))
 
 
+def lowest_threshold(thresholds: DataFrame) -> DataFrame:
+    """The least of the files' n-th largest values, null where there is none."""
+    return thresholds.agg(F.min("nth").alias("nth"))
+
+
+def sample_beads(df: DataFrame, n: int, seed: int = 1, order: str = "bead_id") -> DataFrame:
+    """n rows of each (fov, timepoint), or all, in a seeded order of the ids."""
+    return partition_beads(df, n, 0, seed, order).where("part = 'shifting'").drop("part")
+
+
+def joined_counts(every: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts of two tables side by side, 0 where the second has no row."""
+    count = lambda df, name: df.groupBy(*keys).agg(F.count("*").alias(name))
+    return count(every, "n_all").join(count(kept, "n_kept"), keys, "left").withColumn("n_kept", F.coalesce("n_kept", F.lit(0).cast("long")))
+
+
 def counts_by_status(df: DataFrame, keys: list[str], ok: Column) -> DataFrame:
     """All rows and passing rows of each group, 0 for none."""
     return df.groupBy(*keys).agg(F.count("*").alias("n_all"), F.count_if(ok).alias("n_pass"))
@@ -38,7 +54,7 @@ def counts_by_status(df: DataFrame, keys: list[str], ok: Column) -> DataFrame:
 
 def partition_beads(df: DataFrame, n_shifting: int, n_accuracy: int, seed: int | None = 0, order: str = "bead_id") -> DataFrame:
     """df with part: shifting, accuracy or null, by a seeded hash order within (fov, timepoint), or by order if seed is None."""
-    by = F.col(order) if seed is None else F.xxhash64(F.lit(seed), F.col(order))
+    by = F.col(order) if seed is None else F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(order).cast("string")))
     rank = F.row_number().over(Window.partitionBy("fov", "timepoint").orderBy(by, order))
     return df.withColumn("rn_", rank).withColumn("part", F.when(F.col("rn_") <= n_shifting, "shifting").when(F.col("rn_") <= n_shifting + n_accuracy, "accuracy")).drop("rn_")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spotweave.operators.checks import require_none
+from spotweave.operators.checks import require_none, require_unique
 from spotweave.operators.components import connected_components
 from spotweave.operators.geometry import AXES
 
@@ -36,10 +36,13 @@ def numbered(groups: DataFrame, order: str, above: DataFrame, top: str) -> DataF
     return held.join(F.broadcast(before), "part_").join(F.broadcast(largest)).withColumn("number", (F.col("top_") + F.col("before_") + F.col("rank_")).cast("long")).drop("part_", "rank_", "before_", "top_")
 
 
-def merge_rois(assessed: DataFrame, *, validate: bool = False) -> tuple[DataFrame, DataFrame]:
+def merge_rois(assessed: DataFrame, *, validate: bool = True) -> tuple[DataFrame, DataFrame]:
     """(contributors with merge_output, results: singletons and merged rois).
 
-    A merged roi has the mean centre, the largest extent on each axis around it, and the sorted ids of its members."""
+    A merged roi has the mean centre, the largest extent on each axis around it, and the sorted ids of its members.
+    Jobs run when this is called. When validated, repeated ids and groups of several contexts are errors."""
+    if validate:
+        require_unique(assessed, ["roi_id"], "roi id")
     comps = with_components(assessed, partner_edges(assessed))
     several = comps.where("component_size > 1")
     extents = [F.max(F.col(f"{a}_max") - F.col(f"{a}_min")).alias(f"{a}_size") for a in AXES]
@@ -60,12 +63,24 @@ def merge_rois(assessed: DataFrame, *, validate: bool = False) -> tuple[DataFram
     return contributors, singles.unionByName(merged.select(*columns))
 
 
-def recover_contributors(results: DataFrame, rois: DataFrame) -> DataFrame:
-    """(roi_id, merge_output) of all members of merged rois, joined back to the originals."""
+def recover_contributors(results: DataFrame, rois: DataFrame, *, validate: bool = True) -> DataFrame:
+    """(roi_id, merge_output) of all members of merged rois, joined back to the originals (J16); one that went into two
+    merged rois is an error when validated."""
     parts = results.where(F.size("merge_partners") > 1).select(F.col("roi_id").alias("merge_output"), F.explode("merge_partners").alias("roi_id"))
+    if validate:
+        require_unique(parts, ["roi_id"], "contribution")
     return rois.join(parts, "roi_id")
 
 
+def partner_records(assessed: DataFrame, rois: DataFrame, columns: list[str], *, validate: bool = True) -> DataFrame:
+    """One row for each roi and partner with the partner's columns as partner_*; an unknown partner is an error when validated."""
+    edges = partner_edges(assessed)
+    found = edges.join(rois.select(F.col("roi_id").alias("dst"), *[F.col(c).alias(f"partner_{c}") for c in columns], F.lit(True).alias("known_")), "dst", "left")
+    if validate:
+        require_none(found, F.col("known_").isNull(), "unknown merge partner")
+    return found.select(F.col("src").alias("roi_id"), F.col("dst").alias("partner_id"), *[f"partner_{c}" for c in columns])
+
+
 def split_groups(rois: DataFrame, groups: DataFrame, edges: DataFrame) -> DataFrame:
     """Stored groups (roi_id, group_id) whose members are not one component of the edges among them."""
     own = edges.join(groups.select(F.col("roi_id").alias("src"), F.col("group_id").alias("g1")), "src").join(groups.select(F.col("roi_id").alias("dst"), F.col("group_id").alias("g2")), "dst").where("g1 = g2")

@@ -1,4 +1,4 @@
-"""Names and keys as Column functions (P10, SC3 to SC7, IO24, W12)."""
+"""Names and keys as Column functions (P10, SC3, SC6 to SC8, IO24, W12)."""
 
 from __future__ import annotations
 
@@ -27,6 +27,28 @@ def viewing_key(fov: Column, group: Column) -> Column:
     return F.concat_ws("__", fov, group)
 
 
+def viewing_parts(key: Column) -> dict[str, Column]:
+    """Field of view and group of a viewing key; null throughout if it has not two parts (SC6)."""
+    parts = F.split(key, "__", -1)
+    ok = F.size(parts) == 2
+    return {"fov": F.when(ok, F.get(parts, 0)), "trace_group": F.when(ok, F.get(parts, 1))}
+
+
+def combined_json(*objects: Column) -> Column:
+    """One JSON object of several (flat, of numbers or text); a key that stands in two of them is an error (SC8)."""
+    maps = [F.from_json(o, "map<string,string>") for o in objects]
+    keys = F.flatten(F.array(*[F.map_keys(m) for m in maps]))
+    text = lambda m: F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), json_value(e["value"]))), ",")
+    body = F.array_join(F.filter(F.array(*[text(m) for m in maps]), lambda t: t != ""), ",")
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.raise_error(F.concat(F.lit("JSON keys repeat: "), F.array_join(keys, " ")))).otherwise(F.concat(F.lit("{"), body, F.lit("}")))
+
+
+def json_value(value: Column) -> Column:
+    """A number as it is, anything else as a quoted string."""
+    quoted = F.concat(F.lit('"'), F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    return F.when(value.rlike(r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][-+]?[0-9]+)?$"), value).otherwise(quoted)
+
+
 def int_set(cell: Column) -> Column:
     """Sorted ints of a space-joined cell; empty for ""; null where a part is no int or repeats."""
     parts = F.transform(F.filter(F.split(F.coalesce(cell, F.lit("")), " "), lambda x: x != ""), lambda x: x.try_cast("int"))

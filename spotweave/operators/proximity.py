@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spotweave.operators.checks import require_found, require_unique
 from spotweave.operators.geometry import AXES, distance
 
 POINT = [f"{a}c" for a in AXES]
@@ -25,8 +26,13 @@ def _points(suffix: str) -> tuple[Column, ...]:
     return tuple(F.col(f"{c}{suffix}") for c in POINT)
 
 
-def group_pairs(df: DataFrame, group: list[str], order: str, keep: list[str], scale: Scale = (1.0, 1.0, 1.0)) -> DataFrame:
-    """All unordered pairs inside a group, the smaller `order` first, with their distance."""
+def group_pairs(df: DataFrame, group: list[str], order: str, keep: list[str], scale: Scale = (1.0, 1.0, 1.0), *, unique: bool = False, one_of: tuple[str, ...] = ()) -> DataFrame:
+    """All unordered pairs inside a group, the smaller `order` first, with their distance (J3, J4). With unique, an order that
+    repeats in a group is an error; so are groups with more than one value of a column in one_of."""
+    if unique:
+        require_unique(df, [*group, order], f"{order} in a group")
+    for c in one_of:
+        require_unique(df.select(*group, c).distinct(), group, f"group with several values of {c}")
     cols = list(dict.fromkeys([*group, order, *keep, *POINT]))
     a, b = side(df, "_1", cols), side(df, "_2", cols)
     on = reduce(lambda p, q: p & q, [F.col(f"{g}_1") == F.col(f"{g}_2") for g in group])
@@ -67,11 +73,12 @@ def assess_merge(rois: DataFrame, threshold: float, scale: Scale) -> DataFrame:
     return rois.join(sets, "roi_id", "left").withColumn("merge_partners", F.coalesce("merge_partners", F.array().cast("array<bigint>")))
 
 
-def mutual_exclusion(rois: DataFrame, strategy: str, threshold: float, scale: Scale, groups: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def mutual_exclusion(rois: DataFrame, strategy: str, threshold: float, scale: Scale, groups: DataFrame | None = None, *, validate: bool = True) -> tuple[DataFrame, DataFrame]:
     """(keepers, discards with too_close) among rois of the same fov and channel at different timepoints.
 
     permission: nothing is tested. prohibition: all pairs. selective_permission: pairs of different groups;
-    selective_prohibition: pairs of the same group; groups is (timepoint, group_id). Both members of a close pair go."""
+    selective_prohibition: pairs of the same group; groups is (timepoint, group_id). Both members of a close pair go. A
+    timepoint without a group is an error under the selective strategies; if not validated, it is a group of its own."""
     if strategy == "permission":
         return rois, rois.where("false").withColumn("too_close", F.array().cast("array<bigint>"))
     keep, extra = ["roi_id", "timepoint"], F.col("timepoint_1") != F.col("timepoint_2")
@@ -79,16 +86,21 @@ def mutual_exclusion(rois: DataFrame, strategy: str, threshold: float, scale: Sc
     if strategy != "prohibition":
         if strategy not in ("selective_permission", "selective_prohibition"):
             raise ValueError(f"unknown strategy {strategy}")
+        if validate:
+            require_found(rois, groups, ["timepoint"], "proximity group")
         tested, keep = rois.join(groups, "timepoint", "left"), [*keep, "group_id"]
-        same = F.col("group_id_1") == F.col("group_id_2")
+        same = F.coalesce(F.col("group_id_1") == F.col("group_id_2"), F.lit(False))
         extra = extra & (same if strategy == "selective_prohibition" else ~same)
     pairs = near_pairs(tested, tested, ["fov", "channel"], threshold, keep, scale, extra & (F.col("roi_id_1") < F.col("roi_id_2")))
     close = neighbour_sets(pairs, "roi_id", "too_close")
     return rois.join(close, "roi_id", "left_anti"), rois.join(close, "roi_id")
 
 
-def spot_bead_filter(spots: DataFrame, beads: DataFrame, threshold: float, scale: Scale = (1.0, 1.0, 1.0)) -> tuple[DataFrame, DataFrame]:
-    """(keepers, discards with the ids of the beads closer than threshold), by field of view."""
+def spot_bead_filter(spots: DataFrame, beads: DataFrame, threshold: float, scale: Scale = (1.0, 1.0, 1.0), *, validate: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(keepers, discards with the ids of the beads closer than threshold), by field of view (J7). Both come with their drift
+    applied, the beads with that of their own timepoint. A field of view without beads is an error when validated."""
+    if validate:
+        require_found(spots, beads, ["fov"], "beads")
     b = beads.withColumnRenamed("bead_id", "id")
     near = near_pairs(spots.withColumnRenamed("roi_id", "id"), b, ["fov"], threshold, ["id"], scale)
     hit = near.groupBy(F.col("id_1").alias("roi_id")).agg(F.array_sort(F.collect_set("id_2")).alias("beads"))

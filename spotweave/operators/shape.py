@@ -1,4 +1,4 @@
-"""Shape of traces: gyration, contour, distance and contact maps, loops (A15, A16, W11, SC11 to SC14, J18)."""
+"""Shape of traces: gyration, contour, distance and contact maps, loops (A15, A16, A20, W11, SC12, SC14)."""
 
 from __future__ import annotations
 
@@ -21,13 +21,13 @@ def contour_length(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def distance_maps(pairs: DataFrame, cutoff: float) -> DataFrame:
-    """For each pair of loci the median distance and the share of positive distances below cutoff; no positive one gives 1."""
+    """For each pair of loci the median and mean distance and the share of positive distances below cutoff; no positive one gives 1."""
     close, positive = F.count_if(F.col("distance") < cutoff), F.count_if(F.col("distance") > 0)
-    return pairs.groupBy("locus_1", "locus_2").agg(F.median("distance").alias("median_distance"), F.when(positive == 0, F.lit(1.0)).otherwise(close / positive).alias("contact"))
+    return pairs.groupBy("locus_1", "locus_2").agg(F.median("distance").alias("median_distance"), F.avg("distance").alias("mean_distance"), F.when(positive == 0, F.lit(1.0)).otherwise(close / positive).alias("contact"))
 
 
 def elongation(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Second over first standard deviation along the principal axes, from the 3 x 3 covariance in closed form."""
+    """One less the second over the first principal variance, from the 3 x 3 covariance in closed form; null without extent."""
     v = {a: F.var_pop(a) for a in AXES}
     c = {a + b: F.covar_pop(a, b) for a, b in (("z", "y"), ("z", "x"), ("y", "x"))}
     m = df.groupBy(*keys).agg(*[x.alias("v" + a) for a, x in v.items()], *[x.alias("c" + a) for a, x in c.items()])
@@ -38,16 +38,8 @@ def elongation(df: DataFrame, keys: list[str]) -> DataFrame:
     det = a * (b * d - F.col("cyx") ** 2) - F.col("czy") * (F.col("czy") * d - F.col("cyx") * F.col("czx")) + F.col("czx") * (F.col("czy") * F.col("cyx") - b * F.col("czx"))
     phi = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), det / (2 * F.col("p") ** 3)))) / 3
     first, third = F.col("q") + 2 * F.col("p") * F.cos(phi), F.col("q") + 2 * F.col("p") * F.cos(phi + 2 * 3.141592653589793 / 3)
-    return m.select(*keys, F.when(F.col("p") == 0, F.lit(1.0)).otherwise(F.sqrt(F.greatest(3 * F.col("q") - first - third, F.lit(0.0)) / first)).alias("elongation"))
-
-
-def compare_traces(pairs: DataFrame, metric: str, contact: float = 1.0) -> DataFrame:
-    """Similarity of every two traces from their distance maps in long form (trace_id, locus_1, locus_2, distance): rmse, pcc or contact (SC11, J18)."""
-    a = pairs.select(F.col("trace_id").alias("trace_1"), "locus_1", "locus_2", F.col("distance").alias("a"))
-    b = pairs.select(F.col("trace_id").alias("trace_2"), "locus_1", "locus_2", F.col("distance").alias("b"))
-    both = a.join(b, ["locus_1", "locus_2"]).where("trace_1 < trace_2 and a > 0 and b > 0")
-    value = {"rmse": F.sqrt(F.avg((F.col("a") - F.col("b")) ** 2)), "pcc": F.corr("a", "b"), "contact": F.avg(((F.col("a") < contact) != (F.col("b") < contact)).cast("double"))}[metric]
-    return both.groupBy("trace_1", "trace_2").agg(value.alias(metric), F.count("*").alias("n"))
+    second = F.greatest(3 * F.col("q") - first - third, F.lit(0.0))
+    return m.select(*keys, F.when(F.col("q") <= 0, None).when(F.col("p") == 0, F.lit(0.0)).otherwise(1 - second / first).alias("elongation"))
 
 
 def loop_fractions(df: DataFrame, cell: str, label: str) -> DataFrame:

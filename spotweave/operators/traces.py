@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spotweave.operators.checks import require_none
+from spotweave.operators.checks import require_none, require_unique
 from spotweave.operators.merging import numbered, with_components
 from spotweave.operators.proximity import Scale, rule_edges
 from spotweave.runtime import stage
@@ -28,48 +28,52 @@ def rule_table(spark, groups: dict[str, list[int]], threshold: float) -> tuple[D
     )
 
 
-def assign_traces(rois: DataFrame, groups: dict[str, list[int]], threshold: float, requirement: str, discard_ungrouped: bool, scale: Scale, *, validate: bool = False) -> tuple[DataFrame, DataFrame]:
+def assign_traces(rois: DataFrame, groups: dict[str, list[int]], threshold: float, requirement: str, discard_ungrouped: bool, scale: Scale, *, validate: bool = True) -> tuple[DataFrame, DataFrame]:
     """(assigned: roi_id, trace_id, trace_group, trace_partners, has_all_partners; skipped: roi_id, reason).
 
     Singletons outside all groups are kept unless discard_ungrouped; those in a group are kept only if
     lackadaisical. A component with a repeated timepoint is skipped as a collision; a conjunctive one
-    that lacks a timepoint of its group is dropped without a row; all others are emitted. Ids go on from
-    the largest roi id, in the order of the components' smallest ids, and only emitted components take one."""
+    that lacks a timepoint of its group is dropped without a row; one whose timepoints lie in several groups is skipped
+    for its ambiguity; all others are emitted. A component whose timepoints lie in no one group bridges rules, which
+    is an error when validated. Ids go on from the largest roi id, in the order of the components' smallest
+    ids, and only emitted components take one. Jobs run when this is called."""
     if requirement not in REQUIREMENTS:
         raise ValueError(f"requirement must be one of {REQUIREMENTS}")
-    pairs, members = rule_table(rois.sparkSession, groups, threshold)
+    if validate:
+        require_unique(rois, ["roi_id"], "roi id")
+    pairs, _ = rule_table(rois.sparkSession, groups, threshold)
     edges = stage(rule_edges(rois, pairs, threshold, scale), "trace-edges")
-    comps = stage(with_components(rois, edges.select("src", "dst")).join(F.broadcast(members), "timepoint", "left"), "trace-components")
-    summary = comps.groupBy("component").agg(
-        F.count("*").alias("n"), F.count_distinct("timepoint").alias("times"), F.count_distinct("trace_group").alias("rules"),
-        F.first("trace_group", True).alias("group_name"), F.first("group_size", True).alias("expected"), F.array_sort(F.collect_list("roi_id")).alias("ids"),
-    )
+    comps = stage(with_components(rois, edges.select("src", "dst").distinct()), "trace-components")
+    observed = comps.groupBy("component").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("timepoint")).alias("times"), F.array_sort(F.collect_list("roi_id")).alias("ids"))
+    summary = with_groups(observed, groups)
+    alone, grouped, several = F.col("n") == 1, F.size("names") > 0, F.size("names") > 1
     if validate:
-        require_none(summary, F.col("rules") > 1, "a component bridges rules")
-    alone, grouped = F.col("n") == 1, F.col("group_name").isNotNull()
-    complete = F.col("times") == F.col("expected")
-    keep_alone = F.when(grouped, F.lit(requirement == "lackadaisical")).otherwise(F.lit(not discard_ungrouped))
+        require_none(summary, ~alone & ~grouped, "a component bridges rules")
+    complete = F.array_contains("sizes", F.size("times"))
+    named = F.when(several, "ambiguity").otherwise("emit")
     outcome = (
-        F.when(alone, F.when(keep_alone, "emit").otherwise("drop"))
-        .when(F.col("times") < F.col("n"), "collision")
+        F.when(alone & grouped, F.when(F.lit(requirement == "lackadaisical"), named).otherwise("drop"))
+        .when(alone, F.lit("drop" if discard_ungrouped else "emit"))
+        .when(F.size("times") < F.col("n"), "collision")
         .when(F.lit(requirement == "conjunctive") & ~complete, "drop")
-        .otherwise("emit")
+        .otherwise(named)
     )
     decided = stage(summary.withColumn("outcome", outcome).withColumn("has_all", complete), "trace-decisions")
     emitted = numbered(decided.where("outcome = 'emit'"), "component", rois, "roi_id")
-    rows = emitted.select(F.explode("ids").alias("roi_id"), F.col("number").alias("trace_id"), F.col("group_name").alias("trace_group"), "ids", "n", "has_all")
+    rows = emitted.select(F.explode("ids").alias("roi_id"), F.col("number").alias("trace_id"), F.try_element_at("names", F.lit(1)).alias("trace_group"), "ids", "n", "has_all")
     partners = F.array_except("ids", F.array("roi_id"))
-    assigned = rows.select("roi_id", "trace_id", F.when(F.col("trace_group").isNotNull(), F.col("trace_group")).alias("trace_group"), partners.alias("trace_partners"), F.when(F.col("trace_group").isNotNull(), F.coalesce("has_all", F.lit(False)) & (F.col("n") > 1)).alias("has_all_partners"))
-    skipped = decided.where("outcome = 'collision'").select(F.explode("ids").alias("roi_id"), F.lit("collision").alias("reason"))
+    assigned = rows.select("roi_id", "trace_id", "trace_group", partners.alias("trace_partners"), F.when(F.col("trace_group").isNotNull(), F.coalesce("has_all", F.lit(False)) & (F.col("n") > 1)).alias("has_all_partners"))
+    skipped = decided.where("outcome in ('collision', 'ambiguity')").select(F.explode("ids").alias("roi_id"), F.col("outcome").alias("reason"))
     return assigned, skipped
 
 
-def ambiguous_groups(observed: DataFrame, groups: dict[str, list[int]]) -> DataFrame:
-    """Names of all groups that hold the observed timepoints (`times`); more than one is an ambiguity."""
-    table = observed.sparkSession.createDataFrame(list(groups.items()), "name string, members array<int>")
-    return observed.join(F.broadcast(table), F.size(F.array_except("times", "members")) == 0, "left").groupBy(*observed.columns).agg(F.array_sort(F.collect_set("name")).alias("names"))
+def with_groups(observed: DataFrame, groups: dict[str, list[int]]) -> DataFrame:
+    """observed with names (sorted) and sizes of all groups that hold all of its `times`; more than one is an ambiguity."""
+    table = F.array(*[F.struct(F.lit(k).alias("name"), F.array(*[F.lit(t) for t in sorted(set(v))]).alias("members")) for k, v in sorted(groups.items())])
+    held = F.filter(table, lambda g: F.size(F.array_except("times", g["members"])) == 0)
+    return observed.withColumn("held_", held).withColumn("names", F.transform("held_", lambda g: g["name"])).withColumn("sizes", F.transform("held_", lambda g: F.size(g["members"]))).drop("held_")
 
 
 def reindex(df: DataFrame, keys: list[str], column: str, name: str) -> DataFrame:
-    """name: the 0-based rank of column among its distinct values within keys."""
+    """name: the 0-based rank of column among its distinct values within keys."""
     return df.withColumn(name, (F.dense_rank().over(Window.partitionBy(*keys).orderBy(column)) - 1).cast("long"))

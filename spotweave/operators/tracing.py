@@ -42,7 +42,7 @@ def skip_reason(shape: tuple[int, int, int], background: int | None = None) -> C
     return F.when(any_of(lambda a, n: F.floor(f"{a}_hi") > n), "out_of_bounds").when(any_of(lambda a, _: F.floor(f"{a}_lo") == F.floor(f"{a}_hi")), "empty").when(padded & ~allowed, "padding")
 
 
-def pair_rois_fits(rois: DataFrame, fits: DataFrame, *, background: int | None = None, validate: bool = False) -> DataFrame:
+def pair_rois_fits(rois: DataFrame, fits: DataFrame, *, background: int | None = None, validate: bool = True) -> DataFrame:
     """Inner 1:1 join of extraction rows and fits (J11); validated: unique keys and equal counts."""
     if background is not None:
         rois = rois.where(F.col("timepoint") != background)
@@ -62,8 +62,24 @@ def to_nanometres(df: DataFrame, scale: tuple[float, float, float]) -> DataFrame
     return df.withColumns(out).withColumns({a: F.col(f"{a}_px_dc") * float(s) for a, s in zip(AXES, scale, strict=True)})
 
 
-def with_reference_distance(df: DataFrame, keys: list[str], is_reference: Column, *, validate: bool = False) -> DataFrame:
-    """df with *_ref and ref_dist to the reference row of its keys (J12); a missing one is null, or an error when validated."""
+def sizes_in_nanometres(df: DataFrame, scale: tuple[float, float, float], box: tuple[int, int, int]) -> DataFrame:
+    """sigma_z and sigma_xy from pixels, and the box of the fit as box_z, box_y, box_x."""
+    z, _, x = scale
+    sizes = {f"box_{a}": F.lit(float(n) * float(s)) for a, n, s in zip(AXES, box, scale, strict=True)}
+    return df.withColumns({"sigma_z": F.col("sigma_z_px") * float(z), "sigma_xy": F.col("sigma_xy_px") * float(x), **sizes})
+
+
+def drift_accuracy(fits: DataFrame, reference: DataFrame, keys: list[str]) -> DataFrame:
+    """Refitted beads against their reference points: the centre with fine drift added, the absolute difference on each axis
+    and the distance (K15). Beads without a reference point have none."""
+    ref = reference.select(*keys, *[F.col(a).alias(f"{a}_ref") for a in AXES])
+    moved = fits.withColumns({a: F.col(a) + F.col(f"{a}_fine") for a in AXES}).join(ref, keys, "left")
+    out = moved.withColumns({f"{a}_error": F.abs(F.col(a) - F.col(f"{a}_ref")) for a in AXES})
+    return out.withColumn("error", distance(tuple(F.col(a) for a in AXES), tuple(F.col(f"{a}_ref") for a in AXES)))
+
+
+def with_reference_distance(df: DataFrame, keys: list[str], is_reference: Column, *, validate: bool = True) -> DataFrame:
+    """df with *_ref and ref_dist to the reference row of its keys (J12); a missing one is an error, or null if not validated."""
     ref = df.where(is_reference).select(*keys, *[F.col(a).alias(f"{a}_ref") for a in AXES])
     out = df.join(ref, keys, "left").withColumn("ref_dist", distance(tuple(F.col(a) for a in AXES), tuple(F.col(f"{a}_ref") for a in AXES)))
     return require_none(out, F.col("z_ref").isNull(), "no reference row") if validate else out
@@ -78,5 +94,6 @@ def nuclear_label(spots: DataFrame, mask: DataFrame) -> DataFrame:
 
 def fill_times(df: DataFrame, keys: list[str], times: DataFrame, values: list[str]) -> DataFrame:
     """Every (keys, timepoint) of the grid, zeros where df has no row."""
-    grid = df.select(*keys).distinct().join(F.broadcast(times))
+    listed = [r.timepoint for r in times.select("timepoint").distinct().orderBy("timepoint").collect()]  # the rounds of an experiment
+    grid = df.select(*keys).distinct().select("*", F.explode(F.array(*[F.lit(t) for t in listed])).alias("timepoint"))
     return grid.join(df, [*keys, "timepoint"], "left").fillna(0, subset=values)

@@ -55,7 +55,7 @@ def region_pair_rows(rois: DataFrame) -> DataFrame:
 
 @query(f"WITH {ad.ROI_SQL} SELECT {PAIRS}, round({D}, 6) AS distance FROM roi a JOIN roi b ON a.fov = b.fov AND a.channel = b.channel AND a.roi_id < b.roi_id")
 def region_pairs(spark, sf):
-    """J4, SC1, S2."""
+    """J4, SC1."""
     return region_pair_rows(ad.roi(spark, sf))
 
 
@@ -68,7 +68,7 @@ def region_pairs_drift(spark, sf):
 
 @query(f"WITH {ad.TRACE_SQL} SELECT a.trace_id AS trace_id, a.locus AS locus_1, b.locus AS locus_2, round({dist_sql('a', 'b', (1, 1, 1))}, 6) AS distance FROM trace a JOIN trace b ON a.trace_id = b.trace_id AND a.locus < b.locus")
 def locus_pairs(spark, sf):
-    """J3, S1."""
+    """J3."""
     p = proximity.group_pairs(ad.trace(spark, sf), ["trace_id"], "locus", [])
     return p.select(F.col("trace_id_1").alias("trace_id"), "locus_1", "locus_2", r6("distance"))
 
@@ -120,7 +120,7 @@ def merge_execute(spark, sf):
 
 @query(_MERGED + " SELECT node AS roi_id, CAST(out_id AS BIGINT) AS merge_output FROM comp JOIN num USING (component)")
 def merge_contributors(spark, sf):
-    """J15, J16."""
+    """J16."""
     _, out = merging.merge_rois(assessed(spark, sf))
     return merging.recover_contributors(out, ad.roi(spark, sf)).select("roi_id", "merge_output")
 
@@ -170,6 +170,7 @@ hit AS (SELECT a.roi_id AS roi_id, string_agg(CAST(b.bead_id AS VARCHAR), ' ' OR
 
 
 def bead_filtered(spark, sf):
+    """Every eighth row of the table plays a bead."""
     r = ad.roi(spark, sf)
     e = ad.read(spark, sf, "embeddings").where("vec_id % 8 = 0")
     b = e.select(F.col("vec_id").cast("long").alias("bead_id"), F.col("label").cast("int").alias("fov"), *[(F.element_at("embedding", i + 4).cast("double") * 100.0).alias(f"{a}c") for i, a in enumerate(AXES)])
@@ -188,18 +189,18 @@ def spot_bead_discard(spark, sf):
     return bead_filtered(spark, sf)[1].select("roi_id", cell("beads"))
 
 
-@query(f"WITH RECURSIVE {ad.ROI_SQL}, {NEAR_SQL}, g AS (SELECT roi_id, roi_id % 40 AS group_id FROM roi WHERE roi_id < 400), own AS (SELECT n.src AS s, n.dst AS t FROM near n JOIN g g1 ON g1.roi_id = n.src JOIN g g2 ON g2.roi_id = n.dst AND g1.group_id = g2.group_id), reach(node, other) AS (SELECT roi_id, roi_id FROM g UNION SELECT r.node, o.t FROM reach r JOIN own o ON o.s = r.other), c AS (SELECT node, min(other) AS component FROM reach GROUP BY node) SELECT group_id, count(DISTINCT component) AS parts FROM g JOIN c ON node = roi_id GROUP BY group_id HAVING count(DISTINCT component) > 1")
+@query(f"WITH RECURSIVE {ad.ROI_SQL}, {NEAR_SQL}, g AS (SELECT roi_id, roi_id % 40 AS group_id FROM roi), own AS (SELECT n.src AS s, n.dst AS t FROM near n JOIN g g1 ON g1.roi_id = n.src JOIN g g2 ON g2.roi_id = n.dst AND g1.group_id = g2.group_id), reach(node, other) AS (SELECT roi_id, roi_id FROM g UNION SELECT r.node, o.t FROM reach r JOIN own o ON o.s = r.other), c AS (SELECT node, min(other) AS component FROM reach GROUP BY node) SELECT group_id, count(DISTINCT component) AS parts FROM g JOIN c ON node = roi_id GROUP BY group_id HAVING count(DISTINCT component) > 1")
 def split_groups(spark, sf):
     """G5."""
     a = assessed(spark, sf)
-    g = a.where("roi_id < 400").select("roi_id", (F.col("roi_id") % 40).alias("group_id"))
+    g = a.select("roi_id", (F.col("roi_id") % 40).alias("group_id"))
     return merging.split_groups(g, g, merging.partner_edges(a)).select("group_id", "parts")
 
 
-@query(f"WITH {ad.ROI_SQL} SELECT a.roi_id AS roi_id_1, b.roi_id AS roi_id_2, round({D}, 6) AS distance FROM roi a JOIN roi b ON a.fov = b.fov AND a.timepoint = b.timepoint AND a.roi_id < b.roi_id WHERE {D} < 12 AND a.roi_id % 3 > 0 AND b.roi_id % 3 > 0")
+@query(f"WITH {ad.ROI_SQL} SELECT a.roi_id AS roi_id_1, b.roi_id AS roi_id_2, round({D}, 6) AS distance FROM roi a JOIN roi b ON a.fov = b.fov AND a.timepoint = b.timepoint AND a.roi_id < b.roi_id WHERE {D} < 12")
 def ungrouped_violations(spark, sf):
-    """G6."""
-    return proximity.ungrouped_violations(ad.roi(spark, sf).where("roi_id % 3 > 0"), 12.0, SCALE).select("roi_id_1", "roi_id_2", r6("distance"))
+    """G6 over all rois."""
+    return proximity.ungrouped_violations(ad.roi(spark, sf), 12.0, SCALE).select("roi_id_1", "roi_id_2", r6("distance"))
 
 
 GROUPS = {"A": [0, 1, 2], "B": [3, 4]}
@@ -271,7 +272,7 @@ def unique_fits(spark, sf) -> DataFrame:
 def pair_rois_fits(spark, sf):
     """J11, FL13, P6, P7."""
     u = unique_fits(spark, sf).withColumn("roi_id", F.col("trace_id"))
-    fits = u.select("fov", "trace_id", "roi_id", "timepoint", *[(F.col(a) / 10.0).alias(f"{a}_px") for a in AXES])
+    fits = u.where("timepoint <> 3").select("fov", "trace_id", "roi_id", "timepoint", *[(F.col(a) / 10.0).alias(f"{a}_px") for a in AXES])
     rois = u.select("fov", "trace_id", "roi_id", "timepoint", *[F.lit(0.25).alias(f"{a}_fine") for a in AXES])
     out = tracing.to_nanometres(tracing.pair_rois_fits(rois, fits, background=3), (300.0, 100.0, 100.0))
     return out.select("trace_id", "timepoint", r6("z_px_dc"), r6("z", "z_nm"))
@@ -280,7 +281,7 @@ def pair_rois_fits(spark, sf):
 @query(f"WITH {_FITS} SELECT a.trace_id AS trace_id, a.timepoint AS timepoint, round(sqrt(pow(a.z - b.z, 2) + pow(a.y - b.y, 2) + pow(a.x - b.x, 2)), 6) AS ref_dist FROM u a LEFT JOIN u b ON a.trace_id = b.trace_id AND b.timepoint = 1")
 def reference_distance(spark, sf):
     """J12."""
-    return tracing.with_reference_distance(unique_fits(spark, sf), ["trace_id"], F.col("timepoint") == 1).select("trace_id", "timepoint", r6("ref_dist"))
+    return tracing.with_reference_distance(unique_fits(spark, sf), ["trace_id"], F.col("timepoint") == 1, validate=False).select("trace_id", "timepoint", r6("ref_dist"))
 
 
 LIMITS = {"max_dist": 800.0, "min_snr": 2.0, "max_sigma_xy": 150.0, "max_sigma_z": 400.0}
@@ -327,7 +328,7 @@ def reindex_traces(spark, sf):
 
 @query(f"WITH {ad.FIT_SQL} SELECT trace_id, timepoint, dense_rank() OVER (PARTITION BY trace_id ORDER BY timepoint) - 1 AS time_index FROM (SELECT DISTINCT trace_id, timepoint FROM fit)")
 def reindex_times(spark, sf):
-    """W3, W4."""
+    """W2 over timepoints."""
     return traces.reindex(ad.fit(spark, sf).select("trace_id", "timepoint").distinct(), ["trace_id"], "timepoint", "time_index")
 
 
@@ -346,7 +347,7 @@ def bead_maxmin_intensity(spark, sf):
 
 @query(f"WITH {ad.BEAD_FILE_SQL} SELECT fov, timepoint, count(*) AS n_all, count(*) FILTER (fail_code = '') AS n_pass FROM bead_file GROUP BY 1, 2")
 def bead_counts(spark, sf):
-    """A4, J13, FL2."""
+    """A4, FL2."""
     return beads.counts_by_status(ad.bead_file(spark, sf), ["fov", "timepoint"], beads.passes())
 
 
@@ -385,7 +386,7 @@ def spot_counts_by_fov_time(spark, sf):
 
 @query(f"WITH {_QC} SELECT CASE qc_pass WHEN 1 THEN 'filtered' ELSE 'unfiltered' END AS status, timepoint, count(*) AS n FROM f GROUP BY 1, 2")
 def spot_counts_by_status(spark, sf):
-    """A2, A3, S7."""
+    """A2, S7."""
     d = labelled(spark, sf)
     both = d.where("qc_pass = 1").withColumn("status", F.lit("filtered")).unionByName(d.where("qc_pass = 0").withColumn("status", F.lit("unfiltered")))
     return summaries.count_by(both, ["status", "timepoint"])
@@ -456,7 +457,7 @@ def repeated_keys(spark, sf):
 
 @query(f"WITH {ad.ROI_SQL}, pix AS (SELECT fov, CAST(zc AS INT) AS z, 1 AS l FROM roi WHERE false), m AS (SELECT DISTINCT fov, CAST(trunc(zc) AS BIGINT) AS z, CAST(trunc(yc) AS BIGINT) AS y, CAST(trunc(xc) AS BIGINT) AS x FROM roi WHERE roi_id % 2 = 0) SELECT r.roi_id AS roi_id, CASE WHEN m.fov IS NULL THEN 0 ELSE 1 + r.fov END AS label FROM roi r LEFT JOIN m ON m.fov = r.fov AND m.z = trunc(zc) AND m.y = trunc(yc) AND m.x = trunc(xc)")
 def nuclear_labels(spark, sf):
-    """J14, FL1, FL3."""
+    """J14. The mask is made of the rois of even id."""
     r = ad.roi(spark, sf)
     mask = r.where("roi_id % 2 = 0").select("fov", *[F.col(f"{a}c").cast("long").alias(a) for a in AXES], (F.col("fov") + 1).alias("label")).distinct()
     return tracing.nuclear_label(r, mask).select("roi_id", "label")

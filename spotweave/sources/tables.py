@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,14 +48,40 @@ def read_typed(spark: SparkSession, path: str, schema: str | StructType, sep: st
     return raw.select(*[typed(f.name, f.dataType.simpleString()).alias(f.name) for f in wanted])
 
 
+def same_place(spark: SparkSession, a: str, b: str) -> bool:
+    """Whether two paths are one, with or without the scheme of the default file system, dots and trailing slashes."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    full = []
+    for p in (a, b):
+        system = path(p).getFileSystem(conf)
+        whole = system.makeQualified(path(p)).toUri()
+        full.append((str(whole.getScheme()), str(whole.getAuthority()), posixpath.normpath(str(whole.getPath()))))
+    return full[0] == full[1]
+
+
 def write_table(df: DataFrame, path: str, *, source: str | None = None, overwrite: bool = False, by: str | None = None) -> None:
     """Headed delimited files, refused where they would replace their own source (IO2, IO5, IO6), a folder for each value of `by` (IO9)."""
-    if source is not None and source.rstrip("/") == path.rstrip("/"):
+    if source is not None and same_place(df.sparkSession, source, path):
         raise ValueError(f"the output would replace the input: {path}")
     out = df.write.mode("overwrite" if overwrite else "error").option("header", True).option("sep", separator(path) if "." in path.rsplit("/", 1)[-1] else ",")
     (out.partitionBy(by) if by else out).csv(path)
 
 
+def write_json_arrays(df: DataFrame, keys: list[str], item: str, path: str, overwrite: bool = False) -> None:
+    """One file line with a JSON array of `item` for each value of keys (IO12); a key's rows must fit a task, as those of an
+    imaging context do."""
+    arrays = df.groupBy(*keys).agg(F.to_json(F.array_sort(F.collect_list(item))).alias("value"))
+    arrays.select("value").write.mode("overwrite" if overwrite else "error").text(path)
+
+
+def read_json_arrays(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """item for each entry of JSON arrays, one array to a line; a line that is none is an error (IO13)."""
+    parsed = spark.read.text(path).select(F.from_json("value", schema).alias("items"), "value")
+    items = F.when(F.col("items").isNull(), F.raise_error(F.concat(F.lit("no JSON array: "), "value"))).otherwise(F.col("items"))
+    return parsed.select(F.explode(items).alias("item"))
+
+
 def write_json(df: DataFrame, path: str, overwrite: bool = False) -> None:
     """One JSON object for a row (IO12)."""
     df.write.mode("overwrite" if overwrite else "error").json(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from spotweave.operators import beads, merging, naming, proximity, qc, traces, tracing
 from spotweave.operators.components import connected_components
 from spotweave.operators.geometry import crop
-from spotweave.plans import registry
+from spotweave.plans import catalogue, registry
 
 TABLES = "lineitem events embeddings".split()
 
@@ -20,13 +20,13 @@ def norm(v):
     return "~" if v is None else str(int(v)) if isinstance(v, bool) else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(registry.ORACLES))
+@pytest.mark.parametrize("name", sorted(catalogue.ORACLES))
 def test_query_matches_its_oracle(spark, sf, name):
     con = duckdb.connect()
     for t in TABLES:
         con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
-    got = registry.QUERIES[name](spark, sf)
-    want = con.sql(registry.ORACLES[name])
+    got = catalogue.QUERIES[name](spark, sf)
+    want = con.sql(catalogue.ORACLES[name])
     cols = sorted(got.columns)
     assert cols == sorted(want.columns)
     place = [want.columns.index(c) for c in cols]
