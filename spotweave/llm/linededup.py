@@ -4,13 +4,15 @@ A line is a stretch of text up to a newline or, as web text often holds whole pa
 line, up to the end of a sentence; its separators stay with it, so that the lines of a text joined are the
 text. Blank lines are left out of what follows, but go with a run that they lie in. Per document:
 
-1. fingerprints: the smaller hash of every window of two neighbouring lines, and every line of `least_chars` characters.
-   A run of `least_chars` characters is a long line or holds a window, so each such run that stands twice has a
-   fingerprint that stands twice: none is missed;
-2. positions: fingerprints are counted, and joined back where they stand twice or more;
-3. extension: from the lines of such windows the match is extended forwards and backwards to the shortest run that has
-   `least_chars` characters, whose hash is a key; keys are aggregated to their first place (document, then position);
-4. deletion: a run whose key has an earlier place is deleted. The first occurrence stays.
+1. windows: from every line on, the shortest run that has `least_chars` characters;
+2. fingerprints: the minimum of every window in the order of lines by length, the longest first, then by hash. A repeated
+   run of `least_chars` characters holds a window, so its fingerprint stands in both places: none is missed, and lines
+   that stand everywhere are seldom chosen;
+3. candidates: fingerprints are counted, and documents with one that other documents share, or with a run that they
+   repeat themselves, go on;
+4. extension: in these, runs are extended forwards and backwards to all shortest runs of `least_chars` characters
+   from and up to each line. Their hashes are keys, which are aggregated to their first place (document, then position);
+5. deletion: a run whose key has an earlier place is deleted. The first occurrence stays.
 
 A stretch of lines of at least `least_chars` characters that an earlier place holds is covered by such runs: its
 first lines by the run forward from its start, all others by the runs backward from them. So it goes whole,
@@ -34,61 +36,87 @@ from pyspark.sql import functions as F
 from spotweave.llm.columns import indices, let
 from spotweave.runtime import broadcast_if_small, stage
 
-#: Ends of lines: after a newline, or after the space that follows the end of a sentence.
-BOUNDARY = r"(?<=\n)|(?<=[.!?] )"
+#: Lines end after these: a newline, or the space that follows the end of a sentence.
+ENDS = ("\n", ". ", "! ", "? ")
+MARK = "\x01"
+LEVELS = 5  # sums of 2, 4, 8, 16 and 32 lines find a window of up to 32 lines by halving; longer ones are added up
 
 
 def lines_of(text: Column) -> Column:
     """The lines of a text with their separators; joined they are the text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), BOUNDARY, -1), lambda x: x != "")
+    text = F.coalesce(text, F.lit(""))
+    marked = text
+    for end in ENDS:
+        marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
+    slow = "|".join(f"(?<={'[.]' if e[0] == '.' else '[?]' if e[0] == '?' else e[0]}{e[1:]})" for e in ENDS)
+    found = F.when(F.contains(text, F.lit(MARK)), F.split(text, slow, -1)).otherwise(F.split(marked, MARK, -1))
+    return F.filter(found, lambda x: x != "")
+
+
+def window_lines(sums: list[Column], i: Column, least_chars: int) -> Column:
+    """Lines of the shortest run of least_chars characters from line i on, null where the text ends before; sums[k] are the sums of
+    the 2 ** k lengths from each line on, as far as there are lines."""
+
+    def halved(k: int, before: Column | None, n: int) -> Column:
+        """The answer, known to lie within 2 ** k lines after the first n, which have `before` characters."""
+        if k == 0:
+            return F.lit(n + 1)
+        half = 1 << (k - 1)
+        there = F.coalesce(F.get(sums[k - 1], i + n), F.lit(0))
+        total = there if before is None else before + there
+        return F.when(total >= least_chars, halved(k - 1, before, n)).otherwise(halved(k - 1, total, n + half))
 
+    # a line has a character at least, so no run is longer than least_chars lines
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("s"))
+    add = lambda a, x: F.struct((a["n"] + F.when(a["s"] < least_chars, 1).otherwise(0)).alias("n"), (a["s"] + x).alias("s"))
+    longer = F.aggregate(F.slice(sums[0], i + 1, least_chars), zero, add, lambda a: F.when(a["s"] >= least_chars, a["n"]))
+    most = len(sums) - 1
+    return F.when(F.get(sums[most], i) >= least_chars, halved(most, None, 0)).when(i + (1 << most) < F.size(sums[0]), longer)
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """doc_id and, of its lines that are not blank, h (hashes), l (lengths) and at (positions)."""
+
+def run_table(docs: DataFrame, least_chars: int) -> DataFrame:
+    """For each document: prints (fingerprints of its windows), runs (f: hash of the lines, at and to: first and last
+    position) and again (whether it repeats a run itself)."""
     trimmed = F.transform(lines_of(F.col("text")), lambda x: F.btrim(x, F.lit(" \n\r\t")))
     lines = F.filter(F.transform(trimmed, lambda x, i: F.struct(F.xxhash64(x).alias("h"), F.length(x).alias("l"), i.alias("at"))), lambda x: x["l"] > 0)
-    return docs.where("doc_id is not null").select("doc_id", lines.alias("x")).where(F.size("x") > 0).select("doc_id", F.col("x.h").alias("h"), F.col("x.l").alias("l"), F.col("x.at").alias("at"))
-
 
-def fingerprints(h: Column, l: Column, least_chars: int) -> Column:
-    """struct(f, i) of the lines that are the smaller one of a window of two, or long by themselves; i counts lines."""
-    lowest = lambda x, i: F.coalesce(x <= F.get(h, i + 1), F.lit(False)) | F.coalesce(x <= F.when(i > 0, F.get(h, i - 1)), F.lit(False)) | (F.get(l, i) >= least_chars)
-    marked = F.transform(h, lambda x, i: F.struct(x.alias("f"), i.alias("i"), lowest(x, i).alias("lowest")))
-    return F.filter(marked, lambda x: x["lowest"])
-
-
-def run_length(l: Column, i: Column, step: int, least_chars: int) -> Column:
-    """Lines of the shortest run of least_chars characters from line i on (backwards for step -1); null without one."""
-    at = lambda k: F.when((i + step * k >= 0) & (i + step * k < F.size(l)), F.get(l, i + step * k))
-    # a line has a character at least, so no run is longer than least_chars lines
-    rest = F.slice(l, i + 1, least_chars) if step > 0 else F.reverse(F.slice(l, F.greatest(i + 2 - least_chars, F.lit(1)), F.least(i + 1, F.lit(least_chars))))
-    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("s"))
-    add = lambda a, x: F.struct((a["n"] + F.when(a["s"] < least_chars, 1).otherwise(0)).alias("n"), (a["s"] + x).alias("s"))
-    longer = F.aggregate(rest, zero, add, lambda a: F.when(a["s"] >= least_chars, a["n"]))
-    two = at(0) + at(1)
-    return F.when(at(0) >= least_chars, 1).when(two >= least_chars, 2).when(two + at(2) >= least_chars, 3).otherwise(longer)
-
-
-def run_table(lines: DataFrame, least_chars: int) -> DataFrame:
-    """f (hash of the lines), doc_id, at and to (first and last position) of the runs that start or end in a window whose
-    fingerprint stands twice, from lines with the array `met` of such fingerprints' lines."""
-    runs_from = lambda starts, step: F.transform(starts, lambda i: let(run_length(F.col("l"), i, step, least_chars), lambda n: (i if step > 0 else i - n + 1).cast("long") * 1024 + n))
-    inside = lambda starts: F.array_distinct(F.filter(starts, lambda i: (i >= 0) & (i < F.size("l"))))
-    ahead = inside(F.concat("met", F.transform("met", lambda i: i - 1)))
-    back = inside(F.concat("met", F.transform("met", lambda i: i + 1)))
-    both = F.array_distinct(F.filter(F.concat(runs_from(ahead, 1), runs_from(back, -1)), lambda x: x.isNotNull()))  # of longs: a hash set
-    first, size = F.shiftright("run", 10).cast("int"), (F.col("run") % 1024).cast("int")
-    held = lines.select("doc_id", "h", "at", F.explode(both).alias("run"))
-    return held.select(F.xxhash64(F.slice("h", first + 1, size)).alias("f"), "doc_id", F.get("at", first).alias("at"), F.get("at", first + size - 1).alias("to"))
-
-
-def repeated_lines(docs: DataFrame, *, least_chars: int = 100) -> DataFrame:
-    """(doc_id, gone): positions of the lines to delete, sorted; documents without any are left out. least_chars below 1024."""
-    lines = stage(line_table(docs).withColumn("prints", fingerprints(F.col("h"), F.col("l"), least_chars)), "line-hashes")
-    prints = lines.select("doc_id", F.explode("prints").alias("p")).select("doc_id", "p.f", "p.i")
-    twice = stage(prints.groupBy("f").agg(F.count("*").alias("n")).where("n > 1").select("f"), "line-prints")  # a table of its own, so that the join back can split a hot line
-    met = stage(prints.join(twice, "f").groupBy("doc_id").agg(F.array_sort(F.collect_set("i")).alias("met")), "line-met")
-    runs = stage(run_table(lines.select("doc_id", "h", "l", "at").join(met, "doc_id"), least_chars), "line-runs")
+    def with_sums(lengths: Column, body) -> Column:
+        """body(sums), each list of sums computed once."""
+
+        def more(sums: list[Column]) -> Column:
+            if len(sums) > LEVELS:
+                return body(sums)
+            far = 1 << (len(sums) - 1)
+            return let(F.transform(sums[-1], lambda v, i: v + F.coalesce(F.get(sums[-1], i + far), F.lit(0))), lambda twice: more([*sums, twice]))
+
+        return let(lengths, lambda one: more([one]))
+
+    def found(b: Column, ends: Column) -> Column:
+        """From the last line of the window of each line: the result."""
+        last = F.size(b["l"])
+        # a line between the ends of the windows of two lines in a row ends a run from the first of them
+        stretch = lambda e, i: F.transform(F.sequence(e, F.greatest(e, F.coalesce(F.get(ends, i + 1), last) - 1)), lambda j: F.struct(F.xxhash64(F.slice(b["h"], i + 1, j - i + 1)).alias("f"), F.get(b["at"], i).alias("at"), F.get(b["at"], j).alias("to")))
+        none = F.array().cast("array<struct<f:bigint,at:int,to:int>>")
+        runs = F.flatten(F.transform(ends, lambda e, i: F.when(e.isNotNull(), stretch(e, i)).otherwise(none)))
+        order = F.transform(b["h"], lambda h, i: F.shiftleft(F.get(b["l"], i).cast("long"), 40) + h.bitwiseAND(F.lit((1 << 40) - 1)))
+        prints = let(order, lambda o: F.array_distinct(F.transform(F.filter(F.transform(ends, lambda e, i: F.struct(e.alias("e"), i.alias("i"))), lambda w: w["e"].isNotNull()), lambda w: F.array_max(F.slice(o, w["i"] + 1, w["e"] - w["i"] + 1)))))
+        return let(runs, lambda r: F.struct(prints.alias("prints"), r.alias("runs"), (F.size(F.array_distinct(r["f"])) < F.size(r)).alias("again")))
+
+    def table(x: Column) -> Column:
+        b = F.struct(x["h"].alias("h"), x["l"].alias("l"), x["at"].alias("at"))
+        ends = lambda s: F.transform(indices(F.size(s[0])), lambda i: i + window_lines(s, i, least_chars) - 1)
+        return let(b, lambda b: with_sums(b["l"], lambda sums: let(ends(sums), lambda e: found(b, e))))
+
+    return docs.where("doc_id is not null").select("doc_id", let(lines, table).alias("t")).select("doc_id", "t.*")
+
+
+def repeated_lines(docs: DataFrame, *, least_chars: int = 100, max_broadcast: int = 1_000_000) -> DataFrame:
+    """(doc_id, gone): positions of the lines to delete, sorted; documents without any are left out."""
+    held = stage(run_table(docs, least_chars), "line-runs")
+    prints = held.select("doc_id", F.explode("prints").alias("f"))
+    shared = stage(prints.groupBy("f").agg(F.count("*").alias("n")).where("n > 1").select("f"), "line-prints")  # a table of its own, so that the join back can split a hot line
+    candidates = prints.join(shared, "f", "left_semi").select("doc_id").union(held.where("again").select("doc_id")).distinct()
+    runs = held.join(broadcast_if_small(stage(candidates, "line-candidates"), max_broadcast), "doc_id", "left_semi").select("doc_id", F.explode("runs").alias("r")).select("doc_id", "r.*")
     first = runs.groupBy("f").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("f", F.col("first.doc_id").alias("doc0"), F.col("first.at").alias("at0"))
     first = stage(first, "line-first")
     later = runs.join(first, "f").where("doc_id <> doc0 or at <> at0")

@@ -8,18 +8,18 @@ A document's set is its distinct five-word shingles (as 64-bit hashes); two docu
 2. `postings`: one global order of tokens, those with the rarest words first and hot ones last. A set of n shingles
    that must share r = ceil(0.8 n) has the extended prefix of n - r + k shingles, k = min(8, r); two linked sets share
    at least k tokens there. Every prefix token is indexed by itself at first.
-3. Rounds (`stars`): each list has a hub, each set is paired with the hub that it meets in most lists (one
-   pair for a set at most), pairs are verified exactly, and linked sets become one component. From then on a list counts
-   components, not sets, and further rounds pair those of long lists with a few hubs; so a group of near copies of any size
-   soon is one entry, or few, of its lists.
+3. `stars`: each list has a hub, each set is paired with the hub that it meets in most lists (one pair for a set
+   at most), pairs are verified exactly, and linked sets become one component. From then on a list counts components, not
+   sets, so a group of near copies is few entries of its lists.
 4. `settled`: a list of at most `bound` components holds a rare token: its pairs of components are counted, and
    those that share half of k rare tokens or more are kept. A list of more components holds a frequent token. Sets
    that could share the other half of k in frequent tokens alone are indexed again by combinations of two of them, and
    pairs come from the lists of at most `bound` components. So the pairs of a list are bounded by a constant.
    Kept pairs of components are tested member by member, first by bitmaps, then exactly.
 5. `families`: what meets in longer lists of combinations, or has too many frequent tokens for these, is
-   gathered in families, whose sets are compared by bitmaps in pairs of blocks; only what the bitmaps allow becomes a row. So
-   no link between components is lost.
+   gathered in families. Their sets are first tested against a few hubs, which makes most of a group of near copies of any size
+   one component, then by bitmaps in pairs of blocks, where only what the bitmaps allow becomes a row. So no link between
+   components is lost.
 
 Lists of hot tokens are split by salt, classes keep copies out of the join, and nothing of the size of the
 corpus reaches the driver; the hot shingles are at most 2000 times the mean set size.
@@ -48,7 +48,7 @@ N = 5
 CHUNK_DOCS, CHUNK_TOKENS, LEAST_LOCAL = 4096, 1_000_000, 3
 WORD_SHARE = 50_000  # words of a share of 1 / WORD_SHARE of a chunk or more are common: at most as many in a chunk
 MAX_COMBINED = 16  # frequent tokens of a prefix up to which they are indexed by combinations of two
-HUBS = 8  # of a list, in each turn after the first
+HUBS = 8  # of a family, in each turn
 SHARED = 8  # prefix tokens that two linked sets share, or all that the smaller overlap allows
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -259,22 +259,11 @@ def similar(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=bool)
 
 
-def stars(live: DataFrame, nodes: DataFrame | None, salts: int, turn: int, bound: int, max_broadcast: int) -> DataFrame:
-    """Pairs (a, b) to test, of sets that meet in two lists or more. At first a set is paired with the hub that it meets
-    in most lists; in later turns a component is paired with the hubs of the lists of more than bound components, HUBS in each."""
-    if nodes is None:
-        met = live.where((F.col("sig") != F.col("hub.sig")) & fits(F.col("n"), F.col("hub.n"))).groupBy("sig", "hub.sig").agg(F.count("*").alias("times")).toDF("a", "b", "times")
-        pairs = met.where("times >= 2").groupBy("a").agg(F.max(F.struct("times", "b")).alias("best")).select("a", "best.b")
-    else:
-        mixed_up = lambda c, j=0: F.xxhash64(c, F.lit(HUBS * turn + j))
-        heads = labelled(live, nodes, max_broadcast).groupBy("key", "comp").agg(F.min(F.struct(mixed_up("sig").alias("o"), "sig", "n")).alias("rep"), F.max("hot").alias("hot"))
-        w = Window.partitionBy("key", F.when(F.col("hot"), F.pmod(F.xxhash64("comp"), F.lit(salts))).otherwise(0))
-        names = [f"hub_{j}" for j in range(HUBS)]
-        long = heads.withColumns({"size": F.count("*").over(w), **{c: F.min(F.struct(mixed_up("comp", j).alias("o"), "comp", "rep")).over(w) for j, c in enumerate(names)}}).where((F.col("size") > bound) | F.col("hot"))
-        held = long.select("comp", "rep", F.explode(F.array(*names)).alias("hub"))
-        met = held.where((F.col("comp") != F.col("hub.comp")) & fits(F.col("rep.n"), F.col("hub.rep.n"))).select("comp", F.col("hub.comp").alias("h"), F.struct(F.col("rep.sig").alias("a"), F.col("hub.rep.sig").alias("b")).alias("pair"))
-        pairs = met.groupBy("comp", "h").agg(F.count("*").alias("times"), F.min("pair").alias("pair")).where("times >= 2").select("pair.a", "pair.b")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def stars(live: DataFrame) -> DataFrame:
+    """Pairs (a, b) to test: each set with the hub that it meets in most lists, two at least."""
+    met = live.where((F.col("sig") != F.col("hub.sig")) & fits(F.col("n"), F.col("hub.n"))).groupBy("sig", "hub.sig").agg(F.count("*").alias("times")).toDF("a", "b", "times")
+    best = met.where("times >= 2").groupBy("a").agg(F.max(F.struct("times", "b")).alias("best"))
+    return best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
 
 
 def labelled(live: DataFrame, nodes: DataFrame, max_broadcast: int) -> DataFrame:
@@ -339,13 +328,24 @@ def block_pairs(x: tuple, y: tuple) -> list[tuple[int, int]]:
     return [(int(v), int(w)) for v, w in set(out)]
 
 
-def families(rest: DataFrame, maps: DataFrame, block: int = 256) -> DataFrame:
-    """Pairs (a, b) of sets that the bitmaps allow, among those that a chain of lists of rest joins and that differ in
-    component. A family stands in blocks of about `block` sets; every two of them meet in one row."""
+def family_sets(rest: DataFrame, maps: DataFrame) -> DataFrame:
+    """(sig, comp, family, n, bits) of the sets of rest; a family is what a chain of its lists joins."""
     hub = rest.groupBy("key").agg(F.min("comp").alias("hub"))
     joined = connected_components(rest.join(hub, "key").select("comp", "hub").distinct(), "comp", "hub")
-    sets = rest.select("sig", "comp").distinct().join(joined, F.col("comp") == F.col("node")).select("sig", "comp", F.col("component").alias("family"))
-    sets = stage(sets.join(maps, "sig"), "join-family")
+    return rest.select("sig", "comp").distinct().join(joined, F.col("comp") == F.col("node")).select("sig", "comp", F.col("component").alias("family")).join(maps, "sig")
+
+
+def family_stars(sets: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each set with HUBS sets of its family, others in each turn, that differ from it in component."""
+    mixed_up = lambda j: F.xxhash64("sig", F.lit(HUBS * turn + j))
+    hubs = sets.groupBy("family").agg(F.array(*(F.min(F.struct(mixed_up(j).alias("o"), "sig", "comp", "n")) for j in range(HUBS))).alias("hubs"))
+    met = sets.join(hubs, "family").select("sig", "comp", "n", F.explode("hubs").alias("hub")).where((F.col("comp") != F.col("hub.comp")) & fits(F.col("n"), F.col("hub.n")))
+    return met.select(F.least("sig", "hub.sig").alias("a"), F.greatest("sig", "hub.sig").alias("b")).distinct()
+
+
+def family_blocks(sets: DataFrame, block: int = 256) -> DataFrame:
+    """Pairs (a, b) of sets that the bitmaps allow, of one family but different components. A family stands in blocks of
+    about `block` sets; every two of them meet in one row."""
     size = sets.groupBy("family").agg(F.count("*").alias("size"), F.count_distinct("comp").alias("comps")).where("comps > 1")
     at = F.pmod(F.xxhash64("sig", F.lit("block")), F.ceil(F.col("size") / block)).alias("block")
     dealt = stage(sets.join(size, "family").groupBy("family", at).agg(*(F.collect_list(c).alias(c) for c in ("sig", "n", "comp", "bits"))), "join-blocks")
@@ -421,8 +421,6 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bo
 
     def merged(links: DataFrame) -> DataFrame:
         """nodes (sig, comp) with the components that links join made one."""
-        if nodes is None:
-            return stage(connected_components(links, "a", "b").select(F.col("node").alias("sig"), F.col("component").alias("comp")), "join-nodes")
         of = lambda c: nodes.select(F.col("sig").alias(c), F.col("comp").alias(f"{c}_comp"))
         e = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a_comp", "a").alias("x"), F.coalesce("b_comp", "b").alias("y"))
         joined = connected_components(e, "x", "y")
@@ -430,15 +428,8 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bo
         best = known.join(joined, known["comp"] == joined["node"], "left").select("sig", F.coalesce("component", "comp").alias("comp"))
         return stage(best.groupBy("sig").agg(F.min("comp").alias("comp")), "join-nodes")
 
-    nodes: DataFrame | None = None
-    for turn in range(max_rounds):
-        pairs = stage(stars(live, nodes, salts, turn, bound, max_broadcast), "join-pairs")
-        links = verified(pairs)
-        nodes = merged(links)
-        if links.count() * 50 <= pairs.count():  # few links among the last pairs: test all that are left
-            break
-    if nodes is None:
-        nodes = stage(spark.createDataFrame([], "sig long, comp long"), "join-nodes")
+    nodes = stage(connected_components(verified(stage(stars(live), "join-pairs")), "a", "b").select(F.col("node").alias("sig"), F.col("component").alias("comp")), "join-nodes")
+
     def renewed(df: DataFrame, name: str) -> DataFrame:
         """Component ids of a column as they are now."""
         now = nodes.select(F.col("sig").alias(name), F.col("comp").alias("now"))
@@ -451,9 +442,18 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bo
             fresh = stage(members_of(both, sample), "join-left-over")
         nodes = merged(verified(fresh))
     if not rest.isEmpty():
-        rest = stage(renewed(rest, "comp"), "join-rest")
+        held = stage(family_sets(renewed(rest, "comp"), maps), "join-family")
+        for turn in range(max_rounds):
+            pairs = stage(family_stars(held, turn), "join-pairs")
+            links = verified(pairs)
+            if links.isEmpty():
+                break
+            nodes = merged(links)
+            held = stage(renewed(held, "comp"), "join-family")
+            if links.count() * 20 <= pairs.count():  # few links among the last pairs: test all that are left
+                break
         with arrow_rows(spark, 8):
-            fresh = stage(families(rest, maps), "join-left-over")
+            fresh = stage(family_blocks(held), "join-left-over")
         nodes = merged(verified(fresh))
     return members, classes, nodes
 

@@ -191,9 +191,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_positives: int = 2000, max_un
         return fit_nnpu([], [], 0.5)
     prior = min(0.95, max(0.005, n_pos / n)) if prior is None else prior
     n_docs = docs.count()
-    draw = (F.xxhash64("doc_id", F.lit("toxicity")).bitwiseAND(F.lit((1 << 40) - 1))) / float(1 << 40)
-    wanted = train.where("toxic = 1").where(draw < min(1.0, max_positives / n_pos)).select("doc_id", F.lit(1).alias("is_positive"))
-    drawn = draw < min(1.0, max_unlabelled / max(1, n_docs))
+    draw = lambda *by: F.xxhash64(*by, F.lit("toxicity")).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
+    wanted = train.where("toxic = 1").where(draw("doc_id") < min(1.0, max_positives / n_pos)).select("doc_id", F.lit(1).alias("is_positive"))
+    drawn = draw("doc_id", "text") < min(1.0, max_unlabelled / max(1, n_docs))
 
     @F.pandas_udf("binary")
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -205,9 +205,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_positives: int = 2000, max_un
 
     rows = (
         docs.select("doc_id", "text", F.coalesce(drawn, F.lit(False)).alias("drawn"))
-        .join(F.broadcast(wanted), "doc_id", "left")  # at most about max_positives ids
+        .join(F.broadcast(wanted), "doc_id", "left")  # about max_positives ids at most, one row for each
         .where("drawn or is_positive = 1")
         .select(features("text").alias("f"), "drawn", (F.col("is_positive") == 1).alias("positive"), F.xxhash64("doc_id").alias("o"))
+        .groupBy("f")  # rows that are alike in id and text are drawn together, and count once
+        .agg(F.max("drawn").alias("drawn"), F.max("positive").alias("positive"), F.min("o").alias("o"))
         .collect()
     )
     rows.sort(key=lambda r: (r.o, bytes(r.f)))
