@@ -1,0 +1,151 @@
+"""Simulation of loop extrusion along a polymer, and of the polymer's motion (K23, K24). One run is one seed; all extruders, barriers
+and beads of a run are arrays that move together."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+
+CAPTURE = 6  # fixed value: a barrier holds a leg that is fewer positions away
+CONTACT = 0.025  # fixed value: beads nearer than this push each other apart
+
+
+@dataclass(frozen=True)
+class Extrusion:
+    """Parameters of loop extrusion; lifetimes in steps, 0 for a kind that never binds. Directions: -1 holds right legs, 1 left ones."""
+
+    beads: int
+    extruders: int
+    bound: int
+    unbound: int
+    held: int
+    rate: float
+    sites: tuple[int, ...] = ()
+    directions: tuple[int, ...] = ()
+    weights: tuple[float, ...] = ()
+    barriers: int = 0
+    barrier_bound: int = 0
+    barrier_unbound: int = 1
+    barrier_held: int = 1
+    crash: float = 0.0
+    warmup: int = 0
+
+
+def chance(rng: np.random.Generator, lifetime: np.ndarray) -> np.ndarray:
+    """Whether something of these lifetimes ends now; never for a lifetime of 0."""
+    return (rng.random(len(lifetime)) * lifetime < 1) & (lifetime > 0)
+
+
+class Fibre:
+    """The state of one run: legs (-1 while unbound), what holds them, and the barriers' sites (-1 while unbound)."""
+
+    def __init__(self, p: Extrusion, seed: int):
+        self.p, self.rng = p, np.random.default_rng(seed)
+        n, m = p.extruders, p.barriers
+        self.legs = np.full((n, 2), -1)
+        self.by_barrier, self.by_extruder = np.zeros((n, 2), bool), np.zeros((n, 2), bool)
+        self.site, self.holds = np.full(m, -1), np.full(m, -1)
+        self.sites, self.directions = np.array(p.sites, int), np.array(p.directions, int)
+        weights = np.array(p.weights or [1.0] * len(p.sites), float)
+        self.weights = weights / weights.sum() if len(weights) else weights
+
+    def step(self) -> np.ndarray:
+        """Legs of all extruders after one step."""
+        self._extrude()
+        if self.p.crash > 0:
+            self._crash()
+        if self.p.barriers and len(self.sites):
+            self._barriers()
+        return self.legs.copy()
+
+    def _free(self, which: np.ndarray) -> None:
+        self.legs[which], self.by_barrier[which], self.by_extruder[which] = -1, False, False
+
+    def _extrude(self) -> None:
+        p, on = self.p, self.legs[:, 0] >= 0
+        held = self.by_barrier.any(axis=1)
+        ends = chance(self.rng, np.where(on, np.where(held, p.held, p.bound), p.unbound if p.bound else 0))
+        binds = ~on & ends
+        starts = self.rng.integers(0, max(1, p.beads - 3), len(on))
+        walks = (on & ~ends)[:, None] & ~(self.by_barrier | self.by_extruder) & (self.rng.random(self.legs.shape) < p.rate)
+        self.legs = self.legs + walks * np.array([-1, 1])
+        self._free((on & ends) | (on & ((self.legs[:, 0] < 0) | (self.legs[:, 1] >= p.beads))))
+        self.legs[binds] = np.column_stack([starts, starts + 2])[binds]
+
+    def _crash(self) -> None:
+        """Extruders whose facing legs meet may hold each other."""
+        on = np.flatnonzero(self.legs[:, 0] >= 0)
+        at_left: dict[int, list[int]] = {}
+        for j in on:
+            at_left.setdefault(int(self.legs[j, 0]), []).append(int(j))
+        for i in on:
+            for j in at_left.get(int(self.legs[i, 1]), ()):
+                if j != i and not self.by_extruder[i, 1] and self.rng.random() < self.p.crash:
+                    self.by_extruder[i, 1] = self.by_extruder[j, 0] = True
+
+    def _barriers(self) -> None:
+        p, on = self.p, self.site >= 0
+        ends = chance(self.rng, np.where(on, np.where(self.holds >= 0, p.barrier_held, p.barrier_bound), p.barrier_unbound if p.barrier_bound else 0))
+        for b in np.flatnonzero(ends):
+            if on[b]:
+                if (i := self.holds[b]) >= 0:
+                    self.by_barrier[i, 1 if self.directions[self.site[b]] < 0 else 0] = False
+                self.site[b] = self.holds[b] = -1
+            else:
+                free = np.setdiff1d(np.arange(len(self.sites)), self.site)
+                if len(free) and self.weights[free].sum() > 0:
+                    self.site[b] = self.rng.choice(free, p=self.weights[free] / self.weights[free].sum())
+        for b in np.flatnonzero((self.site >= 0) & (self.holds < 0)):
+            at, side = self.sites[self.site[b]], 1 if self.directions[self.site[b]] < 0 else 0
+            near = (self.legs[:, 0] >= 0) & ~self.by_barrier[:, side] & (np.abs(self.legs[:, side] - at) < CAPTURE)
+            near &= (self.legs[:, 0] < at) if side else (self.legs[:, 1] > at)
+            if near.any():
+                i = int(np.flatnonzero(near)[0])
+                self.holds[b], self.by_barrier[i, side], self.legs[i, side] = i, True, at
+        gone = (self.holds >= 0) & (self.legs[np.maximum(self.holds, 0), 0] < 0)
+        self.holds[gone] = -1
+
+
+def extrusion(p: Extrusion, steps: int, seed: int) -> np.ndarray:
+    """Legs (steps, extruders, 2) of one run after its warm-up, -1 while unbound."""
+    fibre = Fibre(p, seed)
+    for _ in range(p.warmup):
+        fibre.step()
+    return np.stack([fibre.step() for _ in range(steps)]) if steps else np.zeros((0, p.extruders, 2), int)
+
+
+def walk(rng: np.random.Generator, steps: int, size: float) -> np.ndarray:
+    """Positions of a random walk whose steps have normal lengths and even directions."""
+    way = rng.standard_normal((steps, 3))
+    way /= np.maximum(np.linalg.norm(way, axis=1, keepdims=True), 1e-12)
+    return np.cumsum(way * (size * rng.standard_normal((steps, 1))), axis=0)
+
+
+def relax(at: np.ndarray, bonds: np.ndarray, strength: np.ndarray, steps: int, size: float, rng: np.random.Generator) -> np.ndarray:
+    """Beads after `steps` moves: each is drawn along its bonds in proportion to their length, pushed off where a bond is very
+    short, and moved at random."""
+    a, b = bonds[:, 0], bonds[:, 1]
+    for _ in range(steps):
+        r = at[a] - at[b]
+        length = np.linalg.norm(r, axis=1, keepdims=True)
+        pull = np.where(length < CONTACT, (CONTACT - length) * r / np.maximum(length, 1e-9), -strength[:, None] * r)
+        move = np.zeros_like(at)
+        np.add.at(move, a, pull)
+        np.add.at(move, b, -pull)
+        at = at + move + size / np.sqrt(3) * rng.standard_normal(at.shape)
+    return at
+
+
+def rouse(beads: int, loops: list[np.ndarray], seed: int, *, k: float = 0.1, loop_force: float = 1.0, diffusion: float = 0.01, start: int = 1000, each: int = 10) -> np.ndarray:
+    """Positions (len(loops), beads, 3) of a polymer whose loops are closed one set after the other."""
+    rng, size = np.random.default_rng(seed), float(np.sqrt(6 * diffusion))
+    chain = np.column_stack([np.arange(beads - 1), np.arange(1, beads)])
+    at = relax(walk(rng, beads, size), chain, np.full(len(chain), k), start, size, rng)
+    out = []
+    for pairs in loops:
+        held = pairs[(pairs[:, 0] >= 0) & (pairs[:, 1] < beads)]
+        bonds, strength = np.concatenate([chain, held]), np.concatenate([np.full(len(chain), k), np.full(len(held), k * loop_force)])
+        at = relax(at, bonds, strength, each, size, rng)
+        out.append(at)
+    return np.stack(out) if out else np.zeros((0, beads, 3))

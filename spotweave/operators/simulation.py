@@ -1,0 +1,46 @@
+"""Simulations as tables: one run for each row of a table of run ids (K23, K24). A run is one task's work in one Arrow batch, its seed is
+its id, so a lost task gives the same rows again."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+
+from spotweave.functions.polymer import Extrusion, extrusion, rouse
+
+
+def run_ids(spark: SparkSession, runs: int, parts: int | None = None) -> DataFrame:
+    """run_id 0 .. runs - 1, dealt over the cores."""
+    return spark.range(0, runs, 1, parts or min(max(1, runs), spark.sparkContext.defaultParallelism * 4)).withColumnRenamed("id", "run_id")
+
+
+def simulate_extrusion(runs: DataFrame, p: Extrusion, steps: int) -> DataFrame:
+    """(run_id, step, extruder, left, right) of all bound extruders."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for run in batch["run_id"]:
+                legs = extrusion(p, steps, int(run))
+                step, extruder = np.nonzero(legs[:, :, 0] >= 0)
+                at = legs[step, extruder]
+                yield pd.DataFrame({"run_id": np.full(len(step), run), "step": step, "extruder": extruder, "left": at[:, 0], "right": at[:, 1]})
+
+    return runs.select("run_id").mapInPandas(work, "run_id long, step long, extruder long, left long, right long")
+
+
+def simulate_polymer(runs: DataFrame, p: Extrusion, steps: int, **how: float) -> DataFrame:
+    """(run_id, step, bead, z, y, x) of a polymer whose loops are those of the run's extruders."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for run in batch["run_id"]:
+                loops = [legs[legs[:, 0] >= 0] for legs in extrusion(p, steps, int(run))]
+                at = rouse(p.beads, loops, int(run), **how)
+                step, bead = np.divmod(np.arange(steps * p.beads), p.beads)
+                flat = at.reshape(-1, 3)
+                yield pd.DataFrame({"run_id": np.full(len(step), run), "step": step, "bead": bead, "z": flat[:, 0], "y": flat[:, 1], "x": flat[:, 2]})
+
+    return runs.select("run_id").mapInPandas(work, "run_id long, step long, bead long, z double, y double, x double")

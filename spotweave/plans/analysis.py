@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spotweave.operators import images, pixels, proximity, shape, similarity, traces, tracing, voxels
+from spotweave.operators import clustering, detection, images, pixels, proximity, shape, similarity, simulation, traces, tracing, voxels
 from spotweave.operators.geometry import AXES
 from spotweave.plans import adapters as ad
 from spotweave.plans.registry import D, SCALE, maps, query, r6, trace_points
@@ -292,3 +292,65 @@ def aligned_distances(spark, sf):
     first = lists.orderBy("trace_id").first()
     template = tuple(list(first[a]) for a in AXES) if first else ([], [], [])
     return pixels.aligned_to(lists, template).select("trace_id", "rmse")
+
+
+_BEAD_FITS = f"{ad.BEAD_FILE_SQL}, fits AS (SELECT fov, CAST(timepoint % 4 AS INT) AS timepoint, bead_id % 20 AS bead_id, min(max_intensity) AS z, max(max_intensity) AS y, avg(max_intensity) AS x FROM bead_file GROUP BY 1, 2, 3)"
+
+
+@query(f"WITH {_BEAD_FITS}, m AS (SELECT a.fov AS fov, a.timepoint AS timepoint, b.z - a.z AS z, b.y - a.y AS y, count(*) OVER (PARTITION BY a.fov, a.timepoint) AS n, row_number() OVER (PARTITION BY a.fov, a.timepoint ORDER BY b.z - a.z) AS rz, row_number() OVER (PARTITION BY a.fov, a.timepoint ORDER BY b.y - a.y) AS ry FROM fits a JOIN fits b ON a.fov = b.fov AND a.bead_id = b.bead_id AND b.timepoint = 0), g AS (SELECT fov, timepoint, avg(z) FILTER (rz > floor(n * 2e-1) AND rz <= n - floor(n * 2e-1)) AS z_fine, avg(y) FILTER (ry > floor(n * 2e-1) AND ry <= n - floor(n * 2e-1)) AS y_fine FROM m GROUP BY 1, 2) SELECT fov, timepoint, round(coalesce(z_fine, 0), 6) AS z_fine, round(coalesce(y_fine, 0), 6) AS y_fine FROM (SELECT DISTINCT fov, timepoint FROM fits) LEFT JOIN g USING (fov, timepoint)")
+def fine_drift(spark, sf):
+    """From fitted beads."""
+    f = ad.bead_file(spark, sf).groupBy("fov", (F.col("timepoint") % 4).cast("int").alias("timepoint"), (F.col("bead_id") % 20).alias("bead_id")).agg(F.min("max_intensity").alias("z"), F.max("max_intensity").alias("y"), F.avg("max_intensity").alias("x"))
+    return detection.fine_drift(f, 0).select("fov", "timepoint", r6("z_fine"), r6("y_fine"))
+
+
+@query("SELECT CAST(vec_id AS BIGINT) AS vec_id, count(*) AS n, max(v) AS brightest FROM (SELECT vec_id, i, CAST(embedding[i] AS DOUBLE) + CASE WHEN i = 22 THEN 60 WHEN i IN (21, 23, 18, 26, 6, 38) THEN 30 ELSE 10 END AS v FROM embeddings, (SELECT unnest(range(1, 65)) AS i)) WHERE v > 25 GROUP BY 1")
+def detected_by_intensity(spark, sf):
+    """K1 by intensity: the pixels of each volume's one bright part, and the brightest."""
+    spots = detection.detect_spots(volumes(spark, sf), ["vec_id"], "intensity", 25.0, rows=100)
+    return spots.groupBy("vec_id").agg(F.sum("area").cast("long").alias("n"), F.max("max_intensity").alias("brightest"))
+
+
+@query()
+def detected_by_blurs(spark, sf):
+    """K1 by difference of blurs; no SQL: convolutions."""
+    return detection.detect_spots(volumes(spark, sf), ["vec_id"], "dog", 2.0, rows=100)
+
+
+@query()
+def bead_regions(spark, sf):
+    """K9; no SQL: labels of parts."""
+    return detection.bead_regions(volumes(spark, sf), ["vec_id"], 15.0, rows=100)
+
+
+@query()
+def general_procrustes(spark, sf):
+    """K16; no SQL: iterated singular vectors."""
+    rows = folded(spark, sf).groupBy("trace_id").agg(F.array_sort(F.collect_list(F.struct("locus", *AXES, F.lit(True).alias("good")))).alias("p"))
+    return clustering.general_procrustes(rows.select("trace_id", *[F.col("p")[c].alias(c) for c in (*AXES, "good")]), least_good=2, max_rounds=5)[0].select("trace_id", "distance")
+
+
+@query()
+def trace_clusters(spark, sf):
+    """K18; no SQL: fitted by iteration."""
+    return clustering.clusters(folded_maps(spark, sf), 3)
+
+
+@query()
+def extrusion_runs(spark, sf):
+    """K23; no SQL: a simulation. One run for each label."""
+    from spotweave.functions.polymer import Extrusion
+
+    p = Extrusion(beads=200, extruders=8, bound=100, unbound=20, held=400, rate=0.8, sites=(50, 150), directions=(1, -1), barriers=2, barrier_bound=300, barrier_unbound=10, barrier_held=600)
+    runs = ad.read(spark, sf, "embeddings").select(F.col("label").cast("long").alias("run_id")).distinct()
+    return simulation.simulate_extrusion(runs, p, 200)
+
+
+@query()
+def polymer_runs(spark, sf):
+    """K24; no SQL: a simulation. One run for each label."""
+    from spotweave.functions.polymer import Extrusion
+
+    p = Extrusion(beads=60, extruders=3, bound=100, unbound=10, held=400, rate=0.8)
+    runs = ad.read(spark, sf, "embeddings").select(F.col("label").cast("long").alias("run_id")).distinct()
+    return simulation.simulate_polymer(runs, p, 10, start=100, each=5)

@@ -33,11 +33,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where none is set, as in tests."""
+    """The folder that driver and executors share, spark.checkpoint.dir. Where it is unset, a temporary one in local mode, as in
+    tests; on a cluster that is an error, as no folder of one machine is shared."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         found = spark.conf.get("spotweave.shared.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='spotweave-')}"
         spark.conf.set("spotweave.shared.dir", found)
     return found
@@ -53,13 +56,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete what stage() has written; results that are still to be read must not depend on it."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _STAGED:
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def staged() -> int:
+    """How many tables stage() has written that are still there."""
+    return len(_STAGED)
+
+
+def release(spark: SparkSession, keep: int = 0) -> None:
+    """Delete what stage() has written, but for the first `keep` tables; results that are still to be read must not depend on it."""
+    while len(_STAGED) > keep:
         _, path = _STAGED.pop()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+        delete(spark, path)
 
 
 @atexit.register
@@ -107,5 +118,5 @@ def release_worker_memory() -> None:
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast when a count shows at most max_rows rows; otherwise leave the join to shuffle.
-    df should be staged, as it is counted first."""
+    df should be staged, as it is counted first, and hold a few numbers in a row, so that rows bound its bytes."""
     return F.broadcast(df) if df.count() <= max_rows else df
