@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spotweave.llm import decontam, linededup, ngram_join, packing, toxicity
 from spotweave.llm.queries import tokenizer_path
-from spotweave.runtime import read, shared_dir
+from spotweave.runtime import delete, read, release, shared_dir, staged
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +46,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage has read and staged is deleted as soon as its own output is written."""
+    docs, before = read(spark, sf_dir, "documents"), None
     base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
-        out = f"{base}/{name}"
+        out, held = f"{base}/{name}", staged()
         stage(spark, docs, sf_dir).write.parquet(out)
         docs = spark.read.parquet(out)
+        release(spark, held)
+        if before:
+            delete(spark, before)
+        before = out
     return docs

@@ -10,24 +10,28 @@ WITH d AS (
 ), b AS (
   SELECT item_id, regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
 ), windows AS (
-  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS said
+  SELECT DISTINCT item_id, i - 1 AS k, hash(w) AS item_row, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS said
   FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
 ), sizes AS (SELECT DISTINCT size FROM windows
 ), places AS (
   SELECT r, size, i, array_to_string(w[i:i + size - 1], ' ') AS said
   FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)
-), met AS (SELECT r, i, p.size, item_id FROM places p JOIN windows USING (size, said)
+), met AS (SELECT r, i, p.size, item_id, k, item_row FROM places p JOIN windows USING (size, said)
 ), hit AS (SELECT DISTINCT r, unnest(range(i, i + size)) AS pos FROM (SELECT DISTINCT r, i, size FROM met)
-), runs AS (
-  SELECT r, count(*) AS n, min(pos) - 1 AS begins FROM (SELECT r, pos, pos - row_number() OVER (PARTITION BY r ORDER BY pos) AS g FROM hit) GROUP BY r, g
-), longest AS (SELECT r, max(n) AS longest, arg_min(begins, (-n, begins)) AS longest_at, sum(n) AS n_hit FROM runs GROUP BY r
+), hits AS (SELECT r, count(*) AS n_hit FROM hit GROUP BY r
+), matches AS (
+  SELECT r, item_id, min(i) - 1 AS pos, min(k) AS k, max(size) + count(*) - 1 AS n
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, item_id, item_row, size, i - k ORDER BY i) AS g FROM (SELECT DISTINCT r, i, size, item_id, k, item_row FROM met)) GROUP BY r, item_id, item_row, size, i - k, g
+), longest AS (
+  SELECT r, n AS longest, pos AS longest_at, CAST(item_id AS VARCHAR) AS longest_item, k AS longest_item_at
+  FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY n DESC, pos, CAST(item_id AS VARCHAR) NULLS LAST, k) AS best FROM matches) WHERE best = 1
 ), items AS (
   SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
   FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM met WHERE item_id IS NOT NULL) GROUP BY r
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(longest, 0) AS longest, coalesce(longest_at, -1) AS longest_at
-FROM d LEFT JOIN longest USING (r) LEFT JOIN items USING (r)
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(longest, 0) AS BIGINT) AS longest, CAST(coalesce(longest_at, -1) AS BIGINT) AS longest_at, longest_item, CAST(coalesce(longest_item_at, -1) AS BIGINT) AS longest_item_at
+FROM d LEFT JOIN hits USING (r) LEFT JOIN longest USING (r) LEFT JOIN items USING (r)
 """
 
 _OP8 = rf"""
@@ -46,4 +50,64 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, low AS component_id
 FROM d LEFT JOIN size USING (doc_id) JOIN (SELECT node, min(low) AS low FROM reach GROUP BY node) c ON c.node = d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op5_decontamination": _OP5, "op8_ngram_join": _OP8}
+# The patterns of the kinds of spans, in RE2, as in the modules; a span is the group, or all of a match.
+_PII = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", 0, "true"),
+    "ip": (r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", 0, "list_bool_and([len(ltrim(x, '0')) <= 3 AND coalesce(TRY_CAST(ltrim(x, '0') AS INT), 0) <= 255 for x in string_split(s, '.')])"),
+    "card": (r"[0-9](?:[\x20-]?[0-9])+", 0, "len(n) BETWEEN 12 AND 19 AND list_sum([CASE WHEN i % 2 = 1 THEN CAST(reverse(n)[i] AS INT) WHEN CAST(reverse(n)[i] AS INT) > 4 THEN 2 * CAST(reverse(n)[i] AS INT) - 9 ELSE 2 * CAST(reverse(n)[i] AS INT) END for i in range(1, len(n) + 1)]) % 10 = 0"),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", 0, "len(n) BETWEEN 9 AND 15"),
+    "url_login": (r"""://([^\s/?#@:"'<>]+:[^\s/?#@"'<>]+)@""", 1, "true"),
+    "account": (r"(?:%s)[\x20:.#=-]{0,4}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{2,4}){3,8}|[0-9](?:[\x20-]?[0-9]){7,33})", 1, "true"),
+}
+_CUES = ("iban", "account no", "account number", "acct", "passport no", "ssn")
+_PII["account"] = (_PII["account"][0] % "|".join(sorted({f for c in _CUES for f in (c, c.upper(), c.capitalize(), c.title())})), 1, "true")
+_SECRETS = {
+    "assign": (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 0, "len(g) >= 12"),
+    "access": (r"AKIA[A-Z0-9]+", 0, "len(s) >= 18"),
+    "hex": (r"[0-9a-f]+", 0, "len(s) >= 16"),
+    "private_key": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, "true"),
+    "web_token": (r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, "true"),
+    "platform_token": (r"(?:ghp_|glpat-|xoxb-)[A-Za-z0-9-]{20,}", 0, "true"),
+}
+
+
+def _spans(kinds: dict[str, tuple[str, int, str]], base: int) -> str:
+    """All spans of each text by kind: matches and the gaps between them give the places."""
+
+    def one(k: int, name: str) -> str:
+        pattern, group, rule = kinds[name]
+        text = pattern.replace("'", "''")
+        inner = 1 if "(" in pattern.replace("(?", "") else 0
+        shift = "len(split_part(s, g, 1))" if group else "0"  # a group's place in its match, which starts with no part of it
+        return f"""SELECT r, {k} AS k, '{name}' AS kind, pos + {shift} AS b, pos + {shift} + {'len(g)' if group else 'len(s)'} AS e FROM (
+  SELECT r, found[i] AS s, inner_[i] AS g, regexp_replace(found[i], '[^0-9]', '', 'g') AS n, list_sum([len(x) for x in gaps[1:i]]) + coalesce(list_sum([len(x) for x in found[1:i - 1]]), 0) AS pos
+  FROM (SELECT r, found, inner_, gaps, unnest(range(1, len(found) + 1)) AS i FROM (
+    SELECT r, regexp_extract_all(t, '{text}') AS found, regexp_extract_all(t, '{text}', {inner}) AS inner_, string_split_regex(t, '{text}') AS gaps FROM d) WHERE len(found) > 0)) WHERE {rule}"""
+
+    names = list(kinds)
+    parts = " UNION ALL ".join(one(k, n) for k, n in enumerate(names))
+    counts = ", ".join(f"CAST(coalesce(count(*) FILTER (k = {k}), 0) AS BIGINT) AS n_{n}" for k, n in enumerate(names[:base]))
+    say = "concat(kind, ':', b, ':', e)"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), spans AS ({parts})
+SELECT doc_id, {counts}, sha256(coalesce(string_agg({say}, ',' ORDER BY b, k) FILTER (k < {base}), '')) AS base_sha256, coalesce(string_agg({say}, ',' ORDER BY b, k, e), '') AS spans
+FROM d LEFT JOIN spans USING (r) GROUP BY r, doc_id
+"""
+
+
+_OP6 = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, text, list_filter(string_split(replace(replace(replace(replace(coalesce(text, ''), chr(10), chr(10) || chr(1)), '. ', '. ' || chr(1)), '! ', '! ' || chr(1)), '? ', '? ' || chr(1)), chr(1)), lambda x: x <> '') AS lines FROM documents
+), u AS (SELECT r, doc_id, unnest(range(len(lines))) AS pos, trim(unnest(lines), ' ' || chr(10) || chr(13) || chr(9)) AS line FROM t WHERE doc_id IS NOT NULL
+), solid AS (SELECT r, doc_id, pos, line, row_number() OVER w AS i, sum(len(line)) OVER w AS upto, sum(len(line)) OVER w - len(line) AS before FROM u WHERE line <> '' WINDOW w AS (PARTITION BY r ORDER BY pos)
+), ahead AS (SELECT a.r, a.i AS i, b.i AS j FROM (SELECT *, before + 100 AS need FROM solid) a ASOF JOIN solid b ON a.r = b.r AND a.need <= b.upto
+), back AS (SELECT b.r, a.i AS i, b.i AS j FROM (SELECT *, upto - 100 AS most FROM solid) b ASOF JOIN solid a ON a.r = b.r AND b.most >= a.before
+), listed AS (SELECT r, any_value(doc_id) AS doc_id, list(line ORDER BY i) AS lines, list(pos ORDER BY i) AS ats FROM solid GROUP BY r
+), runs AS (SELECT doc_id, ats[i] AS pos, ats[j] AS last, array_to_string(lines[i:j], chr(1)) AS key FROM (SELECT * FROM ahead UNION SELECT * FROM back) JOIN listed USING (r)
+), first AS (SELECT key, min(struct_pack(doc_id := doc_id, pos := pos)) AS place FROM runs GROUP BY key
+), gone AS (SELECT DISTINCT doc_id, unnest(range(pos, last + 1)) AS pos FROM runs JOIN first USING (key) WHERE struct_pack(doc_id := doc_id, pos := pos) <> place
+), per AS (SELECT doc_id, list(pos) AS gone FROM gone GROUP BY doc_id
+), out AS (SELECT t.*, per.gone AS gone, CASE WHEN per.gone IS NULL THEN text ELSE array_to_string([lines[k + 1] for k in range(len(lines)) if NOT list_contains(per.gone, k)], '') END AS left_ FROM t LEFT JOIN per USING (doc_id))
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed, CAST(CASE WHEN gone IS NULL THEN 0 ELSE len(text) - len(left_) END AS BIGINT) AS removed_chars, left_ AS text FROM out
+"""
+
+ORACLES: dict[str, str] = {"op5_decontamination": _OP5, "op6_line_dedup": _OP6, "op7_pii": _spans(_PII, 4), "op8_ngram_join": _OP8, "op9_secrets": _spans(_SECRETS, 3)}

@@ -57,6 +57,36 @@ def test_quality_posterior_separates_planted_votes():
     assert quality.posterior((-1, -1, 0), prior, table) < 0.1
 
 
+def test_quality_verdicts_equal_an_em_over_documents(docs):
+    """Expectation-maximisation with arrays over all documents, not over patterns of votes."""
+    import numpy as np
+
+    rows = quality.judge_quality(docs).collect()
+
+    def votes(r):
+        mean, sym, rep, dense = r.word_chars / max(1, r.n_words), r.n_symbols / max(1, r.n_words), r.n_repeat_words / max(1, r.n_words), r.n_symbols / max(1, r.word_chars)
+        pick = lambda good, bad: -1 if bad else 1 if good else 0
+        return [pick(False, r.n_words < 50), pick(3 <= mean <= 9, mean < 2 or mean > 12), pick(sym <= 0.02, sym > 0.1), pick(dense <= 0.005, dense > 0.02), pick(r.n_dup_lines == 0, r.n_dup_lines >= 5), pick(rep <= 0.1, rep > 0.3)]
+
+    v = np.array([votes(r) for r in rows])
+    n, share = len(v), np.stack([(v == k).mean(axis=0) for k in (-1, 0, 1)])
+    up, none = np.maximum(share[2], 1e-6), np.maximum(share[1], 1e-6)
+    table = np.stack([np.stack([np.full(6, bad), (1 - bad) * none / (up + none), (1 - bad) * up / (up + none)]) for bad in (0.02, 0.3)])  # class, vote, rule
+    prior = 0.8
+
+    def posterior():
+        z = np.log(prior / (1 - prior)) + sum(np.log(table[0][v[:, j] + 1, j] / table[1][v[:, j] + 1, j]) for j in range(6))
+        return 1 / (1 + np.exp(-z))
+
+    for _ in range(100):
+        g = posterior()
+        prior = min(0.999, max(0.001, g.mean()))
+        table = np.stack([np.stack([((w[:, None] * (v == k)).sum(axis=0) + 1) / (w.sum() + 3) for k in (-1, 0, 1)]) for w in (g, 1 - g)])
+    want = posterior()
+    assert n == len(rows) and np.allclose(want, [r.posterior for r in rows], atol=1e-6)
+    assert [r.kept for r in rows] == [bool(p >= 0.5) and not r.base_failed for p, r in zip(want, rows, strict=True)]
+
+
 def test_secrets(docs, texts):
     def brute(t):
         t = t or ""
@@ -438,6 +468,31 @@ def test_language_held_out(spark, sf):
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows)
 
 
+def test_language_equals_compressing_everything(spark, sf, docs, texts):
+    """The smallest of the zstandard sizes with each dictionary, in blocks, by hand."""
+    import zstandard
+
+    found = langid.learn_dictionaries(docs)
+    tools = {k: zstandard.ZstdCompressor(level=5, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False, write_dict_id=False) for k, d in found.items()}
+    got = collections.Counter((r.doc_id, r.lang_pred) for r in langid.identify_language(docs).collect())
+    want = collections.Counter()
+    for d, t in texts:
+        raw = (t or "").lower().encode("utf-8", "replace")
+        raw = b" " + raw + b" " if len(raw) < 256 else raw
+        sizes = {k: sum(len(c.compress(raw[i : i + 4096])) for i in range(0, len(raw), 4096)) for k, c in tools.items()}
+        want[d, min(sorted(sizes), key=sizes.get) if any(map(str.isalpha, t or "")) else "und"] += 1
+    assert got == want
+
+
+def test_draws_are_bounded_where_ids_are_null_or_repeat(spark):
+    """Rows alike in id and text count once in a fit."""
+    rows = [(None, "eins zwei drei vier", "de")] * 300 + [(7, "one two three four", "en")] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(langid.learn_dictionaries(df, docs_per_language=10**6)) == {"de", "en"}
+    assert len(langid.learn_dictionaries(df, docs_per_language=10**6)["en"]) == len("one two three four\n")
+    assert toxicity.score_toxicity(df, spark.createDataFrame([(7, 1)], "doc_id long, toxic int")).count() == 600
+
+
 def test_language_of_odd_rows(docs):
     got = {r.doc_id: r.lang_pred for r in langid.identify_language(docs).collect()}
     assert got[10_000] == got[10_001] == got[10_002] == "und"
