@@ -354,3 +354,75 @@ def polymer_runs(spark, sf):
     p = Extrusion(beads=60, extruders=3, bound=100, unbound=10, held=400, rate=0.8)
     runs = ad.read(spark, sf, "embeddings").select(F.col("label").cast("long").alias("run_id")).distinct()
     return simulation.simulate_polymer(runs, p, 10, start=100, each=5)
+
+
+_BRIGHT = "CAST(embedding[i + 1] AS DOUBLE) + CASE WHEN i = 21 THEN 60 WHEN i IN (20, 22, 17, 25, 5, 37) THEN 30 ELSE 10 END"
+
+
+@query(f"SELECT CAST(vec_id AS BIGINT) AS vec_id, '2 3 3' AS shape, round(sum(v), 6) AS total, round(max(v), 6) AS largest, CASE WHEN vec_id % 3 = 0 THEN 'padded in y or x' END AS reason FROM (SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN 0 ELSE {_BRIGHT} END AS v FROM embeddings, (SELECT unnest(range(64)) AS i) WHERE i // 16 BETWEEN 1 AND 2 AND i // 4 % 4 BETWEEN 1 AND 3 AND i % 4 BETWEEN 1 AND 3) GROUP BY vec_id")
+def voxel_crops(spark, sf):
+    """A box of every volume; those of every third row are padded in y, and give zeros with the reason."""
+    v = volumes(spark, sf)
+    bounds = {f"{a}_{k}": F.lit(float(n)) for a, lo, hi in (("z", 1, 3), ("y", 1, 4), ("x", 1, 4)) for k, n in (("lo", lo), ("hi", hi), ("pad_lo", 0), ("pad_hi", 0))}
+    boxes = v.select("vec_id", "timepoint").withColumns(bounds).withColumn("y_pad_lo", F.when(F.col("vec_id") % 3 == 0, 1.0).otherwise(0.0))
+    cut = detection.cropped(boxes, v, ["vec_id"], rows=200)
+    inner = F.when(F.col("reason").isNull(), F.col("voxels")).otherwise(F.array(F.lit(0.0)))
+    return cut.select("vec_id", F.when(F.col("reason").isNull(), F.array_join(F.col("shape").cast("array<string>"), " ")).otherwise("2 3 3").alias("shape"), r6(F.aggregate(inner, F.lit(0.0), lambda a, x: a + x), "total"), r6(F.array_max(inner), "largest"), "reason")
+
+
+@query(f"WITH {ad.ROI_SQL} SELECT DISTINCT fov % 3 AS folder, timepoint, timepoint + 8 * (fov % 3) AS new_timepoint, printf('Time%05d_Point0001.nd2', timepoint + 8 * (fov % 3)) AS new_name FROM roi")
+def combined_folders(spark, sf):
+    """IO23, IO24: three folders of eight times in one sequence."""
+    from spotweave.sources import folders
+
+    files = ad.roi(spark, sf).select((F.col("fov") % 3).alias("folder"), "timepoint").distinct()
+    named = files.withColumn("name", F.format_string("Time%05d_Point0001.nd2", "timepoint")).select("folder", "name", F.concat_ws("/", F.col("folder").cast("string"), "name").alias("path"))
+    return folders.combined(named).select("folder", "timepoint", "new_timepoint", "new_name")
+
+
+@query(f"WITH {ad.ROI_SQL} SELECT DISTINCT fov, timepoint FROM roi WHERE timepoint % 2 = 1")
+def bead_file_names(spark, sf):
+    """IO10, IO22: the filtered bead files among all of a folder."""
+    from spotweave.sources import folders
+
+    files = ad.roi(spark, sf).select("fov", "timepoint").distinct()
+    name = F.concat(F.format_string("bead_rois__%d_%d", "fov", "timepoint"), F.when(F.col("timepoint") % 2 == 1, ".filtered").otherwise(""), F.lit(".csv"))
+    return folders.bead_files(files.select(name.alias("name"), name.alias("path")), filtered=True).select("fov", "timepoint")
+
+
+@query(f"WITH {ad.ROI_SQL} SELECT DISTINCT fov FROM roi")
+def spot_file_names(spark, sf):
+    """IO11: a file of spots for each field of view, among others."""
+    from spotweave.operators.naming import fov_name
+    from spotweave.sources import folders
+
+    fovs = ad.roi(spark, sf).select("fov").distinct()
+    names = F.explode(F.array(F.concat(fov_name(F.col("fov")), F.lit("_rois.csv")), F.concat(fov_name(F.col("fov")), F.lit("_other.csv")))).alias("name")
+    return folders.spot_files(fovs.select(names).withColumn("path", F.col("name"))).select("fov")
+
+
+@query(f"WITH {ad.ROI_SQL} SELECT CAST(roi_id AS VARCHAR) AS roi_id, CAST(fov AS VARCHAR) AS fov, '' AS note FROM roi")
+def strings_round_trip(spark, sf):
+    """IO3, P12: all cells as text, empty ones too, without the unnamed index in front."""
+    path = f"{scratch(spark, 'indexed')}.csv"
+    rows = ad.roi(spark, sf).select(F.col("roi_id").alias("Unnamed: 0"), "roi_id", "fov", F.lit(None).cast("string").alias("note"))
+    tables.write_table(rows, path)
+    return tables.read_strings(spark, path)
+
+
+_ROUNDS = {
+    "imagingRounds": [{"time": 0, "name": "pre", "isBlank": True}, {"time": 1, "probe": "D1"}, {"time": 2, "probe": "D2"}, {"time": 3, "probe": "D1", "repeat": 1}, {"time": 4, "probe": "R1", "isRegional": True}, {"time": 5, "probe": "R2", "isRegional": True, "name": "last"}],
+    "proximityFilterStrategy": {"semantic": "SelectiveProximityProhibition", "minimumSeparation": "1 um", "groups": [[4], [5]]},
+    "locusGrouping": {"4": [1, 2], "5": [3]},
+}
+
+
+@query(f"WITH {ad.ROI_SQL}, m AS (SELECT * FROM (VALUES (0, 'pre', 'blank', NULL), (1, 'D1', 'locus', 4), (2, 'D2', 'locus', 4), (3, 'D1_repeat1', 'locus', 5), (4, 'R1', 'regional', NULL), (5, 'last', 'regional', NULL)) v(timepoint, name, kind, region)) SELECT roi_id, roi.timepoint AS timepoint, name, kind, region FROM roi LEFT JOIN m USING (timepoint)")
+def configured_rounds(spark, sf):
+    """Rounds and locus groups of a configuration as tables, met with rois."""
+    from spotweave.plans.configuration import parse_configuration
+
+    known = parse_configuration(_ROUNDS)
+    rounds = known.rounds_table(spark).select("timepoint", F.col("timepoint_name").alias("name"), "kind")
+    groups = known.grouping_table(spark).withColumnRenamed("ref_timepoint", "region")
+    return ad.roi(spark, sf).select("roi_id", "timepoint").join(rounds, "timepoint", "left").join(groups, "timepoint", "left").select("roi_id", "timepoint", "name", "kind", "region")
