@@ -77,7 +77,13 @@ def _decoder(kind: str | None):
 
 def zarr_layout(spark: SparkSession, path: str) -> dict:
     """Shape, chunks, type, order, fill value and compressor of an array."""
-    found = json.loads(spark.read.text(f"{path.rstrip('/')}/.zarray", wholetext=True).first()[0])
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/.zarray")  # Spark's own readers pass over names that start with a dot
+    stream = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(place)
+    try:
+        found = json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
     if found.get("zarr_format") != 2 or found.get("filters"):
         raise ValueError(f"no plain version 2 array: {path}")
     return found
