@@ -1,4 +1,4 @@
-"""DuckDB SQL for the queries that SQL can express. The others (a fitted model, a tokenizer, spans by code points)
+"""DuckDB SQL for the queries that SQL can express. The others (a classifier fitted on a draw, a tokenizer, records)
 are compared with brute force in the tests."""
 
 # Lower-cases A-Z alone, as lower() takes all letters.
@@ -90,7 +90,7 @@ def _spans(kinds: dict[str, tuple[str, int, str]], base: int) -> str:
     say = "concat(kind, ':', b, ':', e)"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), spans AS ({parts})
-SELECT doc_id, {counts}, sha256(coalesce(string_agg({say}, ',' ORDER BY b, k) FILTER (k < {base}), '')) AS base_sha256, coalesce(string_agg({say}, ',' ORDER BY b, k, e), '') AS spans
+SELECT doc_id, {counts}, sha256(coalesce(string_agg({say}, ',' ORDER BY b, k) FILTER (k < {base}), '')) AS base_sha256, coalesce(string_agg({say}, ',' ORDER BY b, k, e) FILTER (k IS NOT NULL), '') AS spans
 FROM d LEFT JOIN spans USING (r) GROUP BY r, doc_id
 """
 
@@ -110,4 +110,28 @@ WITH t AS (SELECT row_number() OVER () AS r, doc_id, text, list_filter(string_sp
 SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed, CAST(CASE WHEN gone IS NULL THEN 0 ELSE len(text) - len(left_) END AS BIGINT) AS removed_chars, left_ AS text FROM out
 """
 
-ORACLES: dict[str, str] = {"op5_decontamination": _OP5, "op6_line_dedup": _OP6, "op7_pii": _spans(_PII, 4), "op8_ngram_join": _OP8, "op9_secrets": _spans(_SECRETS, 3)}
+_GOOD = "1 / (1 + exp(-(ln(prior / (1 - prior)) + list_sum([ln(tbl[j][{v}[j] + 2] / tbl[j][{v}[j] + 5]) for j in range(1, 7)]))))"
+_SEEN = "coalesce(list_sum([pats[k].n * {g} for k in range(1, len(pats) + 1) if pats[k].v[j] = {v}]), 0)"
+_CELLS = ", ".join(f"({_SEEN.format(g=g, v=v)} + 1) / ({total} + 3)" for g, total in (("gs[k]", "good"), ("(1 - gs[k])", "(total - good)")) for v in (-1, 0, 1))
+_START = ", ".join(cell for bad in ("2e-2", "3e-1") for cell in (f"CAST({bad} AS DOUBLE)", f"(1 - {bad}) * none_[j] / (up[j] + none_[j])", f"(1 - {bad}) * up[j] / (up[j] + none_[j])"))
+_SHARE = "[greatest(1e-6, coalesce(list_sum([x.n for x in pats if x.v[j] = {v}]), 0) / total) for j in range(1, 7)]"
+_OP10 = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), w AS (SELECT r, doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, [x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls FROM d
+), windows AS (SELECT r, i, array_to_string(w[i:i + 2], chr(1)) AS said FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w)
+), again AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM (SELECT r, i, count(*) OVER (PARTITION BY r, said) AS c FROM windows) WHERE c > 1) GROUP BY r
+), c AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum([len(x) for x in w]), 0) AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words FROM w LEFT JOIN again USING (r)
+), s AS (SELECT *, word_chars / greatest(n_words, 1) AS mean, n_symbols / greatest(n_words, 1) AS symbols, n_symbols / greatest(word_chars, 1) AS dense, n_repeat_words / greatest(n_words, 1) AS repeats FROM c
+), v AS (SELECT *, [CASE WHEN n_words < 50 THEN -1 ELSE 0 END, CASE WHEN mean < 2 OR mean > 12 THEN -1 WHEN mean BETWEEN 3 AND 9 THEN 1 ELSE 0 END, CASE WHEN symbols > 1e-1 THEN -1 WHEN symbols <= 2e-2 THEN 1 ELSE 0 END,
+  CASE WHEN dense > 2e-2 THEN -1 WHEN dense <= 5e-3 THEN 1 ELSE 0 END, CASE WHEN n_dup_lines >= 5 THEN -1 WHEN n_dup_lines = 0 THEN 1 ELSE 0 END, CASE WHEN repeats > 3e-1 THEN -1 WHEN repeats <= 1e-1 THEN 1 ELSE 0 END] AS v FROM s
+), p AS (SELECT list(struct_pack(v := v, n := n) ORDER BY v) AS pats, sum(n) AS total FROM (SELECT v, count(*) AS n FROM v GROUP BY v)
+), first AS (SELECT pats, total, {_SHARE.format(v=1)} AS up, {_SHARE.format(v=0)} AS none_ FROM p
+), em(step, prior, tbl) AS (
+  SELECT 0, CAST(8e-1 AS DOUBLE), [[{_START}] for j in range(1, 7)] FROM first
+  UNION ALL SELECT step + 1, least(999e-3, greatest(1e-3, good / total)), [[{_CELLS}] for j in range(1, 7)]
+  FROM (SELECT step, pats, total, gs, list_sum([pats[k].n * gs[k] for k in range(1, len(pats) + 1)]) AS good FROM (SELECT step, pats, total, [{_GOOD.format(v='x.v')} for x in pats] AS gs FROM em, p WHERE step < 100))
+), judged AS (SELECT v.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {_GOOD.format(v='v')} AS good FROM v, (SELECT prior, tbl FROM em WHERE step = 100))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND good >= 5e-1 AS kept, round(good, 6) AS posterior FROM judged
+"""
+
+ORACLES: dict[str, str] = {"op5_decontamination": _OP5, "op6_line_dedup": _OP6, "op7_pii": _spans(_PII, 4), "op8_ngram_join": _OP8, "op9_secrets": _spans(_SECRETS, 3), "op10_quality": _OP10}

@@ -322,10 +322,10 @@ def test_line_dedup_deletes_only_what_an_earlier_place_holds(spark, docs, texts)
     assert kept.columns == [*docs.columns, "edit", "edit_id"] and kept.where("doc_id is null").count() == 1
 
 
-def test_line_dedup_equals_brute_force_on_the_table(spark, docs, texts):
-    """All runs of least_chars characters, keyed by their lines in a dictionary; documents with several rows left aside."""
+def dedup_by_brute_force(own):
+    """{id: (text, lines, removed)} of {id: text}: all runs of 100 characters, keyed by their lines in a dictionary."""
     split = lambda t: [x for x in re.split(r"(?<=\n)|(?<=[.!?] )", t or "") if x]
-    own = {d: split(t) for d, t in texts if d not in (None, 10_001)}
+    own = {d: split(t) for d, t in own.items()}
     places, runs = {}, collections.defaultdict(list)
     for d, lines in sorted(own.items()):
         solid = [(i, x.strip(" \n\r\t")) for i, x in enumerate(lines) if x.strip(" \n\r\t")]
@@ -334,13 +334,8 @@ def test_line_dedup_equals_brute_force_on_the_table(spark, docs, texts):
             while i + n < len(solid) and size < 100:
                 size += len(solid[i + n][1])
                 n += 1
-            m = n
-            while m > 1 and size - len(solid[i + n - m][1]) >= 100:  # the shortest run that ends there, too
-                size -= len(solid[i + n - m][1])
-                m -= 1
             if size >= 100:
-                for a in {i, i + n - m}:
-                    runs[d].append((solid[a][0], solid[i + n - 1][0], tuple(x for _, x in solid[a : i + n])))
+                runs[d].append((solid[i][0], solid[i + n - 1][0], tuple(x for _, x in solid[i : i + n])))
         for j in range(len(solid)):
             m = size = 0
             while m <= j and size < 100:
@@ -351,10 +346,16 @@ def test_line_dedup_equals_brute_force_on_the_table(spark, docs, texts):
     for d in sorted(runs):
         for at, _, key in sorted(runs[d]):
             places.setdefault(key, (d, at))
-    want = {}
+    out = {}
     for d, lines in own.items():
         gone = {k for at, to, key in runs[d] if places[key] < (d, at) for k in range(at, to + 1)}
-        want[d] = ("".join(x for i, x in enumerate(lines) if i not in gone), len(lines), len(gone))
+        out[d] = ("".join(x for i, x in enumerate(lines) if i not in gone), len(lines), len(gone))
+    return out
+
+
+def test_line_dedup_equals_brute_force_on_the_table(spark, docs, texts):
+    """Documents with several rows left aside."""
+    want = dedup_by_brute_force({d: t for d, t in texts if d not in (None, 10_001)})
     df = docs.where("doc_id is not null and doc_id <> 10001")
     got = {r.doc_id: (r.text or "", r.n_lines, r.n_removed) for r in linededup.dedup_lines(df).collect()}
     assert got == want and sum(n > 0 for _, _, n in want.values()) > 10
