@@ -236,7 +236,7 @@ def query_blocks(spark: SparkSession, benchmark: DataFrame, window: int, block_c
     return out
 
 
-def contamination(spark: SparkSession, benchmark: DataFrame, text: Column, *, window: int = 10, shard_words: int = 1_000_000, block_chars: int = 20_000_000) -> Column:
+def contamination(spark: SparkSession, benchmark: DataFrame, text: Column, *, window: int = 10, shard_words: int = 250_000, block_chars: int = 20_000_000) -> Column:
     """struct of RESULT for a text column."""
     limit_batches(spark)
     blocks = query_blocks(spark, benchmark, window, block_chars)

@@ -33,7 +33,7 @@ Jobs run as soon as a function of this module is called: rounds need the links o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -244,19 +244,31 @@ def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             sig = np.array([class_id(s) for s in got], np.int64)
             fits = np.flatnonzero(sig == batch["sig"].to_numpy())
             yield pd.DataFrame({"sig": sig[fits], "words": [got[i].tobytes() for i in fits]})
+        del hashes
+        release_worker_memory(False)
 
     ids = wanted.select(F.col("doc_id"), "sig")
     return docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id").mapInPandas(scan, "sig long, words binary").dropDuplicates(["sig"])
 
 
-def similar(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = []
-    for x, y in zip(a, b, strict=True):
-        s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        both = np.sort(np.concatenate([s, t]), kind="stable")
-        shared = int((both[1:] == both[:-1]).sum())
-        out.append(100 * shared >= 80 * (len(s) + len(t) - shared))
-    return pd.Series(out, dtype=bool)
+def tested(test: Callable[..., object], kind: str) -> Callable:
+    """A pandas UDF that applies test row by row to its columns, and gives memory back at the end of a task."""
+
+    @F.pandas_udf(kind)
+    def each(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            yield pd.Series([test(*row) for row in zip(*columns, strict=True)], dtype=bool if kind == "boolean" else object)
+        release_worker_memory(False)
+
+    return each
+
+
+def similar(x: bytes, y: bytes) -> bool:
+    """Whether two sets of shingles link."""
+    s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = np.sort(np.concatenate([s, t]), kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= 80 * (len(s) + len(t) - shared)
 
 
 def stars(live: DataFrame) -> DataFrame:
@@ -349,13 +361,15 @@ def family_blocks(sets: DataFrame, block: int = 256) -> DataFrame:
     size = sets.groupBy("family").agg(F.count("*").alias("size"), F.count_distinct("comp").alias("comps")).where("comps > 1")
     at = F.pmod(F.xxhash64("sig", F.lit("block")), F.ceil(F.col("size") / block)).alias("block")
     dealt = stage(sets.join(size, "family").groupBy("family", at).agg(*(F.collect_list(c).alias(c) for c in ("sig", "n", "comp", "bits"))), "join-blocks")
-    x, y = (dealt.select("family", F.col("block").alias(f"block_{c}"), F.struct("sig", "n", "comp", "bits").alias(c)) for c in "xy")
+    names = ("sig", "n", "comp", "bits")
+    x, y = (dealt.select("family", F.col("block").alias(f"block_{c}"), *[F.col(v).alias(f"{v}_{c}") for v in names]) for c in "xy")
 
-    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.Series:
-        return pd.Series([[{"a": a, "b": b} for a, b in block_pairs(u, v)] for u, v in zip(x.itertuples(index=False, name=None), y.itertuples(index=False, name=None), strict=True)])
+    def meet(*held) -> list[dict[str, int]]:
+        return [{"a": a, "b": b} for a, b in block_pairs(held[:4], held[4:])]
 
     met = x.join(y, "family").where("block_x <= block_y").repartition("family", "block_x", "block_y")
-    return met.select(F.explode(F.pandas_udf(meet, "array<struct<a: long, b: long>>")("x", "y")).alias("p")).select("p.a", "p.b").distinct()
+    columns = [f"{v}_{c}" for c in "xy" for v in names]
+    return met.select(F.explode(tested(meet, "array<struct<a: long, b: long>>")(*columns)).alias("p")).select("p.a", "p.b").distinct()
 
 
 def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bound: int = 32, max_broadcast: int = 1_000_000, max_rounds: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -375,14 +389,11 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bo
     maps = stage(seen.where("n >= 4 and sig is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "join-maps")
     sets: DataFrame | None = None
 
-    def may(x: pd.Series, y: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-        return pd.Series([may_link(*r) for r in zip(x, y, n, m, strict=True)], dtype=bool)
-
     def verified(p: DataFrame) -> DataFrame:
         """The pairs that link: bitmaps drop most others, shingle sets decide."""
         nonlocal sets
         of = lambda c: maps.select(F.col("sig").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
-        left = p.join(of("a"), "a").join(of("b"), "b").where(F.pandas_udf(may, "boolean")("bits_a", "bits_b", "n_a", "n_b"))
+        left = p.join(of("a"), "a").join(of("b"), "b").where(tested(may_link, "boolean")("bits_a", "bits_b", "n_a", "n_b"))
         left = stage(left.select("a", "b"), "join-likely")
         wanted = left.select(F.col("a").alias("sig")).union(left.select("b")).distinct()
         if sets is not None:
@@ -396,7 +407,7 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bo
             return left
         x = left.join(sets.select(F.col("sig").alias("a"), F.col("words").alias("s")), "a").join(sets.select(F.col("sig").alias("b"), F.col("words").alias("t")), "b")
         with arrow_rows(spark, 500):
-            return stage(x.where(F.pandas_udf(similar, "boolean")("s", "t")).select("a", "b"), "join-links")
+            return stage(x.where(tested(similar, "boolean")("s", "t")).select("a", "b"), "join-links")
 
     def members_of(both: DataFrame, sample: int | None = None) -> DataFrame:
         """Pairs of sets that the bitmaps allow between the components c and d, or between about `sample` members of each.
@@ -413,10 +424,10 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bo
         blocks = of_node.join(counts, "comp").groupBy(F.col("comp").alias("big"), block).agg(F.collect_list("sig").alias("sigs"), F.collect_list("n").alias("ns"), F.collect_list("bits").alias("maps"))
         met = turned.join(of_node.select(F.col("comp").alias("small"), F.col("sig").alias("y"), F.col("n").alias("n_y"), F.col("bits").alias("bits_y")), "small")
 
-        def near(sigs: pd.Series, ns: pd.Series, maps_: pd.Series, n_y: pd.Series, bits_y: pd.Series) -> pd.Series:
-            return pd.Series([[int(s) for s, n, x in zip(*row[:3], strict=True) if 5 * min(n, row[3]) >= 4 * max(n, row[3]) and may_link(x, row[4], int(n), int(row[3]))] for row in zip(sigs, ns, maps_, n_y, bits_y, strict=True)])
+        def near(sigs, ns, held, n, bits) -> list[int]:
+            return [int(v) for v, m, x in zip(sigs, ns, held, strict=True) if 5 * min(m, n) >= 4 * max(m, n) and may_link(x, bits, int(m), int(n))]
 
-        found = met.join(blocks, "big").select("y", F.pandas_udf(near, "array<long>")("sigs", "ns", "maps", "n_y", "bits_y").alias("xs")).where(F.size("xs") > 0)
+        found = met.join(blocks, "big").select("y", tested(near, "array<long>")("sigs", "ns", "maps", "n_y", "bits_y").alias("xs")).where(F.size("xs") > 0)
         return found.select("y", F.explode("xs").alias("x")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
     def merged(links: DataFrame) -> DataFrame:
