@@ -41,11 +41,11 @@ def image_comparisons(spark, sf):
     return image_pairs(spark, sf).select("vec_id", *[F.round(c, 4).alias(k) for k, c in cols.items()])
 
 
-@query(f"WITH {_PIXELS}, h AS (SELECT vec_id, [greatest(v, 0) for v in a] AS p, [greatest(v, 0) for v in b] AS q FROM px) SELECT vec_id, round(list_sum([CASE WHEN p[i] <> 0 AND q[i] <> 0 THEN p[i] * log2(p[i] / q[i]) ELSE 0 END for i in range(1, 33)]), 4) AS divergence FROM h")
+@query(f"WITH {_PIXELS}, h AS (SELECT vec_id, [greatest(v, 0) for v in a] AS p, [greatest(v, 0) for v in b] AS q FROM px) SELECT vec_id, round(list_sum([CASE WHEN p[i] <> 0 AND q[i] <> 0 THEN p[i] * log2(p[i] / q[i]) ELSE 0 END for i in range(1, 33)]), 4) + 0 AS divergence FROM h")
 def histogram_divergence(spark, sf):
     """SC10: the divergence of two histograms."""
     positive = lambda c: F.transform(c, lambda v: F.greatest(v, F.lit(0.0)))
-    return image_pairs(spark, sf).select("vec_id", F.round(images.divergence(positive("a"), positive("b")), 4).alias("divergence"))
+    return image_pairs(spark, sf).select("vec_id", (F.round(images.divergence(positive("a"), positive("b")), 4) + 0.0).alias("divergence"))
 
 
 @query(f"WITH {_PIXELS} SELECT vec_id, CAST(len(a) AS INT) AS n, round(list_min(a), 6) AS least, round(list_max(a), 6) AS largest, round(list_sum(a), 6) AS total, round(list_avg(a), 6) AS mean, round(list_median(a), 6) AS median FROM px")
