@@ -122,3 +122,32 @@ def plane_normal(points: np.ndarray) -> np.ndarray:
     """Unit normal of the plane through the points: the null direction of their homogeneous coordinates."""
     normal = np.linalg.svd(np.column_stack([points, np.ones(len(points))]), full_matrices=True)[2][3, :3]
     return normal / np.linalg.norm(normal)
+
+
+def spline_basis(knots: np.ndarray, degree: int, at: np.ndarray) -> np.ndarray:
+    """Values (len(at), functions) of the B-splines of a knot vector."""
+    last = np.flatnonzero(knots[:-1] < knots[1:])[-1]
+    inside = np.clip(np.searchsorted(knots, at, "right") - 1, degree, last)
+    values = np.zeros((len(at), len(knots) - 1))
+    values[np.arange(len(at)), inside] = 1.0
+    for k in range(1, degree + 1):
+        n = len(knots) - 1 - k
+        rise, fall = knots[k : k + n] - knots[:n], knots[k + 1 : k + 1 + n] - knots[1 : 1 + n]
+        left = np.where(rise > 0, (at[:, None] - knots[:n]) / np.where(rise > 0, rise, 1), 0)
+        right = np.where(fall > 0, (knots[k + 1 : k + 1 + n] - at[:, None]) / np.where(fall > 0, fall, 1), 0)
+        values = left * values[:, :n] + right * values[:, 1 : n + 1]
+    return values
+
+
+def spline_through(points: np.ndarray, n: int = 100) -> np.ndarray:
+    """n points, evenly spaced in the parameter, of the quadratic spline through all points (K19). The parameter is the length of
+    the path as a share; knots lie half way between neighbours. Repeated neighbours count once; fewer than three points are joined
+    by a line."""
+    p = points[np.concatenate([[True], (np.diff(points, axis=0) != 0).any(axis=1)])]
+    u = np.concatenate([[0.0], np.cumsum(np.linalg.norm(np.diff(p, axis=0), axis=1))])
+    at = np.linspace(0, 1, n)
+    if len(p) < 3:
+        return p[0] + at[:, None] * (p[-1] - p[0])
+    u /= u[-1]
+    knots = np.concatenate([[0.0] * 3, (u[1:-2] + u[2:-1]) / 2, [1.0] * 3])
+    return spline_basis(knots, 2, at) @ np.linalg.solve(spline_basis(knots, 2, u), p)

@@ -80,3 +80,19 @@ def plane_normals(traces: DataFrame) -> DataFrame:
         return pd.Series([kernels.plane_normal(np.column_stack([a, b, c]).astype(float)).tolist() if len(a) >= 3 else None for a, b, c in zip(z, y, x, strict=True)], dtype=object)
 
     return traces.withColumn("normal", normal("z", "y", "x"))
+
+
+def interpolated(traces: DataFrame, n: int = 100) -> DataFrame:
+    """Traces (arrays z, y, x, good) with the arrays z, y and x of n points on the spline through their good points (K19); null
+    arrays without any."""
+
+    @F.pandas_udf("z array<double>, y array<double>, x array<double>")
+    def fine(z: pd.Series, y: pd.Series, x: pd.Series, good: pd.Series) -> pd.DataFrame:
+        out = []
+        for a, b, c, g in zip(z, y, x, good, strict=True):
+            p = np.column_stack([a, b, c]).astype(float)[np.asarray(g, bool)]
+            out.append(kernels.spline_through(p, n).T.tolist() if len(p) else [None] * 3)
+        return pd.DataFrame(out, columns=["z", "y", "x"])
+
+    others = [c for c in traces.columns if c not in ("z", "y", "x")]
+    return traces.select(*others, fine("z", "y", "x", "good").alias("f")).select(*others, "f.*")

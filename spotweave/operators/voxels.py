@@ -60,3 +60,18 @@ def largest_stack(sizes: DataFrame) -> DataFrame:
 def labelled_centroids(mask: DataFrame, keys: list[str]) -> DataFrame:
     """Mean pixel of each label but 0 of a mask in long form (keys, z, y, x, label)."""
     return mask.where("label <> 0").groupBy(*keys, "label").agg(*[F.avg(a).alias(f"{a}c") for a in ("z", "y", "x")], F.count("*").alias("area"))
+
+
+def stack_grid(volumes: DataFrame, keys: list[str], slots: DataFrame, *, validate: bool = True) -> DataFrame:
+    """Every key with every (ref_timepoint, slot) of slots, with its voxels, or zeros of their number where it has none (K22). Volumes
+    of different numbers of voxels, and two for one place, are errors when validated."""
+    if validate:
+        require_unique(volumes, [*keys, "ref_timepoint", "slot"], "volume of a stack")
+    sizes = [r.n for r in volumes.select(F.size("voxels").alias("n")).distinct().limit(2).collect()]
+    if len(sizes) > 1:
+        raise ValueError("volumes differ in their number of voxels")
+    places = [(r.ref_timepoint, r.slot) for r in slots.select("ref_timepoint", "slot").distinct().orderBy("ref_timepoint", "slot").collect()]  # of an experiment's rounds
+    place = F.explode(F.array(*[F.struct(F.lit(t).alias("ref_timepoint"), F.lit(s).alias("slot")) for t, s in places])).alias("p")
+    grid = volumes.select(*keys).distinct().select(*keys, place).select(*keys, "p.*")
+    zeros = F.array_repeat(F.lit(0.0), sizes[0] if sizes else 0)
+    return grid.join(volumes, [*keys, "ref_timepoint", "slot"], "left").withColumn("voxels", F.coalesce("voxels", zeros))

@@ -426,3 +426,19 @@ def configured_rounds(spark, sf):
     rounds = known.rounds_table(spark).select("timepoint", F.col("timepoint_name").alias("name"), "kind")
     groups = known.grouping_table(spark).withColumnRenamed("ref_timepoint", "region")
     return ad.roi(spark, sf).select("roi_id", "timepoint").join(rounds, "timepoint", "left").join(groups, "timepoint", "left").select("roi_id", "timepoint", "name", "kind", "region")
+
+
+@query("WITH v AS (SELECT CAST(vec_id // 5 AS BIGINT) AS trace_id, CAST(vec_id % 5 AS INT) AS slot, CAST(embedding[1] AS DOUBLE) + CAST(embedding[2] AS DOUBLE) AS total FROM embeddings) SELECT trace_id, ref_timepoint, slot, round(coalesce(total, 0), 6) AS total FROM (SELECT DISTINCT trace_id FROM v) CROSS JOIN (SELECT unnest([4, 5]) AS ref_timepoint) CROSS JOIN (SELECT CAST(unnest(range(5)) AS INT) AS slot) LEFT JOIN (SELECT *, 4 AS ref_timepoint FROM v) USING (trace_id, ref_timepoint, slot)")
+def stack_grids(spark, sf):
+    """The grid of two regions and five slots; the vectors are volumes of the first region."""
+    e = ad.read(spark, sf, "embeddings")
+    v = e.select(F.expr("vec_id div 5").cast("long").alias("trace_id"), F.lit(4).alias("ref_timepoint"), (F.col("vec_id") % 5).cast("int").alias("slot"), F.transform(F.slice("embedding", 1, 2), lambda x: x.cast("double")).alias("voxels"))
+    slots = spark.createDataFrame([(t, s) for t in (4, 5) for s in range(5)], "ref_timepoint int, slot int")
+    return voxels.stack_grid(v, ["trace_id"], slots).select("trace_id", "ref_timepoint", "slot", r6(F.aggregate("voxels", F.lit(0.0), lambda a, x: a + x), "total"))
+
+
+@query()
+def interpolated_traces(spark, sf):
+    """K19; no SQL: splines."""
+    rows = folded(spark, sf).groupBy("trace_id").agg(F.array_sort(F.collect_list(F.struct("locus", *AXES, F.lit(True).alias("good")))).alias("p"))
+    return pixels.interpolated(rows.select("trace_id", *[F.col("p")[c].alias(c) for c in (*AXES, "good")]), 20).select("trace_id", "z", "y", "x")

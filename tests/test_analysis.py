@@ -101,3 +101,34 @@ def test_drift_accuracy_without_reference(spark):
     fits = spark.createDataFrame([(1, 0.0, 0.0, 3.0, 0.0, 0.0, 1.0), (2, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)], "k int, z double, y double, x double, z_fine double, y_fine double, x_fine double")
     rows = tracing.drift_accuracy(fits, fits.where("k = 1"), ["k"]).orderBy("k").collect()
     assert rows[0].error == 1.0 and rows[1].error is None
+
+
+def test_splines_pass_through_their_points(spark):
+    from spotweave.functions.kernels import spline_basis, spline_through
+    from spotweave.operators.pixels import interpolated
+
+    rng = np.random.default_rng(3)
+    p = np.cumsum(rng.normal(size=(8, 3)), axis=0)
+    u = np.concatenate([[0.0], np.cumsum(np.linalg.norm(np.diff(p, axis=0), axis=1))])
+    fine = spline_through(p, 20001)
+    at = np.linspace(0, 1, 20001)
+    for point, place in zip(p, u / u[-1], strict=True):
+        assert np.linalg.norm(fine[np.abs(at - place).argmin()] - point) < 1e-2
+    knots = np.array([0, 0, 0, 0.4, 0.7, 1, 1, 1.0])
+    assert np.allclose(spline_basis(knots, 2, np.linspace(0, 1, 50)).sum(axis=1), 1)
+    line = np.array([[0.0, 0, 0], [1, 2, 3]])
+    assert np.allclose(spline_through(line, 3)[1], [0.5, 1, 1.5]) and spline_through(line[:1], 2).shape == (2, 3)
+    straight = np.outer(np.array([0, 1, 2.5, 4, 7]), [1.0, 2, 2])
+    assert np.allclose(spline_through(straight, 11)[5], straight[-1] / 2)
+    out = interpolated(traces(spark), 7).collect()
+    assert all(len(r.z) == 7 for r in out)
+    none = traces(spark).withColumn("good", F.transform("good", lambda g: F.lit(False)))
+    assert interpolated(none, 7).where("z is null").count() == 5
+
+
+def test_stack_grid_needs_one_size(spark):
+    v = spark.createDataFrame([(1, 4, 0, [1.0, 2.0]), (2, 4, 1, [1.0])], "trace_id long, ref_timepoint int, slot int, voxels array<double>")
+    slots = spark.createDataFrame([(4, 0), (4, 1)], "ref_timepoint int, slot int")
+    with pytest.raises(ValueError, match="differ"):
+        voxels.stack_grid(v, ["trace_id"], slots)
+    assert sorted((r.trace_id, r.slot, r.voxels) for r in voxels.stack_grid(v.limit(1), ["trace_id"], slots).collect()) == [(1, 0, [1.0, 2.0]), (1, 1, [0.0, 0.0])]
