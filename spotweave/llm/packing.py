@@ -63,10 +63,12 @@ def load_encoder(path: str):
     ranks = {bytes(alphabet[c] for c in k): v for k, v in spec["model"]["vocab"].items() if k not in special}
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    probe = "It's 3.14 a\tb  c\n\n d éñß 漢字 -- x_y '' <|endoftext|> end "
-    if fast(probe) != slow(probe):
+    said = [w for w in sorted(spec["model"]["vocab"]) if w not in special][::97]  # words of the whole vocabulary
+    probes = ["It's 3.14 a\tb  c\n\n d éñß 漢字 -- x_y '' we'll I'VE end ", *(bytes(alphabet[c] for c in "".join(said[i : i + 50])).decode("utf-8", "replace") for i in range(0, len(said), 50))]
+    if any(fast(t) != slow(t) for t in probes):
         return slow
-    return lambda t: slow(t) if LONG_RUN.search(t) else fast(t)
+    other = re.compile("|".join([LONG_RUN.pattern, *map(re.escape, sorted(special))]))
+    return lambda t: slow(t) if other.search(t) else fast(t)
 
 
 def worker_encoder(path: str):
