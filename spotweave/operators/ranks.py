@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,21 @@ def numbered_rows(df: DataFrame, order: list[str], name: str = "row_number") ->
     return held.join(F.broadcast(before), "part_").withColumn(name, F.col("before_") + F.col("rank_") - 1).drop("part_", "rank_", "before_")
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """left with the other columns of right by keys, nulls being equal."""
+    other = right.withColumnsRenamed({k: f"{k}_same_" for k in keys})
+    on = reduce(lambda p, q: p & q, [F.col(k).eqNullSafe(F.col(f"{k}_same_")) for k in keys])
+    return left.join(other, on, how).drop(*[f"{k}_same_" for k in keys])
+
+
+def rank_within(df: DataFrame, keys: list[str], order: list[str], name: str = "rank") -> DataFrame:
+    """df with the 0-based place of each row among those of its keys. Rows are numbered in one range-partitioned order, so a key
+    with most of the rows is spread over tasks like any other."""
+    numbered = stage(numbered_rows(df, [*keys, *order], "n_"), "ranked")
+    first = numbered.groupBy(*keys).agg(F.min("n_").alias("first_"))
+    return join_same(numbered, first, keys).select(*df.columns, (F.col("n_") - F.col("first_")).alias(name))
+
+
 def in_order(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
     """df sorted by those of the order's columns that it has."""
     return df.orderBy(*[c for c in order if c in df.columns])

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotweave.operators.geometry import AXES, distance
+from spotweave.operators.ranks import join_same
+from spotweave.operators.summaries import quantiles
 
 
 def radius_of_gyration(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -23,7 +25,10 @@ def contour_length(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 def distance_maps(pairs: DataFrame, cutoff: float) -> DataFrame:
     """For each pair of loci the median and mean distance and the share of positive distances below cutoff; no positive one gives 1."""
     close, positive = F.count_if(F.col("distance") < cutoff), F.count_if(F.col("distance") > 0)
-    return pairs.groupBy("locus_1", "locus_2").agg(F.median("distance").alias("median_distance"), F.avg("distance").alias("mean_distance"), F.when(positive == 0, F.lit(1.0)).otherwise(close / positive).alias("contact"))
+    keys = ["locus_1", "locus_2"]
+    found = pairs.groupBy(*keys).agg(F.avg("distance").alias("mean_distance"), F.when(positive == 0, F.lit(1.0)).otherwise(close / positive).alias("contact"))
+    middle = quantiles(pairs, keys, "distance", {"median_distance": 0.5})
+    return join_same(found, middle, keys, "left")
 
 
 def elongation(df: DataFrame, keys: list[str]) -> DataFrame:

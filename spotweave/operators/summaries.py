@@ -5,16 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spotweave.operators.ranks import join_same, rank_within
+from spotweave.runtime import stage
+
 
 def count_by(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
+def quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """keys and, for each name, the exact quantile of value by linear interpolation; null values do not count. No key's values
+    are gathered: places come from one range-partitioned order, and only the rows next to a quantile are kept."""
+    known = df.select(*keys, F.col(value).cast("double").alias("v_")).where("v_ is not null")
+    ranked = stage(rank_within(known, keys, ["v_"], "rank_"), "quantiles")
+    n = ranked.groupBy(*keys).agg(F.count("*").alias("n_"))
+    at = {q: (F.col("n_") - 1) * float(s) for q, s in shares.items()}
+    placed = join_same(ranked, n, keys)
+    near = lambda q, end: F.max(F.when(F.col("rank_") == end(at[q]), F.col("v_"))).alias(f"{q}_{end.__name__}")
+    ends = placed.groupBy(*keys, "n_").agg(*[near(q, e) for q in shares for e in (F.floor, F.ceil)])
+    between = lambda q: F.col(f"{q}_floor") + (at[q] - F.floor(at[q])) * (F.col(f"{q}_ceil") - F.col(f"{q}_floor"))
+    return ends.select(*keys, *[between(q).alias(q) for q in shares])
+
+
 def summarise(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Quartiles, mean and the 95 % interval of the mean of each column by key, in long form (A5)."""
     long = df.select(key, F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in columns])).alias("v")).select(key, "v.*")
     half = 1.96 * F.stddev_samp("value") / F.sqrt(F.count("value"))
-    return long.groupBy(key, "variable").agg(
-        F.percentile("value", F.lit(0.25)).alias("q25"), F.percentile("value", F.lit(0.5)).alias("q50"), F.percentile("value", F.lit(0.75)).alias("q75"),
-        F.avg("value").alias("mean"), (F.avg("value") - half).alias("low"), (F.avg("value") + half).alias("high"),
-    )
+    moments = long.groupBy(key, "variable").agg(F.avg("value").alias("mean"), (F.avg("value") - half).alias("low"), (F.avg("value") + half).alias("high"))
+    middle = quantiles(long, [key, "variable"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    return join_same(moments, middle, [key, "variable"], "left").select(key, "variable", "q25", "q50", "q75", "mean", "low", "high")

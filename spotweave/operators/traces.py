@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.operators.checks import require_none, require_unique
 from spotweave.operators.merging import numbered, with_components
 from spotweave.operators.proximity import Scale, rule_edges
+from spotweave.operators.ranks import join_same, rank_within
 from spotweave.runtime import stage
 
 REQUIREMENTS = ("conjunctive", "disjunctive", "lackadaisical")
@@ -76,4 +77,5 @@ def with_groups(observed: DataFrame, groups: dict[str, list[int]]) -> DataFrame:
 
 def reindex(df: DataFrame, keys: list[str], column: str, name: str) -> DataFrame:
     """name: the 0-based rank of column among its distinct values within keys."""
-    return df.withColumn(name, (F.dense_rank().over(Window.partitionBy(*keys).orderBy(column)) - 1).cast("long"))
+    places = rank_within(df.select(*keys, column).distinct(), keys, [column], name)
+    return join_same(df, places, [*keys, column])
