@@ -33,10 +33,11 @@ def learn_dictionaries(docs: DataFrame, *, docs_per_language: int = 400, excerpt
     counts = {r.lang: r.n for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
+    # a row for each language, made on the driver
     rates = docs.sparkSession.createDataFrame([(k, min(1.0, docs_per_language / n)) for k, n in counts.items()], "lang string, rate double")
     draw = F.xxhash64("doc_id", "text", F.lit("langid")).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
     start = F.greatest(F.lit(0), F.pmod(F.xxhash64("doc_id", "text", F.lit("start")), F.greatest(F.lit(1), F.length("text") - excerpt))).cast("int")
-    drawn = train.join(rates, "lang").where(draw < F.col("rate")).select("lang", F.xxhash64("doc_id", F.lit("order")).alias("o"), F.substring(F.col("text"), start + 1, F.lit(excerpt)).alias("t"))
+    drawn = train.join(F.broadcast(rates), "lang").where(draw < F.col("rate")).select("lang", F.xxhash64("doc_id", F.lit("order")).alias("o"), F.substring(F.col("text"), start + 1, F.lit(excerpt)).alias("t"))
     rows = drawn.groupBy("lang", "t").agg(F.min("o").alias("o")).collect()  # rows that are alike in id and text are drawn together, and count once
     out: dict[str, bytes] = {}
     for r in sorted(rows, key=lambda r: (r.lang, r.o, r.t)):

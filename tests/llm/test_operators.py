@@ -513,11 +513,11 @@ def test_language_equals_compressing_everything(spark, sf, docs, texts):
 
 def test_draws_are_bounded_where_ids_are_null_or_repeat(spark):
     """Rows alike in id and text count once in a fit."""
-    rows = [(None, "eins zwei drei vier", "de")] * 300 + [(7, "one two three four", "en")] * 300
+    rows = [(None, "eins zwei drei vier", "de")] * 300 + [(8, "one two three four", "en")] * 300
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert set(langid.learn_dictionaries(df, docs_per_language=10**6)) == {"de", "en"}
     assert len(langid.learn_dictionaries(df, docs_per_language=10**6)["en"]) == len("one two three four\n")
-    assert toxicity.score_toxicity(df, spark.createDataFrame([(7, 1)], "doc_id long, toxic int")).count() == 600
+    assert toxicity.score_toxicity(df, spark.createDataFrame([(8, 1)], "doc_id long, toxic int")).count() == 600
 
 
 def test_language_of_odd_rows(docs):
