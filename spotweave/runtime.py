@@ -73,6 +73,12 @@ def release(spark: SparkSession, keep: int = 0) -> None:
         delete(spark, path)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Have the driver collect what nothing refers to any more, so that Spark's cleaner deletes the shuffle files of tables that
+    are staged by now, and not only at its next periodic collection."""
+    spark.sparkContext._jvm.System.gc()
+
+
 @atexit.register
 def _release_at_exit() -> None:
     active = SparkSession.getActiveSession()
