@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotweave.operators.components import connected_components
-from spotweave.runtime import arrow_rows, broadcast_if_small, limit_batches, release_worker_memory, stage
+from spotweave.runtime import arrow_rows, broadcast_if_small, forget_shuffles, limit_batches, release_worker_memory, stage
 
 N = 5
 CHUNK_DOCS, CHUNK_TOKENS, LEAST_LOCAL = 4096, 1_000_000, 3
@@ -387,6 +387,7 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bo
     salts = max(16, total // 100_000)
     live = stage(lists(postings(docs, hot, common), salts), "join-lists")
     maps = stage(seen.where("n >= 4 and sig is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "join-maps")
+    forget_shuffles(spark)
     sets: DataFrame | None = None
 
     def verified(p: DataFrame) -> DataFrame:
@@ -447,6 +448,7 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bo
         return df.join(broadcast_if_small(now, max_broadcast), name, "left").withColumn(name, F.coalesce("now", name)).drop("now")
 
     both, rest = settled(labelled(live, nodes, max_broadcast), bound)
+    forget_shuffles(spark)
     for sample in (16, None):  # a few members of each first, as most components that link become one by that
         both = stage(renewed(renewed(both, "c"), "d").where("c <> d").select(F.least("c", "d").alias("c"), F.greatest("c", "d").alias("d")).distinct(), "join-open-pairs")
         with arrow_rows(spark, 200):
