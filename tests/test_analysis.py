@@ -132,3 +132,15 @@ def test_stack_grid_needs_one_size(spark):
     with pytest.raises(ValueError, match="differ"):
         voxels.stack_grid(v, ["trace_id"], slots)
     assert sorted((r.trace_id, r.slot, r.voxels) for r in voxels.stack_grid(v.limit(1), ["trace_id"], slots).collect()) == [(1, 0, [1.0, 2.0]), (1, 1, [0.0, 0.0])]
+
+
+def test_quantiles_and_ranks_with_nulls(spark):
+    from spotweave.operators.summaries import quantiles
+    from spotweave.operators.traces import reindex
+
+    rows = [(None, v) for v in (4.0, 1.0, None, 3.0)] + [("a", 7.0), ("b", None)] + [("c", float(v)) for v in range(101)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: (r.lo, r.mid) for r in quantiles(df, ["k"], "v", {"lo": 0.25, "mid": 0.5}).collect()}
+    assert got == {None: (2.0, 3.0), "a": (7.0, 7.0), "c": (25.0, 50.0)}
+    ranked = reindex(spark.createDataFrame([(None, 5), (None, 9), (None, 5), ("a", 2)], "k string, t int"), ["k"], "t", "i").collect()
+    assert sorted((r.k or "", r.t, r.i) for r in ranked) == [("", 5, 0), ("", 5, 0), ("", 9, 1), ("a", 2, 0)]
