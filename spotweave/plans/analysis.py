@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from spotweave.operators import clustering, detection, images, pixels, proximity
 from spotweave.operators.geometry import AXES
 from spotweave.plans import adapters as ad
 from spotweave.plans.registry import D, SCALE, maps, query, r6, trace_points
-from spotweave.runtime import shared_dir
+from spotweave.runtime import scratch
 from spotweave.sources import tables
 
 
@@ -224,14 +222,10 @@ def group_names(spark, sf):
     return traces.with_groups(o, {"A": [0, 1, 2, 3], "B": [0, 2, 4, 6], "C": [1, 2, 3, 5, 7]}).select("fov", F.size("names").cast("long").alias("names"))
 
 
-def scratch(spark, name: str) -> str:
-    return f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
-
-
 @query(f"WITH {ad.ROI_SQL} SELECT roi_id, fov, timepoint, round(zc, 6) AS zc FROM roi")
 def delimited_round_trip(spark, sf):
     """IO1 to IO5, IO7: written by the suffix's delimiter, read back with types, undecodable rows an error."""
-    path = f"{scratch(spark, 'rois')}.tsv"
+    path = scratch(spark, "rois", ".tsv")
     tables.write_table(ad.roi(spark, sf).select("roi_id", "fov", "timepoint", "zc"), path)
     return tables.read_typed(spark, path, "roi_id long, fov int, timepoint int, zc double").select("roi_id", "fov", "timepoint", r6("zc"))
 
@@ -404,7 +398,7 @@ def spot_file_names(spark, sf):
 @query(f"WITH {ad.ROI_SQL} SELECT CAST(roi_id AS VARCHAR) AS roi_id, CAST(fov AS VARCHAR) AS fov, '' AS note FROM roi")
 def strings_round_trip(spark, sf):
     """IO3, P12: all cells as text, empty ones too, without the unnamed index in front."""
-    path = f"{scratch(spark, 'indexed')}.csv"
+    path = scratch(spark, "indexed", ".csv")
     rows = ad.roi(spark, sf).select(F.col("roi_id").alias("Unnamed: 0"), "roi_id", "fov", F.lit(None).cast("string").alias("note"))
     tables.write_table(rows, path)
     return tables.read_strings(spark, path)

@@ -50,12 +50,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut, nothing is computed twice,
     and a lost executor costs no more than reading again. Removed when the application ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    _STAGED.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, name: str, ending: str = "") -> str:
+    """A path of its own in the shared folder for what is to be removed when the application ends."""
+    path = f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}{ending}"
+    _STAGED.append((spark, path))
+    return path
+
+
 def delete(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
