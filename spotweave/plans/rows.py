@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spotweave.operators import beads, checks, drift as drifts, merging, naming, projections, proximity, qc, ranks, summaries, tracing, voxels
 from spotweave.operators.geometry import AXES
 from spotweave.plans import adapters as ad
-from spotweave.plans.registry import CENTRES, D, NEAR_SQL, _QC, assessed, bead_filtered, labelled, query, r6, region_pair_rows  # noqa: F401
+from spotweave.plans.registry import _QC, CENTRES, NEAR_SQL, D, assessed, labelled, query, r6, region_pair_rows
 
 _LABELS = f"WITH {ad.ROI_SQL}, m AS (SELECT DISTINCT fov, CAST(trunc(zc) AS BIGINT) AS z, CAST(trunc(yc) AS BIGINT) AS y, CAST(trunc(xc) AS BIGINT) AS x FROM roi WHERE roi_id % 2 = 0), l AS (SELECT r.roi_id AS roi_id, r.fov AS fov, CASE WHEN m.fov IS NULL THEN 0 ELSE 1 + r.fov END AS label FROM roi r LEFT JOIN m ON m.fov = r.fov AND m.z = trunc(zc) AND m.y = trunc(yc) AND m.x = trunc(xc))"
 
