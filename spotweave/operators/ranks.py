@@ -37,7 +37,7 @@ def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
 def rank_within(df: DataFrame, keys: list[str], order: list[str], name: str = "rank") -> DataFrame:
     """df with the 0-based place of each row among those of its keys. Rows are numbered in one range-partitioned order, so a key
     with most of the rows is spread over tasks like any other."""
-    numbered = stage(numbered_rows(df, [*keys, *order], "n_"), "ranked")
+    numbered = numbered_rows(df, [*keys, *order], "n_")  # from a staged table, so reading it twice is cheap
     first = numbered.groupBy(*keys).agg(F.min("n_").alias("first_"))
     return join_same(numbered, first, keys).select(*df.columns, (F.col("n_") - F.col("first_")).alias(name))
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.operators.ranks import join_same, rank_within
-from spotweave.runtime import stage
 
 
 def count_by(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -17,7 +16,7 @@ def quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, floa
     """keys and, for each name, the exact quantile of value by linear interpolation; null values do not count. No key's values
     are gathered: places come from one range-partitioned order, and only the rows next to a quantile are kept."""
     known = df.select(*keys, F.col(value).cast("double").alias("v_")).where("v_ is not null")
-    ranked = stage(rank_within(known, keys, ["v_"], "rank_"), "quantiles")
+    ranked = rank_within(known, keys, ["v_"], "rank_")
     n = ranked.groupBy(*keys).agg(F.count("*").alias("n_"))
     at = {q: (F.col("n_") - 1) * float(s) for q, s in shares.items()}
     placed = join_same(ranked, n, keys)
