@@ -134,4 +134,24 @@ WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, ''
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND good >= 5e-1 AS kept, round(good, 6) AS posterior FROM judged
 """
 
-ORACLES: dict[str, str] = {"op5_decontamination": _OP5, "op6_line_dedup": _OP6, "op7_pii": _spans(_PII, 4), "op8_ngram_join": _OP8, "op9_secrets": _spans(_SECRETS, 3), "op10_quality": _OP10}
+_OP11 = """
+WITH priced AS (
+  SELECT click_id, ts, kind, CASE WHEN abs(value) < 1e16 THEN CAST(floor(100 * value + 0.5) AS BIGINT) END AS c
+  FROM clicks WHERE click_id IS NOT NULL AND ts IS NOT NULL
+), once AS (
+  SELECT click_id, ts, kind, c
+  FROM (SELECT *, row_number() OVER (PARTITION BY click_id ORDER BY ts, kind NULLS FIRST, c NULLS FIRST) AS k FROM priced) WHERE k = 1
+), held AS (
+  SELECT click_id, kind, c, list_sort(coalesce(list(c) FILTER (c IS NOT NULL) OVER (PARTITION BY kind ORDER BY ts RANGE BETWEEN INTERVAL 3599999999 MICROSECONDS PRECEDING AND CURRENT ROW), [])) AS s
+  FROM once
+), middle AS (
+  SELECT *, len(s) AS n, CASE WHEN len(s) > 1 THEN s[(len(s) + 1) // 2] + s[len(s) // 2 + 1] END AS median2 FROM held
+), spread AS (
+  SELECT *, list_sort(list_transform(s, lambda x: abs(2 * x - median2))) AS d FROM middle
+), mads AS (
+  SELECT *, CASE WHEN n > 1 THEN d[(n + 1) // 2] + d[n // 2 + 1] END AS mad4 FROM spread
+)
+SELECT click_id, kind, CAST(n AS BIGINT) AS n, median2, mad4, 2 * abs(2 * c - median2) > 3 * mad4 AS far FROM mads
+"""
+
+ORACLES: dict[str, str] = {"op5_decontamination": _OP5, "op6_line_dedup": _OP6, "op7_pii": _spans(_PII, 4), "op8_ngram_join": _OP8, "op9_secrets": _spans(_SECRETS, 3), "op10_quality": _OP10, "op11_rolling_median": _OP11}

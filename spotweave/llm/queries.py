@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm import decontam, langid, linededup, ngram_join, packing, pii, quality, secrets, toxicity, warc
+from spotweave.llm import decontam, langid, linededup, medians, ngram_join, packing, pii, quality, secrets, toxicity, warc
 from spotweave.runtime import read
 
 
@@ -55,4 +55,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(read(spark, sf_dir, "documents")).withColumn("posterior", F.round("posterior", 6))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_language, op4_warc, op5_decontamination, op6_line_dedup, op7_pii, op8_ngram_join, op9_secrets, op10_quality)}
+def op11_rolling_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return medians.rolling_median(read(spark, sf_dir, "clicks"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_language, op4_warc, op5_decontamination, op6_line_dedup, op7_pii, op8_ngram_join, op9_secrets, op10_quality, op11_rolling_median)}
