@@ -154,4 +154,31 @@ WITH priced AS (
 SELECT click_id, kind, CAST(n AS BIGINT) AS n, median2, mad4, 2 * abs(2 * c - median2) > 3 * mad4 AS far FROM mads
 """
 
-ORACLES: dict[str, str] = {"op5_decontamination": _OP5, "op6_line_dedup": _OP6, "op7_pii": _spans(_PII, 4), "op8_ngram_join": _OP8, "op9_secrets": _spans(_SECRETS, 3), "op10_quality": _OP10, "op11_rolling_median": _OP11}
+_OP12 = """
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x) OR abs(x) >= 262144)) = 0
+), parts AS MATERIALIZED (
+  SELECT r, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS a FROM (SELECT *, unnest(range(16)) AS p FROM kept)
+), firsts AS (
+  SELECT e, r FROM (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM (SELECT r, vec_id, v, row_number() OVER (PARTITION BY vec_id ORDER BY v) AS k FROM kept) WHERE k = 1) WHERE e < 64
+), book0 AS MATERIALIZED (SELECT p, e, a AS c FROM firsts JOIN parts USING (r)
+), near0 AS MATERIALIZED (SELECT r, p, any_value(a) AS a, min(struct_pack(d := list_sum(list_transform(list_zip(a, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e := e)) AS best FROM parts JOIN book0 USING (p) GROUP BY r, p
+), sums0 AS (
+  SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS c
+  FROM (SELECT p, best.e AS e, j, sum(a[j]) AS s, count(*) AS n FROM (SELECT *, unnest(range(1, len(a) + 1)) AS j FROM near0) GROUP BY ALL) GROUP BY p, e
+), book1 AS MATERIALIZED (SELECT p, e, coalesce(s.c, b.c) AS c FROM book0 b LEFT JOIN sums0 s USING (p, e)
+), near1 AS MATERIALIZED (SELECT r, p, any_value(a) AS a, min(struct_pack(d := list_sum(list_transform(list_zip(a, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e := e)) AS best FROM parts JOIN book1 USING (p) GROUP BY r, p
+), sums1 AS (
+  SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS c
+  FROM (SELECT p, best.e AS e, j, sum(a[j]) AS s, count(*) AS n FROM (SELECT *, unnest(range(1, len(a) + 1)) AS j FROM near1) GROUP BY ALL) GROUP BY p, e
+), book2 AS MATERIALIZED (SELECT p, e, coalesce(s.c, b.c) AS c FROM book1 b LEFT JOIN sums1 s USING (p, e)
+), near2 AS (SELECT r, p, min(struct_pack(d := list_sum(list_transform(list_zip(a, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e := e)) AS best FROM parts JOIN book2 USING (p) GROUP BY r, p
+), coded AS (
+  SELECT vec_id, label, code, error FROM kept JOIN (SELECT r, string_agg(printf('%02x', CAST(best.e AS BIGINT)), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM near2 GROUP BY r) USING (r)
+), said AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, said
+"""
+
+ORACLES: dict[str, str] = {"op5_decontamination": _OP5, "op6_line_dedup": _OP6, "op7_pii": _spans(_PII, 4), "op8_ngram_join": _OP8, "op9_secrets": _spans(_SECRETS, 3), "op10_quality": _OP10, "op11_rolling_median": _OP11, "op12_vector_codes": _OP12}

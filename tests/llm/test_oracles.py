@@ -10,7 +10,7 @@ from spotweave.llm.queries import QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "clicks"):
+    for t in ("documents", "benchmark", "clicks", "embeddings"):
         con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
     got, want = QUERIES[name](spark, sf), con.sql(ORACLES[name])
     cols = sorted(got.columns)
