@@ -181,4 +181,17 @@ WITH kept AS (
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, said
 """
 
-ORACLES: dict[str, str] = {"op5_decontamination": _OP5, "op6_line_dedup": _OP6, "op7_pii": _spans(_PII, 4), "op8_ngram_join": _OP8, "op9_secrets": _spans(_SECRETS, 3), "op10_quality": _OP10, "op11_rolling_median": _OP11, "op12_vector_codes": _OP12}
+_OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+  SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS said FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d WHERE doc_id IS NOT NULL AND len(w) > 12)
+), firsts AS (SELECT said, min(doc_id) AS first FROM places GROUP BY said
+), gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS pos FROM places JOIN firsts USING (said) WHERE doc_id > first
+), kept AS (
+  SELECT r, string_agg(x, ' ' ORDER BY pos) AS said, count(*) AS n FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS pos FROM d) ANTI JOIN gone USING (r, pos) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(said, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op5_decontamination": _OP5, "op6_line_dedup": _OP6, "op7_pii": _spans(_PII, 4), "op8_ngram_join": _OP8, "op9_secrets": _spans(_SECRETS, 3), "op10_quality": _OP10, "op11_rolling_median": _OP11, "op12_vector_codes": _OP12, "op13_substring_dedup": _OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm import decontam, langid, linededup, medians, ngram_join, packing, pii, quality, secrets, toxicity, vectors, warc
+from spotweave.llm import decontam, langid, linededup, medians, ngram_join, packing, pii, quality, secrets, substrings, toxicity, vectors, warc
 from spotweave.runtime import read
 
 
@@ -63,4 +63,8 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.compress(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_language, op4_warc, op5_decontamination, op6_line_dedup, op7_pii, op8_ngram_join, op9_secrets, op10_quality, op11_rolling_median, op12_vector_codes)}
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_language, op4_warc, op5_decontamination, op6_line_dedup, op7_pii, op8_ngram_join, op9_secrets, op10_quality, op11_rolling_median, op12_vector_codes, op13_substring_dedup)}
