@@ -52,7 +52,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete tables of stage() that nothing reads any more, before the application ends."""
+    for df in tables:
+        place = (df.sparkSession, df.staged_path)
+        if place in _STAGED:
+            _STAGED.remove(place)
+            delete(*place)
 
 
 def scratch(spark: SparkSession, name: str, ending: str = "") -> str:
