@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.llm.medians import ranges
-from spotweave.runtime import forget_shuffles, limit_batches, release_worker_memory, stage
+from spotweave.runtime import forget_shuffles, limit_batches, release_worker_memory, stage, unstage
 
 SLICE = 2 << 20  # bytes of text that are taken at once
 BASE = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses
@@ -251,26 +251,27 @@ def factored(found: DataFrame, window: int) -> DataFrame:
     return found.mapInArrow(task, f"c1 long, c2 long, key long, first {dict(found.dtypes)['first']}, starts array<int>, sizes array<int>")
 
 
-def repeated_spans(docs: DataFrame, *, window: int = 13, gram: int = 5, hot_rows: int = 2000) -> DataFrame:
-    """doc_id, version (a hash of the text) and its spans (starts and sizes in words, which may overlap) that an earlier
-    document holds; documents without any are left out."""
-    spark = docs.sparkSession
-    limit_batches(spark)
-    given = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
-    seen = stage(anchors(given, window, gram), "anchors")
+def _shared(seen: DataFrame, hot_rows: int) -> DataFrame:
     counted = seen.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a <> b")
-    shared = stage(counted.select("key", (F.col("n") > hot_rows).alias("often")), "shared-anchors")
-    forget_shuffles(spark)
-    keys = seen.join(shared, "key").groupBy("doc_id").agg(F.collect_set(F.expr("if(often, null, key)")).alias("keys"), F.collect_set(F.expr("if(often, key, null)")).alias("hot"))
-    held = given.withColumn("version", F.xxhash64("text")).join(stage(keys, "document-anchors"), "doc_id")
-    forget_shuffles(spark)
-    found = passages(held, window, gram)
-    found = stage(found.withColumn("c1", F.xxhash64("body")).withColumn("c2", F.xxhash64(F.lit(1), "body")), "passages")
-    forget_shuffles(spark)
+    return stage(counted.select("key", (F.col("n") > hot_rows).alias("often")), "shared-anchors")
+
+
+def _keys(seen: DataFrame, shared: DataFrame) -> DataFrame:
+    both = seen.join(shared, "key").groupBy("doc_id")
+    return stage(both.agg(F.collect_set(F.expr("if(often, null, key)")).alias("keys"), F.collect_set(F.expr("if(often, key, null)")).alias("hot")), "document-anchors")
+
+
+def _passages(given: DataFrame, keys: DataFrame, window: int, gram: int) -> DataFrame:
+    found = passages(given.withColumn("version", F.xxhash64("text")).join(keys, "doc_id"), window, gram)
+    return stage(found.withColumn("c1", F.xxhash64("body")).withColumn("c2", F.xxhash64(F.lit(1), "body")), "passages")
+
+
+def _factors(found: DataFrame, window: int) -> DataFrame:
     distinct = found.groupBy("key", "c1", "c2", "body").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    blocks = distinct.repartition("key").sortWithinPartitions("key", "first")
-    gone = stage(factored(blocks, window), "factors")
-    forget_shuffles(spark)
+    return stage(factored(distinct.repartition("key").sortWithinPartitions("key", "first"), window), "factors")
+
+
+def _spans(found: DataFrame, gone: DataFrame, window: int) -> DataFrame:
     both = found.select("key", "c1", "c2", "doc_id", "version", "at", "windows").join(gone, ["key", "c1", "c2"])
     later = F.col("doc_id") > F.col("first")
     spans = both.select(
@@ -281,10 +282,32 @@ def repeated_spans(docs: DataFrame, *, window: int = 13, gram: int = 5, hot_rows
     return stage(spans.groupBy("doc_id", "version").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("sizes")).alias("sizes")), "spans")
 
 
+def repeated_spans(docs: DataFrame, *, window: int = 13, gram: int = 5, hot_rows: int = 20_000) -> DataFrame:
+    """doc_id, version (a hash of the text) and its spans (starts and sizes in words, which may overlap) that an earlier
+    document holds; documents without any are left out. Every step is staged, and what it has read and shuffled goes before the next."""
+    spark = docs.sparkSession
+    limit_batches(spark)
+    given = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
+    seen = stage(anchors(given, window, gram), "anchors")
+    shared = _shared(seen, hot_rows)
+    forget_shuffles(spark)
+    keys = _keys(seen, shared)
+    unstage(seen, shared)
+    forget_shuffles(spark)
+    found = _passages(given, keys, window, gram)
+    unstage(keys)
+    forget_shuffles(spark)
+    gone = _factors(found, window)
+    forget_shuffles(spark)
+    spans = _spans(found, gone, window)
+    unstage(found, gone)
+    forget_shuffles(spark)
+    return spans
+
+
 def remove_repeats(docs: DataFrame, **how) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 (of the kept words joined by a space) for every row of docs."""
     spans = repeated_spans(docs, **how).withColumnRenamed("doc_id", "of")
-    forget_shuffles(docs.sparkSession)
     rows = docs.select("doc_id", "text").withColumn("v", F.xxhash64("text")).join(spans, (F.col("doc_id") == F.col("of")) & (F.col("v") == F.col("version")), "left")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
