@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotweave.operators.geometry import AXES, distance
-from spotweave.operators.ranks import join_same
 from spotweave.operators.summaries import quantiles
 
 
@@ -22,13 +21,23 @@ def contour_length(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.withColumn("step", step).groupBy(*keys).agg(F.coalesce(F.sum("step"), F.lit(0.0)).alias("contour"))
 
 
-def distance_maps(pairs: DataFrame, cutoff: float) -> DataFrame:
-    """For each pair of loci the median and mean distance and the share of positive distances below cutoff; no positive one gives 1."""
+MAP = ["locus_1", "locus_2"]
+
+
+def mean_map(pairs: DataFrame) -> DataFrame:
+    """The mean distance of each pair of loci."""
+    return pairs.groupBy(*MAP).agg(F.avg("distance").alias("mean_distance"))
+
+
+def median_map(pairs: DataFrame) -> DataFrame:
+    """The median distance of each pair of loci."""
+    return quantiles(pairs, MAP, "distance", {"median_distance": 0.5})
+
+
+def contact_map(pairs: DataFrame, cutoff: float) -> DataFrame:
+    """The share of positive distances below cutoff for each pair of loci; no positive one gives 1."""
     close, positive = F.count_if(F.col("distance") < cutoff), F.count_if(F.col("distance") > 0)
-    keys = ["locus_1", "locus_2"]
-    found = pairs.groupBy(*keys).agg(F.avg("distance").alias("mean_distance"), F.when(positive == 0, F.lit(1.0)).otherwise(close / positive).alias("contact"))
-    middle = quantiles(pairs, keys, "distance", {"median_distance": 0.5})
-    return join_same(found, middle, keys, "left")
+    return pairs.groupBy(*MAP).agg(F.when(positive == 0, F.lit(1.0)).otherwise(close / positive).alias("contact"))
 
 
 def elongation(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spotweave.operators import clustering, detection, images, pixels, proximity, shape, similarity, simulation, traces, tracing, voxels
+from spotweave.operators import clustering, detection, images, pixels, proximity, shape, similarity, traces, tracing, voxels
 from spotweave.operators.geometry import AXES
 from spotweave.plans import adapters as ad
-from spotweave.plans.registry import D, SCALE, maps, query, r6, trace_points
+from spotweave.plans.registry import D, SCALE, query, r6, trace_pairs, trace_points
 from spotweave.runtime import scratch
 from spotweave.sources import tables
 
@@ -91,7 +91,7 @@ _MAP = f"WITH {ad.TRACE_SQL}, p AS (SELECT a.trace_id AS trace_id, a.locus AS lo
 @query(_MAP + " SELECT locus_1, locus_2, round(avg(d), 4) AS mean_distance FROM p GROUP BY 1, 2")
 def mean_distance_map(spark, sf):
     """A15, the mean."""
-    return maps(spark, sf).select("locus_1", "locus_2", r4("mean_distance"))
+    return shape.mean_map(trace_pairs(spark, sf)).select("locus_1", "locus_2", r4("mean_distance"))
 
 
 _FOLDED = "point AS (SELECT CAST(vec_id AS BIGINT) AS trace_id, CAST(label AS INT) AS cluster, k AS locus, CAST(embedding[3 * k + 1] AS DOUBLE) * 2e2 AS z, CAST(embedding[3 * k + 2] AS DOUBLE) * 2e2 AS y, CAST(embedding[3 * k + 3] AS DOUBLE) * 2e2 AS x FROM embeddings, (SELECT unnest(range(4)) AS k))"
@@ -215,11 +215,11 @@ def trace_assign_ambiguous(spark, sf):
     return _assigned(spark, sf, UNCLEAR, "lackadaisical", False)[1]
 
 
-@query(f"WITH {ad.ROI_SQL}, o AS (SELECT fov, list_sort(list(DISTINCT timepoint)) AS times, count(*) AS n FROM roi WHERE roi_id % 50 < 4 GROUP BY fov) SELECT fov, (SELECT count(*) FROM (VALUES ([0, 1, 2, 3]), ([0, 2, 4, 6]), ([1, 2, 3, 5, 7])) v(m) WHERE list_has_all(m, times)) AS names FROM o")
+@query(f"WITH {ad.FIT_SQL}, o AS (SELECT trace_id, list_sort(list(DISTINCT timepoint)) AS times FROM fit GROUP BY 1) SELECT trace_id, (SELECT count(*) FROM (VALUES ([1, 2, 3, 4]), ([2, 4, 6]), ([1, 3, 5, 7])) v(m) WHERE list_has_all(m, times)) AS names FROM o")
 def group_names(spark, sf):
-    """How many groups hold the times seen in a field of view (those of the first rois of every fifty)."""
-    o = ad.roi(spark, sf).where("roi_id % 50 < 4").groupBy("fov").agg(F.array_sort(F.collect_set("timepoint")).alias("times"))
-    return traces.with_groups(o, {"A": [0, 1, 2, 3], "B": [0, 2, 4, 6], "C": [1, 2, 3, 5, 7]}).select("fov", F.size("names").cast("long").alias("names"))
+    """How many groups hold all the times of a trace."""
+    o = ad.fit(spark, sf).groupBy("trace_id").agg(F.array_sort(F.collect_set("timepoint")).alias("times"))
+    return traces.with_groups(o, {"A": [1, 2, 3, 4], "B": [2, 4, 6], "C": [1, 3, 5, 7]}).select("trace_id", F.size("names").cast("long").alias("names"))
 
 
 @query(f"WITH {ad.ROI_SQL} SELECT roi_id, fov, timepoint, round(zc, 6) AS zc FROM roi")
@@ -266,9 +266,9 @@ def spot_fits(spark, sf):
 
 @query()
 def coarse_drift(spark, sf):
-    """K3, K5; no SQL: Fourier transforms. One image for each field of view and timepoint, that of the smallest id."""
-    one = volumes(spark, sf).groupBy("fieldOfView", "timepoint").agg(F.min(F.struct("vec_id", "voxels", "shape")).alias("v")).select("fieldOfView", "timepoint", "v.voxels", "v.shape")
-    return pixels.coarse_drift(one, 0)
+    """K3, K5; no SQL: Fourier transforms. Eight images in a row are the timepoints of a field of view."""
+    images = volumes(spark, sf).withColumn("fieldOfView", F.expr("vec_id div 8").cast("int"))
+    return pixels.coarse_drift(images, 0)
 
 
 @query()
@@ -283,8 +283,8 @@ def aligned_distances(spark, sf):
     """K16; no SQL: singular vectors. The distance of each trace to the first after the best rigid motion."""
     rows = folded(spark, sf).groupBy("trace_id").agg(F.array_sort(F.collect_list(F.struct("locus", *AXES, F.lit(True).alias("good")))).alias("p"))
     lists = rows.select("trace_id", *[F.col("p")[c].alias(c) for c in (*AXES, "good")])
-    first = lists.orderBy("trace_id").first()
-    template = tuple(list(first[a]) for a in AXES) if first else ([], [], [])
+    first = lists.agg(*[F.min_by(a, "trace_id").alias(a) for a in AXES]).first()
+    template = tuple(list(first[a] or []) for a in AXES)
     return pixels.aligned_to(lists, template).select("trace_id", "rmse")
 
 
@@ -330,26 +330,6 @@ def trace_clusters(spark, sf):
     return clustering.clusters(folded_maps(spark, sf), 3)
 
 
-@query()
-def extrusion_runs(spark, sf):
-    """K23; no SQL: a simulation. One run for each label."""
-    from spotweave.functions.polymer import Extrusion
-
-    p = Extrusion(beads=200, extruders=8, bound=100, unbound=20, held=400, rate=0.8, sites=(50, 150), directions=(1, -1), barriers=2, barrier_bound=300, barrier_unbound=10, barrier_held=600)
-    runs = ad.read(spark, sf, "embeddings").select(F.col("label").cast("long").alias("run_id")).distinct()
-    return simulation.simulate_extrusion(runs, p, 200)
-
-
-@query()
-def polymer_runs(spark, sf):
-    """K24; no SQL: a simulation. One run for each label."""
-    from spotweave.functions.polymer import Extrusion
-
-    p = Extrusion(beads=60, extruders=3, bound=100, unbound=10, held=400, rate=0.8)
-    runs = ad.read(spark, sf, "embeddings").select(F.col("label").cast("long").alias("run_id")).distinct()
-    return simulation.simulate_polymer(runs, p, 10, start=100, each=5)
-
-
 _BRIGHT = "CAST(embedding[i + 1] AS DOUBLE) + CASE WHEN i = 21 THEN 60 WHEN i IN (20, 22, 17, 25, 5, 37) THEN 30 ELSE 10 END"
 
 

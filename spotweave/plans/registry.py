@@ -395,20 +395,20 @@ def spot_counts_by_status(spark, sf):
 _MAP = f"WITH {ad.TRACE_SQL}, p AS (SELECT a.locus AS locus_1, b.locus AS locus_2, {dist_sql('a', 'b', (1, 1, 1))} AS d FROM trace a JOIN trace b ON a.trace_id = b.trace_id AND a.locus < b.locus)"
 
 
-def maps(spark, sf) -> DataFrame:
-    return shape.distance_maps(proximity.group_pairs(ad.trace(spark, sf), ["trace_id"], "locus", []), 10.0)
+def trace_pairs(spark, sf) -> DataFrame:
+    return proximity.group_pairs(ad.trace(spark, sf), ["trace_id"], "locus", [])
 
 
 @query(_MAP + " SELECT locus_1, locus_2, round(median(d), 6) AS median_distance FROM p GROUP BY 1, 2")
 def median_distance_map(spark, sf):
     """A15."""
-    return maps(spark, sf).select("locus_1", "locus_2", r6("median_distance"))
+    return shape.median_map(trace_pairs(spark, sf)).select("locus_1", "locus_2", r6("median_distance"))
 
 
 @query(_MAP + " SELECT locus_1, locus_2, round(CASE WHEN count(*) FILTER (d > 0) = 0 THEN 1 ELSE count(*) FILTER (d < 10) / CAST(count(*) FILTER (d > 0) AS DOUBLE) END, 6) AS contact FROM p GROUP BY 1, 2")
 def contact_map(spark, sf):
     """A16."""
-    return maps(spark, sf).select("locus_1", "locus_2", r6("contact"))
+    return shape.contact_map(trace_pairs(spark, sf), 10.0).select("locus_1", "locus_2", r6("contact"))
 
 
 def trace_points(spark, sf) -> DataFrame:

@@ -96,11 +96,11 @@ def signed_differences(spark, sf):
     return d.select("vec_id", F.aggregate("d", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"), F.get("d", 0).cast("long").alias("first"), F.array_max("d").cast("long").alias("largest"))
 
 
-@query(f"WITH {ad.FIT_SQL} SELECT trace_id, timepoint, round(signal / background, 6) AS snr, CASE WHEN signal / background >= 2 THEN 1 ELSE 0 END AS qc FROM fit")
+@query(f"WITH {ad.FIT_SQL} SELECT trace_id, timepoint, signal / background AS snr, CASE WHEN signal / background >= 2 THEN 1 ELSE 0 END AS qc FROM fit")
 def snr_flags(spark, sf):
     """P13."""
     s, b = F.col("signal"), F.col("background")
-    return ad.fit(spark, sf).select("trace_id", "timepoint", r6(projections.signal_to_noise(s, b), "snr"), projections.snr_flag(s, b, 2.0).alias("qc"))
+    return ad.fit(spark, sf).select("trace_id", "timepoint", projections.signal_to_noise(s, b).alias("snr"), projections.snr_flag(s, b, 2.0).alias("qc"))
 
 
 @query(f"WITH {ad.ROI_SQL} SELECT roi_id, round(zc - 4 + 25e-1, 6) AS zc, round(yc - 8 + 25e-1, 6) AS yc, round(xc - 8 + 25e-1, 6) AS xc FROM roi")
@@ -191,6 +191,12 @@ def traces_sorted(spark, sf):
     return ranks.in_order(ad.fit(spark, sf).groupBy("fov", "trace_id", "timepoint").agg(F.count("*").alias("n")), ranks.TRACE_ORDER)
 
 
+@query(f"WITH {ad.ROI_SQL} SELECT zc, yc, xc, count(*) AS n FROM roi GROUP BY 1, 2, 3 ORDER BY 1, 2, 3")
+def points_sorted(spark, sf):
+    """Points of beads in the order of their files."""
+    return ranks.in_order(ad.roi(spark, sf).groupBy(*ranks.POINT_ORDER).agg(F.count("*").alias("n")), ranks.POINT_ORDER)
+
+
 TRACE_GROUPS = {"A": [0, 3, 5], "B": [1, 2, 6, 7]}
 REGION_LOCI = {r: [(r + 1) % 8, (r + 3) % 8] for r in range(8)}
 

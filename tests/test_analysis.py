@@ -1,41 +1,10 @@
-"""Simulations, alignment and clusters of traces, ranks and similarity on small cases."""
+"""Alignment and clusters of traces, ranks and similarity on small cases."""
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spotweave.functions.polymer import Extrusion, extrusion, rouse
-from spotweave.operators import clustering, naming, ranks, simulation, similarity, tracing, voxels
-
-PARAMETERS = Extrusion(beads=120, extruders=6, bound=80, unbound=10, held=400, rate=0.9, sites=(30, 80), directions=(1, -1), barriers=2, barrier_bound=500, barrier_unbound=1, barrier_held=500, crash=0.5, warmup=50)
-
-
-def test_extrusion_keeps_to_its_rules():
-    legs = extrusion(PARAMETERS, 400, 3)
-    on = legs[:, :, 0] >= 0
-    assert on.any() and (legs[on][:, 0] < legs[on][:, 1]).all() and (legs[on] < 120).all()
-    assert (extrusion(PARAMETERS, 400, 3) == legs).all() and not (extrusion(PARAMETERS, 400, 4) == legs).all()
-    assert (extrusion(Extrusion(beads=50, extruders=3, bound=0, unbound=5, held=5, rate=1.0), 60, 1) == -1).all()
-    stopped = legs[on]
-    assert ((stopped[:, 0] == 30) | (stopped[:, 1] == 80)).mean() > 0.2  # barriers hold legs
-
-
-def test_polymer_follows_its_bonds():
-    loops = [np.array([[5, 25]])] * 30
-    at = rouse(30, loops, 1, k=0.2, loop_force=1.0, diffusion=0.001, start=300, each=20)
-    apart = np.linalg.norm(at[:, 5] - at[:, 25], axis=1).mean()
-    free = rouse(30, [np.zeros((0, 2), int)] * 30, 1, k=0.2, diffusion=0.001, start=300, each=20)
-    assert at.shape == (30, 30, 3) and np.isfinite(at).all() and apart < np.linalg.norm(free[:, 5] - free[:, 25], axis=1).mean()
-
-
-def test_simulations_as_tables(spark):
-    small = Extrusion(beads=30, extruders=2, bound=30, unbound=2, held=30, rate=0.5)
-    runs = simulation.run_ids(spark, 3)
-    legs = simulation.simulate_extrusion(runs, small, 20)
-    assert legs.where("left >= right").count() == 0 and legs.select("run_id").distinct().count() == 3
-    at = simulation.simulate_polymer(runs, small, 4, start=20, each=2)
-    assert at.count() == 3 * 4 * 30 and at.where("z is null").count() == 0
-
+from spotweave.operators import clustering, naming, ranks, similarity, tracing, voxels
 
 def traces(spark, turn=0.6, noise=0.0):
     rng = np.random.default_rng(1)
