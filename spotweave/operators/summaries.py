@@ -26,7 +26,7 @@ def quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, floa
     size = F.floor(F.signum("v_") * F.log1p(F.abs("v_")) * 64)
     step = F.when(F.isnan("v_"), F.lit(1 << 40)).otherwise(F.greatest(F.lit(-1 << 39), F.least(F.lit(1 << 39), size)))
     rows = df.select(*keys, F.when(v == 0, F.lit(0.0)).otherwise(v).alias("v_")).where("v_ is not null")
-    rows = rows.select("*", F.lit("").alias("of_"), step.cast("long").alias("step_"), F.lit(0).cast("long").alias("start_"), F.lit(None).cast("long").alias("total_"))
+    rows = stage(rows.select("*", F.lit("").alias("of_"), step.cast("long").alias("step_"), F.lit(0).cast("long").alias("start_"), F.lit(None).cast("long").alias("total_")), "quantile-values")
     at = {q: (F.col("total_") - 1) * float(s) for q, s in shares.items()}
     places = F.array(*[end(at[q]).cast("long") for q in shares for end in (F.floor, F.ceil)])
     range_ = Window.partitionBy(*keys, "of_", "step_").orderBy("v_")
