@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,10 +48,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut, nothing is computed twice,
-    and a lost executor costs no more than reading again. Removed when the application ends."""
+    and a lost executor costs no more than reading again. What was shuffled to write it is deleted as soon as it is written; it
+    is removed itself when the application ends."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out
@@ -107,15 +109,22 @@ def _release_at_exit() -> None:
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
-    """Batches of n rows for what is executed inside: for rows that are large, as a batch is bounded by rows alone."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session's setting for what is executed inside."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def arrow_rows(spark: SparkSession, n: int) -> AbstractContextManager[None]:
+    """Batches of n rows for what is executed inside: for rows that are large, as a batch is bounded by rows alone."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
 
 
 def limit_batches(spark: SparkSession, n: int = 2000) -> None:
