@@ -330,9 +330,10 @@ def assembled(parts: DataFrame, keys: list[str]) -> DataFrame:
     return row.select(*keys, "lo", "hi", whole("lo", "hi", "parts_").alias("voxels"))
 
 
-def rechunked(pieces: DataFrame, chunks: tuple[int, ...], shape: tuple[int, ...]) -> DataFrame:
+def rechunked(pieces: DataFrame, chunks: tuple[int, ...], shape: tuple[int, ...], halo: tuple[int, ...] | None = None) -> DataFrame:
     """Pieces of any size (field, start, shape, voxels) of arrays of the given shape as whole chunks: each is cut where chunks
-    meet, and the cuts of a chunk are put together. Pieces must not overlap; what none holds is 0."""
+    meet, and the cuts of a chunk are put together. Pieces must not overlap; what none holds is 0. With a halo, chunks reach so many
+    voxels into their neighbours, as far as the array goes, and `core` is where they start without it: only borders travel twice."""
 
     @F.pandas_udf("array<double>")
     def cut(start: pd.Series, size: pd.Series, voxels: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.Series:
@@ -342,15 +343,15 @@ def rechunked(pieces: DataFrame, chunks: tuple[int, ...], shape: tuple[int, ...]
             out.append(np.asarray(v).reshape(tuple(n))[inside].ravel())
         return pd.Series(out, dtype=object)
 
-    axes = range(len(chunks))
+    axes, more = range(len(chunks)), halo or (0,) * len(chunks)
     each = lambda f: F.array(*[f(i) for i in axes]).cast("array<int>")
-    met = cells(pieces.withColumn("hi", F.zip_with("start", "shape", lambda a, n: a + n)), chunks, "start")
-    met = met.withColumn("lo_", each(lambda i: F.greatest(F.col("start")[i], F.col("chunk")[i] * chunks[i]))).withColumn("hi_", each(lambda i: F.least(F.col("hi")[i], (F.col("chunk")[i] + 1) * chunks[i])))
-    parts = met.select(
-        "field", each(lambda i: F.col("chunk")[i] * chunks[i]).alias("lo"), each(lambda i: F.least((F.col("chunk")[i] + 1) * chunks[i], F.lit(shape[i]))).alias("hi"),
-        F.col("lo_").alias("start"), F.zip_with("hi_", "lo_", lambda b, a: b - a).alias("shape"), cut("start", "shape", "voxels", "lo_", "hi_").alias("voxels"),
-    )
-    return assembled(parts, ["field"]).select("field", F.col("lo").alias("start"), F.zip_with("hi", "lo", lambda b, a: b - a).alias("shape"), "voxels")
+    reach = pieces.withColumn("from_", each(lambda i: F.greatest(F.col("start")[i] - more[i], F.lit(0)))).withColumn("to_", each(lambda i: F.least(F.col("start")[i] + F.col("shape")[i] + more[i], F.lit(shape[i]))))
+    met = cells(reach, chunks, "from_", "to_")
+    met = met.withColumn("lo", each(lambda i: F.greatest(F.col("chunk")[i] * chunks[i] - more[i], F.lit(0)))).withColumn("hi", each(lambda i: F.least((F.col("chunk")[i] + 1) * chunks[i] + more[i], F.lit(shape[i]))))
+    met = met.withColumn("lo_", each(lambda i: F.greatest(F.col("start")[i], F.col("lo")[i]))).withColumn("hi_", each(lambda i: F.least(F.col("start")[i] + F.col("shape")[i], F.col("hi")[i])))
+    parts = met.select("field", each(lambda i: F.col("chunk")[i] * chunks[i]).alias("core"), "lo", "hi", F.col("lo_").alias("start"), F.zip_with("hi_", "lo_", lambda b, a: b - a).alias("shape"), cut("start", "shape", "voxels", "lo_", "hi_").alias("voxels"))
+    whole = assembled(parts, ["field", "core"])
+    return whole.select("field", F.col("lo").alias("start"), F.zip_with("hi", "lo", lambda b, a: b - a).alias("shape"), "voxels", *(["core"] if halo else []))
 
 
 def cut_boxes(boxes: DataFrame, path: str, keys: list[str]) -> DataFrame:
