@@ -6,68 +6,86 @@ import numpy as np
 
 FIT_COLUMNS = ("BG", "A", "z_px", "y_px", "x_px", "sigma_z", "sigma_xy")
 NO_FIT = (-1.0,) * len(FIT_COLUMNS)
+BLOCK = 1 << 16  # voxels that are fitted as one array
 
 
-def gaussian(p: np.ndarray, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Values and Jacobian of the spot model at grid (3, n). The model divides squared distances by (2 sigma) ** 2,
-    which the thresholds of quality control rest on."""
-    level, height, widths = p[0], p[1], np.array([p[5], p[6], p[6]])
-    off = grid - p[2:5, None]
-    u = off / (2 * widths[:, None])
-    bell = np.exp(-(u**2).sum(axis=0))
-    by_centre = height * bell * u / widths[:, None]
-    by_width = height * bell * 2 * u**2 / widths[:, None]
-    jac = np.stack([np.ones_like(bell), bell, *by_centre, by_width[0], by_width[1] + by_width[2]], axis=1)
-    return level + height * bell, jac
+def gaussians(p: np.ndarray, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values (spots, n) and Jacobians (spots, 7, n) of the spot model at grid (3, n) for parameters (spots, 7). The model divides squared
+    distances by (2 sigma) ** 2, which the thresholds of quality control rest on."""
+    level, height, widths = p[:, 0, None], p[:, 1, None, None], p[:, [5, 6, 6], None]
+    u = (grid[None] - p[:, 2:5, None]) / (2 * widths)
+    bell = np.exp(-(u**2).sum(axis=1))
+    lifted = height * bell[:, None]
+    by_centre, by_width = lifted * u / widths, lifted * 2 * u**2 / widths
+    jac = np.stack([np.ones_like(bell), bell, *by_centre.transpose(1, 0, 2), by_width[:, 0], by_width[:, 1] + by_width[:, 2]], axis=1)
+    return level + height[:, 0] * bell, jac
 
 
-def fit_gaussian(voxels: np.ndarray, sigma: float = 1.0, center: str | tuple | None = "max", method: str = "LS", rounds: int = 200) -> tuple[float, ...]:
-    """FIT_COLUMNS of the spot in a 3-d array by damped Gauss-Newton steps, for squared errors (LS) or the Poisson
-    deviance (MLE). center starts the search: "max", three coordinates, or the middle for None. An array of zeros only, or of
-    other than three dimensions, has no fit: -1 throughout."""
-    data = np.asarray(voxels, float)
-    if data.ndim != 3 or not data.size or not data.any():
-        return NO_FIT
+def fit_gaussians(data: np.ndarray, sigma: float = 1.0, center: str | tuple | None = "max", method: str = "LS", rounds: int = 200) -> np.ndarray:
+    """FIT_COLUMNS of the spots in volumes (spots, z, y, x) by damped Gauss-Newton steps, for squared errors (LS) or the Poisson
+    deviance (MLE), all volumes in one array; those that have converged leave it. center starts the search: "max", three coordinates, or the
+    middle for None. A volume of zeros only has no fit: -1 throughout."""
     if method not in ("LS", "MLE"):
         raise ValueError(f"no such method: {method}")
+    size = max(1, BLOCK // max(1, int(np.prod(data.shape[1:]))))
+    if len(data) > size:  # what is worked at once stays in the cache
+        return np.concatenate([fit_gaussians(data[i : i + size], sigma, center, method, rounds) for i in range(0, len(data), size)])
+    shape, all_y = data.shape[1:], data.reshape(len(data), -1).astype(float)
+    out = np.full((len(data), len(FIT_COLUMNS)), -1.0)
+    active = np.flatnonzero(all_y.any(axis=1)) if all_y.size else np.zeros(0, int)
+    if not len(active):
+        return out
+    y, grid = all_y[active], np.indices(shape).reshape(3, -1).astype(float)
     if center is None:
-        center = [s // 2 for s in data.shape]
+        start = np.tile([s // 2 for s in shape], (len(y), 1))
     elif isinstance(center, str):
-        center = np.unravel_index(int(data.argmax()), data.shape)
-    grid, y = np.indices(data.shape).reshape(3, -1).astype(float), data.ravel()
-    p = np.array([y.min(), y.max(), *center, sigma, sigma], float)
+        start = np.stack(np.unravel_index(y.argmax(axis=1), shape), axis=1)
+    else:
+        start = np.tile(center, (len(y), 1))
+    p = np.column_stack([y.min(axis=1), y.max(axis=1), start, np.full((len(y), 2), sigma)]).astype(float)
 
-    def cost(f: np.ndarray) -> float:
+    def cost(f: np.ndarray, y: np.ndarray) -> np.ndarray:
         if method == "LS":
-            return float(((f - y) ** 2).sum())
-        if (f <= 0).any():
-            return np.inf
-        seen = y > 0
-        return float(2 * (f - y).sum() - 2 * (y[seen] * np.log(f[seen] / y[seen])).sum())
+            return ((f - y) ** 2).sum(axis=1)
+        terms = np.where(y > 0, y * np.log(np.where(f > 0, f, 1) / np.where(y > 0, y, 1)), 0)
+        return np.where((f <= 0).any(axis=1), np.inf, 2 * (f - y).sum(axis=1) - 2 * terms.sum(axis=1))
 
     if method == "MLE":
-        p[0] = max(p[0], 1e-6)
-    f, jac = gaussian(p, grid)
-    best, damp = cost(f), 1e-3
+        p[:, 0] = np.maximum(p[:, 0], 1e-6)
+    f, jac = gaussians(p, grid)
+    best, damp = cost(f, y), np.full(len(y), 1e-3)
+    place = np.arange(p.shape[1])
     for _ in range(rounds):
-        if method == "LS":
-            slope, curve = jac.T @ (f - y), jac.T @ jac
-        else:
-            slope, curve = jac.T @ (1 - y / f), (jac * (y / f**2)[:, None]).T @ jac
-        step = np.linalg.lstsq(curve + damp * np.diag(np.diag(curve) + 1e-12), -slope, rcond=None)[0]
-        q = p + step
+        weighted = jac if method == "LS" else jac * (y / f**2)[:, None]
+        slope = (jac @ (f - y if method == "LS" else 1 - y / f)[:, :, None])[:, :, 0]
+        curve = weighted @ jac.transpose(0, 2, 1)
+        diagonal = curve[:, place, place]
+        curve[:, place, place] += damp[:, None] * (diagonal + 1e-12)
+        q = p - (np.linalg.pinv(curve, rcond=1e-15 * len(place), hermitian=True) @ slope[:, :, None])[:, :, 0]
         with np.errstate(all="ignore"):
-            g, next_jac = gaussian(q, grid)
-            tried = cost(g) if np.isfinite(g).all() and np.isfinite(next_jac).all() else np.inf
-        if tried < best:
-            gain, p, f, jac, best, damp = best - tried, q, g, next_jac, tried, max(damp / 10, 1e-12)
-            if gain <= 1e-12 * (best + 1e-12):
-                break
-        else:
-            damp *= 10
-            if damp > 1e12:
-                break
-    return tuple(float(v) for v in p)
+            g, next_jac = gaussians(q, grid)
+            fine = np.isfinite(g).all(axis=1) & np.isfinite(next_jac).all(axis=(1, 2))
+            tried = np.where(fine, cost(np.where(fine[:, None], g, 1.0), y), np.inf)
+        better = tried < best
+        gain = np.where(better, best - tried, np.inf)
+        p[better], f[better], jac[better], best[better] = q[better], g[better], next_jac[better], tried[better]
+        damp = np.where(better, np.maximum(damp / 10, 1e-12), damp * 10)
+        done = (gain <= 1e-12 * (best + 1e-12)) | (damp > 1e12)
+        if done.any():
+            out[active[done]] = p[done]
+            active, y, p, f, jac, best, damp = (x[~done] for x in (active, y, p, f, jac, best, damp))
+        if not len(active):
+            break
+    out[active] = p
+    return out
+
+
+def fit_gaussian(voxels: np.ndarray, sigma: float = 1.0, center: str | tuple | None = "max", method: str = "LS", rounds: int = 200) -> tuple[float, ...]:
+    """FIT_COLUMNS of the spot in one array; of zeros only, or of other than three dimensions, it has no fit: -1 throughout."""
+    data = np.asarray(voxels, float)
+    if method not in ("LS", "MLE"):
+        raise ValueError(f"no such method: {method}")
+    return NO_FIT if data.ndim != 3 or not data.size else tuple(fit_gaussians(data[None], sigma, center, method, rounds)[0].tolist())
 
 
 def phase_shift(reference: np.ndarray, moving: np.ndarray, downsample: int = 1) -> tuple[int, ...]:

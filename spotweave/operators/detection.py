@@ -44,12 +44,16 @@ def bead_regions(images: DataFrame, keys: list[str], threshold: float, *, sigma:
     return _regions_of(images, keys, lambda image: detection.regions(detection.labelled(detection.smoothed(image, sigma) > threshold), image), rows)
 
 
-def nuclei(images: DataFrame, keys: list[str], *, sigma: float = 2.0, rows: int = 4) -> DataFrame:
-    """keys and one row for each nucleus, by a threshold that the blurred image gives itself (part of K11: no learned models)."""
+def nuclei(images: DataFrame, keys: list[str], *, sigma: float = 2.0, threshold: float | None = None, least_area: int = 1, split: bool = False, prominence: float = 1.0, rows: int = 4) -> DataFrame:
+    """keys and one row for each nucleus (K11, without learned models): the parts above a threshold, which the blurred image gives itself
+    where none is given, with what they enclose, of least_area pixels or more. With split, touching nuclei are parted by their depth."""
 
     def found(image: np.ndarray) -> list[dict]:
         blurred = detection.smoothed(image, sigma)
-        return detection.regions(detection.labelled(blurred > detection.otsu(blurred)), image)
+        mask = detection.without_holes(blurred > (detection.otsu(blurred) if threshold is None else threshold))
+        whole = detection.labelled(mask)
+        mask &= np.bincount(whole.ravel())[whole] >= least_area
+        return detection.regions(detection.basins(mask, prominence) if split else detection.labelled(mask), image)
 
     return _regions_of(images, keys, found, rows)
 

@@ -3,6 +3,7 @@ is worked by itself, in Arrow batches, so nothing is shuffled but for the pairs
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,18 +18,20 @@ FIT = ", ".join(f"{c} double" for c in kernels.FIT_COLUMNS)
 
 
 def fit_spots(df: DataFrame, voxels: str = "voxels", shape: str = "shape", *, sigma: float = 1.0, center: str | None = "max", method: str = "LS", rows: int = 200) -> DataFrame:
-    """df without its voxels and with the fitted columns; null, misshapen or all-zero voxels give -1 throughout (K6, K7)."""
+    """df without its voxels and with the fitted columns; null, misshapen or all-zero voxels give -1 throughout (K6, K7). The volumes
+    of an Arrow batch that are alike in shape are fitted as one array."""
     limit_batches(df.sparkSession, rows)
 
-    def one(v: np.ndarray | None, s: np.ndarray | None) -> tuple[float, ...]:
-        if v is None or s is None or len(s) != 3 or len(v) != int(np.prod(s)):
-            return kernels.NO_FIT
-        return kernels.fit_gaussian(np.asarray(v, float).reshape(tuple(s)), sigma, center, method)
-
     @F.pandas_udf(FIT)
     def fitted(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for vs, ss in batches:
-            yield pd.DataFrame([one(v, s) for v, s in zip(vs, ss, strict=True)], columns=list(kernels.FIT_COLUMNS))
+            out, alike = np.full((len(vs), len(kernels.FIT_COLUMNS)), -1.0), defaultdict(list)
+            for i, (v, s) in enumerate(zip(vs, ss, strict=True)):
+                if v is not None and s is not None and len(s) == 3 and len(v) == int(np.prod(s)):
+                    alike[tuple(int(n) for n in s)].append(i)
+            for size, at in alike.items():
+                out[at] = kernels.fit_gaussians(np.stack([np.asarray(vs.iloc[i], float) for i in at]).reshape(len(at), *size), sigma, center, method)
+            yield pd.DataFrame(out, columns=list(kernels.FIT_COLUMNS))
 
     kept = [c for c in df.columns if c not in (voxels, shape, *kernels.FIT_COLUMNS)]
     return df.select(*kept, fitted(voxels, shape).alias("fit")).select(*kept, "fit.*")

@@ -9,7 +9,7 @@ TRUE = (10.0, 90.0, 7.3, 15.6, 16.2, 1.4, 2.1)
 
 def spot():
     grid = np.indices((16, 32, 32)).reshape(3, -1).astype(float)
-    return kernels.gaussian(np.array(TRUE), grid)[0].reshape(16, 32, 32)
+    return kernels.gaussians(np.array([TRUE]), grid)[0].reshape(16, 32, 32)
 
 
 @pytest.mark.parametrize("method", ["LS", "MLE"])
@@ -23,7 +23,8 @@ def test_jacobian_equals_differences():
     grid = np.indices((4, 5, 6)).reshape(3, -1).astype(float)
     p = np.array([1.0, 5, 2, 2.5, 3, 1.2, 1.7])
     for i, h in enumerate(np.eye(7) * 1e-6):
-        assert np.allclose((kernels.gaussian(p + h, grid)[0] - kernels.gaussian(p - h, grid)[0]) / 2e-6, kernels.gaussian(p, grid)[1][:, i], atol=1e-5)
+        values = kernels.gaussians(np.array([p + h, p - h]), grid)[0]
+        assert np.allclose((values[0] - values[1]) / 2e-6, kernels.gaussians(p[None], grid)[1][0, i], atol=1e-5)
 
 
 def test_no_fit():
