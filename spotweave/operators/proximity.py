@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from spotweave.operators.checks import require_found, require_unique
 from spotweave.operators.geometry import AXES, distance
+from spotweave.runtime import stage
 
 POINT = [f"{a}c" for a in AXES]
 Scale = tuple[float, float, float]
@@ -39,10 +40,12 @@ def group_pairs(df: DataFrame, group: list[str], order: str, keep: list[str], sc
     return a.join(b, on & (F.col(f"{order}_1") < F.col(f"{order}_2"))).withColumn("distance", distance(_points("_1"), _points("_2"), scale))
 
 
-def near_pairs(left: DataFrame, right: DataFrame, group: list[str], threshold: float, keep: list[str], scale: Scale = (1.0, 1.0, 1.0), where: Column | None = None) -> DataFrame:
+def near_pairs(left: DataFrame, right: DataFrame, group: list[str], threshold: float, keep: list[str], scale: Scale = (1.0, 1.0, 1.0), where: Column | None = None, *, most: int = 4096) -> DataFrame:
     """Pairs (suffixes _1 of left, _2 of right) of the same group that are closer than threshold.
 
-    Null or NaN coordinates are near to nothing."""
+    A cell with over `most` points of left is dealt out: its points are cut into shares of about `most` rows, as are those that meet it from
+    right, and every two shares are a key of their own, so that no task compares more than most * most pairs of a cell. Cells
+    are counted first, by a job of its own. Null or NaN coordinates are near to nothing."""
     cols = list(dict.fromkeys([*group, *keep, *POINT]))
     width = float(threshold) if threshold > 0 else 1.0
     cell = lambda c, s: F.floor(F.col(c) * float(s) / width)
@@ -52,14 +55,35 @@ def near_pairs(left: DataFrame, right: DataFrame, group: list[str], threshold: f
     for c, s in zip(POINT, scale, strict=True):
         a = a.withColumn(f"cell_{c}", cell(f"{c}_1", s))
         b = b.withColumn(f"cell_{c}", F.explode(F.array(*[cell(f"{c}_2", s) + F.lit(k) for k in (-1, 0, 1)])))
+    cells = [f"cell_{c}" for c in POINT]
+    heavy = _shares(a, b, group, cells, most) if threshold > 0 else None
+    if heavy is not None:
+        own, other = [F.coalesce(F.col(f"shares_{i}"), F.lit(1)) for i in (1, 2)]
+        deal = lambda df, i, n: F.pmod(F.xxhash64(*[c for c in df.columns if c.endswith(f"_{i}")]), n).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        at = lambda df, i: df.join(heavy.withColumnsRenamed({g: f"{g}_{i}" for g in group}), [*[f"{g}_{i}" for g in group], *cells], "left")
+        a = at(a, 1).withColumn("share_a", deal(a, 1, own)).withColumn("share_b", every(other)).drop("shares_1", "shares_2")
+        b = at(b, 2).withColumn("share_b", deal(b, 2, other)).withColumn("share_a", every(own)).drop("shares_1", "shares_2")
+        cells = [*cells, "share_a", "share_b"]
     on = reduce(lambda p, q: p & q, [F.col(f"{g}_1") == F.col(f"{g}_2") for g in group])
-    b = b.withColumnsRenamed({f"cell_{c}": f"near_{c}" for c in POINT})
-    on = reduce(lambda p, q: p & q, [F.col(f"cell_{c}") == F.col(f"near_{c}") for c in POINT], on)
+    b = b.withColumnsRenamed({c: f"near_{c}" for c in cells})
+    on = reduce(lambda p, q: p & q, [F.col(c) == F.col(f"near_{c}") for c in cells], on)
     found = a.join(b, on).withColumn("distance", distance(_points("_1"), _points("_2"), scale)).where(F.col("distance") < threshold)
-    found = found.drop(*[f"{p}_{c}" for p in ("cell", "near") for c in POINT])
+    found = found.drop(*cells, *[f"near_{c}" for c in cells])
     return found if where is None else found.where(where)
 
 
+def _shares(a: DataFrame, b: DataFrame, group: list[str], cells: list[str], most: int) -> DataFrame | None:
+    """group, cells and the numbers of shares of the cells where over `most` points of a lie; None without such cells."""
+    plain = lambda df, i: df.select(*[F.col(f"{g}_{i}").alias(g) for g in group], *cells).groupBy(*group, *cells).agg(F.count("*").alias("n"))
+    heavy = stage(plain(a, 1).where(F.col("n") > most).select(*group, *cells, F.ceil(F.col("n") / most).cast("int").alias("shares_1")), "heavy-cells")
+    if heavy.isEmpty():
+        return None
+    names = [*group, *cells]
+    met = b.join(heavy.select(*[F.col(g).alias(f"{g}_2") for g in group], *cells), [*[f"{g}_2" for g in group], *cells], "left_semi")
+    return stage(heavy.join(plain(met, 2), names, "left").select(*names, "shares_1", F.ceil(F.coalesce("n", F.lit(1)) / most).cast("int").alias("shares_2")), "heavy-cells")
+
+
 def neighbour_sets(pairs: DataFrame, key: str, name: str) -> DataFrame:
     """For each member of a pair its partners, sorted (symmetric)."""
     both = pairs.select(F.col(f"{key}_1").alias(key), F.col(f"{key}_2").alias("o")).union(pairs.select(f"{key}_2", f"{key}_1"))

@@ -62,12 +62,27 @@ def assign_traces(rois: DataFrame, groups: dict[str, list[int]], threshold: floa
     decided = stage(summary.withColumn("outcome", outcome).withColumn("has_all", complete), "trace-decisions")
     emitted = numbered(decided.where("outcome = 'emit'"), "component", rois, "roi_id")
     rows = emitted.select(F.explode("ids").alias("roi_id"), F.col("number").alias("trace_id"), F.try_element_at("names", F.lit(1)).alias("trace_group"), "ids", "n", "has_all")
+    if validate and not emitted.join(rois.select(F.col("roi_id").alias("number")), "number", "left_semi").isEmpty():
+        raise ValueError("a trace id is the id of a roi already")  # T10
     partners = F.array_except("ids", F.array("roi_id"))
     assigned = rows.select("roi_id", "trace_id", "trace_group", partners.alias("trace_partners"), F.when(F.col("trace_group").isNotNull(), F.coalesce("has_all", F.lit(False)) & (F.col("n") > 1)).alias("has_all_partners"))
-    skipped = decided.where("outcome in ('collision', 'ambiguity')").select(F.explode("ids").alias("roi_id"), F.col("outcome").alias("reason"))
+    skipped = decided.where("outcome in ('collision', 'ambiguity')").select(F.explode("ids").alias("roi_id"), F.col("outcome").alias("reason"), "component", "times", "names")
     return assigned, skipped
 
 
+def skip_records(skipped: DataFrame, rois: DataFrame) -> DataFrame:
+    """What was skipped as the records of its file, in the order of the rois: for an ambiguity the roi, its times and the groups that hold
+    them; for a collision its rois, and those of each repeated time. Fields of the other kind are null."""
+    timed = skipped.where("reason = 'collision'").join(rois.select("roi_id", "timepoint"), "roi_id")
+    each = timed.groupBy("component", "timepoint").agg(F.array_sort(F.collect_list("roi_id")).alias("ids"))
+    repeats = F.map_from_entries(F.array_sort(F.collect_list(F.when(F.size("ids") > 1, F.struct(F.col("timepoint").cast("string"), F.col("ids"))))))
+    none = F.lit(None)
+    collisions = each.groupBy("component").agg(F.array_sort(F.flatten(F.collect_list("ids"))).alias("roiIds"), repeats.alias("repeats"))
+    return skipped.where("reason = 'ambiguity'").select("component", F.col("roi_id").alias("roiId"), F.col("times").alias("groupTimes"), F.col("names").alias("groupIds"), none.cast("array<bigint>").alias("roiIds"), none.cast("map<string,array<bigint>>").alias("repeats")).unionByName(
+        collisions.select("component", none.cast("bigint").alias("roiId"), none.cast("array<int>").alias("groupTimes"), none.cast("array<string>").alias("groupIds"), "roiIds", "repeats")
+    )
+
+
 def with_groups(observed: DataFrame, groups: dict[str, list[int]]) -> DataFrame:
     """observed with names (sorted) and sizes of all groups that hold all of its `times`; more than one is an ambiguity."""
     table = F.array(*[F.struct(F.lit(k).alias("name"), F.array(*[F.lit(t) for t in sorted(set(v))]).alias("members")) for k, v in sorted(groups.items())])

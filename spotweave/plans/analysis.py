@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spotweave.operators import clustering, detection, images, pixels, proximity, shape, similarity, traces, tracing, voxels
+from spotweave.operators import clustering, density, detection, images, pixels, proximity, shape, similarity, traces, tracing, voxels
 from spotweave.operators.geometry import AXES
 from spotweave.plans import adapters as ad
 from spotweave.plans.registry import D, SCALE, query, r6, trace_pairs, trace_points
@@ -330,6 +330,26 @@ def trace_clusters(spark, sf):
     return clustering.clusters(folded_maps(spark, sf), 3)
 
 
+_NEAR = f"WITH RECURSIVE {ad.ROI_SQL}, near AS (SELECT a.roi_id AS src, b.roi_id AS dst, {D} AS d FROM roi a JOIN roi b ON a.fov = b.fov AND a.roi_id <> b.roi_id AND {D} < 24)"
+
+
+@query(f"""{_NEAR}, core AS (SELECT roi_id FROM roi LEFT JOIN (SELECT src, count(*) AS n FROM near GROUP BY 1) ON src = roi_id WHERE coalesce(n, 0) + 1 >= 4),
+inner_ AS (SELECT src, dst FROM near WHERE src IN (FROM core) AND dst IN (FROM core)), reach(node, other) AS (SELECT roi_id, roi_id FROM core UNION SELECT r.node, i.dst FROM reach r JOIN inner_ i ON i.src = r.other),
+named AS (SELECT node, min(other) AS cluster FROM reach GROUP BY 1), border AS (SELECT src, min(struct_pack(d := d, dst := dst)) AS best FROM near WHERE dst IN (FROM core) AND src NOT IN (FROM core) GROUP BY 1)
+SELECT roi_id, coalesce(a.cluster, c.cluster) AS cluster, a.cluster IS NOT NULL AS core FROM roi LEFT JOIN named a ON a.node = roi_id LEFT JOIN border ON src = roi_id LEFT JOIN named c ON c.node = best.dst""")
+def density_clusters(spark, sf):
+    """K18 by density: points with three others closer than 24 in their field of view are cores."""
+    return density.density_clusters(ad.roi(spark, sf), ["fov"], 24.0, 4, SCALE)
+
+
+@query(f"""{_NEAR}, low AS (SELECT src, dst FROM near WHERE d < 12), reach(node, other) AS (SELECT roi_id, roi_id FROM roi UNION SELECT r.node, l.dst FROM reach r JOIN low l ON l.src = r.other)
+SELECT node AS roi_id, min(other) AS cluster FROM reach GROUP BY 1""")
+def linkage_clusters(spark, sf):
+    """K18 from below: what single linkage joins at a height of 12, from the spanning forest of the pairs closer than 24."""
+    rois = ad.roi(spark, sf)
+    return density.linked_at(rois, density.spanning_forest(density.near_edges(rois, ["fov"], 24.0, SCALE)), 12.0)
+
+
 _BRIGHT = "CAST(embedding[i + 1] AS DOUBLE) + CASE WHEN i = 21 THEN 60 WHEN i IN (20, 22, 17, 25, 5, 37) THEN 30 ELSE 10 END"
 
 

@@ -101,18 +101,23 @@ def filter_rois_by_proximity(spark: SparkSession, *, configuration: str, spots_f
     write(raw(gone).select(*_roi_columns("too_close")), discards_file, [spots_file, drift_file, keepers_file], overwrite)
 
 
+def bead_rows(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    """bead_id, the coordinates, and the field of view and timepoint that the names of the files give."""
+    rows = tables.read_typed(spark, f"{folder.rstrip('/')}/{glob}", "beadIndex long, zc double, yc double, xc double").withColumn("name", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    part = lambda i: F.regexp_extract("name", folders.BEADS, i).cast("int")
+    return rows.select(F.col("beadIndex").alias("bead_id"), part(1).alias("fov"), part(2).alias("timepoint"), *[f"{a}c" for a in AXES])
+
+
 @program
 def filter_spots_by_beads(spark: SparkSession, *, spots_folder: str, beads_folder: str, drift_file: str, output_file: str, distance_threshold: str, spotless_timepoint: str, pixels: str, overwrite: bool = False) -> None:
     """Spots of all fields of view that are not near a bead of one blank timepoint."""
     time = int(spotless_timepoint)
-    spot_paths = [r.path for r in folders.spot_files(folders.listed(spark, spots_folder, "*.csv")).collect()]  # a file for each field of view
-    bead_paths = [(r.path, r.fov) for r in folders.bead_files(folders.listed(spark, beads_folder, "*.csv")).where(F.col("timepoint") == time).collect()]
-    if not spot_paths or not bead_paths:
+    bead_files = folders.bead_files(folders.listed(spark, beads_folder, "*.csv")).where(F.col("timepoint") == time)
+    if folders.spot_files(folders.listed(spark, spots_folder, "*.csv")).isEmpty() or bead_files.isEmpty():
         raise ValueError("no files of spots or of beads")
     drift = read(spark, drift_file, DRIFT).drop("fov_name")
-    union = lambda parts: reduce(DataFrame.unionByName, parts)
-    spots = union([read(spark, p, ROI) for p in spot_paths])
-    points = union([tables.read_typed(spark, p, "beadIndex long, zc double, yc double, xc double").withColumnsRenamed({"beadIndex": "bead_id"}).withColumns({"fov": F.lit(fov), "timepoint": F.lit(time)}) for p, fov in bead_paths])
+    spots = read(spark, f"{spots_folder.rstrip('/')}/P*_rois.csv", ROI)
+    points = bead_rows(spark, beads_folder, f"bead_rois__*_{time}.csv").where(F.col("timepoint") == time)
     shifted = lambda df: drifts.shift_centre(drifts.with_drift(df, drift))
     keep, _ = proximity.spot_bead_filter(shifted(spots), shifted(points), float(distance_threshold), scale_of(pixels))
     write(keep.withColumns({f"{a}c": F.col(f"{a}c_raw") for a in AXES}).select(*_roi_columns()), output_file, [drift_file], overwrite)
@@ -120,17 +125,18 @@ def filter_spots_by_beads(spark: SparkSession, *, spots_folder: str, beads_folde
 
 @program
 def assign_trace_ids(spark: SparkSession, *, configuration: str, rois_file: str, pixels: str, output_file: str, skips_file: str, overwrite: bool = False) -> None:
-    """Rois with their trace, group and partners, and what was skipped with the reason."""
+    """Rois with their trace, group and partners, and a JSON array of what was skipped."""
     rules = read_configuration(spark, configuration).merge_rules
     rois = read(spark, rois_file, ROI)
     if rules is None:
         rows = traces.assign_without_rules(rois).select("roi_id", "trace_id").withColumns({"trace_group": F.lit(""), "trace_partners": F.lit(""), "has_all_partners": F.lit("")})
-        skips = rois.where("false").select("roi_id", F.lit("").alias("reason"))
+        skips = rois.where("false").select(F.col("roi_id").alias("order_"), "timepoint")
     else:
-        found, skips = traces.assign_traces(rois, {k: list(v) for k, v in rules.groups.items()}, rules.distance_threshold, rules.requirement.lower(), rules.discard_others, scale_of(pixels))
+        found, skipped = traces.assign_traces(rois, {k: list(v) for k, v in rules.groups.items()}, rules.distance_threshold, rules.requirement.lower(), rules.discard_others, scale_of(pixels))
         rows = found.withColumns({"trace_partners": naming.int_set_cell(F.col("trace_partners")), "has_all_partners": F.coalesce(F.col("has_all_partners").cast("int").cast("string"), F.lit(""))})
+        skips = traces.skip_records(skipped, rois).select(F.struct("component", "roiId").alias("order_"), "roiId", "groupTimes", "groupIds", "roiIds", "repeats")
     write(rois.join(rows, "roi_id").select(*_roi_columns("trace_group", "trace_id", "trace_partners", "has_all_partners")).orderBy("roi_id"), output_file, [rois_file, skips_file], overwrite)
-    tables.write_json(skips.orderBy("roi_id"), skips_file, overwrite)
+    tables.write_json_array(skips, skips_file, "order_", overwrite=overwrite)
 
 
 QC = TRACE + ", roiId long, " + ", ".join(f"{c} double" for c in ("ref_dist", "A", "BG", "sigma_xy", "sigma_z", "spot_box_z", "spot_box_y", "spot_box_x", "z_px", "y_px", "x_px"))
@@ -161,10 +167,11 @@ def label_and_filter_locus_spots(spark: SparkSession, *, configuration: str, tra
     ranked = ranks.rank_in_region(ranked, {k: list(v) for k, v in known.locus_grouping.items()} or None, [r.time for r in known.rounds], "timeIndex")
     points = ["traceIndex", "regionIndex", "timeIndex", *[F.col(f"{a}_px").alias(a) for a in AXES]]
     head = [F.col("ref_timepoint").alias("regionTime"), "traceId", F.col("timepoint").alias("locusTime")]
-    where = naming.viewing_key(F.col("fieldOfView"), F.col("group_")).alias("view")
+    view = naming.viewing_key(F.col("fieldOfView"), F.col("group_"))
     for kind, extra in (("pass", []), ("fail", ["failCode"])):
-        part = ranked.where(F.col("display") == kind).select(where, *head, *points, *extra)
-        tables.write_table(part, f"{points_folder}/qc_{kind}", overwrite=overwrite, by="view")
+        part = ranked.where(F.col("display") == kind).select(view.alias("view"), *head, *points, *extra)
+        named = F.concat(F.col("view"), F.lit("/"), F.col("view"), F.lit(f".qc{kind}.csv"))
+        tables.write_named(part.withColumn("file", named).drop("view"), points_folder, "file", ["traceId", "regionTime", "locusTime"], overwrite=overwrite)
 
 
 @program
@@ -178,11 +185,13 @@ def locus_pairwise_distances(spark: SparkSession, *, traces_file: str, output_fo
 
 @program
 def region_pairwise_distances(spark: SparkSession, *, rois_file: str, output_folder: str, pixels: str, drift_file: str | None = None, overwrite: bool = False) -> None:
-    """Distances of all pairs of rois of a field of view and channel, in order; drift-corrected where a drift file is given."""
-    rois = read(spark, rois_file, ROI)
+    """Distances of all pairs of rois of a field of view and channel, in order, with the places of both in the input file; drift-corrected
+    where a drift file is given."""
+    place = F.struct(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("row"))
+    rois = read(spark, rois_file, ROI).withColumn("place", place)
     if drift_file:
         rois = drifts.shift_centre(drifts.with_drift(rois, read(spark, drift_file, DRIFT).drop("fov_name")))
-    numbered = ranks.numbered_rows(rois, ["roi_id"], "inputIndex")
+    numbered = ranks.numbered_rows(rois, ["place"], "inputIndex")
     pairs = proximity.group_pairs(numbered, ["fov_name", "channel"], "inputIndex", ["timepoint"], scale_of(pixels))
     out = pairs.select(F.col("fov_name_1").alias("fov_name"), F.col("channel_1").alias("channel"), F.col("timepoint_1").alias("timepoint1"), F.col("timepoint_2").alias("timepoint2"), "distance", F.col("inputIndex_1").alias("inputIndex1"), F.col("inputIndex_2").alias("inputIndex2"))
     write(out.orderBy("fov_name", "channel", "timepoint1", "timepoint2", "distance"), f"{output_folder}/pairwise_distances__regional.csv", [rois_file], overwrite)
@@ -194,20 +203,29 @@ def partition_beads(spark: SparkSession, *, beads_folder: str, num_shifting: str
     with fewer than ten usable beads is severe and has no beads."""
     if int(num_shifting) < 10 or int(num_accuracy) < 1:
         raise ValueError("at least ten beads for shifting and one for accuracy are needed")
-    found = folders.bead_files(folders.listed(spark, beads_folder, "*.filtered.csv"), filtered=True)
-    paths = {r.path: (r.fov, r.timepoint) for r in found.collect()}  # a file for each imaging context
-    if not paths:
+    if folders.bead_files(folders.listed(spark, beads_folder, "*.filtered.csv"), filtered=True).isEmpty():
         raise ValueError(f"no filtered bead files in {beads_folder}")
-    place = F.create_map(*[x for p, (f, t) in paths.items() for x in (F.lit(p.rsplit("/", 1)[-1]), F.struct(F.lit(f).alias("fov"), F.lit(t).alias("timepoint")))])
-    rows = tables.read_typed(spark, f"{beads_folder.rstrip('/')}/*.filtered.csv", "beadIndex long, zc double, yc double, xc double").withColumn("at", F.element_at(place, F.element_at(F.split(F.input_file_name(), "/"), -1)))
-    usable = rows.select(F.col("beadIndex").alias("bead_id"), "at.fov", "at.timepoint", *[f"{a}c" for a in AXES])
+    usable = bead_rows(spark, beads_folder, "bead_rois__*.filtered.csv")
     counts = usable.groupBy("fov", "timepoint").agg(F.count("*").alias("n"))
     sizes = beads.partition_sizes(counts, int(num_shifting), int(num_accuracy), 10)
     tables.write_table(sizes, f"{output_folder}/outcomes.csv", overwrite=overwrite)
     parts = beads.partition_beads(usable, int(num_shifting), int(num_accuracy), 0).where("part is not null").join(sizes.where("outcome <> 'severe'").select("fov", "timepoint"), ["fov", "timepoint"])
     item = F.struct(F.col("bead_id").alias("index"), F.struct(*[f"{a}c" for a in AXES]).alias("centroid")).alias("bead")
     for part in ("shifting", "accuracy"):
-        tables.write_json_arrays(parts.where(F.col("part") == part).select("fov", "timepoint", item), ["fov", "timepoint"], "bead", f"{output_folder}/{part}", overwrite)
+        arrays = parts.where(F.col("part") == part).groupBy("fov", "timepoint").agg(F.to_json(F.sort_array(F.collect_list(item))).alias("value"))  # at most as many as asked for
+        tables.write_named(arrays.select("value", F.format_string("bead_rois__%d_%d.json", "fov", "timepoint").alias("file")), f"{output_folder}/{part}", "file", overwrite=overwrite, kind="text")
+
+
+@program
+def partition_regional_spots(spark: SparkSession, *, spots_files: str, output_folder: str, overwrite: bool = False) -> None:
+    """Each of the files (comma-separated) by field of view: P0001/P0001__NAME, with an index in front."""
+    for file in spots_files.split(","):
+        place = F.struct(F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("row"))
+        rows = tables.read_strings(spark, file).withColumn("place", place)
+        numbered = ranks.rank_within(rows.withColumn("fieldOfView", F.regexp_replace("fieldOfView", r"\.zarr$", "")), ["fieldOfView"], ["place"], "number")
+        named = F.concat("fieldOfView", F.lit("/"), "fieldOfView", F.lit("__" + file.rstrip("/").rsplit("/", 1)[-1]))
+        others = [c for c in rows.columns if c != "place"]
+        tables.write_named(numbered.select(F.col("number").alias("Unnamed: 0"), *others, named.alias("file_")), output_folder, "file_", ["`Unnamed: 0`"], overwrite=overwrite)
 
 
 @program

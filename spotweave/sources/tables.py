@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import posixpath
 import re
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from spotweave.operators.ranks import numbered_rows
+
 SEPARATORS = {"csv": ",", "tsv": "\t"}
 
 
@@ -68,6 +73,57 @@ def write_table(df: DataFrame, path: str, *, source: str | None = None, overwrit
     (out.partitionBy(by) if by else out).csv(path)
 
 
+def write_named(df: DataFrame, folder: str, name: str, order: list[str | Column] = (), *, overwrite: bool = False, kind: str = "csv") -> None:
+    """Files under the names that other programs read: the rows of each value of the column `name` go, without it, to that file of the folder (IO9),
+    headed and delimited, or for kind text the lines of the one column there is. Written in a folder beside, then moved, so that no file is
+    there before all are. A file's rows go through one task, sorted but not gathered; only names reach the driver."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    held = f"{folder.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+    dealt = df.withColumnRenamed(name, "name_").repartition("name_").sortWithinPartitions("name_", *order)
+    if kind == "text":
+        dealt.select("name_", "value").write.partitionBy("name_").text(held)
+    else:
+        dealt.write.partitionBy("name_").option("header", True).csv(held)
+    system = path(held).getFileSystem(conf)
+    moves = []
+    for place in system.listStatus(path(held)):
+        if not place.isDirectory() or not place.getPath().getName().startswith("name_="):
+            continue
+        target = f"{folder.rstrip('/')}/{unquote(place.getPath().getName().removeprefix('name_='))}"
+        parts = [f.getPath() for f in system.listStatus(place.getPath()) if f.getPath().getName().startswith("part-")]
+        if len(parts) != 1:
+            raise ValueError(f"several files for {target}")
+        moves.append((parts[0], path(target)))
+    if not overwrite and (there := [str(t) for _, t in moves if system.exists(t)]):
+        system.delete(path(held), True)
+        raise ValueError(f"files exist: {there[:5]}")
+
+    def move(pair) -> None:
+        system.mkdirs(pair[1].getParent())
+        system.delete(pair[1], False)
+        if not system.rename(*pair):
+            raise ValueError(f"could not write {pair[1]}")
+
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(move, moves))
+    system.delete(path(held), True)
+
+
+def write_json_array(df: DataFrame, path: str, order: str, *, overwrite: bool = False) -> None:
+    """One file with a JSON array of the rows, without the column that gives their order (IO12). Rows are numbered over range partitions; the lines of the file
+    go through one task, as a stream."""
+    rows = numbered_rows(df, [order], "number_")
+    last = rows.agg(F.max("number_")).first()[0]
+    columns = F.struct(*[c for c in df.columns if c != order])
+    lines = rows.select("number_", F.concat(F.when(F.col("number_") == 0, "[").otherwise(","), F.to_json(columns), F.when(F.col("number_") == last, "]").otherwise("")).alias("value"))
+    if last is None:
+        lines = df.sparkSession.createDataFrame([(0, "[]")], "number_ long, value string")
+    folder, _, name = path.rpartition("/")
+    write_named(lines.withColumn("file_", F.lit(name)), folder, "file_", ["number_"], overwrite=overwrite, kind="text")
+
+
 def write_json_arrays(df: DataFrame, keys: list[str], item: str, path: str, overwrite: bool = False) -> None:
     """One file line with a JSON array of `item` for each value of keys (IO12); a key's rows must fit a task, as those of an
     imaging context do."""

@@ -71,3 +71,26 @@ def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert density.density_clusters(none, ["fov"], 1.0, 2).collect() == []
     assert density.spanning_forest(density.near_edges(none, ["fov"], 1.0)).collect() == []
+
+
+def test_all_points_in_one_cell(spark):
+    """Equal pairs, and shares of the cell are dealt over the tasks."""
+    from pyspark.sql import functions as F
+
+    from spotweave.operators.proximity import near_pairs
+
+    r = random.Random(6)
+    rows = [(i, i % 2, *(r.random() for _ in range(3))) for i in range(1200)] + [(5000 + i, 0, 50.0 + 7 * i, 0.0, 0.0) for i in range(50)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    pairs = lambda most: near_pairs(df, df, ["fov"], 5.0, ["roi_id"], where=F.col("roi_id_1") < F.col("roi_id_2"), most=most)
+    ids = ["roi_id_1", "roi_id_2", "distance"]
+    dealt = pairs(40).select(*ids)
+    assert dealt.exceptAll(pairs(10_000).select(*ids)).isEmpty() and dealt.count() == pairs(10_000).count() == 2 * 600 * 599 // 2
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tasks = sorted(t["count"] for t in pairs(40).groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(tasks) == 4 and tasks[-1] <= 2 * tasks[len(tasks) // 2]

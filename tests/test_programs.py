@@ -63,7 +63,8 @@ def test_proximity_and_trace_programs(spark, files):
     short = put("short.csv", ["fieldOfView,timepoint,zDriftCoarsePixels,zDriftFinePixels,yDriftCoarsePixels,yDriftFinePixels,xDriftCoarsePixels,xDriftFinePixels", "P0001,2,0,0,0,0,0,0"])
     with pytest.raises(ValueError, match="no drift"):
         programs.filter_rois_by_proximity(spark, drift_file=short, overwrite=True, **how)
-    programs.assign_trace_ids(spark, configuration=f"{base}/rounds.json", rois_file=f"{base}/rois.csv", pixels=PIXELS, output_file=f"{base}/traces.csv", skips_file=f"{base}/skips")
+    programs.assign_trace_ids(spark, configuration=f"{base}/rounds.json", rois_file=f"{base}/rois.csv", pixels=PIXELS, output_file=f"{base}/traces.csv", skips_file=f"{base}/skips.json")
+    assert json.load(open(f"{base}/skips.json")) == []
     found = rows(f"{base}/traces.csv")
     assert [(r["index"], r["traceId"], r["traceGroup"], r["tracePartners"], r["hasAllPartners"]) for r in found] == [("0", "6", "A", "1", "1"), ("1", "6", "A", "0", "1")]
 
@@ -78,8 +79,47 @@ def test_bead_programs(spark, files):
         put(f"filtered/bead_rois__0_{time}.filtered.csv", ["beadIndex,zc,yc,xc", *[f"{i},0,0,{i}" for i in range(n)]])
     programs.partition_beads(spark, beads_folder=f"{base}/filtered", num_shifting="10", num_accuracy="10", output_folder=f"{base}/parts")
     assert {r["timepoint"]: (r["outcome"], r["shifting"], r["accuracy"]) for r in rows(f"{base}/parts/outcomes.csv")} == {"1": ("full", "10", "10"), "2": ("severe", "0", "0")}
-    lines = [json.loads(x) for f in glob.glob(f"{base}/parts/shifting/*.txt") for x in open(f)]
-    assert len(lines) == 1 and len({b["index"] for b in lines[0]}) == 10 and set(lines[0][0]["centroid"]) == {"zc", "yc", "xc"}
+    assert [f.rsplit("/", 1)[-1] for f in glob.glob(f"{base}/parts/shifting/*.json")] == ["bead_rois__0_1.json"]
+    beads = json.load(open(f"{base}/parts/shifting/bead_rois__0_1.json"))
+    assert len({b["index"] for b in beads}) == 10 and set(beads[0]["centroid"]) == {"zc", "yc", "xc"}
+
+
+def test_folders_of_many_files(spark, files, monkeypatch):
+    """The plan does not grow with the number of files."""
+    base, put = files
+    plans = {}
+    monkeypatch.setattr(programs, "write", lambda df, *a: plans.__setitem__(n, df))
+    for n in (2, 400):
+        for i in range(n):
+            put(f"spots{n}/P{i + 1:04d}_rois.csv", [HEAD, roi(i, i + 1, 2, 0)])
+            put(f"beads{n}/bead_rois__{i}_4.csv", ["beadIndex,zc,yc,xc", f"0,0,0,{1 if i % 2 else 90}"])
+        drift = put(f"drift{n}.csv", ["fieldOfView,timepoint,zDriftCoarsePixels,zDriftFinePixels,yDriftCoarsePixels,yDriftFinePixels,xDriftCoarsePixels,xDriftFinePixels"] + [f"P{f + 1:04d}.zarr,{t},0,0,0,0,0,0" for f in range(n) for t in range(5)])
+        programs.filter_spots_by_beads(spark, spots_folder=f"{base}/spots{n}", beads_folder=f"{base}/beads{n}", drift_file=drift, output_file=f"{base}/o.csv", distance_threshold="2", spotless_timepoint="4", pixels=PIXELS)
+    assert plans[400].count() == 200
+    size = lambda df: len(df._jdf.queryExecution().analyzed().toString().splitlines())
+    assert size(plans[2]) == size(plans[400])
+
+
+def test_spots_by_field(spark, files):
+    base, put = files
+    programs.partition_regional_spots(spark, spots_files=f"{base}/rois.csv", output_folder=f"{base}/by")
+    for fov, ids in (("P0001", ["0", "1", "2", "3"]), ("P0002", ["4", "5"])):
+        found = list(csv.DictReader(open(f"{base}/by/{fov}/{fov}__rois.csv")))
+        assert [r["index"] for r in found] == ids and [r["Unnamed: 0"] for r in found] == [str(i) for i in range(len(ids))]
+    with pytest.raises(ValueError, match="files exist"):
+        programs.partition_regional_spots(spark, spots_files=f"{base}/rois.csv", output_folder=f"{base}/by")
+    assert not glob.glob(f"{base}/by/_writing*")
+
+
+def test_skips_as_records(spark, files):
+    base, put = files
+    rules = {**ROUNDS, "mergeRulesForTracing": {"groups": {"A": [2, 3]}, "distanceThreshold": "3 nm", "requirementType": "Lackadaisical", "discardRoisNotInGroupsOfInterest": False}}
+    rois = [roi(0, 1, 2, 0), roi(1, 1, 3, 1), roi(2, 1, 2, 2), roi(3, 1, 3, 50)]
+    put("r.csv", [HEAD, *rois])
+    put("one.json", [json.dumps(rules)])
+    programs.assign_trace_ids(spark, configuration=f"{base}/one.json", rois_file=f"{base}/r.csv", pixels=PIXELS, output_file=f"{base}/t.csv", skips_file=f"{base}/s.json")
+    assert json.load(open(f"{base}/s.json")) == [{"roiIds": [0, 1, 2], "repeats": {"2": [0, 2]}}]
+    assert [(r["index"], r["traceGroup"]) for r in rows(f"{base}/t.csv")] == [("3", "A")]
 
 
 def test_distance_programs(spark, files):
@@ -87,6 +127,9 @@ def test_distance_programs(spark, files):
     programs.region_pairwise_distances(spark, rois_file=f"{base}/rois.csv", output_folder=f"{base}/d", pixels=PIXELS, drift_file=f"{base}/drift.csv")
     found = [(r["fieldOfView"], r["timepoint1"], r["timepoint2"], float(r["distance"]), r["inputIndex1"], r["inputIndex2"]) for r in rows(f"{base}/d/pairwise_distances__regional.csv")]
     assert found == sorted(found, key=lambda r: r[:4]) and len(found) == 7 and found[-1][3:] == (0.5, "4", "5")
+    put("turned.csv", [HEAD, roi(7, 1, 2, 0), roi(3, 1, 3, 4)])  # ids in no order
+    programs.region_pairwise_distances(spark, rois_file=f"{base}/turned.csv", output_folder=f"{base}/turned", pixels=PIXELS)
+    assert [(r["timepoint1"], r["timepoint2"], r["inputIndex1"], r["inputIndex2"]) for r in rows(f"{base}/turned/pairwise_distances__regional.csv")] == [("2", "3", "0", "1")]
     table = put("points.csv", ["fieldOfView,traceGroup,traceId,timepoint,ref_timepoint,z,y,x", "P0001.zarr,,7,0,2,0,0,0", "P0001.zarr,,7,1,2,3,0,4", "P0001.zarr,,8,0,2,0,0,0"])
     programs.locus_pairwise_distances(spark, traces_file=table, output_folder=f"{base}/d")
     assert [(r["traceId"], r["locus1"], r["locus2"], r["distance"]) for r in rows(f"{base}/d/pairwise_distances__locus_specific.csv")] == [("7", "0", "1", "5.0")]
@@ -104,10 +147,10 @@ def test_quality_program(spark, files):
     every = rows(f"{base}/q.unfiltered.csv")
     assert [(r["traceId"], r["timepoint"], r["sufficientSNR"], r["qcPass"]) for r in every] == [("9", "0", "1", "1"), ("9", "2", "1", "1"), ("12", "0", "0", "0"), ("13", "1", "1", "1")]
     assert [(r["traceId"], r["timepoint"]) for r in rows(f"{base}/q.filtered.csv")] == [("9", "0"), ("9", "2")]
-    passing = rows(f"{base}/points/qc_pass")
+    passing = list(csv.DictReader(open(f"{base}/points/P0001__/P0001__.qcpass.csv")))
     assert sorted((r["traceId"], r["traceIndex"], r["regionIndex"], r["timeIndex"]) for r in passing) == [("9", "0", "0", "0"), ("9", "0", "0", "1")]
-    assert [(r["traceId"], r["traceIndex"], r["failCode"]) for r in rows(f"{base}/points/qc_fail")] == [("12", "1", "S")]
-    assert glob.glob(f"{base}/points/qc_pass/view=P0001__*")
+    assert [(r["traceId"], r["traceIndex"], r["failCode"]) for r in csv.DictReader(open(f"{base}/points/P0001__/P0001__.qcfail.csv"))] == [("12", "1", "S")]
+    assert sorted(f.rsplit("/", 1)[-1] for f in glob.glob(f"{base}/points/*")) == ["P0001__"]
 
 
 def test_small_programs(spark, files):
@@ -119,7 +162,7 @@ def test_small_programs(spark, files):
     assert programs.validate_configuration(spark, configuration=f"{base}/rounds.json")["rounds"] == 5
     put("g.csv", [HEAD + ",mergeOutput", *[r + g for r, g in ((roi(0, 1, 2, 0), ",7"), (roi(1, 1, 2, 50), ",7"), (roi(2, 1, 2, 80), ","), (roi(3, 1, 2, 80.5), ","))]])
     assert programs.validate_merges(spark, input_file=f"{base}/g.csv", pixels=PIXELS, distance_threshold="2") == {"split_groups": 1, "close_pairs": 1}
-    assert programs.main([]) == 2 and len(programs.PROGRAMS) == 12
+    assert programs.main([]) == 2 and len(programs.PROGRAMS) == 13
 
 
 GOOD = {
