@@ -209,11 +209,32 @@ class QueryBlock:
         near = np.searchsorted(rank[theirs], rank[mine])
         shared = np.maximum(in_common(mine, theirs[np.minimum(near, len(theirs) - 1)]), in_common(mine, theirs[np.maximum(near - 1, 0)]))
         doc = np.searchsorted(begin, at, "right") - 1
-        for first, last in zip(*(lambda x: (x, np.append(x[1:], len(doc))))(np.flatnonzero(np.diff(doc, prepend=-1))), strict=True):
-            p = first + int(np.argmax(shared[first:last]))
-            equal = theirs[in_common(np.full(len(theirs), p), theirs) == shared[p]]
-            item, k = min((self.where[query[q - len(at)]] for q in equal), key=lambda x: (x[0] is None, x))
-            yield int(doc[p]), (int(shared[p]) + self.window - 1, int(at[p] - begin[doc[p]]), item, k)
+        first = np.flatnonzero(np.diff(doc, prepend=-1))
+        best = np.array([a + int(np.argmax(shared[a:b])) for a, b in zip(first, np.append(first[1:], len(doc)), strict=True)])
+        # the places that share as much are neighbours in the order of theirs: search both ends of the stretch
+        as_much = lambda i: in_common(best, theirs[np.clip(i, 0, len(theirs) - 1)]) >= shared[best]
+        lo, stop = np.zeros(len(best), np.int64), near[best].copy()
+        while (open_ := lo < stop).any():
+            mid = (lo + stop) >> 1
+            good = as_much(mid)
+            lo, stop = np.where(open_ & ~good, mid + 1, lo), np.where(open_ & good, mid, stop)
+        hi, stop = near[best].copy(), np.full(len(best), len(theirs))
+        while (open_ := hi < stop).any():
+            mid = (hi + stop) >> 1
+            good = as_much(mid)
+            hi, stop = np.where(open_ & good, mid + 1, hi), np.where(open_ & ~good, mid, stop)
+        named = [self.where[query[q - len(at)]] for q in theirs]
+        order = sorted(range(len(named)), key=lambda j: (named[j][0] is None, named[j]))
+        turn = np.empty(len(named), np.int64)
+        turn[order] = np.arange(len(named))
+        least = [turn]  # the first in turn of the 1, 2, 4 and so on from each place
+        while 2 << (len(least) - 1) <= len(turn):
+            half = 1 << (len(least) - 1)
+            least.append(np.minimum(least[-1][: len(turn) - 2 * half + 1], least[-1][half : len(turn) - half + 1]))
+        for p, a, b in zip(best.tolist(), lo.tolist(), hi.tolist(), strict=True):
+            k = (b - a).bit_length() - 1
+            item, where = named[order[min(least[k][a], least[k][b - (1 << k)])]]
+            yield int(doc[p]), (int(shared[p]) + self.window - 1, int(at[p] - begin[doc[p]]), item, where)
 
 
 def better(x: tuple, y: tuple) -> tuple:
