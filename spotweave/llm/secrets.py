@@ -24,7 +24,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spotweave.llm.columns import indices, let, sha256_hex
+from spotweave.llm.columns import indices, let, running_sums, sha256_hex
 from spotweave.runtime import broadcast_if_small, stage
 
 
@@ -138,9 +138,8 @@ def find_spans(text: Column, rule: Rule, order: int) -> Column:
 
         def offsets(pieces: Column) -> Column:
             gaps = F.transform(indices(F.size(found)), lambda i: F.length(F.get(pieces, i)) + F.when(i > 0, F.length(F.get(found, F.greatest(i - 1, F.lit(0))))).otherwise(0))
-            start = F.aggregate(gaps, F.array().cast("array<int>"), lambda a, g: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) + g)))
             spans = lambda s: F.transform(indices(F.size(found)), lambda i: F.struct(F.get(s, i).alias("start"), F.lit(order).alias("kind"), (F.get(s, i) + F.length(F.get(found, i))).alias("end")))
-            return let(start, spans)
+            return let(running_sums(gaps), spans)
 
         all_spans = let(between, offsets)
         if rows is None:

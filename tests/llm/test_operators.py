@@ -587,3 +587,39 @@ def test_empty_tables(spark, name):
         "op8": lambda: ngram_join.jaccard_components(none), "op9": lambda: secrets.find_secrets(none), "op10": lambda: quality.judge_quality(none),
     }
     assert run[name]().count() == 0
+
+
+def test_secrets_of_a_long_text_take_linear_time(spark):
+    import time
+
+    took = []
+    for n in (20_000, 80_000):
+        text = "0123456789abcdef " * n
+        began = time.time()
+        (row,) = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+        took.append(time.time() - began)
+        assert row.n_hex == n and row.spans.endswith(f"hex:{17 * (n - 1)}:{17 * n - 1}")
+    assert took[1] < 10 * took[0] + 5
+
+
+def test_running_sums(spark):
+    from spotweave.llm.columns import running_sums
+
+    rows = [(list(range(n)),) for n in (0, 1, 3, 4, 5, 17)]
+    got = spark.createDataFrame(rows, "x array<int>").select(running_sums(F.col("x"), 4).alias("s"), "x").collect()
+    assert all(r.s == [sum(r.x[: i + 1]) for i in range(len(r.x))] for r in got)
+
+
+def test_many_matched_documents_take_linear_time():
+    """Documents that each hold an item, and documents that all hold the same one, which many items repeat."""
+    import time
+
+    r = random.Random(1)
+    items = [(f"i{i}", " ".join(r.choice("abcdefgh") + str(r.randrange(5000)) for _ in range(30))) for i in range(4000)]
+    block = decontam.QueryBlock(items, 10)
+    began = time.time()
+    _, _, longest = block.search([decontam.words(t) for _, t in items])
+    assert time.time() - began < 10 and [m[2] for m in longest] == [i for i, _ in items] and {m[0] for m in longest} == {30}
+    same = decontam.QueryBlock([(f"i{i}", items[0][1]) for i in range(900, 0, -1)], 10)
+    _, _, longest = same.search([decontam.words(items[0][1])] * 900)
+    assert set(longest) == {(30, 0, "i1", 0)}
