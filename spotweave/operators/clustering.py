@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spotweave.functions import kernels
 from spotweave.operators.geometry import AXES
+from spotweave.runtime import stage, unstage
 
 POINTS = (*AXES, "good")
 
@@ -67,22 +68,98 @@ def general_procrustes(traces: DataFrame, *, tolerance: float = 0.01, least_good
     return aligned(traces, template, keep), [[*map(float, p)] if k else [None] * 3 for p, k in zip(template, keep, strict=True)]
 
 
+def _moved(z, y, x, good, template: np.ndarray, keep: np.ndarray) -> tuple:
+    """A trace moved onto a template by their common good points, and its distance to it; unchanged with fewer than three."""
+    p, both = _array(z, y, x), np.asarray(good, bool) & keep
+    q = kernels.rigid_onto(p, template, both) if both.sum() >= 3 else p
+    return (*q.T.tolist(), float(np.sqrt(((q[both] - template[both]) ** 2).mean())) if both.any() else 1e6)
+
+
 def aligned(traces: DataFrame, template: np.ndarray, keep: np.ndarray) -> DataFrame:
     """Traces moved onto a template by their common good points, with their distance to it; unchanged with fewer than three."""
 
     @F.pandas_udf("z array<double>, y array<double>, x array<double>, distance double")
     def move(z: pd.Series, y: pd.Series, x: pd.Series, good: pd.Series) -> pd.DataFrame:
-        out = []
-        for a, b, c, g in zip(z, y, x, good, strict=True):
-            p, both = _array(a, b, c), np.asarray(g, bool) & keep
-            q = kernels.rigid_onto(p, template, both) if both.sum() >= 3 else p
-            out.append((*q.T.tolist(), float(np.sqrt(((q[both] - template[both]) ** 2).mean())) if both.any() else 1e6))
-        return pd.DataFrame(out, columns=["z", "y", "x", "distance"])
+        return pd.DataFrame([_moved(*p, template, keep) for p in zip(z, y, x, good, strict=True)], columns=["z", "y", "x", "distance"])
 
     others = [c for c in traces.columns if c not in (*AXES, "distance")]
     return traces.select(*others, move(*POINTS).alias("m")).select(*others, "m.*")
 
 
+def pieces_of(traces: DataFrame, length: int, overlap: int) -> DataFrame:
+    """trace_id, piece, and the arrays z, y, x and good of stretches of `length` points, each sharing `overlap` points with the next; what is
+    left at the end of a trace is in none."""
+    n, step = F.size("z"), length - overlap
+    starts = F.when(n >= length, F.sequence(F.lit(0), F.expr(f"(size(z) - {length}) div {step}").cast("int"))).otherwise(F.array().cast("array<int>"))
+    return traces.select("trace_id", *POINTS, F.explode(starts).alias("piece")).select("trace_id", "piece", *[F.slice(c, F.col("piece") * step + 1, length).alias(c) for c in POINTS])
+
+
+def piecewise_procrustes(traces: DataFrame, *, length: int = 5, overlap: int = 3, tolerance: float = 0.01, max_rounds: int = 50) -> list[list[float | None]]:
+    """The mean of traces whose parts move against each other (K16): pieces are aligned to their means, all pieces in one pass for a round, and
+    the means are put together, each moved by the motion that brings its first `overlap` points onto the last ones before it, where
+    both are averaged. A piece that has fewer than three points with its mean takes no part in it. Only means come to the driver, as many points as a trace has. Points that no trace has are null, as is all from
+    a place on where fewer than three points overlap."""
+    if not 3 <= overlap < length:
+        raise ValueError("pieces must overlap by three points or more, and be longer")
+    pieces = stage(pieces_of(traces, length, overlap), "pieces")
+    good = F.size(F.filter("good", lambda g: g))
+    enough = good > length - 1
+    first = pieces.groupBy("piece").agg(F.min_by(F.struct(*POINTS), F.struct((~enough).alias("few"), F.when(enough, 0).otherwise(-good).alias("n"), "trace_id")).alias("p")).collect()
+    templates = {r.piece: (_array(r.p.z, r.p.y, r.p.x), np.asarray(r.p.good, bool)) for r in first}
+    before: dict[int, float] = {}
+    for _ in range(max_rounds):
+        moved = pieces.select("piece", "good", _onto(templates)("piece", *POINTS).alias("m")).select("piece", "good", "m.*").where("used")
+        points = moved.select("piece", "distance", F.posexplode(F.arrays_zip(*POINTS)).alias("i", "p"))
+        rows = points.groupBy("piece", "i").agg(*[F.avg(F.when(F.col("p.good"), F.col("p")[a])).alias(a) for a in AXES], F.sum("distance").alias("total")).collect()
+        totals = {r.piece: r.total for r in rows if r.i == 0}
+        means = {k: (np.zeros((length, 3)), np.zeros(length, bool)) for k in totals}
+        for r in rows:
+            if r.z is not None:
+                means[r.piece][0][r.i], means[r.piece][1][r.i] = (r.z, r.y, r.x), True
+        settled = {k for k in totals if k in before and abs(before[k] - totals[k]) <= tolerance}
+        templates = {k: m if k not in settled else templates[k] for k, m in means.items()}
+        if len(settled) == len(totals):
+            break
+        before = totals
+    unstage(pieces)
+    return stitched([templates[k] for k in sorted(templates)], length, overlap)
+
+
+def _onto(templates: dict[int, tuple[np.ndarray, np.ndarray]]):
+    """Pieces moved onto the templates of their kind, with the distance, and whether there were three points to go by."""
+
+    @F.pandas_udf("z array<double>, y array<double>, x array<double>, distance double, used boolean")
+    def move(piece: pd.Series, z: pd.Series, y: pd.Series, x: pd.Series, good: pd.Series) -> pd.DataFrame:
+        used = [int((np.asarray(g, bool) & templates[k][1]).sum()) >= 3 for k, g in zip(piece, good, strict=True)]
+        moved = [_moved(*p, *templates[k]) for k, *p in zip(piece, z, y, x, good, strict=True)]
+        return pd.DataFrame([(*m, u) for m, u in zip(moved, used, strict=True)], columns=["z", "y", "x", "distance", "used"])
+
+    return move
+
+
+def stitched(pieces: list[tuple[np.ndarray, np.ndarray]], length: int, overlap: int) -> list[list[float | None]]:
+    """Points of pieces in a row, each moved onto the one before by what they share."""
+    if not pieces:
+        return []
+    step, size = length - overlap, length + (len(pieces) - 1) * (length - overlap)
+    at, there = np.zeros((size, 3)), np.zeros(size, bool)
+    at[:length], there[:length] = pieces[0]
+    for i, (points, good) in enumerate(pieces[1:], 1):
+        a = i * step
+        both = np.zeros(length, bool)
+        both[:overlap] = good[:overlap] & there[a : a + overlap]
+        if both.sum() < 3:
+            break
+        target = np.zeros((length, 3))
+        target[:overlap] = at[a : a + overlap]
+        moved = kernels.rigid_onto(points, target, both)
+        for j in range(length):
+            if good[j]:
+                at[a + j] = (at[a + j] + moved[j]) / 2 if there[a + j] else moved[j]
+                there[a + j] = True
+    return [[*map(float, p)] if k else [None] * 3 for p, k in zip(at, there, strict=True)]
+
+
 def map_vectors(maps: DataFrame) -> DataFrame:
     """trace_id and features: the distances of a trace's map in the order of its loci, for traces that have all pairs."""
     width = maps.select("locus_1", "locus_2").distinct().count()

@@ -324,6 +324,15 @@ def general_procrustes(spark, sf):
     return clustering.general_procrustes(rows.select("trace_id", *[F.col("p")[c].alias(c) for c in (*AXES, "good")]), least_good=2, max_rounds=5)[0].select("trace_id", "distance")
 
 
+@query()
+def piecewise_procrustes(spark, sf):
+    """K16; no SQL: iterated singular vectors. Every vector as a trace of 21 loci; the mean by pieces of five, up to a rigid motion."""
+    at = lambda i: F.transform(F.sequence(F.lit(0), F.lit(20)), lambda k: F.element_at("embedding", 3 * k + i + 1).cast("double") * 200.0)
+    rows = ad.read(spark, sf, "embeddings").select(F.col("vec_id").cast("long").alias("trace_id"), *[at(i).alias(a) for i, a in enumerate(AXES)], F.array_repeat(F.lit(True), 21).alias("good"))
+    mean = clustering.piecewise_procrustes(rows, max_rounds=5)
+    return spark.createDataFrame([(i, *p) for i, p in enumerate(mean)], "locus int, z double, y double, x double")
+
+
 @query()
 def trace_clusters(spark, sf):
     """K18; no SQL: fitted by iteration."""

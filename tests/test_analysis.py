@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from spotweave.functions import kernels
 from spotweave.operators import clustering, naming, ranks, similarity, tracing, voxels
 
 def traces(spark, turn=0.6, noise=0.0):
@@ -113,3 +114,29 @@ def test_quantiles_and_ranks_with_nulls(spark):
     assert got == {None: (2.0, 3.0), "a": (7.0, 7.0), "c": (25.0, 50.0)}
     ranked = reindex(spark.createDataFrame([(None, 5), (None, 9), (None, 5), ("a", 2)], "k string, t int"), ["k"], "t", "i").collect()
     assert sorted((r.k or "", r.t, r.i) for r in ranked) == [("", 5, 0), ("", 5, 0), ("", 9, 1), ("a", 2, 0)]
+
+
+def test_turned_pieces_come_back_to_their_curve(spark):
+    """Traces that are turned as wholes, with some points missing; and pieces that are turned one by one."""
+    rng = np.random.default_rng(4)
+    curve = np.cumsum(rng.normal(size=(11, 3)), axis=0) * 10
+
+    def turn():
+        q, r = np.linalg.qr(rng.normal(size=(3, 3)))
+        q = q * np.sign(np.diag(r))
+        return q * np.sign(np.linalg.det(q))
+
+    rows = []
+    for i in range(12):
+        p, good = curve @ turn().T + rng.normal(size=3), rng.random(11) > (0.15 if i else 0)
+        rows.append((i, *p.T.tolist(), good.tolist()))
+    rows.append((99, [0.0] * 3, [0.0] * 3, [0.0] * 3, [True] * 3))  # shorter than a piece
+    df = spark.createDataFrame(rows, "trace_id long, z array<double>, y array<double>, x array<double>, good array<boolean>")
+    mean = np.array(clustering.piecewise_procrustes(df, tolerance=1e-9), float)
+    assert mean.shape == (11, 3) and np.abs(kernels.rigid_onto(mean, curve) - curve).max() < 1e-6
+    turned = [(curve[i : i + 5] @ turn().T + rng.normal(size=3), np.ones(5, bool)) for i in range(0, 7, 2)]
+    back = np.array(clustering.stitched(turned, 5, 3), float)
+    assert np.abs(kernels.rigid_onto(back, curve) - curve).max() < 1e-6
+    assert clustering.piecewise_procrustes(df.where("false")) == []
+    with pytest.raises(ValueError, match="overlap"):
+        clustering.piecewise_procrustes(df, overlap=2)
