@@ -268,6 +268,8 @@ def combine_imaging_folders(spark: SparkSession, *, inputs: str, target_folder:
 
 
 def main(arguments: list[str]) -> int:
+    from spotweave.plans import imaging  # noqa: F401 - programs that read images
+
     if not arguments or arguments[0] not in PROGRAMS:
         print("programs:", *sorted(PROGRAMS), sep="\n  ")
         return 2

@@ -401,10 +401,10 @@ def cropped_chunks(boxes: DataFrame, path: str, keys: list[str], *, background:
     padded = some(lambda i, a: (before[a] != 0) | (after[a] != 0), ("y", "x"))
     reason = F.when(some(lambda i, a: hi[a] > F.col("size")[i]), "out of bounds").when(some(lambda i, a: lo[a] == hi[a]), "empty").when(padded & ~F.col("timepoint").eqNullSafe(F.lit(background)), "padded in y or x")
     three = lambda d: F.array(*[d[a] for a in axes])
-    placed = boxes.join(sizes, "field").select(*keys, "field", "timepoint", F.col("channel").cast("int").alias("channel"), three(lo).alias("from_"), three(hi).alias("to_"), three(before).alias("before_"), three(after).alias("after_"), reason.alias("reason"))
+    placed = boxes.join(sizes, "field").select(*keys, *[c for c in ("field",) if c not in keys], F.col("timepoint").alias("t_"), F.col("channel").alias("c_"), three(lo).alias("from_"), three(hi).alias("to_"), three(before).alias("before_"), three(after).alias("after_"), reason.alias("reason"))
     five = lambda t, c, rest: F.concat(F.array(t.cast("int"), c.cast("int")), F.col(rest))
-    t, c = F.col("timepoint"), F.col("channel")
-    cut = cut_boxes(placed.where("reason is null").select(*keys, "field", five(t, c, "from_").alias("lo"), five(t + 1, c + 1, "to_").alias("hi")), path, keys)
+    t, c = F.col("t_"), F.col("c_")
+    cut = cut_boxes(placed.where("reason is null").select(*keys, *[c for c in ("field",) if c not in keys], five(t, c, "from_").alias("lo"), five(t + 1, c + 1, "to_").alias("hi")), path, keys)
 
     @F.pandas_udf("voxels array<double>, shape array<int>")
     def whole(voxels: pd.Series, lo: pd.Series, hi: pd.Series, before: pd.Series, after: pd.Series) -> pd.DataFrame:

@@ -162,7 +162,7 @@ def test_small_programs(spark, files):
     assert programs.validate_configuration(spark, configuration=f"{base}/rounds.json")["rounds"] == 5
     put("g.csv", [HEAD + ",mergeOutput", *[r + g for r, g in ((roi(0, 1, 2, 0), ",7"), (roi(1, 1, 2, 50), ",7"), (roi(2, 1, 2, 80), ","), (roi(3, 1, 2, 80.5), ","))]])
     assert programs.validate_merges(spark, input_file=f"{base}/g.csv", pixels=PIXELS, distance_threshold="2") == {"split_groups": 1, "close_pairs": 1}
-    assert programs.main([]) == 2 and len(programs.PROGRAMS) == 13
+    assert programs.main([]) == 2 and len(programs.PROGRAMS) == 18
 
 
 GOOD = {
