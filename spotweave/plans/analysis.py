@@ -232,11 +232,25 @@ def delimited_round_trip(spark, sf):
 
 @query(f"WITH {ad.ROI_SQL} SELECT roi_id, fov, round(zc, 6) AS zc FROM roi")
 def fields_round_trip(spark, sf):
-    """IO9, IO11: a folder for each field of view, and the field of view read from the path."""
+    """IO9, IO11: a file for each field of view under its name, and the field of view read from the name."""
+    from spotweave.operators.naming import fov_index, fov_name
+
     path = scratch(spark, "fields")
-    ad.roi(spark, sf).select("roi_id", F.col("fov").alias("field"), "zc").write.partitionBy("field").option("header", True).csv(path)
-    back = spark.read.option("header", True).schema("roi_id long, zc double").csv(f"{path}/*").withColumn("from_", F.input_file_name())
-    return back.select("roi_id", F.regexp_extract("from_", r"field=(\d+)", 1).cast("int").alias("fov"), r6("zc"))
+    rows = ad.roi(spark, sf).select("roi_id", "zc", F.concat(fov_name(F.col("fov")), F.lit("_rois.csv")).alias("file"))
+    tables.write_named(rows, path, "file", ["roi_id"])
+    back = tables.read_typed(spark, f"{path}/P*_rois.csv", "roi_id long, zc double").withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    return back.select("roi_id", fov_index(F.regexp_replace("file", "_rois.csv$", "")).alias("fov"), r6("zc"))
+
+
+@query(f"WITH {ad.ROI_SQL} SELECT roi_id, fov, round(zc, 6) AS zc FROM roi")
+def empty_files(spark, sf):
+    """IO7: files without a header are empty tables, beside one that is not."""
+    path = scratch(spark, "tables", ".csv")
+    kinds = "roi_id long, fov int, zc double"
+    spark.createDataFrame([], "value string").write.text(path)
+    full = scratch(spark, "tables", ".csv")
+    tables.write_table(ad.roi(spark, sf).select("roi_id", "fov", "zc"), full)
+    return tables.read_typed(spark, path, kinds).union(tables.read_typed(spark, full, kinds)).select("roi_id", "fov", r6("zc"))
 
 
 @query(f"WITH {ad.BEAD_FILE_SQL} SELECT bead_id, round(max_intensity, 6) AS intensity FROM bead_file WHERE fail_code = ''")

@@ -137,13 +137,3 @@ def by_field(spark: SparkSession, folder: str, pattern: str = r"(P\d{4})") -> Da
     """(fov, paths): the files of each field of view that their name gives (IO22, IO26); files without one are left out."""
     files = listed(spark, folder, recursive=True).withColumn("fov", F.regexp_extract("name", pattern, 1)).where("fov <> ''")
     return files.groupBy("fov").agg(F.array_sort(F.collect_list("path")).alias("paths"))
-
-
-def job_script(name: str, command: list[str], *, cores: int = 4, memory: str = "4G", time: str = "0-0:30", partition: str | None = None, modules: tuple[str, ...] = ()) -> str:
-    """A script that submits a command to a cluster's queue (IO25)."""
-    if not name.replace("_", "").replace("-", "").isalnum():
-        raise ValueError(f"no name for a job: {name!r}")
-    given = {"job-name": name, "output": f"{name}_%j.out", "time": time, "cpus-per-task": cores, "mem-per-cpu": memory, "partition": partition}
-    lines = ["#!/bin/bash", *[f"#SBATCH --{k}={v}" for k, v in given.items() if v is not None]]
-    lines += [f"module load {' '.join(modules)}"] if modules else []
-    return "\n".join([*lines, " ".join("'" + c.replace("'", "'\\''") + "'" for c in command)]) + "\n"

@@ -118,5 +118,3 @@ def test_folders_of_images(spark, tmp_path):
         arrays.image_folder(spark, str(tmp_path))
     (tmp_path / "P0001_a.csv").write_bytes(b"x")
     assert [(r.fov, len(r.paths)) for r in arrays.by_field(spark, str(tmp_path)).collect()] == [("P0001", 1)]
-    script = arrays.job_script("run_1", ["python", "it's.py"], modules=("x",))
-    assert "#SBATCH --job-name=run_1" in script and "module load x" in script and script.rstrip().endswith("'python' 'it'\\''s.py'")
