@@ -5,13 +5,13 @@ line, up to the end of a sentence; its separators stay with it, so that the line
 text. Blank lines are left out of what follows, but go with a run that they lie in. Per document:
 
 1. windows: from every line on, the shortest run that has `least_chars` characters;
-2. fingerprints: the minimum of every window in the order of lines by length, the longest first, then by hash. A repeated
-   run of `least_chars` characters holds a window, so its fingerprint stands in both places: none is missed, and lines
-   that stand everywhere are seldom chosen;
-3. candidates: fingerprints are counted, and documents with one that other documents share, or with a run that they
-   repeat themselves, go on;
-4. extension: in these, runs are extended forwards and backwards to all shortest runs of `least_chars` characters
-   from and up to each line. Their hashes are keys, which are aggregated to their first place (document, then position);
+2. fingerprints: the minimum of every window in the order of lines by length, the longest first, then by hash, the first
+   of equals. A repeated run of `least_chars` characters holds a window, so its fingerprint stands in both places, as far from
+   the start: none is missed, and lines that stand everywhere are seldom chosen;
+3. positions: fingerprints are counted, and those that stand in several places are joined back to their positions;
+4. extension: around each such position, forwards and backwards, to all shortest runs of `least_chars` characters from
+   and up to each line that hold it. Stretches without a shared fingerprint are never hashed. The keys of the runs are
+   aggregated to their first place (document, then position);
 5. deletion: a run whose key has an earlier place is deleted. The first occurrence stays.
 
 A stretch of lines of at least `least_chars` characters that an earlier place holds is covered by such runs: its
@@ -20,12 +20,14 @@ and neighbours that are repeated from different places are deleted only if each
 Repeated runs of fewer characters stay.
 
 Only DataFrame functions are used. Hot lines are aggregated before the shuffle; the joins back are plain
-equi-joins that adaptive execution splits; nothing is gathered by line, only by document.
+equi-joins that adaptive execution splits; nothing is gathered by line, only by document. Texts are read once to find
+fingerprints, whose table holds 12 bytes and a few bits of each line; runs come from that table.
 
 Null texts stay null and empty texts empty; rows with a null doc_id are left as they are; rows that
 share a doc_id are one place, so they never delete each other's text, and repeated rows get the same
 result; ties of a hash go to the first position; empty tables give empty results; dedup_lines() returns
-its own columns and deduplicated() keeps all columns of its input, whatever their names. Lines are compared by 64-bit hashes.
+its own columns and deduplicated() keeps all columns of its input, whatever their names. Lines are compared by two hashes of
+64 and 32 bits, runs by two of 64 bits, as one of 64 bits would meet by chance in some of 10 ** 12 lines.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.llm.columns import indices, let
-from spotweave.runtime import broadcast_if_small, stage
+from spotweave.runtime import broadcast_if_small, stage, unstage
 
 #: Lines end after these: a newline, or the space that follows the end of a sentence.
 ENDS = ("\n", ". ", "! ", "? ")
@@ -74,11 +76,11 @@ def window_lines(sums: list[Column], i: Column, least_chars: int) -> Column:
     return F.when(F.get(sums[most], i) >= least_chars, halved(most, None, 0)).when(i + (1 << most) < F.size(sums[0]), longer)
 
 
-def run_table(docs: DataFrame, least_chars: int) -> DataFrame:
-    """For each document: prints (fingerprints of its windows), runs (f: hash of the lines, at and to: first and last
-    position) and again (whether it repeats a run itself)."""
+def line_table(docs: DataFrame, least_chars: int) -> DataFrame:
+    """For each document, of its lines that are not blank: h and g (two hashes), blanks (blank lines before it), n (lines of the window
+    from it on, null where the text ends before), and prints (numbers of the lines that are the minimum of a window)."""
     trimmed = F.transform(lines_of(F.col("text")), lambda x: F.btrim(x, F.lit(" \n\r\t")))
-    lines = F.filter(F.transform(trimmed, lambda x, i: F.struct(F.xxhash64(x).alias("h"), F.length(x).alias("l"), i.alias("at"))), lambda x: x["l"] > 0)
+    lines = F.filter(F.transform(trimmed, lambda x, i: F.struct(F.xxhash64(x).alias("h"), F.hash(x).alias("g"), F.length(x).alias("l"), i.alias("at"))), lambda x: x["l"] > 0)
 
     def with_sums(lengths: Column, body) -> Column:
         """body(sums), each list of sums computed once."""
@@ -91,35 +93,54 @@ def run_table(docs: DataFrame, least_chars: int) -> DataFrame:
 
         return let(lengths, lambda one: more([one]))
 
-    def found(b: Column, ends: Column) -> Column:
-        """From the last line of the window of each line: the result."""
-        last = F.size(b["l"])
-        # a line between the ends of the windows of two lines in a row ends a run from the first of them
-        stretch = lambda e, i: F.transform(F.sequence(e, F.greatest(e, F.coalesce(F.get(ends, i + 1), last) - 1)), lambda j: F.struct(F.xxhash64(F.slice(b["h"], i + 1, j - i + 1)).alias("f"), F.get(b["at"], i).alias("at"), F.get(b["at"], j).alias("to")))
-        none = F.array().cast("array<struct<f:bigint,at:int,to:int>>")
-        runs = F.flatten(F.transform(ends, lambda e, i: F.when(e.isNotNull(), stretch(e, i)).otherwise(none)))
-        order = F.transform(b["h"], lambda h, i: F.shiftleft(F.get(b["l"], i).cast("long"), 40) + h.bitwiseAND(F.lit((1 << 40) - 1)))
-        prints = let(order, lambda o: F.array_distinct(F.transform(F.filter(F.transform(ends, lambda e, i: F.struct(e.alias("e"), i.alias("i"))), lambda w: w["e"].isNotNull()), lambda w: F.array_max(F.slice(o, w["i"] + 1, w["e"] - w["i"] + 1)))))
-        return let(runs, lambda r: F.struct(prints.alias("prints"), r.alias("runs"), (F.size(F.array_distinct(r["f"])) < F.size(r)).alias("again")))
+    def found(x: Column, n: Column) -> Column:
+        order = F.transform(x, lambda v: F.shiftleft(v["l"].cast("long"), 40) + v["h"].bitwiseAND(F.lit((1 << 40) - 1)))
+        least = lambda window, i: i + F.array_position(window, F.array_max(window)).cast("int") - 1
+        known = lambda o: F.transform(n, lambda m, i: F.when(m.isNotNull(), let(F.slice(o, i + 1, m), lambda window: least(window, i))))
+        prints = let(order, lambda o: F.array_distinct(F.array_compact(known(o))))
+        return F.struct(x["h"].alias("h"), x["g"].alias("g"), F.transform(x["at"], lambda at, i: at - i).alias("blanks"), n.alias("n"), prints.alias("prints"))
 
     def table(x: Column) -> Column:
-        b = F.struct(x["h"].alias("h"), x["l"].alias("l"), x["at"].alias("at"))
-        ends = lambda s: F.transform(indices(F.size(s[0])), lambda i: i + window_lines(s, i, least_chars) - 1)
-        return let(b, lambda b: with_sums(b["l"], lambda sums: let(ends(sums), lambda e: found(b, e))))
+        windows = lambda sums: F.transform(indices(F.size(sums[0])), lambda i: window_lines(sums, i, least_chars))
+        return with_sums(x["l"], lambda sums: let(windows(sums), lambda n: found(x, n)))
 
     return docs.where("doc_id is not null").select("doc_id", let(lines, table).alias("t")).select("doc_id", "t.*")
 
 
-def repeated_lines(docs: DataFrame, *, least_chars: int = 100, max_broadcast: int = 1_000_000) -> DataFrame:
-    """(doc_id, gone): positions of the lines to delete, sorted; documents without any are left out."""
-    held = stage(run_table(docs, least_chars), "line-runs")
-    prints = held.select("doc_id", F.explode("prints").alias("f"))
+def shared_places(table: DataFrame) -> DataFrame:
+    """(doc_id, anchors): the numbers of the lines whose fingerprints stand in several places, sorted."""
+    prints = table.select("doc_id", F.explode(F.transform("prints", lambda p: F.struct(p.alias("p"), F.get("h", p).alias("f")))).alias("v")).select("doc_id", "v.*")
     shared = stage(prints.groupBy("f").agg(F.count("*").alias("n")).where("n > 1").select("f"), "line-prints")  # a table of its own, so that the join back can split a hot line
-    candidates = prints.join(shared, "f", "left_semi").select("doc_id").union(held.where("again").select("doc_id")).distinct()
-    runs = held.join(broadcast_if_small(stage(candidates, "line-candidates"), max_broadcast), "doc_id", "left_semi").select("doc_id", F.explode("runs").alias("r")).select("doc_id", "r.*")
-    first = runs.groupBy("f").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("f", F.col("first.doc_id").alias("doc0"), F.col("first.at").alias("at0"))
+    return prints.join(shared, "f", "left_semi").groupBy("doc_id").agg(F.array_sort(F.collect_set("p")).alias("anchors"))
+
+
+def runs_around(table: DataFrame, places: DataFrame) -> DataFrame:
+    """(doc_id, f, g, at, to): two hashes, first and last position of all shortest runs from and up to a line that hold an anchor."""
+    at = lambda i: i + F.get("blanks", i)
+    run = lambda i, j: F.struct(
+        F.xxhash64(F.slice("h", i + 1, j - i + 1)).alias("f"), F.xxhash64(F.lit("g"), F.slice("g", i + 1, j - i + 1)).alias("g"), at(i).alias("at"), at(j).alias("to")
+    )
+
+    def stretch(i: Column, first: Column) -> Column:
+        """Runs from line i that end at line `first` or later: a line between the ends of the windows of two lines in a row ends one."""
+        last = F.greatest(i + F.get("n", i), F.coalesce(i + 1 + F.get("n", i + 1), F.size("h") + 1) - 1) - 1
+        return F.when(first <= last, F.transform(F.sequence(first, last), lambda j: run(i, j)))
+
+    # the next anchor of every line up to the last anchor
+    following = F.flatten(F.transform("anchors", lambda a, k: F.array_repeat(a, a - F.when(k > 0, F.get("anchors", k - 1)).otherwise(-1))))
+    none = F.array().cast("array<struct<f:bigint,g:bigint,at:int,to:int>>")
+    runs = lambda next_: F.flatten(F.transform("n", lambda m, i: F.coalesce(F.when(m.isNotNull() & F.get(next_, i).isNotNull(), stretch(i, F.greatest(i + m - 1, F.get(next_, i)))), none)))
+    return table.join(places, "doc_id").select("doc_id", F.explode(let(following, runs)).alias("r")).select("doc_id", "r.*")
+
+
+def repeated_lines(docs: DataFrame, *, least_chars: int = 100) -> DataFrame:
+    """(doc_id, gone): positions of the lines to delete, sorted; documents without any are left out."""
+    table = stage(line_table(docs, least_chars), "line-hashes")
+    runs = stage(runs_around(table, shared_places(table)), "line-runs")
+    unstage(table)
+    first = runs.groupBy("f", "g").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("f", "g", F.col("first.doc_id").alias("doc0"), F.col("first.at").alias("at0"))
     first = stage(first, "line-first")
-    later = runs.join(first, "f").where("doc_id <> doc0 or at <> at0")
+    later = runs.join(first, ["f", "g"]).where("doc_id <> doc0 or at <> at0")
     spans = F.array_distinct(F.flatten(F.transform(F.collect_list(F.struct("at", "to")), lambda x: F.sequence(x["at"], x["to"]))))
     return later.groupBy("doc_id").agg(F.array_sort(spans).alias("gone"))
 

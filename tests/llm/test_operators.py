@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -406,6 +407,29 @@ def test_line_dedup_sees_runs_between_blank_lines(spark):
     assert gone_lines(spark, texts) == gone_by_brute_force(texts) == {2 * k + 1: set(range(2, 13)) for k in range(60)}
 
 
+def test_line_dedup_comes_from_shared_fingerprints(spark):
+    """Runs lie around places of shared fingerprints only; without these places there are none."""
+    rng = random.Random(8)
+    own = lambda d, k: [f"Line {i} of document {d} says {rng.random()} and no more.\n" for i in range(k)]
+    shared = [f"Shared line {i} stands in two documents alike, {i * i}.\n" for i in range(6)]
+    texts = [(1, "".join([*own(1, 50), *shared, *own(1, 50)])), (2, "".join([*own(2, 20), *shared[1:], *own(2, 70)])), (3, "".join(own(3, 100)))]
+    table = linededup.line_table(spark.createDataFrame(texts, "doc_id long, text string"), 100)
+    places = linededup.shared_places(table)
+    anchors = {r.doc_id: r.anchors for r in places.collect()}
+    assert set(anchors) == {1, 2} and [a - 51 for a in anchors[1]] == [a - 20 for a in anchors[2]] and set(anchors[1]) <= set(range(51, 56))
+    runs = linededup.runs_around(table, places).collect()
+    assert all(any(r["at"] <= a <= r["to"] for a in anchors[r.doc_id]) for r in runs) and len(runs) < 40
+    assert gone_lines(spark, texts) == {2: set(range(20, 25))}
+    assert linededup.runs_around(table, places.where("false")).isEmpty()
+
+
+def test_line_dedup_of_a_long_text_takes_linear_time(spark):
+    text = "".join(f"Sentence number {i % 9000} of a very long text. " for i in range(24_000))
+    started = time.monotonic()
+    assert gone_lines(spark, [(1, text), (2, "x" * 1_000_000)]) == {1: set(range(9000, 24_000))}
+    assert time.monotonic() - started < 30
+
+
 def test_toxicity_held_out(spark, sf):
     sf = sf.replace("sf0.001", "sf0.1")
     d, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
