@@ -140,3 +140,38 @@ def test_turned_pieces_come_back_to_their_curve(spark):
     assert clustering.piecewise_procrustes(df.where("false")) == []
     with pytest.raises(ValueError, match="overlap"):
         clustering.piecewise_procrustes(df, overlap=2)
+
+
+def plain_comparison(rows):
+    """Pearson correlation, rmse and count of every two maps, pair by pair."""
+    maps = {}
+    for t, a, b, d in rows:
+        maps.setdefault(t, {})[a, b] = d
+    for s in maps:
+        for t in maps:
+            both = [(maps[s][p], maps[t][p]) for p in maps[s] if p in maps[t]]
+            known = [(a, b) for a, b in both if a is not None and b is not None]
+            up = np.array([p for p in known if p[0] > 0 and p[1] > 0]).T
+            if s < t and both:
+                yield s, t, len(both), np.sqrt(np.mean([(a - b) ** 2 for a, b in known])) if known else None, np.corrcoef(up)[0, 1] if up.size > 2 and (up.std(1) > 0).all() else None
+
+
+@pytest.mark.parametrize("tile", [7, 1 << 18])
+def test_maps_meet_in_blocks_of_two(spark, monkeypatch, tile):
+    """Unknown, absent and zero distances, maps all equal; and no pair of maps is shuffled."""
+    monkeypatch.setattr(similarity, "TILE", tile)
+    rng = np.random.default_rng(5)
+    rows = [(i, a, b, None if rng.random() < 0.1 else 0.0 if rng.random() < 0.1 else 5.0 if i == 3 else float(rng.random() * 200)) for i in range(60) for a in range(4) for b in range(a + 1, 4) if rng.random() < 0.8]
+    maps = spark.createDataFrame(rows, "trace_id long, locus_1 int, locus_2 int, distance double")
+    got = {(r.trace_1, r.trace_2): r for r in similarity.compare_maps(maps).collect()}
+    want = list(plain_comparison(rows))
+    assert len(got) == len(want)
+    for s, t, n, rmse, pcc in want:
+        r = got[s, t]
+        assert r.n == n and r.rmse == (None if rmse is None else pytest.approx(rmse)) and r.pcc == (None if pcc is None else pytest.approx(pcc, abs=1e-7))
+    clusters = spark.createDataFrame([(i, i % 3 if i % 10 else None) for i in range(55)], "trace_id long, cluster int")
+    slow = similarity.cluster_similarity(similarity.compare_maps(maps), clusters, "rmse").first()
+    assert tuple(similarity.map_clusters_compared(maps, clusters, "rmse").first()) == pytest.approx(tuple(slow))
+    assert tuple(similarity.map_clusters_compared(maps.where("false"), clusters, "rmse").first()) == (None, None)
+    plan = similarity.compare_maps(maps)._jdf.queryExecution().optimizedPlan().toString()
+    assert "trace_1" not in plan.split("FlatMapGroupsInArrow")[1].split("\n", 1)[1]
