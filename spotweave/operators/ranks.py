@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotweave.operators.checks import require_none
-from spotweave.runtime import stage
+from spotweave.runtime import stage, unstage
 
 #: Orders of the outputs, as their readers expect them.
 LOCUS_PAIR_ORDER = ("fov", "trace_group", "locus_1", "locus_2", "trace_id", "region_1", "region_2")
@@ -16,15 +16,21 @@ REGION_PAIR_ORDER = ("fov", "channel", "timepoint_1", "timepoint_2", "distance")
 TRACE_ORDER = ("fov", "roi_id", "ref_timepoint", "trace_id", "timepoint")
 POINT_ORDER = ("zc", "yc", "xc")
 
+SHARE = 1 << 20  # rows that a task sorts
 
-def numbered_rows(df: DataFrame, order: list[str], name: str = "row_number") -> DataFrame:
-    """df with the 0-based number of each row in a total order (W1). Ranks are counted in range partitions and offset by
-    the rows before, so no single task sorts all; the result comes in no order of its own."""
-    parts = df.repartitionByRange(*order).withColumn("part_", F.spark_partition_id())
-    held = stage(parts.withColumn("rank_", F.row_number().over(Window.partitionBy("part_").orderBy(*order))), "row-numbers")
+
+def numbered_rows(df: DataFrame, order: list[str], name: str = "row_number", *, ordered: bool = False, share: int = SHARE) -> DataFrame:
+    """df with the 0-based number of each row in a total order (W1). Rows are staged and counted first, so that range partitions of about `share` rows are
+    sorted, each by a task, and offset by the rows before. The result comes in no order of its own; if `ordered`, in that of the numbers, dealt out by them."""
+    rows = stage(df, "unnumbered")
+    n = max(1, -(-rows.count() // share))
+    parts = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("at_", F.monotonically_increasing_id())
+    held = stage(parts, "row-numbers").withColumn("part_", F.shiftright("at_", 33)).withColumn("rank_", F.col("at_").bitwiseAND((1 << 33) - 1)).drop("at_")
+    unstage(rows)
     counts = held.groupBy("part_").agg(F.count("*").alias("n_"))
     before = counts.select("part_", (F.sum("n_").over(Window.orderBy("part_")) - F.col("n_")).alias("before_"))  # a row for each partition
-    return held.join(F.broadcast(before), "part_").withColumn(name, F.col("before_") + F.col("rank_") - 1).drop("part_", "rank_", "before_")
+    out = held.join(F.broadcast(before), "part_").withColumn(name, F.col("before_") + F.col("rank_")).drop("part_", "rank_", "before_")
+    return out.repartitionById(n, F.floor(F.col(name) / share).cast("int")).sortWithinPartitions(name) if ordered else out
 
 
 def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -175,7 +175,7 @@ def locus_pairs_sorted(spark, sf):
     """S1, with the place of each row."""
     pairs = proximity.group_pairs(ad.trace(spark, sf), ["trace_id"], "locus", [], unique=True).select(F.col("trace_id_1").alias("trace_id"), "locus_1", "locus_2")
     order = [c for c in ranks.LOCUS_PAIR_ORDER if c in pairs.columns]
-    return ranks.numbered_rows(pairs, order, "place").orderBy("place")
+    return ranks.numbered_rows(pairs, order, "place", ordered=True)
 
 
 @query(f"WITH {ad.ROI_SQL} SELECT roi_id, fov, timepoint FROM roi ORDER BY roi_id")

@@ -175,3 +175,19 @@ def test_maps_meet_in_blocks_of_two(spark, monkeypatch, tile):
     assert tuple(similarity.map_clusters_compared(maps.where("false"), clusters, "rmse").first()) == (None, None)
     plan = similarity.compare_maps(maps)._jdf.queryExecution().optimizedPlan().toString()
     assert "trace_1" not in plan.split("FlatMapGroupsInArrow")[1].split("\n", 1)[1]
+
+
+def test_numbered_rows_in_shares(spark):
+    """Parts grow in number with the rows, and numbers are their order."""
+    many = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v"))
+    found = ranks.numbered_rows(many, ["v"], "place", ordered=True, share=100)
+    assert found.rdd.getNumPartitions() == 50 and [tuple(r) for r in found.collect()] == [(i, i) for i in range(5000)]
+    assert ranks.numbered_rows(many.where("false"), ["v"], ordered=True).collect() == []
+
+
+def test_traces_in_parts(spark, sf, monkeypatch):
+    from spotweave.plans import adapters
+
+    monkeypatch.setattr(adapters, "ROWS", 500)
+    plan = adapters.trace(spark, sf)
+    assert plan.rdd.getNumPartitions() == -(-adapters.read(spark, sf, "lineitem").count() // 500)
