@@ -191,3 +191,19 @@ def test_traces_in_parts(spark, sf, monkeypatch):
     monkeypatch.setattr(adapters, "ROWS", 500)
     plan = adapters.trace(spark, sf)
     assert plan.rdd.getNumPartitions() == -(-adapters.read(spark, sf, "lineitem").count() // 500)
+
+
+def test_rigid_motions_of_a_batch():
+    rng = np.random.default_rng(8)
+    points, target, good = rng.normal(size=(50, 6, 3)), rng.normal(size=(50, 6, 3)), rng.random((50, 6)) < 0.8
+    good[:, :3], points[0, 5], good[0, 5] = True, np.nan, False
+    moved = kernels.rigid_onto_all(points, target, good)
+    for i in range(50):
+        assert np.allclose(moved[i][good[i]], kernels.rigid_onto(points[i], target[i], good[i])[good[i]])
+
+
+def test_a_piece_that_never_fits_takes_no_part(spark):
+    """It was a fault of the second round."""
+    df = traces(spark).select("trace_id", *"zyx", F.transform("good", lambda g, i: i < 7).alias("good"))
+    mean = clustering.piecewise_procrustes(df, length=5, overlap=3, tolerance=0.0, max_rounds=3)
+    assert mean[6][0] is not None and clustering.piecewise_procrustes(df.withColumn("good", F.transform("good", lambda g, i: i < 5)), tolerance=0.0, max_rounds=3)[4][0] is not None
