@@ -36,9 +36,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, WriterCommitMessage
 
+from spotweave.runtime import arrow_rows
+
 FORMAT = "chunked_arrays"
 GRID = ("t", "c", "z", "y", "x")
 CHUNKS = [f"{a}_chunk" for a in GRID]
+BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20  # of the chunks of a batch that is written
 PIECE = "field string, start array<int>, shape array<int>, voxels array<double>"
 SCHEMA = f"field string, {', '.join(f'{c} int' for c in CHUNKS)}, start array<int>, shape array<int>, voxels array<double>"
 ARROW = pa.schema([("field", pa.string()), *[(c, pa.int32()) for c in CHUNKS], ("start", pa.list_(pa.int32())), ("shape", pa.list_(pa.int32())), ("voxels", pa.list_(pa.float64()))])
@@ -293,10 +296,14 @@ def read_chunks(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def write_chunks(pieces: DataFrame, path: str, chunks: tuple[int, ...], *, overwrite: bool = False, dtype: str = "<f8", compressor: str = "zlib") -> None:
-    """Store pieces (field, start, shape, voxels) that are whole chunks."""
+    """Store pieces (field, start, shape, voxels) that are whole chunks. Batches are bounded by bytes of chunks, too, as what makes and writes the pieces holds a batch
+    of them as objects of Python."""
+    rows = max(1, min(BATCH_ROWS, BATCH_BYTES // (8 * math.prod(chunks))))
     register(pieces.sparkSession)
     out = pieces.select(*[c.split()[0] for c in PIECE.split(", ")]).write.format(FORMAT).mode("overwrite" if overwrite else "append")
-    out.option("chunks", ",".join(map(str, chunks))).option("dtype", dtype).option("compressor", compressor).save(path)
+    out = out.option("chunks", ",".join(map(str, chunks))).option("dtype", dtype).option("compressor", compressor)
+    with arrow_rows(pieces.sparkSession, rows):
+        out.save(path)
 
 
 def cells(boxes: DataFrame, chunks: tuple[int, ...], lo: str = "lo", hi: str = "hi") -> DataFrame:

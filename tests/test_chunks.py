@@ -147,3 +147,13 @@ def test_crops_equal_those_of_images_in_rows(spark, arrays, store):
 def test_rechunking_empty_table(spark):
     assert chunks.rechunked(spark.createDataFrame([], chunks.PIECE), CHUNK, SHAPE).collect() == []
     assert chunks.cells(spark.createDataFrame([([0], [5])], "lo array<int>, hi array<int>"), (2,)).select(F.col("chunk")[0]).count() == 3
+
+
+def test_batches_of_a_write_are_bounded(spark, tmp_path, monkeypatch):
+    """By rows, and by the bytes of their chunks."""
+    held = []
+    monkeypatch.setattr(chunks, "arrow_rows", lambda s, n, f=chunks.arrow_rows: held.append(n) or f(s, n))
+    piece = spark.createDataFrame([("P0001", [0, 0, 0, 0, 0], [1, 1, 1, 2, 2], [1.0, 2.0, 3.0, 4.0])], chunks.PIECE)
+    chunks.write_chunks(piece, str(tmp_path / "a"), (1, 1, 1, 2, 2))
+    chunks.write_chunks(piece, str(tmp_path / "b"), (1, 1, 8, 1024, 1024))
+    assert held == [1000, 1] and chunks.read_chunks(spark, str(tmp_path / "a")).count() == 1
