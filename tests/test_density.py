@@ -120,3 +120,13 @@ def test_near_pairs_are_not_listed(spark, monkeypatch):
         monkeypatch.setattr(module, "stage", lambda df, name, stage=module.stage: held.append(stage(df, name)) or held[-1])
     got = density.density_clusters(df, ["fov"], 4.0, 4).collect()
     assert {(x.cluster, x.core) for x in got} == {(0, True)} and max(h.count() for h in held) <= 400
+
+
+def test_pairs_of_large_groups_are_dealt_out(spark):
+    from spotweave.operators.proximity import group_pairs
+
+    df = spark.createDataFrame(points_of(7, 120, 9) + [(200_000, None, 0.0, 0.0, 0.0)], SCHEMA)
+    pairs = lambda most: group_pairs(df, ["fov"], "roi_id", [], most=most)
+    dealt, plain = pairs(10), pairs(None)
+    assert dealt.columns == plain.columns and dealt.rdd.getNumPartitions() >= 8
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
