@@ -9,6 +9,7 @@ as in an image that is labelled whole."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,14 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.functions import detection
-from spotweave.operators.components import connected_components
-from spotweave.operators.ranks import rank_within
+from spotweave.operators.components import components_within
+from spotweave.operators.ranks import join_same, rank_within
 from spotweave.runtime import stage
 from spotweave.sources.chunks import rechunked
 
 IMAGE = ["field", "t", "c"]
+STACK = 1 << 18  # voxels that are worked as one array
 Shape = tuple[int, int, int, int, int]
-_PART = [("kind", pa.string()), ("field", pa.string()), *[(n, pa.int32()) for n in ("t", "c", "axis", "z", "y", "x", "first_z", "first_y", "first_x")], ("area", pa.int64()), *[(n, pa.float64()) for n in ("sum_z", "sum_y", "sum_x", "total", "largest")]]
+_PART = [("kind", pa.string()), ("field", pa.string()), *[(n, pa.int32()) for n in ("t", "c", "axis")], *[(n, pa.int64()) for n in ("place", "first", "area")], *[(n, pa.float64()) for n in ("sum_z", "sum_y", "sum_x", "total", "largest")]]
 _DDL = ", ".join(f"{n} {'string' if k == pa.string() else 'int' if k == pa.int32() else 'long' if k == pa.int64() else 'double'}" for n, k in _PART)
 
 
@@ -50,16 +52,29 @@ class Seen:
         self.method, self.sigmas = method, {"intensity": (), "dog": (low, high), "blur": (sigma,)}[method]
 
     def __call__(self, image: np.ndarray) -> np.ndarray:
-        blurred = [detection.smoothed(image, s) for s in self.sigmas]
+        """The same for each of several images, if image has a first axis more."""
+        blurred = [detection.smoothed(image, s, image.ndim - 3) for s in self.sigmas]
         return image if not blurred else blurred[0] if len(blurred) == 1 else blurred[0] - blurred[1]
 
 
-def cores(batch: pa.RecordBatch, tile: tuple[int, int, int], seen: Seen) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Row, place, voxels and what the method sees of the tiles of a batch, without their halos."""
-    for i, (start, shape, core) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("start", "shape", "core")), strict=True)):
-        image = batch.column("voxels")[i].values.to_numpy(zero_copy_only=False).reshape(shape)
-        inside = tuple(slice(k - s, min(k - s + n, e)) for k, s, n, e in zip(core, start, tile, shape, strict=True))
-        yield i, np.array(core), image[inside], seen(image)[inside]
+def cores(batch: pa.RecordBatch, tile: tuple[int, int, int], seen: Seen) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows, places, voxels and what the method sees of the tiles of a batch, without their halos: tiles of one shape as one array, of about
+    STACK voxels at most, or of one tile if that has more."""
+    start, shape, core = (batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, 3) for c in ("start", "shape", "core"))
+    voxels = batch.column("voxels")
+    lengths = voxels.value_lengths().to_numpy(zero_copy_only=False)
+    if not np.array_equal(lengths, shape.prod(axis=1, dtype=np.int64)):
+        raise ValueError("a tile whose voxels are not as many as its shape has")
+    values, ends = voxels.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
+    kinds, of = np.unique(np.concatenate([shape, core - start], axis=1), axis=0, return_inverse=True)
+    for k, kind in enumerate(kinds):
+        whole, before = tuple(kind[:3].tolist()), kind[3:].tolist()
+        inside = tuple(slice(b, min(b + n, e)) for b, n, e in zip(before, tile, whole, strict=True))
+        rows = np.flatnonzero(of.ravel() == k)
+        for some in np.array_split(rows, -(-len(rows) * math.prod(whole) // STACK)):
+            if len(some):
+                image = np.stack([values[ends[i] - lengths[i] : ends[i]] for i in some]).reshape(-1, *whole)
+                yield some, core[some], image[:, *inside], seen(image)[:, *inside]
 
 
 def moments(tiles: DataFrame, tile: tuple[int, int, int], seen: Seen) -> DataFrame:
@@ -67,9 +82,11 @@ def moments(tiles: DataFrame, tile: tuple[int, int, int], seen: Seen) -> DataFra
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(i, x.size, float(x.mean()), float(((x - x.mean()) ** 2).sum()), float(x.min()), float(x.max())) for i, _, _, x in cores(batch, tile, seen)]
-            at = pa.array([r[0] for r in rows], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in IMAGE), *(pa.array([r[k] for r in rows], pa.int64() if k == 1 else pa.float64()) for k in range(1, 6))], names=[*IMAGE, "n", "mean", "off", "least", "most"])
+            for rows, _, _, x in cores(batch, tile, seen):
+                flat = x.reshape(len(rows), -1)
+                mean = flat.mean(axis=1)
+                found = [np.full(len(rows), flat.shape[1]), mean, ((flat - mean[:, None]) ** 2).sum(axis=1), flat.min(axis=1), flat.max(axis=1)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(rows)) for c in IMAGE), *map(pa.array, found)], names=[*IMAGE, "n", "mean", "off", "least", "most"])
 
     each = tiles.mapInArrow(task, "field string, t int, c int, n long, mean double, off double, least double, most double")
     total = each.groupBy(*IMAGE).agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"), F.sum("off").alias("off"), F.sum(F.col("n") * F.col("mean") ** 2).alias("squares"), F.min("least").alias("least"), F.max("most").alias("most"))
@@ -85,7 +102,7 @@ def otsu_thresholds(tiles: DataFrame, tile: tuple[int, int, int], seen: Seen, bi
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             least, most = batch.column("least").to_numpy(), batch.column("most").to_numpy()
-            for i, _, _, x in cores(batch, tile, seen):
+            for i, x in ((i, x) for rows, _, _, stack in cores(batch, tile, seen) for i, x in zip(rows, stack, strict=True)):
                 counts = np.histogram(x, bins, (least[i], most[i]))[0]
                 used = np.flatnonzero(counts)
                 row = pa.array(np.full(len(used), i))
@@ -102,44 +119,45 @@ def otsu_thresholds(tiles: DataFrame, tile: tuple[int, int, int], seen: Seen, bi
     return found.select(*IMAGE, threshold("least", "most", "counts").alias("threshold"))
 
 
+def given(kind: str, batch: pa.RecordBatch, rows: np.ndarray, **more: np.ndarray) -> pa.RecordBatch:
+    """Rows of one kind from tiles in the rows of a batch."""
+    image = {c: batch.column(c).take(pa.array(rows)) for c in IMAGE}
+    return pa.RecordBatch.from_arrays([image[c] if c in IMAGE else pa.array([kind] * len(rows), k) if c == "kind" else pa.array(more[c], k) if c in more else pa.nulls(len(rows), k) for c, k in _PART], schema=pa.schema(_PART))
+
+
 def tile_parts(tiles: DataFrame, tile: tuple[int, int, int], shape: Shape, seen: Seen) -> DataFrame:
-    """Parts and face voxels of tiles that come with the threshold, mean and deviation of their image."""
+    """Parts and face voxels of tiles that come with the threshold, mean and deviation of their image. A voxel is named by its number in the image, in the
+    order of z, y, x; a part by its first one."""
+    by = np.array([shape[3] * shape[4], shape[4], 1], np.int64)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            limit, mean, deviation = (batch.column(c).to_numpy() for c in ("threshold", "mean", "deviation"))
-            for i, place, image, x in cores(batch, tile, seen):
-                labels = detection.labelled((x - mean[i]) / (deviation[i] or 1.0) > limit[i])
+            limit, mean, deviation = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("threshold", "mean", "deviation"))
+            for rows, places, image, x in cores(batch, tile, seen):
+                scaled = [v[rows].reshape(-1, 1, 1, 1) for v in (mean, np.where(deviation == 0, 1.0, deviation), limit)]
+                labels = detection.labelled((x - scaled[0]) / scaled[1] > scaled[2], 1)
                 n = int(labels.max(initial=0))
                 if not n:
                     continue
-                inside = np.argwhere(labels) + place
-                of, values = labels[labels > 0] - 1, image[labels > 0]
-                first = inside[np.unique(of, return_index=True)[1]]
-                area = np.bincount(of, minlength=n)
+                held = np.argwhere(labels)  # tile of the stack, z, y, x
+                of, values, inside = labels[labels > 0] - 1, image[labels > 0], held[:, 1:] + places[held[:, 0]]
+                begin = np.full(n, len(of))
+                np.minimum.at(begin, of, np.arange(len(of)))
                 largest = np.full(n, -np.inf)
                 np.maximum.at(largest, of, values)
-                sums = [np.bincount(of, inside[:, a].astype(float), n) for a in range(3)]
-                total = np.bincount(of, values, n)
-                held = {c: [] for c, _ in _PART}
-                who = {c: batch.column(c)[i].as_py() for c in IMAGE}
-
-                def add(kind, axis=None, at=None, part=0, held=held, who=who, first=first, **more):
-                    row = {"kind": kind, **who, "axis": axis, **dict(zip("zyx", at if at is not None else (None,) * 3, strict=True)), **dict(zip(("first_z", "first_y", "first_x"), first[part], strict=True)), **more}
-                    for c in held:
-                        held[c].append(row.get(c))
-
-                for k in range(n):
-                    add("part", part=k, area=area[k], sum_z=sums[0][k], sum_y=sums[1][k], sum_x=sums[2][k], total=total[k], largest=largest[k])
+                owner, first = held[begin, 0], inside[begin] @ by
+                sums = {f"sum_{a}": np.bincount(of, inside[:, k].astype(float), n) for k, a in enumerate("zyx")}
+                yield given("part", batch, rows[owner], first=first, area=np.bincount(of, minlength=n), **sums, total=np.bincount(of, values, n), largest=largest)
                 for axis in range(3):
-                    end = place[axis] + labels.shape[axis]
-                    for kind, at, there in (("low", 0, place[axis] > 0), ("high", labels.shape[axis] - 1, end < shape[axis + 2])):
-                        face = np.take(labels, at, axis)
-                        for spot in np.argwhere(face) if there else ():
-                            voxel = np.insert(spot, axis, at) + place
-                            voxel[axis] += kind == "high"
-                            add(kind, axis, voxel, int(face[tuple(spot)]) - 1)
-                yield pa.RecordBatch.from_arrays([pa.array([v if v is None or k == pa.string() else (float(v) if k == pa.float64() else int(v)) for v in held[c]], k) for c, k in _PART], schema=pa.schema(_PART))
+                    size = labels.shape[axis + 1]
+                    for kind, at, there in (("low", 0, places[:, axis] > 0), ("high", size - 1, places[:, axis] + size < shape[axis + 2])):
+                        face = np.take(labels, at, axis + 1)
+                        face = np.where(there[:, None, None], face, 0)
+                        spots, part = np.argwhere(face), face[face > 0] - 1
+                        voxel = np.insert(spots[:, 1:], axis, at, axis=1) + places[spots[:, 0]]
+                        voxel[:, axis] += kind == "high"
+                        if len(part):
+                            yield given(kind, batch, rows[spots[:, 0]], first=first[part], axis=np.full(len(part), axis), place=voxel @ by)
 
     return tiles.mapInArrow(task, _DDL)
 
@@ -160,13 +178,12 @@ def regions(pieces: DataFrame, shape: Shape, tile: tuple[int, int, int], thresho
     else:
         tiles = tiles.withColumns({"threshold": F.lit(float(threshold)), "mean": F.lit(0.0), "deviation": F.lit(1.0)})
     found = stage(tile_parts(tiles, tile, shape, seen), "tile-parts")
-    node = F.struct(*IMAGE, "first_z", "first_y", "first_x")
-    seam = [*IMAGE, "axis", "z", "y", "x"]
-    low, high = found.where("kind = 'low'").select(*seam, node.alias("src")), found.where("kind = 'high'").select(*seam, node.alias("dst"))
-    joined = connected_components(low.join(high, seam).select("src", "dst").distinct())
-    parts = found.where("kind = 'part'").withColumn("node", node).join(joined, "node", "left").withColumn("whole", F.coalesce("component", "node"))
+    seam = [*IMAGE, "axis", "place"]
+    low, high = (found.where(F.col("kind") == k).select(*seam, F.col("first").alias(end)) for k, end in (("low", "src"), ("high", "dst")))
+    joined = components_within(join_same(low, high, seam), IMAGE).withColumnRenamed("node", "first")
+    parts = join_same(found.where("kind = 'part'"), joined, [*IMAGE, "first"], "left").withColumn("whole", F.coalesce("component", "first"))
     area = F.sum("area")
-    whole = parts.groupBy("whole").agg(*[(F.sum(f"sum_{a}") / area).alias(f"{a}c") for a in "zyx"], area.alias("area"), (F.sum("total") / area).alias("intensityMean"), F.max("largest").alias("max_intensity"))
-    firsts = ["first_z", "first_y", "first_x"]
-    ranked = rank_within(whole.select("whole.*", "zc", "yc", "xc", "area", "intensityMean", "max_intensity"), IMAGE, firsts, "rank_")
+    whole = parts.groupBy(*IMAGE, "whole").agg(*[(F.sum(f"sum_{a}") / area).alias(f"{a}c") for a in "zyx"], area.alias("area"), (F.sum("total") / area).alias("intensityMean"), F.max("largest").alias("max_intensity"))
+    ranked = rank_within(whole, IMAGE, ["whole"], "rank_")
+    firsts = [F.expr(f"whole div {n} % {m}").cast("int").alias(f"first_{a}") for a, n, m in zip("zyx", (shape[3] * shape[4], shape[4], 1), shape[2:], strict=True)]
     return ranked.select(*IMAGE, (F.col("rank_") + 1).alias("label"), "zc", "yc", "xc", "area", "intensityMean", "max_intensity", *firsts)

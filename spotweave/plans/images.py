@@ -20,8 +20,8 @@ def stacks(spark, sf, bright: bool = False) -> tuple[DataFrame, tuple[int, ...]]
     """Every vector as an image of 4 x 4 x 4 voxels, the label its field of view and the id its timepoint, in pieces, and the shape of a field."""
     e = ad.read(spark, sf, "embeddings")
     last = e.agg(F.max("vec_id")).first()[0]
-    voxels = volumes(spark, sf).select(F.col("vec_id").alias("id"), "voxels") if bright else e.select(F.col("vec_id").alias("id"), F.transform("embedding", lambda v: v.cast("double")).alias("voxels"))
-    rows = voxels.join(e.select(F.col("vec_id").alias("id"), "label"), "id")
+    named = e.select(F.col("vec_id").alias("id"), "label", F.transform("embedding", lambda v: v.cast("double")).alias("voxels"))
+    rows = volumes(spark, sf).select(F.col("vec_id").alias("id"), "voxels").join(named.drop("voxels"), "id") if bright else named
     at = F.array(F.col("id").cast("int"), *[F.lit(0)] * 4)
     return rows.select(fov_name(F.col("label")).alias("field"), at.alias("start"), F.array(*[F.lit(n) for n in (1, 1, 4, 4, 4)]).alias("shape"), "voxels"), ((last if last is not None else -1) + 1, 1, 4, 4, 4)
 

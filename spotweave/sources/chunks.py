@@ -42,6 +42,7 @@ FORMAT = "chunked_arrays"
 GRID = ("t", "c", "z", "y", "x")
 CHUNKS = [f"{a}_chunk" for a in GRID]
 BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20  # of the chunks of a batch that is written
+CUT_VOXELS = 512  # of a piece that is cut together with others
 PIECE = "field string, start array<int>, shape array<int>, voxels array<double>"
 SCHEMA = f"field string, {', '.join(f'{c} int' for c in CHUNKS)}, start array<int>, shape array<int>, voxels array<double>"
 ARROW = pa.schema([("field", pa.string()), *[(c, pa.int32()) for c in CHUNKS], ("start", pa.list_(pa.int32())), ("shape", pa.list_(pa.int32())), ("voxels", pa.list_(pa.float64()))])
@@ -326,15 +327,42 @@ def joined_pieces(lo, hi, parts) -> np.ndarray:
     return out
 
 
+def cut_pieces(start: pa.Array, shape: pa.Array, voxels: pa.Array, lo: pa.Array, hi: pa.Array, axes: int) -> pa.Array:
+    """The voxels from lo to hi of each piece of so many axes. Pieces that are cut alike are cut as one array, large ones each by itself."""
+    start, shape, lo, hi = (c.flatten().to_numpy(zero_copy_only=False).reshape(-1, axes) for c in (start, shape, lo, hi))
+    lengths = voxels.value_lengths().to_numpy(zero_copy_only=False)
+    if not np.array_equal(lengths, shape.prod(axis=1, dtype=np.int64)):
+        raise ValueError("a piece whose voxels are not as many as its shape has")
+    values, begin = voxels.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths) - lengths
+    bounds = np.append(0, np.cumsum((hi - lo).prod(axis=1, dtype=np.int64)))
+    out = np.empty(bounds[-1])
+    kinds, of = np.unique(np.concatenate([shape, lo - start, hi - start], axis=1), axis=0, return_inverse=True)
+    order = np.argsort(of.ravel(), kind="stable")
+    ends = np.searchsorted(of.ravel()[order], np.arange(len(kinds) + 1))
+    for k, kind in enumerate(kinds):
+        rows, (whole, first, last) = order[ends[k] : ends[k + 1]], np.split(kind, 3)
+        inside = tuple(slice(a, b) for a, b in zip(first, last, strict=True))
+        if math.prod(whole.tolist()) > CUT_VOXELS:
+            for i in rows:
+                out[bounds[i] : bounds[i + 1]] = values[begin[i] : begin[i] + lengths[i]].reshape(whole)[inside].ravel()
+        else:
+            at = np.arange(math.prod(whole.tolist())).reshape(whole)[inside].ravel()
+            out[bounds[rows][:, None] + np.arange(len(at))] = values[begin[rows][:, None] + at]
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(out))
+
+
 def assembled(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, lo, hi and voxels of boxes from their parts (start, shape, voxels); what no part holds is 0."""
+    """keys, lo, hi and voxels of boxes from their parts (start, shape, voxels); what no part holds is 0. A part that is the whole box is taken as it is."""
 
     @F.pandas_udf("array<double>")
     def whole(lo: pd.Series, hi: pd.Series, ps: pd.Series) -> pd.Series:
-        return pd.Series([joined_pieces(a, b, p).ravel() for a, b, p in zip(lo, hi, ps, strict=True)], dtype=object)
+        return pd.Series([None if p is None else joined_pieces(a, b, p).ravel() for a, b, p in zip(lo, hi, ps, strict=True)], dtype=object)
 
     row = parts.groupBy(*keys, "lo", "hi").agg(F.collect_list(F.struct("start", "shape", "voxels")).alias("parts_"))
-    return row.select(*keys, "lo", "hi", whole("lo", "hi", "parts_").alias("voxels"))
+    only = F.get("parts_", F.lit(0))
+    alone = (F.size("parts_") == 1) & (only["start"] == F.col("lo")) & (only["shape"] == F.zip_with("hi", "lo", lambda b, a: b - a))
+    row = row.select(*keys, "lo", "hi", F.when(alone, only["voxels"]).alias("alone_"), F.when(~alone, F.col("parts_")).alias("parts_"))
+    return row.select(*keys, "lo", "hi", F.coalesce("alone_", whole("lo", "hi", "parts_")).alias("voxels"))
 
 
 def rechunked(pieces: DataFrame, chunks: tuple[int, ...], shape: tuple[int, ...], halo: tuple[int, ...] | None = None) -> DataFrame:
@@ -342,13 +370,9 @@ def rechunked(pieces: DataFrame, chunks: tuple[int, ...], shape: tuple[int, ...]
     meet, and the cuts of a chunk are put together. Pieces must not overlap; what none holds is 0. With a halo, chunks reach so many
     voxels into their neighbours, as far as the array goes, and `core` is where they start without it: only borders travel twice."""
 
-    @F.pandas_udf("array<double>")
-    def cut(start: pd.Series, size: pd.Series, voxels: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.Series:
-        out = []
-        for s, n, v, a, b in zip(start, size, voxels, lo, hi, strict=True):
-            inside = tuple(slice(p - o, q - o) for p, q, o in zip(a, b, s, strict=True))
-            out.append(np.asarray(v).reshape(tuple(n))[inside].ravel())
-        return pd.Series(out, dtype=object)
+    @F.arrow_udf("array<double>")
+    def cut(start: pa.Array, size: pa.Array, voxels: pa.Array, lo: pa.Array, hi: pa.Array) -> pa.Array:
+        return cut_pieces(start, size, voxels, lo, hi, len(chunks))
 
     axes, more = range(len(chunks)), halo or (0,) * len(chunks)
     each = lambda f: F.array(*[f(i) for i in axes]).cast("array<int>")

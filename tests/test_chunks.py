@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +158,23 @@ def test_batches_of_a_write_are_bounded(spark, tmp_path, monkeypatch):
     chunks.write_chunks(piece, str(tmp_path / "a"), (1, 1, 1, 2, 2))
     chunks.write_chunks(piece, str(tmp_path / "b"), (1, 1, 8, 1024, 1024))
     assert held == [1000, 1] and chunks.read_chunks(spark, str(tmp_path / "a")).count() == 1
+
+
+@pytest.mark.parametrize("bound", [0, 512])
+def test_pieces_are_cut_by_kind(monkeypatch, bound):
+    """A batch of pieces is cut as arrays of those that are cut alike, as each is alone, also from the middle of a batch and from none."""
+    monkeypatch.setattr(chunks, "CUT_VOXELS", bound)
+    r = np.random.default_rng(4)
+    rows = []
+    for i in range(60):
+        start, shape = [i, *r.integers(0, 5, 2).tolist()], r.integers(1, 4, 3).tolist()
+        lo = [s + int(r.integers(0, n)) for s, n in zip(start, shape, strict=True)]
+        hi = [int(r.integers(a + 1, s + n + 1)) for a, s, n in zip(lo, start, shape, strict=True)]
+        rows.append((start, shape, r.random(np.prod(shape)).tolist(), lo, hi))
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [pa.list_(pa.int32())] * 2 + [pa.list_(pa.float64())] + [pa.list_(pa.int32())] * 2, strict=True)]
+    got = chunks.cut_pieces(*[c.slice(5) for c in columns], 3).to_pylist()
+    want = [np.array(v).reshape(n)[tuple(slice(a - s, b - s) for s, a, b in zip(o, lo, hi, strict=True))].ravel().tolist() for o, n, v, lo, hi in rows[5:]]
+    assert got == want
+    assert len(chunks.cut_pieces(*[c.slice(60) for c in columns], 3)) == 0
+    with pytest.raises(ValueError):
+        chunks.cut_pieces(columns[0], columns[1], pa.array([[1.0]] * 59 + [None], pa.list_(pa.float64())), columns[3], columns[4], 3)
