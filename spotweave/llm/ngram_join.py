@@ -428,8 +428,9 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bo
         def near(sigs, ns, held, n, bits) -> list[int]:
             return [int(v) for v, m, x in zip(sigs, ns, held, strict=True) if 5 * min(m, n) >= 4 * max(m, n) and may_link(x, bits, int(m), int(n))]
 
-        found = met.join(blocks, "big").select("y", tested(near, "array<long>")("sigs", "ns", "maps", "n_y", "bits_y").alias("xs")).where(F.size("xs") > 0)
-        return found.select("y", F.explode("xs").alias("x")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        # exploded where it is made: a filter on its size would have it made twice, by two Python workers of a task
+        found = met.join(blocks, "big").select("y", F.explode(tested(near, "array<long>")("sigs", "ns", "maps", "n_y", "bits_y")).alias("x"))
+        return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
     def merged(links: DataFrame) -> DataFrame:
         """nodes (sig, comp) with the components that links join made one."""

@@ -22,14 +22,14 @@ import re
 import sys
 import types
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from spotweave.runtime import limit_batches
+from spotweave.runtime import limit_batches, release_worker_memory
 
 CAPACITY = 2048
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -44,40 +44,50 @@ def byte_alphabet() -> dict[str, int]:
     return table
 
 
-def load_encoder(path: str):
+def load_encoder(path: str) -> Callable[[str], list[int]]:
     """text -> ids of the byte-level vocabulary file at path; none are added, but added tokens in a text are found.
 
     The vocabulary's ids follow its merge order, so the merges can run as ranks, several times faster than
     the file's own library; both are compared on loading, and that library takes over for texts that hold an added
-    token or extremely long runs without white space, and for vocabularies where the two differ."""
+    token or extremely long runs without white space, and for vocabularies where the two differ. It is `held` only from the
+    first text that needs it to the next `release()`."""
     import json
 
     import tiktoken
     from tokenizers import Tokenizer
 
-    plain = Tokenizer.from_file(path)
-    slow = lambda t: plain.encode(t, add_special_tokens=False).ids
-    spec = json.load(open(path, encoding="utf-8"))
+    held: list[Tokenizer] = []
+
+    def slow(t: str) -> list[int]:
+        if not held:
+            held.append(Tokenizer.from_file(path))
+        return held[0].encode(t, add_special_tokens=False).ids
+
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
     special = {x["content"] for x in spec.get("added_tokens", [])}
     alphabet = byte_alphabet()
     ranks = {bytes(alphabet[c] for c in k): v for k, v in spec["model"]["vocab"].items() if k not in special}
+    said = [w for w in sorted(spec["model"]["vocab"]) if w not in special][::97]  # words of the whole vocabulary
+    del spec
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    said = [w for w in sorted(spec["model"]["vocab"]) if w not in special][::97]  # words of the whole vocabulary
     probes = ["It's 3.14 a\tb  c\n\n d éñß 漢字 -- x_y '' we'll I'VE end ", *(bytes(alphabet[c] for c in "".join(said[i : i + 50])).decode("utf-8", "replace") for i in range(0, len(said), 50))]
-    if any(fast(t) != slow(t) for t in probes):
-        return slow
     other = re.compile("|".join([LONG_RUN.pattern, *map(re.escape, sorted(special))]))
-    return lambda t: slow(t) if other.search(t) else fast(t)
+    encode = slow if any(fast(t) != slow(t) for t in probes) else lambda t: slow(t) if other.search(t) else fast(t)
+    encode.held, encode.release = held, held.clear
+    encode.release()
+    return encode
 
 
-def worker_encoder(path: str):
+def worker_encoder(path: str) -> Callable[[str], list[int]]:
     """load_encoder once for each Python process."""
     cache = sys.modules.setdefault("_spotweave_worker_cache", types.ModuleType("_spotweave_worker_cache"))
     if not hasattr(cache, "encoders"):
         cache.encoders = {}
     if path not in cache.encoders:
         cache.encoders[path] = load_encoder(path)
+        release_worker_memory()
     return cache.encoders[path]
 
 
@@ -186,6 +196,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, end_id: int = 1, cap
             yield frame()
         packer.flush()
         yield frame()
+        del packer
+        encode.release()
+        release_worker_memory()
 
     limit_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInPandas(pack, SCHEMA)

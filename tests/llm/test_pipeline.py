@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_operators import EMPTY, ODD, brute_components, brute_hits, dedup_by_brute_force
 
 import corpus_pipeline
-from spotweave.llm import packing, queries, toxicity
+from spotweave.llm import ngram_join, packing, queries, toxicity
 from spotweave.runtime import read
 
 STAGES = dict(corpus_pipeline.STAGES)
@@ -65,3 +65,37 @@ def test_run(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert 0 < out.count()
     assert out.agg({"length": "max"}).first()[0] <= 2048
+
+
+def test_packing_holds_no_library():
+    """A worker keeps its encoder for later tasks, but the file's own library only while a task has texts that need it."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(queries.tokenizer_path())
+    encode = packing.load_encoder(queries.tokenizer_path())
+    added = next(iter(plain.get_added_tokens_decoder().values())).content
+    for text, needed in (("It's plain. ", False), ("x" * 5000, True), (f"a {added} b", True), ("again 漢字", False)):
+        encode.release()
+        assert not encode.held
+        assert encode(text) == plain.encode(text, add_special_tokens=False).ids
+        assert bool(encode.held) == needed
+
+
+def test_join_asks_once(spark, sf, monkeypatch, capsys):
+    """No step of the n-gram join has two Python workers in one task: each stays, with its memory, for the stages that follow."""
+    plans, stage = [], ngram_join.stage
+
+    def watched(df, name):
+        capsys.readouterr()
+        df.explain()
+        plans.append((name, capsys.readouterr().out))
+        return stage(df, name)
+
+    monkeypatch.setattr(ngram_join, "stage", watched)
+    ngram_join.keep_first(read(spark, sf, "documents"))
+    assert "join-left-over" in dict(plans)
+    for name, plan in plans:
+        run = 0
+        for line in plan.splitlines():
+            run = 0 if "Exchange" in line else run + any(x in line for x in ("ArrowEvalPython", "MapInPandas"))
+            assert run < 2, (name, plan)
