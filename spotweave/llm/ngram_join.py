@@ -37,10 +37,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spotweave.llm.medians import ranges
+from spotweave.llm.substrings import Texts, slices
 from spotweave.operators.components import connected_components
 from spotweave.runtime import arrow_rows, broadcast_if_small, forget_shuffles, limit_batches, release_worker_memory, stage
 
@@ -50,65 +54,98 @@ WORD_SHARE = 50_000  # words of a share of 1 / WORD_SHARE of a chunk or more are
 MAX_COMBINED = 16  # frequent tokens of a prefix up to which they are indexed by combinations of two
 HUBS = 8  # of a family, in each turn
 SHARED = 8  # prefix tokens that two linked sets share, or all that the smaller overlap allows
+LONG = 64  # bytes of a word
+SLOTS = 1 << 20  # of tables by the low bits of a hash
+LATE = 1 << 20  # in the order of tokens, where hot ones start; sums of five words' weights are below 320
+_SLOT = np.uint64(SLOTS - 1)
+_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 100_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9FB21C651E98DF25)
     return h ^ (h >> np.uint64(32))
 
 
-def shingles(text: str | None, hashes: dict, n: int = N) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of a text, and the hashes of its shingles in order, both uint64; empty without words."""
-    words = text.encode("utf-8", "replace").lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    if len(words) < n:
-        return np.zeros(0, np.uint64), np.array([xxhash.xxh3_64_intdigest(b"\0".join(words), seed=len(words))], np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    size = len(w) - n + 1
-    h = w[:size] * _ODD[0]
-    for i in range(1, n):
-        h += w[i : i + size] * _ODD[i % len(_ODD)]
-    return w, mixed(h)
-
-
-def shingle_set(text: str | None, hashes: dict | None = None, n: int = N) -> np.ndarray:
-    """Sorted distinct shingle hashes (uint64) of a text; empty without words."""
-    return np.unique(shingles(text, WordHashes() if hashes is None else hashes, n)[1])
-
-
-def commonness(w: np.ndarray, size: int, words: np.ndarray, weight: np.ndarray, n: int = N) -> np.ndarray:
-    """For each shingle the sum of its words' weights: the logarithm of the count of a common word, 0 for others."""
-    if not len(words) or size < 1 or not len(w):
-        return np.zeros(size, np.int64)
-    at = np.minimum(np.searchsorted(words, w), len(words) - 1)
-    one = np.where(words[at] == w, weight[at], 0)
-    total = np.cumsum(np.concatenate([[0], one]))
-    return total[n:] - total[:-n]
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash (uint64) of each word of the bytes, of its length and eight bytes at a time; longer words than LONG are left to xxhash."""
+    size = ends - starts
+    eight = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))  # from any byte on
+    out = mixed(size.astype(np.uint64))
+    left = np.flatnonzero(size <= LONG)
+    for k in range(0, LONG, 8):
+        left = left[size[left] > k]
+        if not len(left):
+            break
+        out[left] = mixed(out[left] ^ (eight[starts[left] + k] & _BYTES[np.minimum(size[left] - k, 8)]))
+    for i in np.flatnonzero(size > LONG):
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return out
+
+
+def word_weights(words: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The logarithms of the counts of common words by the low bits of their hashes, 0 elsewhere. Few other words share these bits: these
+    are weighted alike everywhere, so that the order of shingles stays one."""
+    weights = np.zeros(SLOTS, np.uint8)
+    np.maximum.at(weights, (words & _SLOT).astype(np.int64), np.array([int(c).bit_length() for c in count], np.uint8))
+    return weights
+
+
+class Sets:
+    """The shingle sets of some texts, worked as one array: text i has the sorted distinct hashes (uint64) tokens[at[i]:at[i + 1]], and
+    the hashes words[first[i]:first[i + 1]] of its words in order. With weights of words, place is the sum of its words' for each token."""
+
+    def __init__(self, texts: pa.Array, weights: np.ndarray | None = None):
+        found = Texts(texts)
+        self.first = found.first
+        self.words = w = word_hashes(np.frombuffer(found.bytes.tobytes().lower(), np.uint8), found.starts, found.ends)
+        begin, count = self.first[:-1], np.diff(self.first)
+        rolled = w * _ODD[0]
+        for i in range(1, N):
+            rolled[:-i] += w[i:] * _ODD[i]
+        for c in range(1, N):  # texts of fewer words are one shingle
+            short = begin[count == c]
+            rolled[short] = sum(w[short + i] * _ODD[i] for i in range(c)) + np.uint64(c)
+        size = np.where(count < N, np.minimum(count, 1), count - N + 1)
+        which, at = ranges(begin, size), np.concatenate([[0], np.cumsum(size)])
+        h = mixed(rolled[which])
+        if weights is not None:
+            total = np.concatenate([[0], np.cumsum(weights[w & _SLOT], dtype=np.int64)])
+            place = total[np.minimum(which + N, len(w))] - total[which]
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            if weights is None:
+                h[a:b].sort()
+            else:  # equal shingles have the same place
+                order = h[a:b].argsort()
+                h[a:b], place[a:b] = h[a:b][order], place[a:b][order]
+        new = np.append(True, h[1:] != h[:-1])[: len(h)]
+        new[at[:-1][size > 0]] = True
+        self.tokens, self.place = h[new], None if weights is None else place[new]
+        self.at = np.concatenate([[0], np.cumsum(new)])[at]
+
+    def ids(self) -> list[int | None]:
+        """The class of each text; None without words."""
+        return [class_id(self.tokens[a:b]) if b > a else None for a, b in zip(self.at[:-1].tolist(), self.at[1:].tolist(), strict=True)]
+
+    def bitmaps(self) -> pa.Array:
+        """Four bits or more for each shingle of a text, a power of two in all; the low bits of a shingle are its place."""
+        n = np.diff(self.at)
+        bits = np.array([max(64, 1 << (4 * k - 1).bit_length()) if k else 0 for k in n.tolist()], np.int64)
+        end = np.cumsum(bits)
+        flags = np.zeros(bits.sum(), np.uint8)
+        flags[np.repeat(end - bits, n) + (self.tokens & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64)] = 1
+        return binaries(np.packbits(flags, bitorder="little"), np.concatenate([[0], end]) // 8)
+
+
+def binaries(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
 
 
 def class_id(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s)) - (1 << 63)
 
 
-def bitmap(s: np.ndarray) -> bytes:
-    """Four bits or more for each shingle, a power of two in all; the low bits of a shingle are its place."""
-    m = max(64, 1 << (4 * len(s) - 1).bit_length())
-    flags = np.zeros(m, np.uint8)
-    flags[(s & np.uint64(m - 1)).astype(np.int64)] = 1
-    return np.packbits(flags, bitorder="little").tobytes()
-
-
 def may_link(x: bytes, y: bytes, n: int, m: int) -> bool:
     """False only if the sets cannot link: each bit that differs needs a shingle that one set alone has."""
     a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
@@ -127,55 +164,81 @@ def profile(docs: DataFrame) -> DataFrame:
     """Rows of documents (doc_id, sig, n, bits) and, with token set, local counts of repeated shingles (n = 0) and of
     common words (n = 1)."""
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, sets, spoken, seen, size = WordHashes(), [], [], set(), 0
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, spoken, seen, size = [], [], set(), 0
+        names = ["doc_id", "sig", "n", "bits", "token", "cnt"]
 
-        def counted() -> pd.DataFrame:
+        def counted() -> pa.RecordBatch:
             parts = []
             for kind, held in ((0, sets), (1, spoken)):
                 token, count = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
                 keep = count >= (max(LEAST_LOCAL, size // WORD_SHARE) if kind else LEAST_LOCAL)
-                parts.append(pd.DataFrame({"doc_id": None, "sig": None, "n": kind, "bits": None, "token": token[keep].view(np.int64), "cnt": count[keep]}))
-            return pd.concat(parts).astype({"doc_id": "Int64", "sig": "Int64", "n": "Int64", "bits": object})
+                parts.append((np.full(keep.sum(), kind), token[keep].view(np.int64), count[keep].astype(np.int64)))
+            n, token, count = (pa.array(np.concatenate(x)) for x in zip(*parts, strict=True))
+            none = pa.nulls(len(n), pa.int64())
+            return pa.RecordBatch.from_arrays([none, none, n, pa.nulls(len(n), pa.binary()), token, count], names=names)
 
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                w, h = shingles(text, hashes)
-                s = np.unique(h)
-                sig = class_id(s) if len(s) else None
-                rows.append((None if pd.isna(doc_id) else int(doc_id), sig, len(s), bitmap(s) if len(s) else None))
-                if sig is not None and sig not in seen:
-                    seen.add(sig)
-                    sets.append(s)
-                    spoken.append(w)
-                    size += len(s)
-                if len(sets) >= CHUNK_DOCS or size >= CHUNK_TOKENS:
-                    yield counted()
-                    sets, spoken, seen, size = [], [], set(), 0
-            out = pd.DataFrame(rows, columns=["doc_id", "sig", "n", "bits"]).astype({"doc_id": "Int64", "sig": "Int64", "n": "Int64"})
-            yield out.assign(token=pd.array([None] * len(out), dtype="Int64"), cnt=pd.array([None] * len(out), dtype="Int64"))
+            for rows in slices(batch):
+                got = Sets(rows.column("text"))
+                sigs, held = got.ids(), np.diff(got.at)
+                none = pa.nulls(len(rows), pa.int64())
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(sigs, pa.int64()), pa.array(held), pc.if_else(pa.array(held > 0), got.bitmaps(), pa.scalar(None, pa.binary())), none, none], names=names)
+                for i, sig in enumerate(sigs):
+                    if sig is not None and sig not in seen:
+                        seen.add(sig)
+                        sets.append(got.tokens[got.at[i] : got.at[i + 1]].copy())  # a part would hold the whole
+                        spoken.append(got.words[got.first[i] : got.first[i + 1]].copy())
+                        size += len(sets[-1])
+                    if len(sets) >= CHUNK_DOCS or size >= CHUNK_TOKENS:
+                        yield counted()
+                        sets, spoken, seen, size = [], [], set(), 0
         yield counted()
-        del hashes, sets, spoken, seen
+        del sets, spoken, seen
         release_worker_memory()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(scan, "doc_id long, sig long, n long, bits binary, token long, cnt long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "doc_id long, sig long, n long, bits binary, token long, cnt long")
+
+
+def ranked(hot: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hot shingles (sorted), their ranks by counts, and which low bits of a shingle any of them has."""
+    rank = np.empty(len(hot), np.int64)
+    rank[np.lexsort((hot, weight))] = np.arange(len(hot))
+    low = np.zeros(SLOTS, bool)
+    low[hot & _SLOT] = True
+    return hot, rank, low
+
+
+def ordered(tokens: np.ndarray, hot: tuple[np.ndarray, np.ndarray, np.ndarray], place: np.ndarray) -> np.ndarray:
+    """The place of each token in the global order, where equal ones are ordered by hash: place, and from LATE on the ranks of the hot ones."""
+    known, rank, low = hot
+    maybe = np.flatnonzero(low[tokens & _SLOT])
+    at = np.searchsorted(known, tokens[maybe])
+    maybe, at = (x[at < len(known)] for x in (maybe, at))
+    real = known[at] == tokens[maybe]
+    out = place.astype(np.int64)
+    out[maybe[real]] = LATE + rank[at[real]]
+    return out
+
+
+def prefixes(tokens: np.ndarray, begin: np.ndarray, size: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The extended prefixes of the sets tokens[begin:begin + size], which are sorted, and in an order as of `ordered`: their tokens,
+    which of them are hot, and the length of each prefix."""
+    need = required(size)
+    length = np.where(size < 4, 0, size - need + np.minimum(SHARED, need))  # a smaller set links with its equals only
+    by = order << 32 | np.arange(len(tokens))
+    for a, n in zip(begin.tolist(), size.tolist(), strict=True):
+        by[a : a + n].sort()
+    first = by[ranges(begin, length)]
+    return tokens[first & 0xFFFFFFFF], first >= LATE << 32, length
 
 
 def prefix(s: np.ndarray, hot: np.ndarray, weight: np.ndarray, place: np.ndarray | None = None) -> tuple[np.ndarray, int]:
     """The extended prefix of one set in the global order, and how many of it, from its start, are not hot; hot (sorted)
     and weight are the hot shingles and their counts; place, an integer for each shingle, orders the others."""
-    n = len(s)
-    if n < 4:  # links with its equals only
-        return s[:0], 0
-    at = np.searchsorted(hot, s)
-    common = (hot[np.minimum(at, len(hot) - 1)] == s) if len(hot) else np.zeros(n, bool)
-    length = n - required(n) + min(SHARED, required(n))
-    rare = s[~common] if place is None else s[~common][np.argsort(place[~common], kind="stable")]
-    rare = rare[:length]
-    late = s[common]
-    late = late[np.lexsort((late, weight[at[common]]))][: length - len(rare)] if len(rare) < length else late[:0]
-    return np.concatenate([rare, late]), len(rare)
+    order = ordered(s, ranked(hot, weight), np.zeros(len(s), np.int64) if place is None else place)
+    found, late, _ = prefixes(s, np.array([0]), np.array([len(s)]), order)
+    return found, int((~late).sum())
 
 
 def postings(docs: DataFrame, hot: list[tuple[int, int]], common: list[tuple[int, int]]) -> DataFrame:
@@ -185,39 +248,28 @@ def postings(docs: DataFrame, hot: list[tuple[int, int]], common: list[tuple[int
         order = sorted((t % (1 << 64), c) for t, c in rows)
         return np.array([t for t, _ in order], np.uint64), np.array([c for _, c in order], np.int64)
 
-    words, count = table(common)
-    held = docs.sparkSession.sparkContext.broadcast((*table(hot), words, np.array([int(c).bit_length() for c in count], np.int64)))
+    held = docs.sparkSession.sparkContext.broadcast((*table(hot), *table(common)))
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, weight, words, logs = held.value
-        hashes, seen = WordHashes(), set()
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, weight, words, count = held.value
+        late, weights, seen = ranked(tokens, weight), word_weights(words, count), set()
         for batch in batches:
-            keys, one, held_rows = [], [], 0
-
-            def frame() -> pd.DataFrame:
-                sigs, n, times, cool = (np.array(x, np.int64) for x in zip(*one, strict=True))
-                place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                return pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "sig": np.repeat(sigs, times), "n": np.repeat(n, times).astype(np.int32), "hot": place >= np.repeat(cool, times)})
-
-            for text in batch["text"]:
-                w, h = shingles(text, hashes)
-                s, at = np.unique(h, return_index=True)
-                if len(s) < 4 or (sig := class_id(s)) in seen:
-                    continue
-                seen.add(sig)
-                found, cool = prefix(s, tokens, weight, commonness(w, len(h), words, logs)[at])
-                keys.append(found)
-                one.append((sig, len(s), len(found), cool))
-                held_rows += len(found)
-                if held_rows > 100_000:
-                    yield frame()
-                    keys, one, held_rows = [], [], 0
-            if keys:
-                yield frame()
-        del hashes, seen
+            for rows in slices(batch):
+                got = Sets(rows.column("text"), weights)
+                sigs, n, new = got.ids(), np.diff(got.at), []
+                for i, k in enumerate(n.tolist()):
+                    if k >= 4 and sigs[i] not in seen:
+                        seen.add(sigs[i])
+                        new.append(i)
+                if new:
+                    key, is_hot, times = prefixes(got.tokens, got.at[new], n[new], ordered(got.tokens, late, got.place))
+                    sig = np.array([sigs[i] for i in new], np.int64)
+                    columns = [key.view(np.int64), np.repeat(sig, times), np.repeat(n[new], times).astype(np.int32), is_hot]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "sig", "n", "hot"])
+        del late, weights, seen
         release_worker_memory()
 
-    return docs.select("text").mapInPandas(scan, "key long, sig long, n int, hot boolean")
+    return docs.select("text").mapInArrow(scan, "key long, sig long, n int, hot boolean")
 
 
 def lists(rows: DataFrame, salts: int) -> DataFrame:
@@ -237,18 +289,16 @@ def fits(n: Column, m: Column) -> Column:
 def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(sig, words): the shingle set, as bytes, of each wanted class; wanted has doc_id and sig, a row for a class."""
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [shingle_set(t, hashes) for t in batch["text"]]
-            sig = np.array([class_id(s) for s in got], np.int64)
-            fits = np.flatnonzero(sig == batch["sig"].to_numpy())
-            yield pd.DataFrame({"sig": sig[fits], "words": [got[i].tobytes() for i in fits]})
-        del hashes
+            for rows in slices(batch):
+                got = Sets(rows.column("text"))
+                fits = pc.equal(pa.array(got.ids(), pa.int64()), rows.column("sig"))
+                yield pa.RecordBatch.from_arrays([rows.column("sig"), binaries(got.tokens.view(np.uint8), 8 * got.at)], names=["sig", "words"]).filter(fits)
         release_worker_memory(False)
 
     ids = wanted.select(F.col("doc_id"), "sig")
-    return docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id").mapInPandas(scan, "sig long, words binary").dropDuplicates(["sig"])
+    return docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id").mapInArrow(scan, "sig long, words binary").dropDuplicates(["sig"])
 
 
 def tested(test: Callable[..., object], kind: str) -> Callable:

@@ -292,6 +292,48 @@ def test_ngram_join_keeps_all_of_a_long_list(spark, n, hot):
     assert got.count() == n and got.select("hub").distinct().count() == (7 if hot else 1)
 
 
+def test_ngram_join_hashes_words_as_arrays(texts):
+    """Words and sets as by brute force, whatever stands beside a text, at less than the cost of a look at each word."""
+    import numpy as np
+    import pyarrow as pa
+
+    long = [f"{'x' * n} {'x' * n}\0 {'x' * (n - 1)}Y b c d e" for n in (1, 7, 8, 9, 16, 63, 64, 65, 5000)]
+    held = [t for _, t in texts] + long + ["a b c d", "A\vB\fc d\x1ce", "É é Ａ", "a b c d e", None, "a b c d\0", *["a b a b a b a b"] * 2]
+    words, sets, order = {}, {}, {}
+    weights = ngram_join.word_weights(ngram_join.Sets(pa.array(["the of x a b"])).words, np.array([900, 800, 30, 20, 10]))
+    for column in (pa.array(held), pa.array(["no", *held[::-1], "no"])[1:-1], *(pa.array([t], pa.string()) for t in held[-40:])):
+        got = ngram_join.Sets(column, weights)
+        assert got.ids() == ngram_join.Sets(column).ids() and len(got.bitmaps()) == len(column)
+        for i, (t, sig) in enumerate(zip(column.to_pylist(), got.ids(), strict=True)):
+            w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+            h = got.words[got.first[i] : got.first[i + 1]].tolist()
+            assert len(h) == len(w) and all(words.setdefault(a, b) == b for a, b in zip(w, h, strict=True))
+            assert got.at[i + 1] - got.at[i] == len(shingles(t)) and sets.setdefault(shingles(t), sig) == sig and (sig is None) == (not w)
+            tokens, place = (x[got.at[i] : got.at[i + 1]].tolist() for x in (got.tokens, got.place))
+            assert tokens == sorted(set(tokens)) and all(order.setdefault(k, v) == v for k, v in zip(tokens, place, strict=True) if len(w) >= 5)
+    assert len(set(words.values())) == len(words) and len(set(sets.values())) == len(sets)
+
+    def seconds(f):
+        began = time.process_time()
+        f()
+        return time.process_time() - began
+
+    many = [" ".join(f"w{500 * i + j}" for j in range(500)) for i in range(800)]
+    column, hashes = pa.array(many), {}
+    plain = min(seconds(lambda: [np.fromiter((hashes.setdefault(w, len(hashes)) for w in t.encode().lower().split()), np.int64) for t in many]) for _ in range(3))
+    assert min(seconds(lambda: ngram_join.Sets(column)) for _ in range(3)) < plain
+
+
+def test_ngram_join_reads_texts_as_columns(spark, sf, capsys):
+    """The passes over all texts take whole batches, without a Python object for a text or a word."""
+    docs = read(spark, sf, "documents")
+    for df in (ngram_join.profile(docs), ngram_join.postings(docs, [], []), ngram_join.class_sets(docs, spark.range(1).selectExpr("id doc_id", "id sig"))):
+        capsys.readouterr()
+        df.explain()
+        plan = capsys.readouterr().out
+        assert "MapInArrow" in plan and "MapInPandas" not in plan
+
+
 def test_ngram_join_prefixes_share_what_the_order_promises():
     import numpy as np
 
