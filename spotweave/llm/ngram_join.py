@@ -21,6 +21,7 @@ A document's set is its distinct five-word shingles (as 64-bit hashes); two docu
    one component, then by bitmaps in pairs of blocks, where only what the bitmaps allow becomes a row. So no link between
    components is lost.
 
+Words are hashed by their length and eight bytes at a time, and the sets of some megabytes of text are made as one array (`Sets`).
 Lists of hot tokens are split by salt, classes keep copies out of the join, and nothing of the size of the
 corpus reaches the driver; the hot shingles are at most 2000 times the mean set size.
 
