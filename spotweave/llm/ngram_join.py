@@ -44,6 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spotweave.llm.columns import indices
 from spotweave.llm.medians import ranges
 from spotweave.llm.substrings import Texts, slices
 from spotweave.operators.components import connected_components
@@ -54,6 +55,8 @@ CHUNK_DOCS, CHUNK_TOKENS, LEAST_LOCAL = 4096, 1_000_000, 3
 WORD_SHARE = 50_000  # words of a share of 1 / WORD_SHARE of a chunk or more are common: at most as many in a chunk
 MAX_COMBINED = 16  # frequent tokens of a prefix up to which they are indexed by combinations of two
 HUBS = 8  # of a family, in each turn
+BLOCK, BLOCK_BYTES = 4096, 4 << 20  # sets of a block of a family, and bytes of their bitmaps
+WAVE = 1 << 30  # bytes of copies of bitmaps that are made at once
 SHARED = 8  # prefix tokens that two linked sets share, or all that the smaller overlap allows
 LONG = 64  # bytes of a word
 SLOTS = 1 << 20  # of tables by the low bits of a hash
@@ -370,25 +373,46 @@ def folded(bits: np.ndarray, size: int) -> np.ndarray:
     return np.bitwise_or.reduce(bits.reshape(len(bits), -1, size), axis=1)
 
 
-def block_pairs(x: tuple, y: tuple) -> list[tuple[int, int]]:
-    """(sig, sig) of the sets of two blocks (sigs, ns, comps, bitmaps) of different components that the bitmaps allow to link."""
-    out = []
-    (sx, nx, cx, bx), (sy, ny, cy, by) = ((*(np.array(v, np.int64) for v in z[:3]), z[3]) for z in (x, y))
-    wide = [np.array([len(v) for v in z]) for z in (bx, by)]
-    for p in np.unique(wide[0]):
-        for q in np.unique(wide[1]):
-            if max(p, q) > 2 * min(p, q):  # sizes too far apart
+def block_pairs(x: tuple, y: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """The smaller and the larger sig of the sets of two blocks (sigs, ns, comps: arrays, bitmaps: bytes), or of one block twice, that have different
+    components and that the bitmaps allow to link. Sets are in the order of their sizes, so that each meets a stretch of the others."""
+    own, found = x is y, []
+
+    def parted(z: tuple) -> dict[int, tuple[np.ndarray, ...]]:
+        """Sets with bitmaps of one width, by size."""
+        wide, out = np.array([len(v) for v in z[3]]), {}
+        for w in np.unique(wide).tolist():
+            at = np.flatnonzero(wide == w)
+            at = at[np.argsort(z[1][at], kind="stable")]
+            out[w] = (*(v[at] for v in z[:3]), np.frombuffer(b"".join(z[3][k] for k in at), np.uint8).reshape(len(at), -1))
+        return out
+
+    xs = parted(x)
+    ys = xs if own else parted(y)
+    for p, (sx, nx, cx, bx) in xs.items():
+        for q, (sy, ny, cy, by) in ys.items():
+            if max(p, q) > 2 * min(p, q) or own and q < p:  # sizes too far apart; met already
                 continue
-            i, j = np.flatnonzero(wide[0] == p), np.flatnonzero(wide[1] == q)
-            size = min(p, q)
-            a, b = (folded(np.frombuffer(b"".join(z[k] for k in at), np.uint8).reshape(len(at), -1), size) for z, at in ((bx, i), (by, j)))
-            a, b = a.view(np.uint64), b.view(np.uint64)
-            for k in range(len(i)):
-                n, m = nx[i[k]], ny[j]
-                shared = (n + m - np.bitwise_count(a[k] ^ b).sum(axis=1, dtype=np.int64)) // 2
-                ok = (5 * np.minimum(n, m) >= 4 * np.maximum(n, m)) & (100 * shared >= 80 * (n + m - shared)) & (cy[j] != cx[i[k]])
-                out += [(min(sx[i[k]], v), max(sx[i[k]], v)) for v in sy[j[ok]]]
-    return [(int(v), int(w)) for v, w in set(out)]
+            a, b = (folded(v, min(p, q)).view(np.uint64) for v in (bx, by))
+            lo, hi = np.searchsorted(ny, -(-4 * nx // 5)), np.searchsorted(ny, 5 * nx // 4, "right")
+            if own and p == q:
+                lo = np.maximum(lo, np.arange(len(nx)) + 1)
+            part = max(1, a.shape[1] // 4)  # of the bits, which drops most pairs
+            (a, a_rest), (b, b_rest) = ([np.ascontiguousarray(v[:, c]) for c in (slice(part), slice(part, None))] for v in (a, b))
+            for k in np.flatnonzero(lo < hi).tolist():
+                at = np.arange(lo[k], hi[k])
+                differ = np.bitwise_count(a[k] ^ b[lo[k] : hi[k]]).sum(axis=1, dtype=np.int64)
+                for more in (b_rest, None):
+                    total = nx[k] + ny[at]
+                    shared = (total - differ) // 2
+                    ok = (100 * shared >= 80 * (total - shared)) & (cy[at] != cx[k])
+                    at, differ = at[ok], differ[ok]
+                    if more is not None:
+                        differ = differ + np.bitwise_count(a_rest[k] ^ more[at]).sum(axis=1, dtype=np.int64)
+                if len(at):
+                    found.append(np.stack([np.full(len(at), sx[k]), sy[at]]))
+    pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+    return pairs.min(axis=0), pairs.max(axis=0)
 
 
 def family_sets(rest: DataFrame, maps: DataFrame) -> DataFrame:
@@ -406,21 +430,48 @@ def family_stars(sets: DataFrame, turn: int) -> DataFrame:
     return met.select(F.least("sig", "hub.sig").alias("a"), F.greatest("sig", "hub.sig").alias("b")).distinct()
 
 
-def family_blocks(sets: DataFrame, block: int = 256) -> DataFrame:
-    """Pairs (a, b) of sets that the bitmaps allow, of one family but different components. A family stands in blocks of
-    about `block` sets; every two of them meet in one row."""
-    size = sets.groupBy("family").agg(F.count("*").alias("size"), F.count_distinct("comp").alias("comps")).where("comps > 1")
-    at = F.pmod(F.xxhash64("sig", F.lit("block")), F.ceil(F.col("size") / block)).alias("block")
-    dealt = stage(sets.join(size, "family").groupBy("family", at).agg(*(F.collect_list(c).alias(c) for c in ("sig", "n", "comp", "bits"))), "join-blocks")
-    names = ("sig", "n", "comp", "bits")
-    x, y = (dealt.select("family", F.col("block").alias(f"block_{c}"), *[F.col(v).alias(f"{v}_{c}") for v in names]) for c in "xy")
-
-    def meet(*held) -> list[dict[str, int]]:
-        return [{"a": a, "b": b} for a, b in block_pairs(held[:4], held[4:])]
+def family_blocks(sets: DataFrame, block: int = BLOCK, most: int = WAVE) -> DataFrame:
+    """Pairs (a, b) of sets that the bitmaps allow, of one family but different components. Sets of a family stand in bands by size, as only those of
+    one band or of two next to each other can link, and a band in blocks of about `block` sets, or of BLOCK_BYTES of bitmaps. Every two blocks that may hold
+    a link meet under a key of their own. Copies for these are made in turns of about `most` bytes, or of the bytes of all sets, so that the
+    disk that they take follows the input while their number is quadratic."""
+    band = F.floor(F.log("n") / float(np.log(1.26))).cast("int")  # wider than the ratio of sizes that can link, so that rounding does not matter
+    banded, own = sets.withColumn("band", band), Window.partitionBy("family")
+    sizes = banded.groupBy("family", "band").agg(F.count("*").alias("n_sets"), F.sum(F.length("bits")).alias("bytes"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    sizes = sizes.withColumn("blocks", F.ceil(F.greatest(F.col("n_sets") / block, F.col("bytes") / BLOCK_BYTES, F.lit(1))).cast("int"))
+    beside = lambda f, k: F.when(f("band").over(own.orderBy("band")) == F.col("band") + k, f("blocks").over(own.orderBy("band"))).otherwise(0)
+    sizes = sizes.withColumns({"before": beside(F.lag, -1), "after": beside(F.lead, 1), "mixed": F.min("lo").over(own) < F.max("hi").over(own)}).where("mixed")
+    sizes = stage(sizes.select("family", "band", "bytes", "blocks", "before", "after"), "join-bands")  # a row for each size of a family
+    every = F.col("blocks") + F.col("before") + F.col("after")
+    held, copied, pairs = (v or 0 for v in sizes.agg(F.sum("bytes"), F.sum(F.col("bytes") * every), F.sum(F.when(every > 1, F.col("blocks") * (F.col("blocks") + F.col("after"))))).first())
+    turns = -(-copied // max(most, held)) or 1
+    n = min(10_000, max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), pairs // turns))
+    met = lambda band, step, i, j, left: F.struct(*(v.cast("int").alias(c) for v, c in ((band, "b"), (F.lit(step), "step"), (i, "i"), (j, "j"))), F.lit(left).alias("left"))
+    at, b = F.col("at"), F.col("band")
+    keys = F.concat(
+        F.transform(indices(F.col("blocks") - at), lambda v: met(b, 0, at, at + v, True)),
+        F.transform(indices(at), lambda v: met(b, 0, v, at, False)),
+        F.transform(indices(F.col("after")), lambda v: met(b, 1, at, v, True)),
+        F.transform(indices(F.col("before")), lambda v: met(b - 1, 1, v, at, False)),
+    )
+    key = ["family", "b", "step", "i", "j"]
+    dealt = banded.join(broadcast_if_small(sizes, 1_000_000), ["family", "band"]).withColumn("at", F.pmod(F.xxhash64("sig", F.lit("block")), F.col("blocks")).cast("int"))
+    copies = dealt.select("family", "sig", "n", "comp", "bits", F.explode(keys).alias("k")).select("family", "k.*", "sig", "n", "comp", "bits")
+
+    def meet(rows: pa.Table) -> pa.Table:
+        left = rows.column("left")
+        alone = rows.column("step")[0].as_py() == 0 and rows.column("i")[0].as_py() == rows.column("j")[0].as_py()
+        x, y = (tuple(t.column(c).to_numpy() for c in ("sig", "n", "comp", "bits")) for t in (rows.filter(left), rows.filter(pc.invert(left))))
+        a, b = block_pairs(x, x if alone else y)
+        release_worker_memory(False)
+        return pa.table({"a": a, "b": b})
 
-    met = x.join(y, "family").where("block_x <= block_y").repartition("family", "block_x", "block_y")
-    columns = [f"{v}_{c}" for c in "xy" for v in names]
-    return met.select(F.explode(tested(meet, "array<struct<a: long, b: long>>")(*columns)).alias("p")).select("p.a", "p.b").distinct()
+    found = None
+    for k in range(turns):
+        part = copies if turns == 1 else copies.where(F.pmod(F.xxhash64(*key, F.lit("turn")), F.lit(turns)) == k)
+        part = stage(part.repartition(n, *key).groupBy(*key).applyInArrow(meet, "a long, b long"), "join-left-over")
+        found = part if found is None else found.union(part)
+    return found
 
 
 def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bound: int = 32, max_broadcast: int = 1_000_000, max_rounds: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -517,9 +568,7 @@ def similarity_classes(docs: DataFrame, *, share: int = 2000, least: int = 8, bo
             held = stage(renewed(held, "comp"), "join-family")
             if links.count() * 20 <= pairs.count():  # few links among the last pairs: test all that are left
                 break
-        with arrow_rows(spark, 8):
-            fresh = stage(family_blocks(held), "join-left-over")
-        nodes = merged(verified(fresh))
+        nodes = merged(verified(family_blocks(held)))
     return members, classes, nodes
 
 
