@@ -31,6 +31,7 @@ from spotweave.runtime import limit_batches, release_worker_memory
 BITS = 20
 WORD = re.compile(r"[^\W\d_]+")
 CACHE_WORDS = 100_000
+SLICE = 256  # documents whose features are counted at once
 
 
 def word_features(word: str) -> list[int]:
@@ -117,7 +118,6 @@ def distinct_documents(docs: list[np.ndarray], bands: int = 4, rows: int = 3, le
     hashes makes a pair, a Jaccard of the features of at least `least` makes a copy."""
     odd = np.array([2 * i + 1 for i in range(1, bands * rows + 1)], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     seen: dict[tuple, list[int]] = {}
-    exact: set[bytes] = set()
     out: list[np.ndarray] = []
 
     def copies(d: np.ndarray, e: np.ndarray) -> bool:
@@ -127,9 +127,8 @@ def distinct_documents(docs: list[np.ndarray], bands: int = 4, rows: int = 3, le
         return both >= least * (len(d) + len(e) - both)
 
     for d in docs:
-        if not len(d) or d.tobytes() in exact:
+        if not len(d):
             continue
-        exact.add(d.tobytes())
         h = (d.astype(np.uint64)[:, None] + np.uint64(1)) * odd[None, :]
         lowest = ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)).min(axis=0)
         own = [(b, *lowest[b * rows : (b + 1) * rows].tolist()) for b in range(bands)]
@@ -146,7 +145,7 @@ def fit_nnpu(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: f
     if not positives:
         return ToxicityModel({}, -np.inf, prior)
     size = 1 << BITS
-    rate_of = lambda docs: np.bincount(np.concatenate(docs) if docs else np.zeros(0, np.int32), minlength=size)
+    rate_of = lambda docs: sum((np.bincount(np.concatenate(docs[k : k + SLICE]), minlength=size) for k in range(0, len(docs), SLICE)), np.zeros(size, np.int64))
     n_p, n_u = len(positives), max(1, len(unlabelled))
     c_p, c_u = rate_of(positives), rate_of(unlabelled)
     chance = np.maximum((c_p + c_u) / (n_p + n_u) * n_p, 1e-9)  # positives that would have a feature without a link
@@ -159,9 +158,8 @@ def fit_nnpu(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: f
     place[kept] = np.arange(len(kept))
 
     def packed(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
-        rows = np.repeat(np.arange(len(docs)), [len(d) for d in docs]) if docs else np.zeros(0, np.int64)
-        cols = place[np.concatenate(docs)] if docs else np.zeros(0, np.int64)
-        return rows[cols >= 0], cols[cols >= 0], len(docs)
+        cols = [c[c >= 0] for c in (place[d] for d in docs)]  # of all features only those kept are held
+        return np.repeat(np.arange(len(docs)), [len(c) for c in cols]), np.concatenate([np.zeros(0, np.int64), *cols]), len(docs)
 
     (rp, cp, n1), (ru, cu, n2) = packed(positives), packed(unlabelled)
     w, b = np.zeros(len(kept)), float(np.log(prior / (1 - prior)))
@@ -214,7 +212,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_positives: int = 2000, max_un
     )
     rows.sort(key=lambda r: (r.o, bytes(r.f)))
     take = lambda key: [np.frombuffer(r.f, np.int32) for r in rows if r[key]]
-    return fit_nnpu(distinct_documents(take("positive")), distinct_documents(take("drawn")), prior)
+    positives, unlabelled = distinct_documents(take("positive")), distinct_documents(take("drawn"))
+    del rows
+    model = fit_nnpu(positives, unlabelled, prior)
+    del positives, unlabelled
+    release_worker_memory()  # the driver's Python stays, too
+    return model
 
 
 def toxicity_score(model: ToxicityModel, text: Column) -> Column:
